@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opalgrid.llm import packing, tokenbin
+from opalgrid.llm import bytebpe, fingerprint, packing, tokenbin
 from opalgrid.llm.common import cut, scratch, table
 
 SQL: dict[str, str] = {}
@@ -20,11 +20,19 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quartile_digest(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.audit(table(spark, folder, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     placed = packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bytebpe.round_trip(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = f"{scratch(spark)}/tokens-{uuid.uuid4().hex}"
     written = cut(tokenbin.write(table(spark, folder, "documents"), files, vocabulary("byte_bpe_50k.json")))
@@ -33,6 +41,8 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quartile_digest": op1_quartile_digest,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_token_files": op8_token_files,
 }

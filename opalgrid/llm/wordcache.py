@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from itertools import chain
 
 import numpy as np
 
@@ -19,10 +20,59 @@ _RUN = re.compile(r"\s (?!\S)")
 _CONTROLS = re.compile("[\x1c-\x1f]")
 
 
-class Encoder:
-    """texts -> one flat array of ids and the number of ids of each text."""
+class IdCache(dict):
+    """Chunk -> number of the chunk, whose ids lie in one flat array; emptied when it holds too much.
+
+    Looking up a chunk that is not known gives it the next number; `ids` has the new ones encoded, all at once.
+    """
 
     MOST = 500_000
+    MOST_IDS = 8_000_000
+
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]]) -> None:
+        super().__init__()
+        self.encode = encode
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.flat, self.starts, self.used = np.empty(1 << 20, np.int32), np.zeros(1 << 16, np.int64), 0
+        self.new: list = []
+
+    def __missing__(self, chunk: str | bytes) -> int:
+        k = self[chunk] = len(self)
+        self.new.append(chunk)
+        return k
+
+    def _learn(self, part: list, n: int) -> None:
+        ids, sizes = self.encode(part)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while n + len(part) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts[n + 1 : n + 1 + len(part)] = self.used + np.cumsum(sizes)
+        self.used += len(ids)
+
+    def ids(self, chunks: Iterable, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, one after the other, and how many each has."""
+        if len(self) > self.MOST or self.used > self.MOST_IDS:
+            self.clear()
+        before = len(self)
+        try:
+            which = np.fromiter(map(self.__getitem__, chunks), np.int64, count)
+            for i in range(0, len(self.new), 20_000):
+                self._learn(self.new[i : i + 20_000], before + i)
+        except BaseException:  # numbers without ids must not stay
+            self.clear()
+            raise
+        self.new = []
+        sizes = self.starts[which + 1] - self.starts[which]
+        return gathered(self.flat, self.starts[which], sizes), sizes
+
+
+class Encoder:
+    """texts -> one flat array of ids and the number of ids of each text."""
 
     def __init__(self, path: str, *, blanks_matter: bool) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -31,29 +81,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.blanks_matter = blanks_matter
-        self.known: dict[str, int] = {}
-        self.clear()
+        self.known = IdCache(self._encode)
 
-    def clear(self) -> None:
-        self.known.clear()
-        self.flat = np.empty(1 << 20, np.int32)
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.used = 0
-
-    def _learn(self, chunks: list[str]) -> None:
-        for i in range(0, len(chunks), 20_000):
-            part = chunks[i : i + 20_000]
-            ids = [e.ids for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            total, n = int(sizes.sum()), len(self.known)
-            while self.used + total > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-            while n + len(ids) + 1 > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.flat[self.used : self.used + total] = np.fromiter((x for y in ids for x in y), np.int32, total)
-            self.starts[n + 1 : n + 1 + len(ids)] = self.used + np.cumsum(sizes)
-            self.used += total
-            self.known.update(zip(part, range(n, n + len(ids)), strict=True))
+    def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((x for y in ids for x in y), np.int32, int(sizes.sum())), sizes
 
     def _chunks(self, text: str) -> list[str]:
         if not self.blanks_matter:
@@ -66,31 +99,9 @@ class Encoder:
 
     def __call__(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [self._chunks(t) for t in texts]
-        if len(self.known) > self.MOST:
-            self.clear()
-        known = self.known
-        new = list({c for chunks in split for c in chunks if c not in known})
-        long = {c for c in new if len(c) > 1000}
-        self._learn([c for c in new if c not in long])
-        if long:  # of no use to later texts
-            return self._with_long(split, long)
         n = np.fromiter(map(len, split), np.int64, len(split))
-        which = np.fromiter((known[c] for chunks in split for c in chunks), np.int64, int(n.sum()))
-        sizes = self.starts[which + 1] - self.starts[which]
-        return gathered(self.flat, self.starts[which], sizes), summed(sizes, n)
-
-    def _with_long(self, split: list[list[str]], long: set[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts = []
-        for chunks in split:
-            out = [np.empty(0, np.int32)]
-            for c in chunks:
-                if c in long:
-                    out.append(np.asarray(self.tokenizer.encode(c, add_special_tokens=False).ids, np.int32))
-                else:
-                    k = self.known[c]
-                    out.append(self.flat[self.starts[k] : self.starts[k + 1]])
-            parts.append(np.concatenate(out))
-        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+        flat, sizes = self.known.ids(chain.from_iterable(split), int(n.sum()))
+        return flat, summed(sizes, n)
 
 
 def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
