@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opalgrid.llm import bytebpe, fingerprint, packing, tokenbin
+from opalgrid.llm import bytebpe, fingerprint, packing, quality, tokenbin, toxicity
 from opalgrid.llm.common import cut, scratch, table
 
 SQL: dict[str, str] = {}
@@ -29,6 +29,16 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_nearest_toxic(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.learn(docs, table(spark, folder, "labels")))
+
+
+def op6_additive_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.scored(docs, quality.learn(docs, table(spark, folder, "labels")))
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bytebpe.round_trip(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
 
@@ -43,6 +53,8 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quartile_digest": op1_quartile_digest,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_nearest_toxic": op3_nearest_toxic,
+    "op6_additive_quality": op6_additive_quality,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_files": op8_token_files,
 }
