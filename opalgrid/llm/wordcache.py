@@ -19,24 +19,26 @@ _RUN = re.compile(r"\s (?!\S)")
 #: Characters that str.split() cuts at, though the Unicode property White_Space does not hold them.
 _CONTROLS = re.compile("[\x1c-\x1f]")
 
+#: Marks that may follow a word; none is a letter or a number.
+_MARKS = ".,;:!?$%&*#|)\"'"
+
 
 class IdCache(dict):
-    """Chunk -> number of the chunk, whose ids lie in one flat array; emptied when it holds too much.
+    """Chunk -> number of the chunk, whose ids lie in one flat array.
 
-    Looking up a chunk that is not known gives it the next number; `ids` has the new ones encoded, all at once.
+    Looking up a chunk that is not known gives it the next number; `ids` has the new ones encoded, all at once. When it is
+    full, chunks that have turned up once only are forgotten; all are, if that is not enough.
     """
 
-    MOST = 500_000
-    MOST_IDS = 8_000_000
-
-    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]]) -> None:
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = 300_000, most_ids: int = 6_000_000) -> None:
         super().__init__()
-        self.encode = encode
+        self.encode, self.most, self.most_ids = encode, most, most_ids
         self.clear()
 
     def clear(self) -> None:
         super().clear()
         self.flat, self.starts, self.used = np.empty(1 << 20, np.int32), np.zeros(1 << 16, np.int64), 0
+        self.seen = np.zeros(1 << 16, np.int64)
         self.new: list = []
 
     def __missing__(self, chunk: str | bytes) -> int:
@@ -44,31 +46,49 @@ class IdCache(dict):
         self.new.append(chunk)
         return k
 
-    def _learn(self, part: list, n: int) -> None:
-        ids, sizes = self.encode(part)
+    def _add(self, ids: np.ndarray, sizes: np.ndarray, n: int) -> None:
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while n + len(part) + 1 > len(self.starts):
+        while n + len(sizes) + 1 > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.seen = np.concatenate([self.seen, np.zeros_like(self.seen)])
         self.flat[self.used : self.used + len(ids)] = ids
-        self.starts[n + 1 : n + 1 + len(part)] = self.used + np.cumsum(sizes)
+        self.starts[n + 1 : n + 1 + len(sizes)] = self.used + np.cumsum(sizes)
         self.used += len(ids)
 
-    def ids(self, chunks: Iterable, count: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks, one after the other, and how many each has."""
-        if len(self) > self.MOST or self.used > self.MOST_IDS:
-            self.clear()
+    def _forget(self) -> None:
+        n = len(self)
+        keep = np.flatnonzero(self.seen[:n] > 1)
+        starts = self.starts[keep]
+        sizes = self.starts[keep + 1] - starts
+        ids, names = gathered(self.flat, starts, sizes), list(self)
+        self.clear()
+        if len(keep) <= self.most // 2 and len(ids) <= self.most_ids // 2:
+            self.update(zip([names[k] for k in keep.tolist()], range(len(keep)), strict=True))
+            self._add(ids, sizes, 0)
+
+    def numbers(self, chunks: Iterable, count: int) -> np.ndarray:
+        """The number of each chunk; those that were new are encoded. Numbers hold until the next call."""
+        if len(self) > self.most or self.used > self.most_ids:
+            self._forget()
         before = len(self)
         try:
             which = np.fromiter(map(self.__getitem__, chunks), np.int64, count)
             for i in range(0, len(self.new), 20_000):
-                self._learn(self.new[i : i + 20_000], before + i)
+                self._add(*self.encode(self.new[i : i + 20_000]), before + i)
         except BaseException:  # numbers without ids must not stay
             self.clear()
             raise
         self.new = []
-        sizes = self.starts[which + 1] - self.starts[which]
-        return gathered(self.flat, self.starts[which], sizes), sizes
+        self.seen[: len(self)] += np.bincount(which, minlength=len(self))
+        return which
+
+    def ids(self, chunks: Iterable, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, one after the other, and how many each has."""
+        which = self.numbers(chunks, count)
+        starts = self.starts[which]
+        sizes = self.starts[which + 1] - starts
+        return gathered(self.flat, starts, sizes), sizes
 
 
 class Encoder:
@@ -81,12 +101,25 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.blanks_matter = blanks_matter
-        self.known = IdCache(self._encode)
+        self.words = IdCache(self._encode)
+        self.chunks = IdCache(self._put_together)
 
-    def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((x for y in ids for x in y), np.int32, int(sizes.sum())), sizes
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
+
+    def _put_together(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks as words and the marks behind them: a pre-token never holds a letter or number and marks behind it."""
+        parts = []
+        for c in chunks:
+            word = c.rstrip(_MARKS)
+            if word and word[-1].isalnum():
+                parts += (word if self.blanks_matter or not word.isascii() else word.lower(), c[len(word) :])
+            else:
+                parts += (c, "")
+        flat, sizes = self.words.ids(parts, len(parts))
+        return flat, sizes.reshape(-1, 2).sum(axis=1)
 
     def _chunks(self, text: str) -> list[str]:
         if not self.blanks_matter:
@@ -100,7 +133,7 @@ class Encoder:
     def __call__(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [self._chunks(t) for t in texts]
         n = np.fromiter(map(len, split), np.int64, len(split))
-        flat, sizes = self.known.ids(chain.from_iterable(split), int(n.sum()))
+        flat, sizes = self.chunks.ids(chain.from_iterable(split), int(n.sum()))
         return flat, summed(sizes, n)
 
 
