@@ -46,9 +46,14 @@ def encoded(doc_ids: np.ndarray, missing: np.ndarray, sizes: np.ndarray, ids: np
     widths = 1 + (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
     padded = np.zeros(-(-len(ids) // 4) * 4, np.uint8)
     padded[: len(ids)] = widths - 1
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8)
-    octets = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    data = octets[np.arange(4) < widths[:, None]]
+    control = padded[::4] | padded[1::4] << 2 | padded[2::4] << 4 | padded[3::4] << 6
+    ends = np.cumsum(widths, dtype=np.int64)
+    starts = ends - widths
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    data[starts] = ranks & np.uint32(0xFF)
+    for k in range(1, int(widths.max(initial=0))):
+        has = np.flatnonzero(widths > k)
+        data[starts[has] + k] = (ranks[has] >> np.uint32(8 * k)) & np.uint32(0xFF)
     head = HEAD.pack(MAGIC, len(doc_ids), len(order), len(ids), len(data))
     return b"".join([head, doc_ids.astype("<i8").tobytes(), sizes.astype("<u4").tobytes(), missing.astype("u1").tobytes(), order.astype("<u4").tobytes(), control.tobytes(), data.tobytes()])
 
@@ -71,11 +76,9 @@ def decoded(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     data = take("u1", size)
     ends = np.cumsum(widths, dtype=np.int64)
     starts = ends - widths
-    ranks = np.zeros(n, np.uint32)
-    for k in range(4):
-        has = widths > k
-        if not has.any():
-            break
+    ranks = data[starts].astype(np.uint32)
+    for k in range(1, int(widths.max(initial=0))):
+        has = np.flatnonzero(widths > k)
         ranks[has] |= data[starts[has] + k].astype(np.uint32) << np.uint32(8 * k)
     return doc_ids, missing.astype(bool), sizes.astype(np.int64), order[ranks] if n else np.empty(0, np.uint32)
 

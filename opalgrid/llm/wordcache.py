@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from collections.abc import Callable, Iterable, Sequence
 from itertools import chain
 
@@ -19,10 +20,22 @@ _RUN = re.compile(r"\s (?!\S)")
 #: Characters that str.split() cuts at, though the Unicode property White_Space does not hold them.
 _CONTROLS = re.compile("[\x1c-\x1f]")
 
+#: Stands before a chunk that has no blank before it, where blanks matter; no text holds it, for it is no character.
+_FIRST = "\udfff"
 #: Marks that may follow a word; none is a letter or a number.
 _MARKS = ".,;:!?$%&*#|)\"'"
 
 
+def _byte_chars() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it prints, else the next free one."""
+    prints = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_BYTE_CHARS = _byte_chars()
+
+
 class IdCache(dict):
     """Chunk -> number of the chunk, whose ids lie in one flat array.
 
@@ -30,7 +43,7 @@ class IdCache(dict):
     full, chunks that have turned up once only are forgotten; all are, if that is not enough.
     """
 
-    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = 300_000, most_ids: int = 6_000_000) -> None:
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = 500_000, most_ids: int = 8_000_000) -> None:
         super().__init__()
         self.encode, self.most, self.most_ids = encode, most, most_ids
         self.clear()
@@ -100,21 +113,51 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        #: The same model for words that are one pre-token: they come normalised, as byte characters.
+        self.model = Tokenizer.from_file(path)
+        self.model.encode_special_tokens = True
+        self.model.normalizer = self.model.pre_tokenizer = None
         self.blanks_matter = blanks_matter
         self.words = IdCache(self._encode)
         self.chunks = IdCache(self._put_together)
 
+    def _plain(self, word: str) -> str | None:
+        """The byte characters of a word of letters only (and a blank before it, where blanks matter), else None."""
+        if self.blanks_matter:
+            body, first = (word[1:], "\u0120") if word[:1] == " " else (word, "")
+        else:
+            body, first = word if word.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", word))), ""
+        if not body.isalpha():
+            return None
+        return first + (body if body.isascii() else body.encode().decode("latin-1").translate(_BYTE_CHARS))
+
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
+        plain = [self._plain(w) for w in words]
+        sizes = np.zeros(len(words), np.int64)
+        easy = [k for k, w in enumerate(plain) if w is not None]
+        parts = [easy[i : i + 200] for i in range(0, len(easy), 200)]
+        found = self.model.encode_batch([[plain[k] for k in part] for part in parts], is_pretokenized=True, add_special_tokens=False)
+        for part, e in zip(parts, found, strict=True):
+            sizes[part] = np.bincount(e.word_ids, minlength=len(part))
+        hard = [k for k, w in enumerate(plain) if w is None]
+        others = [e.ids for e in self.tokenizer.encode_batch([words[k] for k in hard], add_special_tokens=False)]
+        sizes[hard] = [len(x) for x in others]
+        ends = np.cumsum(sizes)
+        flat, of_hard = np.empty(int(ends[-1]) if len(ends) else 0, np.int32), np.zeros(len(words), bool)
+        of_hard[hard] = True
+        where = np.repeat(of_hard, sizes)
+        flat[~where] = np.fromiter(chain.from_iterable(e.ids for e in found), np.int32)
+        flat[where] = np.fromiter(chain.from_iterable(others), np.int32)
+        return flat, sizes
 
     def _put_together(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Chunks as words and the marks behind them: a pre-token never holds a letter or number and marks behind it."""
         parts = []
         for c in chunks:
+            if self.blanks_matter:
+                c = c[1:] if c[:1] == _FIRST else " " + c
             word = c.rstrip(_MARKS)
-            if word and word[-1].isalnum():
+            if word and word[-1].lower()[-1:].isalnum():
                 parts += (word if self.blanks_matter or not word.isascii() else word.lower(), c[len(word) :])
             else:
                 parts += (c, "")
@@ -125,10 +168,9 @@ class Encoder:
         if not self.blanks_matter:
             return text.split() if not _CONTROLS.search(text) else [text]
         if _RUN.search(text):
-            return [text]
+            return [_FIRST + text]
         first, *rest = text.split(" ")
-        chunks = [" " + x for x in rest]
-        return [first, *chunks] if first else chunks
+        return [_FIRST + first, *rest] if first else rest
 
     def __call__(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [self._chunks(t) for t in texts]
