@@ -167,7 +167,7 @@ def priors(evidence: DataFrame, model: Model) -> Priors:
     leaned = lambda s, on: F.zip_with(s, on, lambda x, y: (x + LEAN * y) / (_total_of(s) + LEAN))
     domains = _sums(again, ["domain"], n).select("domain", leaned(F.col("sums"), common).alias("of_domain"))
     hosts = _sums(again.where(F.col("host").isNotNull()), ["host", "domain"], n).join(domains, ["domain"]) if n else None
-    named = hosts.select("host", F.transform(leaned(F.col("sums"), F.col("of_domain")), F.log).alias("prior"), _total("sums").alias("_n"))
+    named = hosts.select("host", F.transform(leaned(F.col("sums"), F.col("of_domain")), lambda x: F.log(x)).alias("prior"), _total("sums").alias("_n"))
     once = named.groupBy("host").agg(F.max_by("prior", "_n").alias("prior"))  # a host has one domain
     return Priors(cut(once), _reliable(again, "declared", "said", n), _reliable(again, "suffix", "told", n), [float(np.log(x)) for x in everyone] or flat)
 

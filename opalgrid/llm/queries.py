@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opalgrid.llm import bytebpe, fingerprint, packing, quality, tokenbin, toxicity
+from opalgrid.llm import bytebpe, fingerprint, language, neardup, neighbours, packing, quality, tokenbin, toxicity, warc
 from opalgrid.llm.common import cut, scratch, table
 
 SQL: dict[str, str] = {}
@@ -34,6 +34,53 @@ def op3_nearest_toxic(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.learn(docs, table(spark, folder, "labels")))
 
 
+def op4_language_evidence(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents (their source is the host; nothing is declared) and web pages, under one text model."""
+    docs, pages = table(spark, folder, "documents"), table(spark, folder, "pages")
+    model = language.learn(docs)
+    of_docs = language.identified(docs.select("doc_id", "text", "source"), model, host=F.col("source"))
+    parts = language.page_parts(pages.select("page_id", "url", "html"))
+    columns = {c: F.col(c) for c in ("host", "domain", "declared", "suffix")}
+    of_pages = language.identified(parts, model, **columns)
+    found = ["lang_found", "probability", "text_lang", "accepted"]
+    none = F.lit(None)
+    rows = of_docs.select("doc_id", none.cast("long").alias("page_id"), F.col("source").alias("host"), none.cast("string").alias("declared"), *found)
+    return rows.unionByName(of_pages.select(none.cast("long").alias("doc_id"), "page_id", "host", "declared", *found))
+
+
+def replica(rows: DataFrame) -> DataFrame:
+    """A copy of archive records with damage: some records with a changed byte, some cut, some missing."""
+    n = F.coalesce(F.col("page_id"), F.lit(0))
+    changed = F.concat(F.substring("record", 1, 20), F.lit("~").cast("binary"), F.expr("substring(record, 22)"))
+    short = F.expr("substring(record, 1, octet_length(record) - 9)")
+    return rows.withColumn("record", F.when(n % 97 == 13, changed).when(n % 211 == 17, short).otherwise(F.col("record")))
+
+
+def op5_merkle_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Damage found between archive files of all pages and a replica of them with damage of known places."""
+    rows = warc.records(table(spark, folder, "pages"))
+    leaves = warc.cut(warc.leaves(rows))
+    copied = warc.leaves(replica(rows)).withColumnRenamed("offset", "_moved")
+    # Damage leaves records where they are: the replica keeps the offsets of the original.
+    kept = copied.drop("_moved").join(leaves.select("file", "page_id", "offset"), ["file", "page_id"]).where("page_id % 307 <> 19")
+    return warc.audit(leaves, kept.select("file", "offset", "length", "page_id", "digest"))
+
+
+_RECORD = """
+    SELECT CAST(page_id // 2048 AS BIGINT) AS file, page_id,
+           strlen('WARC/1.1') + 2 + strlen('WARC-Type: response') + 2 + strlen('WARC-Target-URI: ' || url) + 2 + strlen('Content-Type: text/html') + 2
+           + strlen('Content-Length: ' || CAST(strlen(html) AS VARCHAR)) + 4 + strlen(html) + 4 AS length
+    FROM pages"""
+SQL["op5_merkle_audit"] = f"""
+WITH records AS ({_RECORD}),
+placed AS (SELECT *, CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM records)
+SELECT file, "offset", page_id,
+       CASE WHEN page_id % 307 = 19 THEN 'missing' WHEN page_id % 97 = 13 THEN 'changed' ELSE 'cut' END AS damage,
+       CAST(length AS BIGINT) AS length,
+       CAST(CASE WHEN page_id % 307 = 19 THEN NULL WHEN page_id % 97 = 13 THEN length ELSE length - 9 END AS BIGINT) AS replica_length
+FROM placed WHERE page_id % 307 = 19 OR page_id % 97 = 13 OR page_id % 211 = 17"""
+
+
 def op6_additive_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality.scored(docs, quality.learn(docs, table(spark, folder, "labels")))
@@ -50,11 +97,23 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenbin.with_starts(rows, written).select("doc_id", "start", "n_tokens", "ids_crc32", "file")
 
 
+def op9_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
+
+
+def op10_posting_lists(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), "vec_id % 50 = 0")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quartile_digest": op1_quartile_digest,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_nearest_toxic": op3_nearest_toxic,
+    "op4_language_evidence": op4_language_evidence,
+    "op5_merkle_audit": op5_merkle_audit,
     "op6_additive_quality": op6_additive_quality,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_files": op8_token_files,
+    "op9_weighted_minhash": op9_weighted_minhash,
+    "op10_posting_lists": op10_posting_lists,
 }
