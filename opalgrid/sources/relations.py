@@ -169,4 +169,5 @@ def with_relations(sql: str) -> str:
     if not need:
         return sql
     heads = ",\n".join(f"{name} AS ({SQL[name]})" for name in need)
-    return f"WITH {heads},\n{sql.lstrip()[5:]}" if sql.lstrip().upper().startswith("WITH ") else f"WITH {heads}\n{sql}"
+    own = re.match(r"\s*WITH (RECURSIVE )?", sql)
+    return f"WITH {own[1] or ''}{heads},\n{sql[own.end() :]}" if own else f"WITH {heads}\n{sql}"
