@@ -109,38 +109,74 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class Words(dict):
-    """Word -> 64-bit hash, filled as words turn up; cleared when full."""
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 2**64)
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+_powers: dict[int, np.ndarray] = {}
 
-    MOST = 400_000
 
-    def __missing__(self, word: str) -> int:
-        import xxhash
+def _power(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
+    kept = _powers.get(base)
+    if kept is None or len(kept) < n:
+        kept = np.full(max(n, 1 << 20), np.uint64(base), np.uint64)
+        kept[0] = 1
+        kept = np.multiply.accumulate(kept)
+        if n <= 1 << 22:
+            _powers[base] = kept
+    return kept[:n]
 
-        if len(self) >= self.MOST:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return h
 
+def word_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased words of all texts, one after the other, and the number of words of each text.
 
-_words = Words()
+    Words are runs of characters beyond the blank; a word's hash is a polynomial over its bytes, taken from prefix sums.
+    """
+    raw = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
+    stops = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)
+    b = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
+    inside = b > 32
+    before = np.concatenate([[False], inside[:-1]])
+    starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(before & ~inside)
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_BYTES[b] * _power(_BASE, len(b)), out=sums[1:])
+    w = (sums[ends] - sums[starts]) * _power(_INVERSE, len(b))[starts]
+    w += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return mixed(w), np.bincount(np.searchsorted(stops, starts, side="right"), minlength=len(raw))
+
+
+def shingle_sets(texts: Sequence[str], size: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each text, the distinct hashes of its runs of `size` lower-cased words, ascending, and their counts.
+
+    A text with fewer words is one shingle; without words there is none.
+    """
+    if not len(texts):
+        return []
+    w, counts = word_hashes(texts)
+
+    def run(x: np.ndarray, k: int) -> np.ndarray:
+        n = max(0, len(x) - k + 1)
+        h = np.full(n, np.uint64(k), np.uint64)
+        for i in range(k):
+            h = h * np.uint64(_BASE) + x[i : i + n]
+        return mixed(h)
+
+    whole, out, at = run(w, size), [], 0
+    for n in counts.tolist():
+        own = whole[at : at + n - size + 1] if n >= size else run(w[at : at + n], n) if n else np.empty(0, np.uint64)
+        out.append(np.unique(own, return_counts=True))
+        at += n
+    return out
 
 
 def shingles(text: str, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes of runs of `size` lower-cased words, ascending, with their counts.
+    return shingle_sets([text], size)[0]
 
-    A text with fewer words is one shingle; without words there is none.
-    """
-    found = text.lower().split()
-    if not found:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    w = np.fromiter(map(_words.__getitem__, found), np.uint64, len(found))
-    k = min(size, len(w))
-    n = len(w) - k + 1
-    h = np.full(n, np.uint64(k), np.uint64)
-    for i in range(k):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + w[i : i + n]
-    return np.unique(mixed(h), return_counts=True)
+
+def all_shingles(texts: Sequence[str], size: int = 5) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """shingle_sets of any number of texts, in pieces that bound the memory."""
+    for s in pieces_of([len(t) for t in texts], 300_000):
+        yield from shingle_sets(texts[s], size)
 
 
 def ranked(df: DataFrame, group: list[str], order: list[Column], name: str, salts: int = 64) -> DataFrame:
