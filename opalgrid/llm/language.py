@@ -133,7 +133,7 @@ def _sums(rows: DataFrame, by: list[str], n: int) -> DataFrame:
     return rows.groupBy(*by).agg(*parts).select(*by, F.array(*[f"_s{k}" for k in range(n)]).alias("sums"))
 
 
-def _total(a: str) -> Column:
+def _total(a: Column | str) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
 
 
@@ -164,16 +164,12 @@ def priors(evidence: DataFrame, model: Model) -> Priors:
     sums = np.array([x or 0.0 for x in whole["sums"]]) + 1.0
     everyone = (sums / sums.sum()).tolist()
     common = F.lit([float(x) for x in everyone])
-    leaned = lambda s, on: F.zip_with(s, on, lambda x, y: (x + LEAN * y) / (_total_of(s) + LEAN))
+    leaned = lambda s, on: F.zip_with(s, on, lambda x, y: (x + LEAN * y) / (_total(s) + LEAN))
     domains = _sums(again, ["domain"], n).select("domain", leaned(F.col("sums"), common).alias("of_domain"))
-    hosts = _sums(again.where(F.col("host").isNotNull()), ["host", "domain"], n).join(domains, ["domain"]) if n else None
+    hosts = _sums(again.where(F.col("host").isNotNull()), ["host", "domain"], n).withColumn("_d", F.coalesce("domain", F.lit(""))).join(domains.select(F.coalesce("domain", F.lit("")).alias("_d"), "of_domain"), "_d")
     named = hosts.select("host", F.transform(leaned(F.col("sums"), F.col("of_domain")), lambda x: F.log(x)).alias("prior"), _total("sums").alias("_n"))
     once = named.groupBy("host").agg(F.max_by("prior", "_n").alias("prior"))  # a host has one domain
-    return Priors(cut(once), _reliable(again, "declared", "said", n), _reliable(again, "suffix", "told", n), [float(np.log(x)) for x in everyone] or flat)
-
-
-def _total_of(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
+    return Priors(cut(once), cut(_reliable(again, "declared", "said", n)), cut(_reliable(again, "suffix", "told", n)), [float(np.log(x)) for x in everyone] or flat)
 
 
 def identified(rows: DataFrame, model: Model, *, text: str = "text", host: Column | None = None, domain: Column | None = None, declared: Column | None = None, suffix: Column | None = None) -> DataFrame:
@@ -189,16 +185,14 @@ def identified(rows: DataFrame, model: Model, *, text: str = "text", host: Colum
         return rows.withColumns(none)
     null = F.lit(None).cast("string")
     own = {"host": host, "domain": domain, "declared": declared, "suffix": suffix}
-    named = rows.withColumns({f"_{k}": F.coalesce(v.cast("string"), null) if v is not None else null for k, v in own.items()})
-    seen = with_text(named, model, text=text)
+    # The rows travel in one column, so that no name of theirs can clash with one used here.
+    named = rows.select(F.struct(*rows.columns).alias("_row"), text_of(text).alias("_body"), *[(v.cast("string") if v is not None else null).alias(f"_{k}") for k, v in own.items()])
+    seen = with_text(named, model, text="_body")
     found = priors(seen.select("_lik", "_letters", *[F.col(f"_{k}").alias(k) for k in own]), model)
     joined = seen
-    for side, key, small in ((found.hosts, "host", found.hosts.count() <= FEW_HOSTS), (found.declared, "declared", True), (found.suffixes, "suffix", True)):
-        if not small or side is found.hosts or side.count() <= FEW_HOSTS:
-            few = F.broadcast(side) if small else side
-            joined = joined.join(few.withColumnRenamed(key, f"_{key}"), f"_{key}", "left")
-        else:
-            joined = joined.join(side.withColumnRenamed(key, f"_{key}"), f"_{key}", "left")
+    for side, key in ((found.hosts, "host"), (found.declared, "declared"), (found.suffixes, "suffix")):
+        few = F.broadcast(side) if side.count() <= FEW_HOSTS else side
+        joined = joined.join(few.withColumnRenamed(key, f"_{key}"), f"_{key}", "left")
     nothing = F.lit([0.0] * n)
     logs = _added(F.col("_lik"), F.coalesce("prior", F.lit(found.everyone)), F.coalesce("said", nothing), F.coalesce("told", nothing))
     names = F.lit(model.languages)
@@ -207,7 +201,7 @@ def identified(rows: DataFrame, model: Model, *, text: str = "text", host: Colum
     accepted = (F.col("_letters") >= LETTERS) & (best >= LEAST)
     pick = lambda a: F.element_at(names, F.array_position(a, F.array_max(a)).cast("int"))
     out = out.withColumns({"accepted": accepted, "lang_found": F.when(accepted, pick(F.col("_post"))), "probability": best, "text_lang": F.when(F.col("_letters") > 0, pick(F.col("_lik")))})
-    return out.select(*rows.columns, "lang_found", "probability", "text_lang", "accepted")
+    return out.select("_row.*", "lang_found", "probability", "text_lang", "accepted")
 
 
 def page_parts(pages: DataFrame, *, html: str = "html", url: str = "url") -> DataFrame:

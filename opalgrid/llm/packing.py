@@ -74,25 +74,27 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     for length in sorted(counts, reverse=True):
         rank, left = 0, counts[length]
         while left:
+            # Once a sequence holds a piece of this length it is the tightest that takes another: each is filled in turn.
             room = tree.tightest(length)
-            if room is None:  # sequences are opened one after the other, and each is filled before the next
-                each = capacity // length
-                for n, deep in ((left // each, each), (min(1, left % each), left % each)):
-                    for k in range(deep if n else 0):
-                        out.append((length, rank, n, sequences, k * length))
-                        rank += n
-                    put(capacity - deep * length, sequences, n)
-                    sequences += n
-                break
-            first, n = rooms[room].popleft()
-            if n > left:
-                rooms[room].appendleft((first + left, n - left))
-                n = left
-            elif not rooms[room]:
-                tree.mark(room, False)
-            out.append((length, rank, n, first, capacity - room))
-            put(room - length, first, n)
-            rank, left = rank + n, left - n
+            if room is None:
+                room, first, open_ = capacity, sequences, left
+            else:
+                first, open_ = rooms[room].popleft()
+                if not rooms[room]:
+                    tree.mark(room, False)
+            deep = room // length
+            for n, each in ((min(open_, left // deep), deep), (1, left % deep)):
+                if not each or not n or not open_:
+                    continue
+                for k in range(each):
+                    out.append((length, rank, n, first, capacity - room + k * length))
+                    rank += n
+                put(room - each * length, first, n)
+                first, open_, left = first + n, open_ - n, left - n * each
+            if first > sequences:
+                sequences = first
+            elif open_:
+                put(room, first, open_)
     return out
 
 
