@@ -19,7 +19,8 @@ from opalgrid.llm.queries import vocabulary
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is 0.3 or more. The model is learned from the labelled rows of the whole table."""
     model = quality.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return quality.with_score(docs, model, name="_score").where(F.col("_score") >= quality.KEPT_FROM).select(docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    return quality.with_score(rows, model).where(F.col("score") >= quality.KEPT_FROM).select("_row.*")
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
