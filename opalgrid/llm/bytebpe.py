@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opalgrid.llm.common import pieces_of, text_of
+from opalgrid.llm.common import claim, pieces_of, text_of
 from opalgrid.llm.wordcache import IdCache, gathered, summed
 
 # Symbols: a blank, other white space, a letter, a number, anything else, an apostrophe before a contraction's one or two
@@ -290,9 +290,15 @@ class Vocabulary:
         return gathered(self.flat, self.ends[ids] - sizes, sizes).tobytes(), np.cumsum(sizes) - sizes
 
 
-@cache
 def vocabulary(path: str) -> Vocabulary:
-    """The vocabulary of this worker process from a file of lines `base64 rank`."""
+    """The vocabulary of this worker process, which keeps its cache from task to task."""
+    claim(f"vocabulary {path}", _vocabulary.cache_clear)
+    return _vocabulary(path)
+
+
+@cache
+def _vocabulary(path: str) -> Vocabulary:
+    """The vocabulary of a file of lines `base64 rank`."""
     with open(path, "rb") as lines:
         return Vocabulary({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)})
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from bisect import bisect_right
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -87,6 +87,18 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, clear: Callable[[], None] | None = None) -> None:
+    """Called by an operator as it begins in a worker process: the caches of other operators there are emptied, so that
+    workers that serve one operator after the other hold one cache at a time. clear empties the owner's own, later."""
+    for name in [n for n in _caches if n != owner]:
+        _caches.pop(name)()
+    if clear:
+        _caches[owner] = clear
+
+
 def pieces_of(sizes: Sequence[int], most: int) -> Iterator[slice]:
     """Consecutive slices of rows whose sizes sum to most at the most; a larger row stands alone."""
     begin = total = 0

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opalgrid.llm.common import text_of
+from opalgrid.llm.common import claim, text_of
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -34,6 +34,7 @@ def fitted(rows: DataFrame, fit: Callable[[pd.DataFrame], Any]) -> Any:
     """fit(rows) in one task, for samples of a fixed size; the model comes back pickled."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("fit")
         parts = list(batches)
         if parts:
             yield pd.DataFrame({"model": [pickle.dumps(fit(pd.concat(parts, ignore_index=True)))]})

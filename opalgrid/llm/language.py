@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opalgrid.llm.common import cut, pieces_of, text_of
+from opalgrid.llm.common import claim, cut, pieces_of, text_of
 from opalgrid.llm.fitting import fitted
 
 #: Rows that the trigram model is fitted on, its buckets, and characters of each of them that it looks at.
@@ -81,8 +81,10 @@ def fit(rows: pd.DataFrame) -> Model:
 def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "doc_id", most: int = MOST) -> Model:
     """A trigram model fitted on `most` rows with a language, drawn by a hash of their key and text."""
     rows = docs.where(F.col(lang).isNotNull()).select(text_of(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.xxhash64(key, F.length(text_of(text))).alias("h"))
-    spread = rows.where(F.length("text") > 0).orderBy("h").limit(most)
-    return fitted(spread.select("text", "lang"), fit)
+    some = rows.where(F.length("text") > 0)
+    # Hashes alone are ordered; texts are read for those below the last of them only, and once for each hash.
+    last = some.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    return fitted(some.where(F.col("h") <= F.lit(last)).dropDuplicates(["h"]).select("text", "lang"), fit)
 
 
 def likelihoods(model: Model, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -105,6 +107,7 @@ def with_text(rows: DataFrame, model: Model, *, text: str = "text") -> DataFrame
 
     @F.pandas_udf("struct<lik: array<double>, letters: long>")
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        claim("language")
         for part in parts:
             lik, letters = likelihoods(shared.value, part.tolist())
             yield pd.DataFrame({"lik": list(lik), "letters": letters})

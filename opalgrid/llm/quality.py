@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opalgrid.llm.common import text_of
+from opalgrid.llm.common import claim, text_of
 from opalgrid.llm.fitting import fitted, held_out, sample
 
 #: Labelled documents that are learned from; bins of a feature, and of one in a pair; rounds and rate of the boosting.
@@ -185,6 +185,7 @@ def with_score(docs: DataFrame, model: Model, *, text: str = "text", name: str =
 
     @F.pandas_udf("double")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        claim("quality")
         for t in texts:
             yield pd.Series(shared.value.scores(features(t.tolist())))
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opalgrid.llm.common import text_of
+from opalgrid.llm.common import claim, text_of
 from opalgrid.llm.fitting import fitted, held_out, sample
 
 #: Labelled documents that are learned from, terms that are kept, examples of a block, neighbours that vote.
@@ -169,6 +169,7 @@ def scored(docs: DataFrame, index: Index, *, text: str = "text", key: str = "doc
     shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("toxicity")
         known = Known(shared.value.number)
         for batch in batches:
             got = [score(shared.value, t, known) for t in batch["text"]]

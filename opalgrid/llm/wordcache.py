@@ -15,6 +15,8 @@ from itertools import chain
 
 import numpy as np
 
+from opalgrid.llm.common import claim
+
 #: A blank whose left neighbour is white space and whose right one is too, or the end: runs of white space are one token then.
 _RUN = re.compile(r"\s (?!\S)")
 #: Characters that str.split() cuts at, though the Unicode property White_Space does not hold them.
@@ -118,8 +120,9 @@ class Encoder:
         self.model.encode_special_tokens = True
         self.model.normalizer = self.model.pre_tokenizer = None
         self.blanks_matter = blanks_matter
-        self.words = IdCache(self._encode)
-        self.chunks = IdCache(self._put_together)
+        # A new word costs a call of the library, a new chunk of known parts only a look-up of these.
+        self.words = IdCache(self._encode, most=400_000)
+        self.chunks = IdCache(self._put_together, most=200_000)
 
     def _plain(self, word: str) -> str | None:
         """The byte characters of a word of letters only (and a blank before it, where blanks matter), else None."""
@@ -199,6 +202,7 @@ _encoders: dict[tuple[str, bool], Encoder] = {}
 def encoder(path: str, *, blanks_matter: bool) -> Callable[[Sequence[str]], tuple[np.ndarray, np.ndarray]]:
     """The encoder of this worker process for a vocabulary file; its cache outlives a task."""
     key = (path, blanks_matter)
+    claim(f"encoder {path}", _encoders.clear)
     if key not in _encoders:
         _encoders[key] = Encoder(path, blanks_matter=blanks_matter)
     return _encoders[key]
