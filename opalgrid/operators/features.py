@@ -122,7 +122,9 @@ def background(masks: DataFrame, planes: DataFrame) -> DataFrame:
 
 def pearson(pairs: DataFrame) -> DataFrame:
     """Correlation of two channels and slope of the second on the first; null without spread."""
-    return pairs.groupBy(*KEYS).agg(F.nanvl(F.corr("v0", "v1"), F.lit(None)).alias("pearson"), F.regr_slope("v1", "v0").alias("slope"))
+    cov = F.covar_pop("v0", "v1")
+    r = F.try_divide(cov, F.stddev_pop("v0") * F.stddev_pop("v1"))
+    return pairs.groupBy(*KEYS).agg(r.alias("pearson"), F.try_divide(cov, F.var_pop("v0")).alias("slope"))
 
 
 def manders_fold(pairs: DataFrame, share: float = 0.15) -> DataFrame:
@@ -301,7 +303,8 @@ def shape_metrics(masks: DataFrame) -> DataFrame:
 def convolved(image: np.ndarray, kernel: np.ndarray) -> np.ndarray:
     """Same-size convolution with zeros around, by Fourier transforms."""
     shape = [a + b - 1 for a, b in zip(image.shape, kernel.shape, strict=True)]
-    out = np.fft.irfftn(np.fft.rfftn(image, shape) * np.fft.rfftn(kernel, shape), shape)
+    axes = tuple(range(image.ndim))
+    out = np.fft.irfftn(np.fft.rfftn(image, shape, axes) * np.fft.rfftn(kernel, shape, axes), shape, axes)
     return out[tuple(slice((k - 1) // 2, (k - 1) // 2 + n) for k, n in zip(kernel.shape, image.shape, strict=True))]
 
 
