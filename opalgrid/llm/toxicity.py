@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and their first four to six letters. Those kept are significant for the label in the sample, by the
-likelihood-ratio test; so a vector holds what matters and the index stays small. A text's k nearest examples vote with
+Terms are words and their first four to six letters. Those kept speak for the label in the sample, significantly
+by the likelihood-ratio test; so a vector holds what matters and the index stays small. A text's k nearest examples vote with
 weights that fall with distance, and the share of the labels among similar texts pulls thin votes towards it.
 """
 
@@ -47,11 +47,13 @@ class Known(dict):
     def __init__(self, number: dict[str, int]) -> None:
         super().__init__()
         self.number = number
+        self.beginnings = {t.rstrip("-")[:4] for t in number}
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
         if len(self) > 400_000:
             self.clear()
-        found = tuple(self.number[t] for t in terms.__wrapped__(chunk) if t in self.number)
+        words = (chunk,) if chunk.isalpha() else _WORD.findall(chunk)
+        found = tuple(self.number[t] for w in words if w[:4] in self.beginnings for t in terms(w) if t in self.number)
         self[chunk] = found
         return found
 
@@ -106,12 +108,23 @@ class Index:
 def fit(rows: pd.DataFrame, *, kept: int = TERMS, least_g: float = LEAST_G, least_df: int = LEAST_DF) -> Index:
     """An index of the examples id, text, y. Without rows, or of one class, it has no terms and one score."""
     n, y = len(rows), rows["y"].to_numpy(np.int64) if len(rows) else np.empty(0, np.int64)
-    df, pos = Counter(), Counter()
-    texts = [Counter(x for c in t.lower().split() for x in terms(c)) for t in rows["text"]]
-    for bag, label in zip(texts, y, strict=True):
-        df.update(bag.keys())
+    texts = rows["text"].tolist()
+    # Terms are counted by a hash first; only those that may be frequent enough are then counted as such.
+    some, df, pos = np.zeros(1 << 22, np.int32), Counter(), Counter()
+    place = some.size - 1
+
+    def own(text: str) -> set[str]:
+        return {x for c in set(text.lower().split()) for x in terms(c)}
+
+    for t in texts:
+        bag = own(t)
+        np.add.at(some, np.fromiter((hash(x) & place for x in bag), np.int64, len(bag)), 1)
+    often = some >= least_df
+    for t, label in zip(texts, y, strict=True):
+        bag = [x for x in own(t) if often[hash(x) & place]]
+        df.update(bag)
         if label:
-            pos.update(bag.keys())
+            pos.update(bag)
     names = [t for t, c in df.items() if c >= least_df]
     d = np.array([df[t] for t in names], float)
     p = np.array([pos[t] for t in names], float)
@@ -120,11 +133,13 @@ def fit(rows: pd.DataFrame, *, kept: int = TERMS, least_g: float = LEAST_G, leas
     for seen, expected in ((p, d * total), (d - p, d * (n - total)), (total - p, (n - d) * total), (n - d - total + p, (n - d) * (n - total))):
         with np.errstate(divide="ignore", invalid="ignore"):
             g += np.where(seen > 0, 2 * seen * np.log(seen * n / expected), 0)
-    chosen = sorted((i for i in range(len(names)) if g[i] >= least_g), key=lambda i: (-g[i], names[i]))[:kept]
+    speaks = (g >= least_g) & (p * n > d * total)
+    chosen = sorted(np.flatnonzero(speaks).tolist(), key=lambda i: (-g[i], names[i]))[:kept]
     number = {names[i]: k for k, i in enumerate(chosen)}
     idf = np.log1p(n / d[chosen]) if chosen else np.empty(0)
     index = Index(number, idf, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.zeros((len(idf), 1), np.int64), np.zeros((len(idf), 0)), (total + 0.5) / (n + 1), 0.0)
-    vectors = [index.vector([(number[t],) * c for t, c in bag.items() if t in number]) for bag in texts]
+    known = Known(number)
+    vectors = [index.vector(list(map(known.__getitem__, t.lower().split()))) for t in texts]
     empty = np.array([len(t) == 0 for t, _ in vectors], bool)
     index.share_without = float((y[empty].sum() + index.share) / (empty.sum() + 1))
     kept_rows = [i for i in range(n) if not empty[i]]
