@@ -82,11 +82,14 @@ query("a13_distance_map", f"SELECT {KEYS}, y, x, {r6('d', 'd')} FROM ({DISTANCE}
 query("a14_conical_volume", f"SELECT {KEYS}, {r6('4 * sum(d)', 'conical_volume')} FROM ({DISTANCE}) GROUP BY ALL")(lambda r: rounded(M.conical_volume(r.masks)))
 query("a15_min_maj_eccentricity_volume")(lambda r: rounded(M.shape_metrics(r.masks)))
 OUTSIDE = "SELECT f.* FROM flat f WHERE NOT EXISTS (SELECT 1 FROM masks m WHERE m.position = f.position AND m.tp = f.tp AND m.y = f.y AND m.x = f.x)"
+query("a16_eccentricity")(lambda r: rounded(M.shape_metrics(r.masks).select(*K, "eccentricity")))
+query("a17_volume")(lambda r: rounded(M.shape_metrics(r.masks).select(*K, "volume")))
 query("a18_background", f"SELECT position, tp, c, {r6('median(v)', 'background')} FROM ({OUTSIDE}) GROUP BY ALL")(lambda r: rounded(M.background(r.masks, M.reduce_z(r.pixels, "max")).drop("background_max5")))
 query("a19_background_max5", f"SELECT position, tp, c, {r6('avg(v)', 'background_max5')} FROM (SELECT *, row_number() OVER (PARTITION BY position, tp, c ORDER BY v DESC) AS k FROM ({OUTSIDE})) WHERE k <= 5 GROUP BY ALL")(
     lambda r: rounded(M.background(r.masks, M.reduce_z(r.pixels, "max")).drop("background"))
 )
 query("a20_localisation")(lambda r: rounded(M.localisation(r.objects)))
+query("a21_nuc_est_conv")(lambda r: rounded(M.localisation(r.objects).select(*K, "c", "nuc_est_conv")))
 query("a22_nuc_conv_3d")(lambda r: rounded(M.localisation_3d(r.masks, r.pixels)))
 for _fun, _sql in (("max", "max(value)"), ("add", "sum(value)"), ("mean", "avg(value)"), ("median", "median(value)"), ("div", "max(value) FILTER (z = 0) / nullif(max(value) FILTER (z = 1), 0)")):
     query(f"a23_reduce_z_{_fun}", f"SELECT position, tp, c, y, x, {r6(_sql, 'v')} FROM pixels GROUP BY ALL")(lambda r, f=_fun: rounded(M.reduce_z(r.pixels, f)))
@@ -140,6 +143,20 @@ def wide(r: Relations) -> DataFrame:
 
 query("a50_profile", PROFILE)(wide)
 query("u06_default_profile", PROFILE)(lambda r: rounded(P.profile(M.measure(r.masks, r.pixels, M.default_instructions([0, 1])), NAMES)))
+query("o06_metric_order", f"SELECT metric, CAST(row_number() OVER (ORDER BY metric) AS INT) AS place FROM (SELECT DISTINCT metric FROM ({MEASURED}))")(
+    lambda r: M.measure(r.masks, r.pixels, _TREE).select("metric").distinct().withColumn("place", F.row_number().over(Window.orderBy("metric")))  # one row for each metric
+)
+ALL = (("mean", "avg(v)"), ("total", "sum(v)"), ("total_squared", "sum(v * v)"), ("median", "median(v)"), ("std", "stddev_pop(v)"), ("min", "min(v)"), ("max", "max(v)"), ("lower_quartile", "quantile_cont(v, 0.25)"), ("upper_quartile", "quantile_cont(v, 0.75)"))
+query("u01_registry", f"SELECT {KEYS}, c, " + ", ".join(r6(f, n) for n, f in ALL) + f" FROM objects GROUP BY {KEYS}, c")(lambda r: rounded(M.pixel_metrics(r.objects, [n for n, _ in ALL])))
+
+
+@query("u07_missing_channels", "SELECT p.position, i.c FROM (SELECT DISTINCT position FROM pixels) p, (VALUES (0), (1), (5)) i(c) WHERE NOT EXISTS (SELECT 1 FROM pixels x WHERE x.position = p.position AND x.c = i.c)")
+def _(r: Relations) -> DataFrame:
+    """Channels that instructions need and a position does not have; the steps themselves are sound."""
+    if P.validated([{"name": "tile"}, {"name": "extract", "needs": ["tile"]}]):
+        raise ValueError("the steps do not fit each other")
+    need = r.spark.createDataFrame([(0,), (1,), (5,)], "c int")
+    return r.pixels.select("position").distinct().join(F.broadcast(need)).join(r.pixels.select("position", "c").distinct(), ["position", "c"], "left_anti")
 
 
 @query("s12_profile_sink", PROFILE)
