@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from bisect import bisect_right
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -72,10 +71,6 @@ def by_ranges(df: DataFrame, key: str, rows_each: int = 20_000) -> tuple[DataFra
     return keyed.withColumn("_range", place("_key")), bounds
 
 
-def range_of(bounds: Sequence[int], key: int) -> int:
-    return bisect_right(bounds, key)
-
-
 def dealt_by(df: DataFrame, n: int, column: str) -> DataFrame:
     """One partition for each value 0..n-1 of the int column."""
     if hasattr(df, "repartitionById"):

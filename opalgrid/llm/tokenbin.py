@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import struct
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from opalgrid.llm.common import NO_ID, by_ranges, dealt_by, pieces_of, text_of
-from opalgrid.llm.wordcache import encoder, gathered
+from opalgrid.llm.common import by_ranges, dealt_by, pieces_of, text_of
+from opalgrid.llm.wordcache import encoder
 
 MAGIC = b"OGT1"
 HEAD = struct.Struct("<4sIIQQ")
@@ -163,7 +162,7 @@ def write(docs: DataFrame, folder: str, path: str, *, text: str = "text", key: s
         if held:
             yield close()
 
-    # Equal sizes tell nothing about the width of an empty document: each has an end id, so n is never 0.
+    # Each document has an end id, so n is never 0 and tells the width of its ids.
     ordered = rows.sortWithinPartitions("_range", "_key", "ids")
     return ordered.mapInPandas(save, "file string, documents long, ids long, bytes long")
 
@@ -197,7 +196,3 @@ def with_starts(rows: DataFrame, files: DataFrame) -> DataFrame:
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     firsts = files.select("file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("_first"))
     return rows.join(firsts, "file").withColumn("start", F.col("_first") + F.col("at")).drop("_first", "at")
-
-
-def crc32_of(ids: bytes) -> int:
-    return zlib.crc32(ids)

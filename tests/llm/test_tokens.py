@@ -2,6 +2,7 @@
 
 import base64
 import bisect
+import functools
 import hashlib
 import random
 import uuid
@@ -30,23 +31,25 @@ def library(path):
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
-@pytest.fixture(scope="module")
-def reference():
+@functools.cache
+def public():
     with open(RANKS, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@pytest.fixture(scope="module")
+def reference():
+    return public()
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet=LETTERS, max_size=40), min_size=1, max_size=6))
 def test_byte_bpe_is_the_library_s(texts):
-    with open(RANKS, "rb") as lines:
-        ranks = test_byte_bpe_is_the_library_s.__dict__.setdefault("r", {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)})
-    en = test_byte_bpe_is_the_library_s.__dict__.setdefault("e", tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}))
     words = bytebpe.vocabulary(RANKS)
     flat, sizes = words.encode(texts)
     for text, ids in zip(texts, np.split(flat, np.cumsum(sizes)[:-1]), strict=True):
-        assert ids.tolist() == en.encode_ordinary(text)
+        assert ids.tolist() == public().encode_ordinary(text)
         back, offsets = words.decode(ids)
         assert back == text.encode()
         assert all(back[a:].startswith(words.bytes_of[i]) for a, i in zip(offsets, ids, strict=True))
