@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opalgrid.operators.graphs import components
@@ -160,32 +160,30 @@ def flattened_labels(masks: DataFrame) -> DataFrame:
 
 def mean_template(centre: DataFrame, pixels: DataFrame, half: int) -> DataFrame:
     """dy, dx, value: the mean over all crops around the centres (position, tp, y, x) that lie in the image whole."""
-    windows = centre.select("position", F.monotonically_increasing_id().alias("tile"), "tp", (F.col("y") - half).alias("y0"), (F.col("x") - half).alias("x0"), F.lit(2 * half + 1).alias("h"), F.lit(2 * half + 1).alias("w"))
+    windows = centre.select("position", F.xxhash64("position", "tp", "y", "x").alias("tile"), "tp", (F.col("y") - half).alias("y0"), (F.col("x") - half).alias("x0"), F.lit(2 * half + 1).alias("h"), F.lit(2 * half + 1).alias("w"))
     crops = window_pixels(windows, pixels)
     whole = crops.groupBy("position", "tile", "tp", "c", "z").agg(F.bool_and(F.col("value").isNotNull()).alias("ok")).where("ok")
     return crops.join(whole, ["position", "tile", "tp", "c", "z"], "left_semi").groupBy("dy", "dx").agg(F.avg("value").alias("value"))
 
 
 def local_maxima(planes: DataFrame, apart: int = 1, border: int = 0) -> DataFrame:
-    """Pixels (position, tp, c, y, x, v) that are the largest within `apart` and get no larger one taken near them; greedy,
-    from the largest on, per image."""
+    """Pixels (position, tp, c, y, x, v) that no other within `apart` (in either axis) exceeds, at least `border` from the
+    image's edges. Of equal ones that are near each other the first stays. One image is one group."""
 
     def pick(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["v", "y", "x"], ascending=[False, True, True])
         y, x = part["y"].to_numpy(), part["x"].to_numpy()
-        free = np.ones(len(part), bool)
-        high, wide = y.max(), x.max()
-        taken = []
-        for i in range(len(part)):
-            if free[i]:
-                free &= (np.abs(y - y[i]) > apart) | (np.abs(x - x[i]) > apart)
-                if min(y[i], x[i], high - y[i], wide - x[i]) >= border:
-                    taken.append(i)
-            else:
-                free[i] = False
-        return part.iloc[taken]
-
-    # Only pixels that are the largest of their own neighbourhood can be taken, or block one that is.
+        image = np.full((y.max() + 1 + 2 * apart, x.max() + 1 + 2 * apart), -np.inf)
+        image[y + apart, x + apart] = part["v"]
+        around = np.lib.stride_tricks.sliding_window_view(image, (2 * apart + 1, 2 * apart + 1)).max(axis=(2, 3))
+        edge = np.minimum.reduce([y, x, y.max() - y, x.max() - x])
+        best = part[(part["v"].to_numpy() >= around[y, x]) & (edge >= border)].sort_values(["v", "y", "x"], ascending=[False, True, True])
+        taken: list[int] = []
+        spots = best[["y", "x"]].to_numpy()
+        for i, spot in enumerate(spots):
+            if not taken or (np.abs(spots[taken] - spot).max(axis=1) > apart).all():
+                taken.append(i)
+        return best.iloc[taken]
+
     return planes.groupBy("position", "tp", "c").applyInPandas(pick, planes.schema)
 
 
@@ -202,10 +200,6 @@ def tile_sheet(pixels: DataFrame, height: int, width: int, columns: int, count:
     return rows.withColumns({"y": (F.col("y") % height).cast("int"), "x": (F.col("x") % width).cast("int")})
 
 
-def too_many_labels(masks: DataFrame, limit: int = 65_535) -> Column:
-    return F.max("label") >= limit
-
-
 def checked_labels(masks: DataFrame, limit: int = 65_535) -> DataFrame:
     """masks; an error when it is read, if a label reaches the limit of 16 bits."""
     over = F.when(F.col("label") >= limit, F.raise_error(F.lit("labels do not fit 16 bits"))).otherwise(F.col("label"))

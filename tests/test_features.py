@@ -170,3 +170,11 @@ def test_store_rejects_unknown_columns(spark):
     with pytest.raises(ValueError):
         profiles.append_checked(spark.range(1), profiles.new_folder(spark, "t"), {"id": "int"}, [])
     assert profiles.validated([{"name": "track_a", "needs": ["b"], "retain": 1, "save_interval": 0}]) and not profiles.validated([{"name": "a"}])
+
+
+def test_local_maxima(spark):
+    image = [[0, 0, 0, 0, 0], [0, 9, 5, 0, 0], [0, 0, 0, 0, 7], [0, 0, 0, 7, 0], [3, 0, 0, 0, 0]]
+    rows = [(1, 0, 0, y, x, float(v)) for y, line in enumerate(image) for x, v in enumerate(line)]
+    planes = spark.createDataFrame(rows, "position long, tp int, c int, y int, x int, v double").where("v > 0")
+    assert {(r.y, r.x) for r in blocks.local_maxima(planes).collect()} == {(1, 1), (2, 4), (4, 0)}
+    assert {(r.y, r.x) for r in blocks.local_maxima(planes, 1, 1).collect()} == {(1, 1), (3, 3)}
