@@ -88,12 +88,34 @@ _caches: dict[str, Callable[[], None]] = {}
 def claim(owner: str, clear: Callable[[], None] | None = None) -> None:
     """Called by an operator as it begins in a worker process: the caches of other operators there are emptied, so that
     workers that serve one operator after the other hold one cache at a time. clear empties the owner's own, later."""
-    for name in [n for n in _caches if n != owner]:
+    others = [n for n in _caches if n != owner]
+    for name in others:
         _caches.pop(name)()
+    if others:
+        give_back()
     if clear:
         _caches[owner] = clear
 
 
+def give_back() -> None:
+    """Returns memory that is free in this process to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Sets how many rows Spark hands to Python at once: texts are long, and a worker holds several copies of a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def pieces_of(sizes: Sequence[int], most: int) -> Iterator[slice]:
     """Consecutive slices of rows whose sizes sum to most at the most; a larger row stands alone."""
     begin = total = 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opalgrid.llm import bytebpe, fingerprint, language, neardup, neighbours, packing, quality, tokenbin, toxicity, warc
-from opalgrid.llm.common import cut, scratch, table
+from opalgrid.llm.common import cut, scratch, small_batches, table
 
 SQL: dict[str, str] = {}
 
@@ -105,7 +106,16 @@ def op10_posting_lists(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), "vec_id % 50 = 0")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def with_small_batches(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, folder)
+
+    return run
+
+
+_ALL = {
     "op1_quartile_digest": op1_quartile_digest,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_nearest_toxic": op3_nearest_toxic,
@@ -117,3 +127,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_weighted_minhash": op9_weighted_minhash,
     "op10_posting_lists": op10_posting_lists,
 }
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: with_small_batches(q) for k, q in _ALL.items()}

@@ -121,8 +121,8 @@ class Encoder:
         self.model.normalizer = self.model.pre_tokenizer = None
         self.blanks_matter = blanks_matter
         # A new word costs a call of the library, a new chunk of known parts only a look-up of these.
-        self.words = IdCache(self._encode, most=400_000)
-        self.chunks = IdCache(self._put_together, most=200_000)
+        self.words = IdCache(self._encode, most=300_000)
+        self.chunks = IdCache(self._put_together, most=150_000)
 
     def _plain(self, word: str) -> str | None:
         """The byte characters of a word of letters only (and a blank before it, where blanks matter), else None."""
