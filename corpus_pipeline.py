@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opalgrid.llm import language, neardup, packing, quality
-from opalgrid.llm.common import stored, table
+from opalgrid.llm.common import small_batches, stored, table
 from opalgrid.llm.queries import vocabulary
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is 0.3 or more. The model is learned from the labelled rows of the whole table."""
+    small_batches(spark)
     model = quality.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
     return quality.with_score(rows, model).where(F.col("score") >= quality.KEPT_FROM).select("_row.*")
@@ -25,17 +26,21 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the evidence settles; the source stands for the host."""
+    small_batches(spark)
     model = language.learn(table(spark, sf_dir, "documents"))
-    return language.identified(docs, model, host=F.col("source")).where("accepted").select(docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text", "source")
+    return language.identified(rows, model, host=F.col("source")).where("accepted").select("_row.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one of least doc_id."""
+    small_batches(spark)
     return neardup.deduplicated(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all documents' pieces in sequences of 4096 tokens."""
+    small_batches(spark)
     placed = packing.pack(docs, vocabulary("word_bpe_49k.json"))
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
