@@ -28,6 +28,8 @@ MOST, TERMS, BLOCK, NEIGHBOURS = 20_000, 2000, 64, 25
 LEAST_G, LEAST_DF = 24.0, 8
 #: Votes that the prior counts for.
 PRIOR = 0.5
+#: Lengths of the beginnings of words that are terms.
+BEGINNINGS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -37,7 +39,7 @@ def terms(chunk: str) -> tuple[str, ...]:
     out = []
     for w in _WORD.findall(chunk):
         out.append(w)
-        out += [w[:n] + "-" for n in (4, 5, 6) if len(w) > n]
+        out += [w[:n] + "-" for n in BEGINNINGS if len(w) > n]
     return tuple(out)
 
 
@@ -114,7 +116,8 @@ def fit(rows: pd.DataFrame, *, kept: int = TERMS, least_g: float = LEAST_G, leas
     place = some.size - 1
 
     def own(text: str) -> set[str]:
-        return {x for c in set(text.lower().split()) for x in terms(c)}
+        words = set(_WORD.findall(text.lower()))
+        return words.union(*({w[:n] + "-" for w in words if len(w) > n} for n in BEGINNINGS))
 
     for t in texts:
         bag = own(t)
