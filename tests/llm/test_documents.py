@@ -254,6 +254,15 @@ def test_near_duplicates_odd(odd, none):
     assert kept.count() == rows.select("class_id").distinct().count()
 
 
+def test_unlike_texts_with_one_key_stay_apart(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(40)) for w in "abcd"]
+    rows = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (5, texts[3]), (None, texts[0]), (9, texts[2])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(r.text for r in neardup.deduplicated(df).collect()) == Counter(texts)
+    sizes = Counter((r.doc_id, r.class_size) for r in neardup.classes(df).collect())
+    assert sizes == {(None, 2): 2, (None, 1): 1, (5, 2): 3, (9, 2): 1}
+
+
 def test_samples_follow_similarity():
     rng = np.random.default_rng(0)
     for share in (0.4, 0.8):
