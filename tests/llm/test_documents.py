@@ -263,6 +263,51 @@ def test_unlike_texts_with_one_key_stay_apart(spark):
     assert sizes == {(None, 2): 2, (None, 1): 1, (5, 2): 3, (9, 2): 1}
 
 
+def test_near_copies_of_a_text_that_many_rows_share(spark):
+    words = [f"w{i}" for i in range(100)]
+    swapped = lambda k, *at: " ".join(f"edit{k}x{i}" if i in at else w for i, w in enumerate(words))
+    others = [(1000 + i, " ".join(f"o{i}x{j}" for j in range(60))) for i in range(200)]
+    copies = [(i, " ".join(words)) for i in range(100)]
+    near = [(300 + k, swapped(k, 5 + k, 60 + k)) for k in range(30)]  # plain similarity to the text 0.81, to each other less
+    rows = spark.createDataFrame(copies + near + others, "doc_id long, text string")
+    found = {r.doc_id: (r.class_id, r.class_size) for r in neardup.classes(rows).collect()}
+    joined = [k for k, _ in near if found[k][0] == 0]
+    assert len(joined) >= 28  # a pair at 0.81 shares no band with probability 0.001
+    assert {found[k] for k, _ in copies} == {(0, 100 + len(joined))}
+    assert all(found[k] == (k, 1) for k, _ in others)
+
+
+def test_classes_by_weighted_or_plain_similarity(spark, docs):
+    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
+    sets = {t: common.shingles(t) for t in {t for _, t in rows}}
+    df = Counter(x for h, _ in sets.values() for x in h.tolist())
+    plain = {t: (h, n.astype(np.float32)) for t, (h, n) in sets.items()}
+    heavy = {t: (h, n * np.array([math.log1p(min(200, len(sets) / df[x])) for x in h.tolist()], np.float32)) for t, (h, n) in sets.items()}
+    top = {t: t for t in sets}
+
+    def find(t):
+        while top[t] != t:
+            t = top[t]
+        return t
+
+    texts = sorted(sets)
+    for i, a in enumerate(texts):
+        for b in texts[:i]:
+            if max(neardup.similarity(plain[a], plain[b]), neardup.similarity(heavy[a], heavy[b])) >= 0.8:
+                top[find(a)] = find(b)
+    least = {}
+    for k, t in rows:
+        least[find(t)] = min(k, least.get(find(t), k))
+    assert Counter((r.doc_id, r.class_id) for r in neardup.classes(docs).collect()) == Counter((k, least[find(t)]) for k, t in rows)
+
+
+def test_copies_count_once(spark):
+    rows = spark.createDataFrame([("a b c d e f",)] * 50 + [(f"q{i} r s t u v",) for i in range(300)], "text string")
+    known = dict(zip(*(x.tolist() for x in neardup.frequent(rows)), strict=True))
+    assert int(common.shingles("a b c d e")[0][0]) not in known
+    assert known[int(common.shingles("r s t u v")[0][0])] == pytest.approx(math.log1p(301 / 300), rel=1e-5)
+
+
 def test_samples_follow_similarity():
     rng = np.random.default_rng(0)
     for share in (0.4, 0.8):
