@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 from opalgrid.llm.common import cut
 from opalgrid.llm.fitting import fitted
 
-#: Vectors that the centroids are fitted on; vectors of a list on the mean; lists at the most.
-MOST, LIST_SIZE, LISTS = 20_000, 96, 16_384
+#: Vectors that the centroids are fitted on; vectors of a list on the mean; least number of those vectors for a centroid.
+MOST, LIST_SIZE, LEAST_EACH = 20_000, 96, 8
 #: Lists a vector is put into at the most, and how much farther than the nearest they may be.
 COPIES, BOUNDARY = 4, 1.12
-#: Lists a query reads at the most, and how much farther than the nearest they may be.
-PROBES, RATIO = 96, 1.35
+#: How much farther than the nearest the lists that a query reads may be, whatever their number; centroids that a walk to
+#: them looks at first.
+RATIO, WIDTH = 1.35, 96
 #: Vectors of a list in one task; a longer list is split.
 BLOCK = 4096
 #: Neighbours of a centroid in the graph, and entry points of a walk.
@@ -67,6 +68,20 @@ class Lists:
         order = np.argsort(apart, axis=1, kind="stable")[:, :width]
         return np.take_along_axis(ids, order, axis=1), np.sqrt(np.maximum(2 * np.take_along_axis(apart, order, axis=1), 0))
 
+    def within(self, x: np.ndarray, ratio: float, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) of all lists up to `ratio` times as far as the nearest. A walk whose last centroid is still within
+        the ratio is taken again, twice as wide."""
+        rows, lists, todo = [], [], np.arange(len(x))
+        while len(todo):
+            ids, apart = self.near(x[todo], width)
+            near = apart <= np.maximum(apart[:, :1] * ratio, 1e-9)
+            more = near[:, -1] & (ids.shape[1] < len(self.centroids))
+            r, c = np.nonzero(near & ~more[:, None])
+            rows.append(todo[r])
+            lists.append(ids[r, c])
+            todo, width = todo[more], 2 * width
+        return (np.concatenate(rows), np.concatenate(lists)) if rows else (np.empty(0, np.int64), np.empty(0, np.int64))
+
 
 def fit(rows: pd.DataFrame, lists: int, rounds: int = 8) -> Lists:
     """Balanced k-means over unit vectors: a centroid that holds more than its share seems farther away."""
@@ -113,7 +128,7 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def nearest(rows: DataFrame, is_query: str, k: int = 5, *, vector: str = "embedding", key: str = "vec_id", lists: int | None = None, probes: int = PROBES, ratio: float = RATIO) -> DataFrame:
+def nearest(rows: DataFrame, is_query: str, k: int = 5, *, vector: str = "embedding", key: str = "vec_id", lists: int | None = None, ratio: float = RATIO) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found of each row that meets the SQL condition is_query.
 
     Nearness is the cosine of the original vectors; ties go to the smaller id. A row is no neighbour of itself. Rows that
@@ -130,7 +145,7 @@ def nearest(rows: DataFrame, is_query: str, k: int = 5, *, vector: str = "embedd
 
     def learn(part: pd.DataFrame) -> Lists:
         units = _unit(np.array(part["vector"].tolist(), float))
-        return fit(pd.DataFrame({"unit": list(units)}), lists or max(1, min(LISTS, n // LIST_SIZE)))
+        return fit(pd.DataFrame({"unit": list(units)}), lists or max(1, min(MOST // LEAST_EACH, n // LIST_SIZE)))
 
     index = spark.sparkContext.broadcast(fitted(drawn, learn))
 
@@ -138,7 +153,7 @@ def nearest(rows: DataFrame, is_query: str, k: int = 5, *, vector: str = "embedd
         yield from _listed(batches, index.value, COPIES, BOUNDARY)
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _listed(batches, index.value, probes, ratio)
+        yield from _listed(batches, index.value, None, ratio)
 
     posted = entries.select("entry", "vector").mapInPandas(put, "list int, entry long, vector array<double>")
     wanted = cut(asking.join(entries.select("entry", F.col("vector").alias("v")), F.col("vector") == F.col("v")).select("query_id", "entry"))
@@ -172,12 +187,17 @@ def nearest(rows: DataFrame, is_query: str, k: int = 5, *, vector: str = "embedd
     return results.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", F.least("score", F.lit(1.0)).alias("score"))
 
 
-def _listed(batches: Iterator[pd.DataFrame], index: Lists, most: int, ratio: float) -> Iterator[pd.DataFrame]:
-    """A row for each list of each vector: the nearest one, and others up to `ratio` times as far."""
+def _listed(batches: Iterator[pd.DataFrame], index: Lists, most: int | None, ratio: float) -> Iterator[pd.DataFrame]:
+    """A row for each list of each vector: the nearest one, and others (`most` in all, None: any number) up to `ratio`
+    times as far."""
     for batch in batches:
-        for i in range(0, len(batch), 1000):
-            part = batch.iloc[i : i + 1000]
+        for i in range(0, len(batch), 1000 if most else 100):
+            part = batch.iloc[i : i + (1000 if most else 100)]
             x = _unit(np.array(part["vector"].tolist(), float))
-            ids, apart = index.near(x, most)
-            row, column = np.nonzero(apart <= np.maximum(apart[:, :1] * ratio, 1e-9))
-            yield pd.DataFrame({"list": ids[row, column].astype(np.int32), "entry": part["entry"].to_numpy(np.int64)[row], "vector": part["vector"].iloc[row].tolist()})
+            if most:
+                ids, apart = index.near(x, most)
+                row, column = np.nonzero(apart <= np.maximum(apart[:, :1] * ratio, 1e-9))
+                found = ids[row, column]
+            else:
+                row, found = index.within(x, ratio)
+            yield pd.DataFrame({"list": found.astype(np.int32), "entry": part["entry"].to_numpy(np.int64)[row], "vector": part["vector"].iloc[row].tolist()})

@@ -80,6 +80,35 @@ def test_walk_finds_the_nearest_centroids(spark):
     assert sizes.max() < 15
 
 
+def test_the_ratio_alone_selects_lists(spark):
+    import pandas as pd
+
+    x = np.random.default_rng(1).normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    lists = neighbours.fit(pd.DataFrame({"unit": list(x)}), 600)
+    true = np.sqrt(2 - 2 * x[:50] @ lists.centroids.T)
+    true = true <= true.min(axis=1, keepdims=True) * neighbours.RATIO
+    rows, found = lists.within(x[:50], neighbours.RATIO)
+    got = np.zeros_like(true)
+    got[rows, found] = True
+    assert true.sum(axis=1).max() > 96 and not (got & ~true).any()
+    assert got.sum() > 0.97 * true.sum()
+    assert len(rows) == got.sum()
+
+
+def test_recall_stays_as_vectors_grow(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(400, 24))
+    for n in (4_000, 16_000):
+        x = centres[rng.integers(0, 400, n)] + rng.normal(size=(n, 24))
+        rows = list(enumerate(x.tolist()))
+        expected = brute(rows, range(0, n, n // 40))
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        found = neighbours.nearest(df, f"vec_id % {n // 40} = 0").collect()
+        hits = sum(r.vec_id in dict(expected[r.query_id]) for r in found)
+        assert hits >= 0.9 * sum(map(len, expected.values())), n
+
+
 def test_few_and_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (50, [0.0, 1.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, None]), (8, [1.0, 1.0]), (None, [1.0, 0.0]), (9, [1.0]), (8, [1.0, 1.0]), (100, [nan, nan])]
