@@ -476,8 +476,9 @@ def _(r: Relations) -> DataFrame:
 @query("r02_tracked_stream")
 def _(r: Relations) -> DataFrame:
     source, out = P.new_folder(r.spark, "in"), P.new_folder(r.spark, "tracks")
-    r.masks.repartition(4, "tp").write.parquet(source)
-    S.run_to_table(S.tracked_stream(S.read_masks(r.spark, source, r.masks.schema, 100)), out, P.new_folder(r.spark, "state"))
+    marked = S.with_markers(r.masks, r.pixels, r.masks)
+    marked.repartition(4, "tp").write.parquet(source)
+    S.run_to_table(S.tracked_stream(S.read_masks(r.spark, source, marked.schema, 100)), out, P.new_folder(r.spark, "state"))
     return r.spark.read.schema(S.TRACKS).parquet(out)
 
 

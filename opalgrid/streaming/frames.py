@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 #: A tile's links are those of overlap_links; its state is the last frame's pixels with their tracks, and frames that came
 #: before the one that is due.
 STATE = "last_tp int, y array<int>, x array<int>, track array<int>, most int, early_tp array<int>, early_y array<int>, early_x array<int>, early_label array<int>"
+#: y, x and label of a marker row in the state.
+NOTHING = -1
 TRACKS = "position long, tile int, tp int, label int, track int"
 
 
@@ -80,9 +82,19 @@ def tracked(masks: DataFrame, least: float = 0.25) -> DataFrame:
     return masks.groupBy("position", "tile").applyInPandas(run, TRACKS)
 
 
+def with_markers(masks: DataFrame, pixels: DataFrame, tiles: DataFrame) -> DataFrame:
+    """masks and, for each tile (position, tile) and each tp of its position's pixels, a row without y, x and label. It says
+    that the frame has come, also if it is empty."""
+    marks = pixels.select("position", "tp").distinct().join(tiles.select("position", "tile").distinct(), "position")
+    none = F.lit(None).cast("int")
+    marks = marks.withColumns({"y": none, "x": none, "label": none})
+    return masks.select("position", "tile", "tp", "y", "x", "label").unionByName(marks)
+
+
 def tracked_stream(stream: DataFrame, first_tp: int = 0, least: float = 0.25) -> DataFrame:
     """The same over a stream, with state for each tile. A frame waits until all before it have come (from first_tp on);
-    a frame that comes again is skipped."""
+    a frame that comes again is skipped. Rows without label are markers (see with_markers): a frame of which only the marker
+    has come is empty and holds nothing up."""
 
     def run(key: tuple, parts: Iterator[pd.DataFrame], state: Any) -> Iterator[pd.DataFrame]:
         if state.exists:
@@ -91,14 +103,16 @@ def tracked_stream(stream: DataFrame, first_tp: int = 0, least: float = 0.25) ->
             early = pd.DataFrame({"tp": et, "y": ey, "x": ex, "label": el})
         else:
             last, early = {"tp": first_tp - 1, "pixels": {}, "most": 0}, pd.DataFrame({"tp": [], "y": [], "x": [], "label": []})
-        rows = pd.concat([early, *[p[["tp", "y", "x", "label"]] for p in parts]]).astype(int)
+        rows = pd.concat([early, *[p[["tp", "y", "x", "label"]] for p in parts]]).fillna(NOTHING).astype(int)
         rows = rows[rows["tp"] > last["tp"]].drop_duplicates()
         frames = {int(t): f for t, f in rows.groupby("tp")}
         due = {}
         while last["tp"] + 1 + len(due) in frames:
             due[last["tp"] + 1 + len(due)] = frames[last["tp"] + 1 + len(due)]
+        due = {t: f[f["label"] != NOTHING] for t, f in due.items()}
         for out in follow(due, last, least):
-            yield out.assign(position=key[0], tile=key[1])[["position", "tile", "tp", "label", "track"]]
+            if len(out):
+                yield out.assign(position=key[0], tile=key[1])[["position", "tile", "tp", "label", "track"]]
         rest = rows[~rows["tp"].isin(due)]
         where = list(last["pixels"])
         state.update((last["tp"], [p[0] for p in where], [p[1] for p in where], [last["pixels"][p] for p in where], last["most"], rest["tp"].tolist(), rest["y"].tolist(), rest["x"].tolist(), rest["label"].tolist()))
