@@ -227,7 +227,7 @@ def radial_distribution(objects: DataFrame, bins: int = 4) -> DataFrame:
     return rings.select(*KEYS, "c", "ring", share.alias("frac_at_d"), F.try_divide(share, F.col("n") / F.sum("n").over(w)).alias("mean_frac"), "radial_cv")
 
 
-def zernike(objects: DataFrame, degree: int = 4, value: Column | None = None) -> DataFrame:
+def zernike(objects: DataFrame, degree: int = 9, value: Column | None = None) -> DataFrame:
     """Magnitudes of the Zernike moments up to a degree, on the circle about the centroid that encloses the object. With
     value, weighted by it (radial moments of a channel); without, of the mask."""
     w = Window.partitionBy(*KEYS, "c")
