@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -19,11 +20,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
+    """The folder that driver and executors share. A temporary one serves only where all run on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         kept = spark.sparkContext._jsc.sc().getCheckpointDir()
         if kept.isEmpty():
+            master = spark.sparkContext.master
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
             kept = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = kept.get()
@@ -43,6 +47,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forgotten(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes tables of stored(), which must not be read again, and has the driver drop what nothing refers to any longer:
+    Spark deletes shuffle files and checkpoints only when it collects its garbage."""
+    from pyarrow import fs
+
+    for name in {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()}:
+        store, path = fs.FileSystem.from_uri(name)
+        store.delete_dir(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+class Rows:
+    """While it is open, Spark hands so many rows at once to Python: for rows that are large."""
+
+    NAME = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def __init__(self, spark: SparkSession, rows: int) -> None:
+        self.spark, self.rows = spark, rows
+
+    def __enter__(self) -> None:
+        self.before = self.spark.conf.get(self.NAME)
+        self.spark.conf.set(self.NAME, str(self.rows))
+
+    def __exit__(self, *_: object) -> None:
+        self.spark.conf.set(self.NAME, self.before)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -100,7 +132,6 @@ def claim(owner: str, clear: Callable[[], None] | None = None) -> None:
 def give_back() -> None:
     """Returns memory that is free in this process to the system."""
     import ctypes
-    import gc
 
     import pyarrow as pa
 

@@ -186,44 +186,40 @@ def test_language_odd(odd, none, docs):
 
 
 def brute_classes(docs):
-    """class of each (doc_id, text) by all pairs of weighted Jaccard similarity 0.8 or more."""
+    """(doc_id, class) by all pairs of different texts that share a shingle: alike by TF-IDF weights or by plain counts."""
     rows = [(-(2**63) if d.doc_id is None else d.doc_id, d.text or "") for d in docs.collect()]
+    texts = sorted({t for _, t in rows})
     bags = []
-    for _, t in rows:
+    for t in texts:
         w = t.lower().split()
         n = min(5, len(w))
         bags.append(Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) if n else Counter())
     df = Counter(x for b in bags for x in b)
-    weights = [{x: c * math.log1p(min(200, len(rows) / df[x])) for x, c in b.items()} for b in bags]
+    idf = {x: math.log1p(len(texts) / n) for x, n in df.items()}
     holders = defaultdict(list)
-    for i, w in enumerate(weights):
-        for x in w:
+    for i, b in enumerate(bags):
+        for x in b:
             holders[x].append(i)
-    top = list(range(len(rows)))
+    top = list(range(len(texts)))
 
     def find(a):
         while top[a] != a:
             a = top[a]
         return a
 
-    same = defaultdict(list)
-    for i, (_, t) in enumerate(rows):
-        same[t].append(i)
-    links = [(v[0], j) for v in same.values() for j in v[1:]]
-    total = [sum(w.values()) for w in weights]
-    for i, w in enumerate(weights):
-        shared = Counter()
-        for x, v in w.items():
-            for j in holders[x]:
-                if j < i:
-                    shared[j] += min(v, weights[j][x])
-        links += [(i, j) for j, v in shared.items() if v / (total[i] + total[j] - v) >= 0.8]
-    for a, b in links:
-        top[find(a)] = find(b)
+    def alike(a, b, weight):
+        both = {x: weight(x) for x in a.keys() | b.keys()}
+        return sum(min(a[x], b[x]) * w for x, w in both.items()) / sum(max(a[x], b[x]) * w for x, w in both.items()) >= 0.8
+
+    for i, b in enumerate(bags):
+        for j in {j for x in b for j in holders[x] if j < i}:
+            if alike(b, bags[j], lambda _: 1.0) or alike(b, bags[j], idf.__getitem__):
+                top[find(i)] = find(j)
+    of = {t: find(i) for i, t in enumerate(texts)}
     least = {}
-    for i, (k, _) in enumerate(rows):
-        least[find(i)] = min(least.get(find(i), k), k)
-    return Counter((k, least[find(i)]) for i, (k, _) in enumerate(rows))
+    for k, t in rows:
+        least[of[t]] = min(least.get(of[t], k), k)
+    return Counter((k, least[of[t]]) for k, t in rows)
 
 
 def real(x):
@@ -251,7 +247,7 @@ def test_near_duplicates_odd(odd, none):
     assert neardup.classes(none).count() == 0 and neardup.deduplicated(none).count() == 0
     kept = neardup.deduplicated(odd)
     assert kept.columns == odd.columns and kept.where("_key <> '_key' OR _node <> '_node'").count() == 0
-    assert kept.count() == rows.select("class_id").distinct().count()
+    assert kept.count() == rows.select("_label").distinct().count()
 
 
 def test_unlike_texts_with_one_key_stay_apart(spark):
@@ -277,35 +273,65 @@ def test_near_copies_of_a_text_that_many_rows_share(spark):
     assert all(found[k] == (k, 1) for k, _ in others)
 
 
-def test_classes_by_weighted_or_plain_similarity(spark, docs):
-    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
-    sets = {t: common.shingles(t) for t in {t for _, t in rows}}
-    df = Counter(x for h, _ in sets.values() for x in h.tolist())
-    plain = {t: (h, n.astype(np.float32)) for t, (h, n) in sets.items()}
-    heavy = {t: (h, n * np.array([math.log1p(min(200, len(sets) / df[x])) for x in h.tolist()], np.float32)) for t, (h, n) in sets.items()}
-    top = {t: t for t in sets}
-
-    def find(t):
-        while top[t] != t:
-            t = top[t]
-        return t
-
-    texts = sorted(sets)
-    for i, a in enumerate(texts):
-        for b in texts[:i]:
-            if max(neardup.similarity(plain[a], plain[b]), neardup.similarity(heavy[a], heavy[b])) >= 0.8:
-                top[find(a)] = find(b)
-    least = {}
-    for k, t in rows:
-        least[find(t)] = min(k, least.get(find(t), k))
-    assert Counter((r.doc_id, r.class_id) for r in neardup.classes(docs).collect()) == Counter((k, least[find(t)]) for k, t in rows)
+def test_classes_of_the_given_documents(spark, docs):
+    assert Counter((r.doc_id, r.class_id) for r in neardup.classes(docs).collect()) == brute_classes(docs)
 
 
-def test_copies_count_once(spark):
-    rows = spark.createDataFrame([("a b c d e f",)] * 50 + [(f"q{i} r s t u v",) for i in range(300)], "text string")
-    known = dict(zip(*(x.tolist() for x in neardup.frequent(rows)), strict=True))
-    assert int(common.shingles("a b c d e")[0][0]) not in known
-    assert known[int(common.shingles("r s t u v")[0][0])] == pytest.approx(math.log1p(301 / 300), rel=1e-5)
+def test_links_that_no_centre_shows(spark):
+    """Versions of one text, each changed from the one before: the ends are unlike the middle, yet all are one class."""
+    words, rows = [f"w{i}" for i in range(120)], []
+    for k in range(24):
+        rows.append((k, " ".join(words)))
+        words[5 * k] = f"v{k}"
+    for k in range(30):  # and copies that are alike to the first version only, or to none
+        own = [f"w{i}" for i in range(120)]
+        for j in range(2 + k % 5):
+            own[(11 * k + 23 * j) % 120] = f"x{k}y{j}"
+        rows.append((100 + k, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Counter((r.doc_id, r.class_id) for r in neardup.classes(docs).collect())
+    assert found == brute_classes(docs)
+    assert len({c for k, c in found if k < 24}) == 1 < len({c for _, c in found})
+
+
+def test_differences_bound_similarity():
+    """Whatever is alike to b though the centre is not, shares one of the keys of compared()."""
+    rng = np.random.default_rng(1)
+    df, met = rng.integers(2, 50, 30_000).astype(float), 0
+    for _ in range(300):
+        base = np.sort(rng.choice(10_000, 100, replace=False).astype(np.uint64))
+
+        def edited(s, n, rng=rng):
+            kept = s[np.sort(rng.permutation(len(s))[n:])]
+            return np.union1d(kept, rng.choice(10_000, n, replace=False).astype(np.uint64) + np.uint64(10_000))
+
+        b = edited(base, int(rng.integers(5, 40)))
+        y = edited(b, int(rng.integers(0, 8))) if rng.random() < 0.7 else edited(base, int(rng.integers(0, 12)))
+        c, b, y = ((s, np.ones(len(s)), df[s.astype(int)]) for s in (base, b, y))
+        (sb, near_b, far_b), (sy, near_y, far_y) = (neardup.compared(c, x, 60, 0.8) for x in (b, y))
+        if neardup.compared(b, y, 60, 0.8)[0] >= 0.8 and min(sb, sy) < 0.8:
+            met += 1
+            mine, other = (set(near_b) | (set(far_b) if sy >= 0.8 else set()), set(near_y) | (set(far_y) if sb >= 0.8 else set()))
+            assert mine & other
+    assert met > 30
+
+
+def test_document_frequencies_are_exact(spark):
+    """Copies count once; a shingle that many texts hold, in several batches, is counted over all of them."""
+    texts = [f"a b c d e {i} x{i} y{i} z{i}" for i in range(300)] + [f"p q r s t {i}" for i in range(4)] + ["p q r s t 1"] * 9 + ["", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    rows = neardup._texts(docs, "text", "doc_id")
+    batches = neardup._batches(neardup._once(rows, rows.groupBy("_node").agg(F.count("*").alias("n"))))
+    assert batches.count() > 1
+    signed = {bytes(r["_node"]): r for r in neardup._signed(batches, neardup._frequencies(batches), 305).collect()}
+    assert len(signed) == 305
+    every = [t or "" for t in texts]
+    df = Counter(x for t in set(every) for h, _ in neardup.sets([t]) for x in h.tolist())
+    for t in every:
+        r = signed[hashlib.md5(t.encode()).digest()]
+        (h, _), = neardup.sets([t])
+        assert neardup.restored(r.df).tolist() == [df[x] for x in h.tolist()]
+        assert len(r.bands) == (0 if not t else 24)  # all hold a shingle that others hold too
 
 
 def test_samples_follow_similarity():
@@ -319,21 +345,11 @@ def test_samples_follow_similarity():
             h2 = np.sort(np.concatenate([h[m], rng.integers(0, 2**63, int((~m).sum())).astype(np.uint64)]))
             kept = dict(zip(h, w, strict=True))
             w2 = np.array([kept.get(x, 5.3) * (1 if rng.random() < 0.9 else 2) for x in h2], np.float32)
-            seen.append((neardup.samples(h, w) == neardup.samples(h2, w2)).mean())
+            seen.append((neardup.samples(h, w)[0] == neardup.samples(h2, w2)[0]).mean())
             true.append(neardup.similarity((h, w), (h2, w2)))
         assert abs(np.mean(seen) - np.mean(true)) < 0.04
 
 
-def test_frequent_shingles_are_counted_exactly(spark):
-    texts = [f"a b c d e {i} x{i} y{i} z{i}" for i in range(300)] + [f"p q r s t {i}" for i in range(4)]
-    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
-    h, idf = neardup.frequent(rows)
-    known = dict(zip(h.tolist(), idf.tolist(), strict=True))
-    one = common.shingles("a b c d e")[0][0]
-    assert known[int(one)] == pytest.approx(math.log1p(304 / 300), rel=1e-5)
-    assert int(common.shingles("p q r s t")[0][0]) in known and len(known) < 20
-
-
 # Pipeline
 
 
