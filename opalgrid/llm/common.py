@@ -124,6 +124,7 @@ def claim(owner: str, clear: Callable[[], None] | None = None) -> None:
     for name in others:
         _caches.pop(name)()
     if others:
+        _powers.clear()
         give_back()
     if clear:
         _caches[owner] = clear
@@ -187,15 +188,20 @@ def _power(base: int, n: int) -> np.ndarray:
     return kept[:n]
 
 
-def word_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+#: Which bytes words consist of: all beyond the blank, or ASCII letters and digits and what is not ASCII.
+VISIBLE = np.arange(256) > 32
+LETTERS = np.array([b > 127 or chr(b).isalnum() for b in range(256)])
+
+
+def word_hashes(texts: Sequence[str], of: np.ndarray = VISIBLE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the lower-cased words of all texts, one after the other, and the number of words of each text.
 
-    Words are runs of characters beyond the blank; a word's hash is a polynomial over its bytes, taken from prefix sums.
+    Words are runs of bytes that `of` holds; a word's hash is a polynomial over its bytes, taken from prefix sums.
     """
     raw = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
     stops = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)
     b = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
-    inside = b > 32
+    inside = of[b]
     before = np.concatenate([[False], inside[:-1]])
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(before & ~inside)
     sums = np.zeros(len(b) + 1, np.uint64)

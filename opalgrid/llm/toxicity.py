@@ -1,17 +1,15 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and their first four to six letters. Those kept speak for the label in the sample, significantly
-by the likelihood-ratio test; so a vector holds what matters and the index stays small. A text's k nearest examples vote with
-weights that fall with distance, and the share of the labels among similar texts pulls thin votes towards it.
+All terms of the sample count; none is left out, and a vector's length is that of the whole text, words that the sample
+lacks included. Rare words of the subject would hide the few that the label turns on, so a term's inverse document
+frequency is raised by how far the likelihood-ratio test ties the term to either label. The nearest examples vote with
+weights that fall with distance; the label's share pulls thin votes towards it.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import lru_cache
 from typing import Any
 
 import numpy as np
@@ -19,178 +17,229 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opalgrid.llm.common import claim, text_of
+from opalgrid.llm.common import LETTERS, claim, pieces_of, text_of, word_hashes
 from opalgrid.llm.fitting import fitted, held_out, sample
 
-#: Labelled documents that are learned from, terms that are kept, examples of a block, neighbours that vote.
-MOST, TERMS, BLOCK, NEIGHBOURS = 20_000, 2000, 64, 25
-#: Least statistic (one in a million by chance) and least number of examples with the term.
-LEAST_G, LEAST_DF = 24.0, 8
+#: Labelled documents that are learned from, neighbours that vote, blocks of examples, terms whose weights lie in a matrix.
+MOST, NEIGHBOURS, BLOCKS, COMMON = 20_000, 25, 32, 256
+#: Share of the blocks that are visited first, for a bound on the rest.
+FIRST = 4
+#: The statistic that chance passes once in a million terms, and what each further one of it adds to a term's weight.
+BY_CHANCE, RAISED = 24.0, 3.0
 #: Votes that the prior counts for.
 PRIOR = 0.5
-#: Lengths of the beginnings of words that are terms.
-BEGINNINGS = (4, 5, 6)
-_WORD = re.compile(r"[^\W\d_]+")
+#: Characters, and texts, that are looked at together.
+CHARACTERS, TEXTS = 300_000, 64
 
+Bag = tuple[np.ndarray, np.ndarray]
 
-@lru_cache(maxsize=50_000)
-def terms(chunk: str) -> tuple[str, ...]:
-    """Words of a lower-case chunk, and the beginnings of the longer ones, marked by a hyphen."""
-    out = []
-    for w in _WORD.findall(chunk):
-        out.append(w)
-        out += [w[:n] + "-" for n in BEGINNINGS if len(w) > n]
-    return tuple(out)
 
+def bags(texts: Sequence[str]) -> Iterator[Bag]:
+    """For each text the hashes of its different words, ascending, and their counts."""
+    for s in pieces_of([len(t) for t in texts], CHARACTERS):
+        w, counts = word_hashes(texts[s], LETTERS)
+        for own in np.split(w, np.cumsum(counts)[:-1]):
+            yield np.unique(own, return_counts=True)
 
-class Known(dict):
-    """Chunk -> numbers of its kept terms; emptied when full."""
 
-    def __init__(self, number: dict[str, int]) -> None:
-        super().__init__()
-        self.number = number
-        self.beginnings = {t.rstrip("-")[:4] for t in number}
-
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        if len(self) > 400_000:
-            self.clear()
-        words = (chunk,) if chunk.isalpha() else _WORD.findall(chunk)
-        found = tuple(self.number[t] for w in words if w[:4] in self.beginnings for t in terms(w) if t in self.number)
-        self[chunk] = found
-        return found
+def runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all slices starts[i] : starts[i] + sizes[i], one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 @dataclass
 class Index:
-    """Posting lists by term over examples in blocks, with the largest weight of each (term, block)."""
+    """Examples in blocks. The most common terms are columns of a matrix; each other term has a posting list, cut where
+    blocks end, with the largest weight of each cut."""
 
-    number: dict[str, int]
-    idf: np.ndarray
+    terms: np.ndarray  # hashes, ascending
+    factor: np.ndarray  # inverse document frequency, raised
+    unknown: float  # the same of a word that no example has
     ids: np.ndarray
     labels: np.ndarray
-    docs: np.ndarray = field(repr=False)
-    weights: np.ndarray = field(repr=False)
-    begins: np.ndarray = field(repr=False)  # (terms, blocks + 1): where each block's postings begin
-    most: np.ndarray = field(repr=False)  # (terms, blocks)
     share: float
-    share_without: float
-
-    def vector(self, chunks: Sequence[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and weights, of length one, of a text given as its chunks' terms."""
-        flat = [t for c in chunks if c for t in c]
-        if not flat:
-            return np.empty(0, np.int64), np.empty(0)
-        t, n = np.unique(np.array(flat, np.int64), return_counts=True)
-        w = (1 + np.log(n)) * self.idf[t]
-        return t, w / np.sqrt((w * w).sum())
-
-    def nearest(self, t: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine and the cosines; ties to the smaller id. Examples without a common term never
-        count. Blocks are visited by their upper bounds, until no bound reaches the k-th cosine found."""
-        bound = w @ self.most[t]
-        order = np.argsort(-bound, kind="stable")
-        found, cosines, least = np.empty(0, np.int64), np.empty(0), 0.0
-        for b in order:
-            if bound[b] <= 0 or bound[b] < least - 1e-12:
-                break
-            sums = np.zeros(BLOCK)
-            for q, x in zip(t, w, strict=True):
-                s = slice(self.begins[q, b], self.begins[q, b + 1])
-                sums[self.docs[s] - b * BLOCK] += x * self.weights[s]
-            hit = np.flatnonzero(sums > 0)
-            found, cosines = np.concatenate([found, hit + b * BLOCK]), np.concatenate([cosines, sums[hit]])
-            if len(found) > k:
-                best = np.lexsort((self.ids[found], -np.round(cosines, 12)))[:k]
-                found, cosines = found[best], cosines[best]
-                least = cosines.min()
-        best = np.lexsort((self.ids[found], -np.round(cosines, 12)))
-        return found[best], np.minimum(cosines[best], 1.0)
-
-
-def fit(rows: pd.DataFrame, *, kept: int = TERMS, least_g: float = LEAST_G, least_df: int = LEAST_DF) -> Index:
-    """An index of the examples id, text, y. Without rows, or of one class, it has no terms and one score."""
-    n, y = len(rows), rows["y"].to_numpy(np.int64) if len(rows) else np.empty(0, np.int64)
-    texts = rows["text"].tolist()
-    # Terms are counted by a hash first; only those that may be frequent enough are then counted as such.
-    some, df, pos = np.zeros(1 << 22, np.int32), Counter(), Counter()
-    place = some.size - 1
-
-    def own(text: str) -> set[str]:
-        words = set(_WORD.findall(text.lower()))
-        return words.union(*({w[:n] + "-" for w in words if len(w) > n} for n in BEGINNINGS))
-
-    for t in texts:
-        bag = own(t)
-        np.add.at(some, np.fromiter((hash(x) & place for x in bag), np.int64, len(bag)), 1)
-    often = some >= least_df
-    for t, label in zip(texts, y, strict=True):
-        bag = [x for x in own(t) if often[hash(x) & place]]
-        df.update(bag)
-        if label:
-            pos.update(bag)
-    names = [t for t, c in df.items() if c >= least_df]
-    d = np.array([df[t] for t in names], float)
-    p = np.array([pos[t] for t in names], float)
-    g = np.zeros(len(names))
-    total = float(y.sum())
-    for seen, expected in ((p, d * total), (d - p, d * (n - total)), (total - p, (n - d) * total), (n - d - total + p, (n - d) * (n - total))):
+    blocks: np.ndarray  # (blocks + 1): where each block's examples begin
+    column: np.ndarray = field(repr=False)  # of a common term, else -1
+    common: np.ndarray = field(repr=False)  # (common terms, examples)
+    common_most: np.ndarray = field(repr=False)  # (common terms, blocks)
+    postings: np.ndarray = field(repr=False)  # example and weight (32 bits each, side by side), by term and example
+    cuts: np.ndarray = field(repr=False)  # (terms + 1): where each term's cuts begin
+    cut_block: np.ndarray = field(repr=False)
+    cut_begin: np.ndarray = field(repr=False)  # (cuts + 1): where each cut's postings begin
+    cut_most: np.ndarray = field(repr=False)
+
+    def vector(self, bag: Bag) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the known terms, and their weights in a vector of length one over all of the text's words."""
+        h, n = bag
+        if not len(h):
+            return np.empty(0, np.int64), np.empty(0, np.float32)
+        at = np.searchsorted(self.terms, h)
+        known = at < len(self.terms)
+        known[known] = self.terms[at[known]] == h[known]
+        w = (1 + np.log(n)) * self.unknown
+        w[known] *= self.factor[at[known]] / self.unknown
+        return at[known], (w[known] / np.sqrt((w * w).sum())).astype(np.float32)
+
+    def nearest(self, queries: Sequence[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the k examples of largest cosine, and the cosines; ties to the smaller id.
+
+        Examples without a common term never count. The blocks of the largest bounds are searched first; of the others,
+        those whose bound reaches the k-th cosine found.
+        """
+        n, blocks = len(self.ids), len(self.blocks) - 1
+        dense = np.zeros((len(queries), len(self.common)), np.float32)
+        for i, (t, w) in enumerate(queries):
+            c = self.column[t]
+            dense[i, c[c >= 0]] = w[c >= 0]
+        sums, bounds = dense @ self.common, dense @ self.common_most
+        sizes = np.diff(self.blocks)
+        for (t, w), own, bound in zip(queries, sums, bounds, strict=True):
+            rest = self.column[t] < 0
+            first, count = self.cuts[t[rest]], self.cuts[t[rest] + 1] - self.cuts[t[rest]]
+            at, x = runs(first, count), np.repeat(w[rest].astype(float), count)
+            block = self.cut_block[at]
+            bound = bound + np.bincount(block, x * self.cut_most[at], minlength=blocks)
+            order, done, least = np.argsort(-bound, kind="stable"), 0, 0.0
+            found, cosines = np.empty(0, np.int64), np.empty(0)
+            for upto in (max(1, blocks // FIRST), blocks):
+                now = np.zeros(blocks, bool)
+                now[order[done:upto]] = True
+                now &= (bound > 0) & (bound >= least - 1e-5)
+                done = upto
+                if not now.any():
+                    continue
+                some = now[block]
+                begin, size = self.cut_begin[at[some]], (self.cut_begin[at[some] + 1] - self.cut_begin[at[some]])
+                p = self.postings[runs(begin, size)].view(np.int32).reshape(-1, 2)
+                scores = own + np.bincount(p[:, 0], np.repeat(x[some], size) * p[:, 1].view(np.float32), minlength=n)
+                scores[~np.repeat(now, sizes)] = 0
+                hit = np.flatnonzero(scores > max(1e-7, least - 1e-6))
+                found, cosines = np.concatenate([found, hit]), np.concatenate([cosines, scores[hit]])
+                if len(found) > k:
+                    least = np.partition(cosines, len(cosines) - k)[len(cosines) - k]
+            kept = cosines >= least - 1e-6
+            found, cosines = found[kept], np.minimum(np.round(cosines[kept], 6), 1.0)
+            best = np.lexsort((self.ids[found], -cosines))[:k]
+            yield found[best], cosines[best]
+
+
+def _relevance(df: np.ndarray, pos: np.ndarray, n: int, total: int) -> np.ndarray:
+    """The likelihood-ratio statistic of each term and the label: df examples hold it, pos of them labelled 1."""
+    g = np.zeros(len(df))
+    cells = ((pos, df * total), (df - pos, df * (n - total)), (total - pos, (n - df) * total), (n - df - total + pos, (n - df) * (n - total)))
+    for seen, expected in cells:
         with np.errstate(divide="ignore", invalid="ignore"):
             g += np.where(seen > 0, 2 * seen * np.log(seen * n / expected), 0)
-    speaks = (g >= least_g) & (p * n > d * total)
-    chosen = sorted(np.flatnonzero(speaks).tolist(), key=lambda i: (-g[i], names[i]))[:kept]
-    number = {names[i]: k for k, i in enumerate(chosen)}
-    idf = np.log1p(n / d[chosen]) if chosen else np.empty(0)
-    index = Index(number, idf, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.zeros((len(idf), 1), np.int64), np.zeros((len(idf), 0)), (total + 0.5) / (n + 1), 0.0)
-    known = Known(number)
-    vectors = [index.vector(list(map(known.__getitem__, t.lower().split()))) for t in texts]
-    empty = np.array([len(t) == 0 for t, _ in vectors], bool)
-    index.share_without = float((y[empty].sum() + index.share) / (empty.sum() + 1))
-    kept_rows = [i for i in range(n) if not empty[i]]
-    # Examples with the same strongest term lie together, which makes the bounds of blocks tight.
-    kept_rows.sort(key=lambda i: (int(vectors[i][0][vectors[i][1].argmax()]), len(vectors[i][0]), int(rows["id"].iloc[i])))
-    blocks = -(-len(kept_rows) // BLOCK)
-    t = np.concatenate([vectors[i][0] for i in kept_rows]) if kept_rows else np.empty(0, np.int64)
-    w = np.concatenate([vectors[i][1] for i in kept_rows]) if kept_rows else np.empty(0)
-    doc = np.repeat(np.arange(len(kept_rows)), [len(vectors[i][0]) for i in kept_rows]) if kept_rows else np.empty(0, np.int64)
+    return g
+
+
+def _clusters(vectors: np.ndarray, groups: int = BLOCKS // 4, rounds: int = 8) -> np.ndarray:
+    """A group for each row: spherical k-means from seeds that lie far from each other, the same at each run."""
+    if not len(vectors):
+        return np.empty(0, np.int64)
+    unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+    seeds = [0]
+    near = unit @ unit[0]
+    for _ in range(min(groups, len(unit)) - 1):
+        seeds.append(int(near.argmin()))
+        near = np.maximum(near, unit @ unit[seeds[-1]])
+    centres = unit[seeds]
+    for _ in range(rounds):
+        own = (unit @ centres.T).argmax(axis=1)
+        sums = np.array([unit[own == k].sum(axis=0) for k in range(len(centres))])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    return (unit @ centres.T).argmax(axis=1)
+
+
+def fit(rows: pd.DataFrame) -> Index:
+    """An index of the examples id, y, h, n (a bag of words, as bytes). Without rows it has one score, one half."""
+    rows = rows.sort_values("id", kind="stable")
+    n, y = len(rows), rows["y"].to_numpy(np.int64)
+    h = [np.frombuffer(b, np.uint64) for b in rows["h"]]
+    counts = np.concatenate([np.empty(0, np.uint32), *(np.frombuffer(b, np.uint32) for b in rows["n"])])
+    terms, t = np.unique(np.concatenate([np.empty(0, np.uint64), *h]), return_inverse=True)
+    doc = np.repeat(np.arange(n), [len(x) for x in h])
+    df, total = np.bincount(t, minlength=len(terms)).astype(float), int(y.sum())
+    g = _relevance(df, np.bincount(t, weights=y[doc], minlength=len(terms)), n, total)
+    factor = np.log1p(n / np.maximum(df, 1)) * (1 + RAISED * np.maximum(0, g / BY_CHANCE - 1))
+    w = (1 + np.log(counts)) * factor[t]
+    w = w / np.sqrt(np.bincount(doc, w * w, minlength=n))[doc] if n else w
+    column = np.full(len(terms), -1)
+    frequent = np.argsort(-df, kind="stable")[:COMMON]
+    column[frequent] = np.arange(len(frequent))
+    dense = column[t] >= 0
+    common = np.zeros((len(frequent), n), np.float32)
+    common[column[t[dense]], doc[dense]] = w[dense]
+    # Examples that share common terms (of one language), and the strongest term, lie together: blocks get tight bounds.
+    order = np.lexsort((-np.where(df[t] >= n / 200, w, 0), doc))
+    heads = np.searchsorted(doc[order], np.arange(n)) if len(doc) else np.zeros(n, np.int64)
+    has = np.bincount(doc, minlength=n) > 0
+    strongest = np.full(n, len(terms))
+    strongest[has] = t[order[heads[has]]]
+    by_term = np.lexsort((np.arange(n), strongest, _clusters(common.T)))
+    place = np.empty(n, np.int64)
+    place[by_term] = np.arange(n)
+    doc, common = place[doc], np.ascontiguousarray(common[:, by_term])
+    each = -(-max(n, 1) // BLOCKS)
+    blocks = -(-n // each)
+    common_most = np.zeros((len(frequent), blocks), np.float32)
+    np.maximum.at(common_most, (column[t[dense]], doc[dense] // each), w[dense].astype(np.float32))
+    t, doc, w = t[~dense], doc[~dense], w[~dense].astype(np.float32)
     order = np.lexsort((doc, t))
-    t, w, doc = t[order], w[order], doc[order]
-    index.ids, index.labels = rows["id"].to_numpy(np.int64)[kept_rows], y[kept_rows]
-    index.docs, index.weights = doc, w
-    places = np.arange(len(idf))[:, None] * (blocks + 1) + np.arange(blocks + 1)
-    index.begins = np.searchsorted(t * (blocks + 1) + doc // BLOCK, places)
-    index.most = np.zeros((len(idf), blocks))
-    np.maximum.at(index.most, (t, doc // BLOCK), w)
-    return index
-
-
-def score(index: Index, text: str, known: Known) -> tuple[float, list[dict[str, Any]]]:
-    """Score of a text and its nearest examples. Without kept terms: the share of the label among such examples."""
-    t, w = index.vector(list(map(known.__getitem__, text.lower().split())))
-    if not len(t):
-        return index.share_without, []
-    found, cosines = index.nearest(t, w)
+    t, doc, w = t[order], doc[order].astype(np.int32), w[order]
+    postings = np.stack([doc, w.view(np.int32)], axis=1).reshape(-1).view(np.int64)
+    new = np.flatnonzero(np.diff(t, prepend=-1).astype(bool) | np.diff(doc // each, prepend=-1).astype(bool))
+    most = np.maximum.reduceat(w, new) if len(new) else np.empty(0, np.float32)
+    return Index(
+        terms, factor, float(np.log1p(n)) or 1.0, rows["id"].to_numpy(np.int64)[by_term], y[by_term], (total + 0.5) / (n + 1), np.minimum(np.arange(blocks + 1) * each, n), column, common, common_most,
+        postings, np.searchsorted(t[new], np.arange(len(terms) + 1)), (doc[new] // each).astype(np.int16), np.append(new, len(t)).astype(np.int64), most,
+    )
+
+
+def score(index: Index, found: np.ndarray, cosines: np.ndarray) -> tuple[float, list[dict[str, Any]]]:
+    """Score by the nearest examples, and the three nearest. Without any: the share of the label."""
     votes = cosines**2 / (1.1 - cosines)
     p = (float((votes * index.labels[found]).sum()) + PRIOR * index.share) / (float(votes.sum()) + PRIOR)
-    best = [{"id": int(index.ids[i]), "cosine": float(c), "label": int(index.labels[i])} for i, c in zip(found[:3], cosines, strict=False)]
-    return p, best
+    return p, [{"id": int(index.ids[i]), "cosine": float(c), "label": int(index.labels[i])} for i, c in zip(found[:3], cosines, strict=False)]
+
+
+def scores(index: Index, texts: Sequence[str]) -> Iterator[tuple[float, list[dict[str, Any]]]]:
+    for at in range(0, len(texts), TEXTS):
+        vectors = [index.vector(b) for b in bags(texts[at : at + TEXTS])]
+        for found, cosines in index.nearest(vectors):
+            yield score(index, found, cosines)
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """id, y, h, n: the bags of words of rows id, text, y."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("toxicity")
+        for batch in batches:
+            got = list(bags(batch["text"].tolist()))
+            yield pd.DataFrame({"id": batch["id"], "y": batch["y"], "h": [h.tobytes() for h, _ in got], "n": [n.astype(np.uint32).tobytes() for _, n in got]})
+
+    return rows.mapInPandas(run, "id long, y int, h binary, n binary")
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", most: int = MOST, text: str = "text", key: str = "doc_id") -> Index:
-    return fitted(sample(docs, labels, label, most, text=text, key=key), fit)
+    return fitted(counted(sample(docs, labels, label, most, text=text, key=key)), fit)
 
 
 def scored(docs: DataFrame, index: Index, *, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (the three nearest examples) of each whole text, and nothing else.
 
-    Null and empty texts score as texts without kept terms; repeated rows each give a row.
+    Null and empty texts, and texts of unknown words, have no nearest examples and score the label's share in the sample.
+    Texts of any length are taken whole. Repeated rows each give a row; equal texts score the same. Ties between examples
+    go to the smaller id. Other columns are not read, so their names cannot clash.
     """
     shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         claim("toxicity")
-        known = Known(shared.value.number)
         for batch in batches:
-            got = [score(shared.value, t, known) for t in batch["text"]]
+            got = list(scores(shared.value, batch["text"].tolist()))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": [x[0] for x in got], "predicted": [int(x[0] >= 0.5) for x in got], "evidence": [x[1] for x in got]})
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), held_out(key).alias("held_out"), text_of(text).alias("text"))
