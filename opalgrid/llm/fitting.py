@@ -21,13 +21,15 @@ def held_out(key: str = "doc_id") -> Column:
 def sample(docs: DataFrame, labels: DataFrame, label: str, most: int, *, text: str = "text", key: str = "doc_id") -> DataFrame:
     """id, text, y of at most `most` labelled documents that are not held out, the same ones at each run.
 
-    The ids are drawn by a hash; a document with several labels counts by its largest.
+    The ids are drawn by a hash; a document with several labels counts by its largest, and of several texts of one id the
+    one of least hash counts.
     """
     usable = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(key))
     one = usable.groupBy(F.col(key).cast("long").alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
     drawn = one.orderBy(F.xxhash64("id"), "id").limit(most)
     texts = docs.select(F.col(key).cast("long").alias("id"), text_of(text).alias("text"))
-    return texts.join(F.broadcast(drawn), "id").dropDuplicates(["id"])  # `most` rows of 12 bytes are broadcast
+    found = texts.join(F.broadcast(drawn), "id")  # `most` rows of 12 bytes are broadcast
+    return found.groupBy("id").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"), F.max("y").alias("y"))
 
 
 def fitted(rows: DataFrame, fit: Callable[[pd.DataFrame], Any]) -> Any:

@@ -34,11 +34,11 @@ LEAST, LETTERS = 0.5, 2
 class Model:
     languages: list[str]
     table: np.ndarray  # (BUCKETS, languages): log likelihoods
-    letters: np.ndarray  # which code points below 0x3000 are letters
+    letters: np.ndarray  # which code points are letters
 
 
 def _letters() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(0x3000)])
+    return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
 def _trigrams(texts: Sequence[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,7 +51,7 @@ def _trigrams(texts: Sequence[str], letters: np.ndarray) -> tuple[np.ndarray, np
         joined = " \n".join(["", *(t.replace("\n", " ") for t in texts)]).lower() + " "
         p = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         owner = np.cumsum(p == 10)
-    is_letter = np.where(p < 0x3000, letters[np.minimum(p, 0x2FFF)], True)
+    is_letter = letters[p]
     keep = is_letter.copy()
     keep[1:] |= is_letter[:-1]  # the first of a run of others
     q, own = np.where(is_letter, p, 32)[keep].astype(np.uint32), owner[keep]
@@ -179,8 +179,9 @@ def identified(rows: DataFrame, model: Model, *, text: str = "text", host: Colum
     """rows with lang_found, probability, text_lang (what the text alone says) and accepted; all other columns stay.
 
     Rejected, with lang_found null: texts with fewer than two letters, and texts whose best language is less probable than
-    one half. Missing evidence counts for nothing; a null text is empty. Two passes over the texts: one for the
-    priors, one for the result.
+    one half. Missing evidence counts for nothing; a null text is empty. Ties between languages go to the one that comes
+    first by name. Repeated rows each count and each give a row; texts of any length are taken whole. Two passes over the
+    texts: one for the priors, one for the result.
     """
     n = len(model.languages)
     if not n:
@@ -211,5 +212,5 @@ def page_parts(pages: DataFrame, *, html: str = "html", url: str = "url") -> Dat
     """pages with text (markup taken away), host, domain (its last two labels), declared (markup language), suffix."""
     bare = F.regexp_replace(text_of(html), r"(?is)<(script|style|nav)\b.*?</\1>|<!--.*?-->|<[^>]*>", " ")
     host = F.nullif(F.lower(F.regexp_extract(text_of(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
-    said = F.nullif(F.lower(F.regexp_extract(text_of(html), r"(?i)<html[^>]*\blang=[\"']?([a-z]{2})", 1)), F.lit(""))
+    said = F.nullif(F.lower(F.regexp_extract(text_of(html), r"(?i)<html[^>]*\blang=[\"']?([a-z]{2,8})\b", 1)), F.lit(""))
     return pages.withColumns({"text": bare, "host": host, "declared": said}).withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})

@@ -18,10 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opalgrid.llm.common import cut, pieces_of, ranked, text_of
-from opalgrid.llm.wordcache import encoder
+from opalgrid.llm.wordcache import WORDS, encoder
 
 CAPACITY = 4096
 END_ID = 1
+#: Characters that are encoded together.
+CHARACTERS = 500_000
 
 
 class RoomTree:
@@ -98,7 +100,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return out
 
 
-def pieces(docs: DataFrame, path: str, *, text: str = "text", key: str = "doc_id", end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, path: str, *, text: str = "text", key: str = "doc_id", end_id: int = END_ID, capacity: int = CAPACITY, words: int = WORDS) -> DataFrame:
     """Tokenised pieces of whole documents: key, piece, start, length, ids (little-endian unsigned 32-bit), ids_crc32.
 
     Null texts count as empty; an empty document is one piece, the end id. Documents over the capacity are cut into
@@ -106,10 +108,10 @@ def pieces(docs: DataFrame, path: str, *, text: str = "text", key: str = "doc_id
     """
 
     def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path, blanks_matter=False)
+        encode = encoder(path, blanks_matter=False, words=words)
         for batch in batches:
             texts = batch["text"].tolist()
-            for s in pieces_of([len(t) for t in texts], 2_000_000):
+            for s in pieces_of([len(t) for t in texts], CHARACTERS):
                 flat, sizes = encode(texts[s])
                 rows, begin = [], 0
                 for doc, n in zip(batch["key"].iloc[s], sizes, strict=True):
@@ -137,18 +139,20 @@ def best_fit(pieces: DataFrame, *, key: str = "doc_id", capacity: int = CAPACITY
     placed = spark.createDataFrame(rows, "length long, first_rank long, ranks long, first_sequence long, offset long")
     steps = placed.groupBy("length").agg(F.sort_array(F.collect_list(F.struct("first_rank", "first_sequence", "offset"))).alias("steps"))
     salts = max(16, sum(sizes.values()) // 20_000)
-    numbered = ranked(pieces, ["length"], [F.col(key), F.col("piece")], "_rank", salts)
+    sized = pieces.withColumn("_length", F.coalesce("length", F.lit(0)))  # a null is no key to join on
+    numbered = ranked(sized, ["_length"], [F.col(key), F.col("piece")], "_rank", salts)
     # At most `capacity` rows, by the check in plan().
-    found = numbered.join(F.broadcast(steps), "length", "left")
+    found = numbered.join(F.broadcast(steps.withColumnRenamed("length", "_length")), "_length", "left")
     step = F.element_at(F.filter("steps", lambda s: s["first_rank"] <= F.col("_rank")), -1)
     return found.withColumn("_step", step).withColumns(
         {"sequence_id": F.col("_step.first_sequence") + F.col("_rank") - F.col("_step.first_rank"), "offset": F.col("_step.offset")}
-    ).drop("_step", "steps", "_rank")
+    ).drop("_step", "steps", "_rank", "_length")
 
 
-def pack(docs: DataFrame, path: str, *, text: str = "text", key: str = "doc_id", end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
-    """Places of all pieces of the documents, without their ids: key, piece, start, length, ids_crc32, sequence_id, offset."""
-    return best_fit(cut(pieces(docs, path, text=text, key=key, end_id=end_id, capacity=capacity).drop("ids")), key=key, capacity=capacity)
+def pack(docs: DataFrame, path: str, *, text: str = "text", key: str = "doc_id", end_id: int = END_ID, capacity: int = CAPACITY, words: int = WORDS) -> DataFrame:
+    """Places of all pieces of the documents, without their ids: key, piece, start, length, ids_crc32, sequence_id, offset.
+    words: how many a worker keeps the ids of."""
+    return best_fit(cut(pieces(docs, path, text=text, key=key, end_id=end_id, capacity=capacity, words=words).drop("ids")), key=key, capacity=capacity)
 
 
 def sequences(placed: DataFrame) -> DataFrame:

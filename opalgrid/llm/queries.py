@@ -49,22 +49,22 @@ def op4_language_evidence(spark: SparkSession, folder: str) -> DataFrame:
     return rows.unionByName(of_pages.select(none.cast("long").alias("doc_id"), "page_id", "host", "declared", *found))
 
 
-def replica(rows: DataFrame) -> DataFrame:
-    """A copy of archive records with damage: some records with a changed byte, some cut, some missing."""
+def with_damage(rows: DataFrame) -> DataFrame:
+    """Archive records with what a damaged copy holds in their place: some with a changed byte, some cut, some missing."""
     n = F.coalesce(F.col("page_id"), F.lit(0))
     changed = F.concat(F.substring("record", 1, 20), F.lit("~").cast("binary"), F.expr("substring(record, 22)"))
     short = F.expr("substring(record, 1, octet_length(record) - 9)")
-    return rows.withColumn("record", F.when(n % 97 == 13, changed).when(n % 211 == 17, short).otherwise(F.col("record")))
+    copy = F.when(n % 307 == 19, None).when(n % 97 == 13, changed).when(n % 211 == 17, short).otherwise(F.col("record"))
+    return rows.withColumn("copy_length", F.octet_length(copy).cast("long")).withColumn("copy_digest", F.sha2(copy, 256))
 
 
 def op5_merkle_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Damage found between archive files of all pages and a replica of them with damage of known places."""
-    rows = warc.records(table(spark, folder, "pages"))
-    leaves = warc.cut(warc.leaves(rows))
-    copied = warc.leaves(replica(rows)).withColumnRenamed("offset", "_moved")
-    # Damage leaves records where they are: the replica keeps the offsets of the original.
-    kept = copied.drop("_moved").join(leaves.select("file", "page_id", "offset"), ["file", "page_id"]).where("page_id % 307 <> 19")
-    return warc.audit(leaves, kept.select("file", "offset", "length", "page_id", "digest"))
+    rows = with_damage(warc.records(table(spark, folder, "pages")))
+    both = cut(warc.leaves(rows, beside=["copy_length", "copy_digest"]))
+    # Damage leaves records where they are: the replica has the offsets of the original.
+    copied = both.where("copy_digest IS NOT NULL").select("file", "offset", F.col("copy_length").alias("length"), "page_id", F.col("copy_digest").alias("digest"))
+    return warc.audit(both.select("file", "offset", "length", "page_id", "digest"), copied)
 
 
 _RECORD = """

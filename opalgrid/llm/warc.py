@@ -38,14 +38,24 @@ def records(pages: DataFrame, *, key: str = "page_id", url: str = "url", html: s
     return pages.select(file.alias("file"), number.alias("page_id"), F.col(url).cast("string").alias("url"), record.alias("record"))
 
 
-def leaves(rows: DataFrame, *, record: str = "record") -> DataFrame:
+def leaves(rows: DataFrame, *, record: str = "record", beside: list[str] | None = None) -> DataFrame:
     """file, offset, length, page_id, digest: the records hashed in place, each at the sum of the lengths before it.
 
-    Only digests and lengths are shuffled. Needs the columns file and page_id beside the record.
+    Needs the columns file and page_id beside the record; columns named by `beside` are kept. Only digests and lengths are
+    shuffled. Lengths are summed within parts of a file (records of one page, by the digest's beginning) and then over the
+    parts, and equal records are placed together, so no task holds a file, or all copies of a page.
     """
-    hashed = rows.select("file", "page_id", F.octet_length(record).cast("long").alias("length"), F.sha2(record, 256).alias("digest"))
-    before = Window.partitionBy("file").orderBy(F.col("page_id").asc_nulls_first(), "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return hashed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    kept = beside or []
+    hashed = rows.select("file", "page_id", F.octet_length(record).cast("long").alias("length"), F.sha2(record, 256).alias("digest"), *kept)
+    part = ["file", "page_id", "_part"]
+    once = hashed.groupBy("file", "page_id", "length", "digest", *kept).agg(F.count("*").alias("_n")).withColumn("_part", F.substring("digest", 1, 2))
+    sums = once.groupBy(*part).agg(F.sum(F.col("length") * F.col("_n")).alias("_sum"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sums.withColumn("_first", F.coalesce(F.sum("_sum").over(before(Window.partitionBy("file").orderBy(F.col("page_id").asc_nulls_first(), "_part"))), F.lit(0))).drop("_sum")
+    own = F.coalesce(F.sum(F.col("length") * F.col("_n")).over(before(Window.partitionBy(*part).orderBy("digest", *kept))), F.lit(0))
+    placed = once.withColumn("_own", own).alias("o").join(firsts.alias("f"), [F.col(f"o.{c}").eqNullSafe(F.col(f"f.{c}")) for c in part])
+    copies = placed.select("o.file", "o.page_id", "o.length", "o.digest", *[f"o.{c}" for c in kept], (F.col("_first") + F.col("_own")).alias("_at"), F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_k"))
+    return copies.select("file", "page_id", "length", "digest", *kept, (F.col("_at") + F.col("_k") * F.col("length")).alias("offset"))
 
 
 def node(level: int) -> Column:

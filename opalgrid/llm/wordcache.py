@@ -36,6 +36,8 @@ def _byte_chars() -> dict[int, str]:
 
 
 _BYTE_CHARS = _byte_chars()
+#: Words that a worker keeps the ids of; half as many chunks.
+WORDS = 500_000
 
 
 class IdCache(dict):
@@ -109,7 +111,7 @@ class IdCache(dict):
 class Encoder:
     """texts -> one flat array of ids and the number of ids of each text."""
 
-    def __init__(self, path: str, *, blanks_matter: bool) -> None:
+    def __init__(self, path: str, *, blanks_matter: bool, words: int = WORDS) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -121,8 +123,8 @@ class Encoder:
         self.model.normalizer = self.model.pre_tokenizer = None
         self.blanks_matter = blanks_matter
         # A new word costs a call of the library, a new chunk of known parts only a look-up of these.
-        self.words = IdCache(self._encode, most=300_000)
-        self.chunks = IdCache(self._put_together, most=150_000)
+        self.words = IdCache(self._encode, most=words)
+        self.chunks = IdCache(self._put_together, most=words // 2)
 
     def _plain(self, word: str) -> str | None:
         """The byte characters of a word of letters only (and a blank before it, where blanks matter), else None."""
@@ -196,13 +198,13 @@ def summed(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return sums[ends] - sums[ends - counts]
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[tuple[str, bool, int], Encoder] = {}
 
 
-def encoder(path: str, *, blanks_matter: bool) -> Callable[[Sequence[str]], tuple[np.ndarray, np.ndarray]]:
+def encoder(path: str, *, blanks_matter: bool, words: int = WORDS) -> Callable[[Sequence[str]], tuple[np.ndarray, np.ndarray]]:
     """The encoder of this worker process for a vocabulary file; its cache outlives a task."""
-    key = (path, blanks_matter)
-    claim(f"encoder {path}", _encoders.clear)
+    key = (path, blanks_matter, words)
+    claim(f"encoder {key}", _encoders.clear)
     if key not in _encoders:
-        _encoders[key] = Encoder(path, blanks_matter=blanks_matter)
+        _encoders[key] = Encoder(path, blanks_matter=blanks_matter, words=words)
     return _encoders[key]

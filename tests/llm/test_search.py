@@ -42,6 +42,19 @@ def test_audit_odd(spark):
     assert warc.audit(none, none).count() == 0
 
 
+def test_offsets_without_or_with_repeated_ids(spark, tmp_path):
+    """Records without id, of one id, and equal records lie side by side; a replica without damage shows none."""
+    pages = [(None, "u", "a" * 50), (None, "v", "b" * 70), (None, "u", "a" * 50), (1, "u", "c"), (1, "w", "d" * 9), (1, "u", "c"), (2, "x", "e")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    rows = warc.leaves(warc.records(spark.read.parquet(f"{tmp_path}/pages.parquet"))).collect()
+    assert len(rows) == len(pages)
+    for file in {r.file for r in rows}:
+        own = sorted((r for r in rows if r.file == file), key=lambda r: r.offset)
+        assert [r.offset for r in own] == np.cumsum([0, *(r.length for r in own[:-1])]).tolist()
+        assert [r.page_id or 0 for r in own] == sorted(r.page_id or 0 for r in own)
+    assert queries.op5_merkle_audit(spark, str(tmp_path)).count() == 0
+
+
 def brute(rows, queries_, k=5):
     ids = np.array([r[0] for r in rows])
     x = np.array([r[1] for r in rows], float)

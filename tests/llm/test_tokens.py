@@ -186,3 +186,10 @@ def test_token_files_odd(spark, odd, none):
         assert ids == sorted(ids)
         expected = Counter((d.doc_id, tuple([*encode(d.text), 2])) for d in docs.collect())
         assert Counter((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in rows) == expected
+
+
+def test_pieces_without_length_get_no_place(spark):
+    rows = spark.createDataFrame([(1, 0, 5), (2, 0, None), (3, 0, 0), (4, 0, 4092), (2, 0, None)], "doc_id long, piece int, length long")
+    found = sorted((r.doc_id, r.sequence_id, r.offset) for r in packing.best_fit(rows).na.fill(-1).collect())
+    assert [x[0] for x in found] == [1, 2, 2, 3, 4]
+    assert [x[1] >= 0 for x in found] == [True, False, False, False, True]
