@@ -15,6 +15,9 @@ from opalgrid.llm import language, neardup, packing, quality
 from opalgrid.llm.common import small_batches, stored, table
 from opalgrid.llm.queries import vocabulary
 
+#: Words that a worker keeps the ids of: fewer than alone, for the workers have served other stages before.
+WORDS = 150_000
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is 0.3 or more. The model is learned from the labelled rows of the whole table."""
@@ -41,7 +44,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all documents' pieces in sequences of 4096 tokens."""
     small_batches(spark)
-    placed = packing.pack(docs, vocabulary("word_bpe_49k.json"))
+    placed = packing.pack(docs, vocabulary("word_bpe_49k.json"), words=WORDS)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
