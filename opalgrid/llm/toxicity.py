@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 from typing import Any
 
 import numpy as np
@@ -24,8 +25,9 @@ from opalgrid.llm.fitting import fitted, held_out, sample
 MOST, NEIGHBOURS, BLOCKS, COMMON = 20_000, 25, 32, 256
 #: Share of the blocks that are visited first, for a bound on the rest.
 FIRST = 4
-#: The statistic that chance passes once in a million terms, and what each further one of it adds to a term's weight.
-BY_CHANCE, RAISED = 24.0, 3.0
+#: The statistic that chance passes once in a million terms, and what the root of its excess is multiplied by in a term's
+#: weight (at four times the statistic: 1 + RAISED * sqrt(3)).
+BY_CHANCE, RAISED = 24.0, 30.0
 #: Votes that the prior counts for.
 PRIOR = 0.5
 #: Characters, and texts, that are looked at together.
@@ -48,10 +50,38 @@ def runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+class Blocks:
+    """What a search works with: the most common terms are columns of a matrix; each other term has a posting list, cut
+    where blocks of examples end, with the largest weight of each cut."""
+
+    def __init__(self, index: Index) -> None:
+        n, sizes = len(index.ids), np.diff(index.begins)
+        t, doc, w = np.repeat(np.arange(len(sizes)), sizes), index.docs.astype(np.int32), index.weights
+        each = -(-max(n, 1) // BLOCKS)
+        blocks = -(-n // each)
+        self.begins = np.minimum(np.arange(blocks + 1) * each, n)  # of each block's examples
+        frequent = np.argsort(-sizes, kind="stable")[:COMMON]
+        self.column = np.full(len(sizes), -1)  # of a common term
+        self.column[frequent] = np.arange(len(frequent))
+        dense = self.column[t] >= 0
+        at = self.column[t[dense]]
+        self.common = np.zeros((len(frequent), n), np.float32)
+        self.common[at, doc[dense]] = w[dense]
+        self.common_most = np.zeros((len(frequent), blocks), np.float32)
+        np.maximum.at(self.common_most, (at, doc[dense] // each), w[dense])
+        t, doc, w = t[~dense], doc[~dense], w[~dense]
+        #: Example and weight, 32 bits each, side by side, by term and example.
+        self.postings = np.stack([doc, w.view(np.int32)], axis=1).reshape(-1).view(np.int64)
+        new = np.flatnonzero(np.diff(t, prepend=-1).astype(bool) | np.diff(doc // each, prepend=-1).astype(bool))
+        self.cuts = np.searchsorted(t[new], np.arange(len(sizes) + 1))  # where each term's cuts begin
+        self.cut_block = (doc[new] // each).astype(np.int16)
+        self.cut_begin = np.append(new, len(t))
+        self.cut_most = np.maximum.reduceat(w, new) if len(new) else np.empty(0, np.float32)
+
+
 @dataclass
 class Index:
-    """Examples in blocks. The most common terms are columns of a matrix; each other term has a posting list, cut where
-    blocks end, with the largest weight of each cut."""
+    """Examples, and the weights of their terms. It travels without its Blocks, which each worker makes for itself."""
 
     terms: np.ndarray  # hashes, ascending
     factor: np.ndarray  # inverse document frequency, raised
@@ -59,15 +89,16 @@ class Index:
     ids: np.ndarray
     labels: np.ndarray
     share: float
-    blocks: np.ndarray  # (blocks + 1): where each block's examples begin
-    column: np.ndarray = field(repr=False)  # of a common term, else -1
-    common: np.ndarray = field(repr=False)  # (common terms, examples)
-    common_most: np.ndarray = field(repr=False)  # (common terms, blocks)
-    postings: np.ndarray = field(repr=False)  # example and weight (32 bits each, side by side), by term and example
-    cuts: np.ndarray = field(repr=False)  # (terms + 1): where each term's cuts begin
-    cut_block: np.ndarray = field(repr=False)
-    cut_begin: np.ndarray = field(repr=False)  # (cuts + 1): where each cut's postings begin
-    cut_most: np.ndarray = field(repr=False)
+    begins: np.ndarray = field(repr=False)  # (terms + 1): where each term's postings begin
+    docs: np.ndarray = field(repr=False)  # by term and example
+    weights: np.ndarray = field(repr=False)
+
+    def __getstate__(self) -> dict[str, Any]:
+        return {k: v for k, v in self.__dict__.items() if k != "blocks"}
+
+    @cached_property
+    def blocks(self) -> Blocks:
+        return Blocks(self)
 
     def vector(self, bag: Bag) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the known terms, and their weights in a vector of length one over all of the text's words."""
@@ -87,19 +118,20 @@ class Index:
         Examples without a common term never count. The blocks of the largest bounds are searched first; of the others,
         those whose bound reaches the k-th cosine found.
         """
-        n, blocks = len(self.ids), len(self.blocks) - 1
-        dense = np.zeros((len(queries), len(self.common)), np.float32)
+        n, work = len(self.ids), self.blocks
+        blocks = len(work.begins) - 1
+        dense = np.zeros((len(queries), len(work.common)), np.float32)
         for i, (t, w) in enumerate(queries):
-            c = self.column[t]
+            c = work.column[t]
             dense[i, c[c >= 0]] = w[c >= 0]
-        sums, bounds = dense @ self.common, dense @ self.common_most
-        sizes = np.diff(self.blocks)
+        sums, bounds = dense @ work.common, dense @ work.common_most
+        sizes = np.diff(work.begins)
         for (t, w), own, bound in zip(queries, sums, bounds, strict=True):
-            rest = self.column[t] < 0
-            first, count = self.cuts[t[rest]], self.cuts[t[rest] + 1] - self.cuts[t[rest]]
+            rest = work.column[t] < 0
+            first, count = work.cuts[t[rest]], work.cuts[t[rest] + 1] - work.cuts[t[rest]]
             at, x = runs(first, count), np.repeat(w[rest].astype(float), count)
-            block = self.cut_block[at]
-            bound = bound + np.bincount(block, x * self.cut_most[at], minlength=blocks)
+            block = work.cut_block[at]
+            bound = bound + np.bincount(block, x * work.cut_most[at], minlength=blocks)
             order, done, least = np.argsort(-bound, kind="stable"), 0, 0.0
             found, cosines = np.empty(0, np.int64), np.empty(0)
             for upto in (max(1, blocks // FIRST), blocks):
@@ -110,8 +142,8 @@ class Index:
                 if not now.any():
                     continue
                 some = now[block]
-                begin, size = self.cut_begin[at[some]], (self.cut_begin[at[some] + 1] - self.cut_begin[at[some]])
-                p = self.postings[runs(begin, size)].view(np.int32).reshape(-1, 2)
+                begin, size = work.cut_begin[at[some]], (work.cut_begin[at[some] + 1] - work.cut_begin[at[some]])
+                p = work.postings[runs(begin, size)].view(np.int32).reshape(-1, 2)
                 scores = own + np.bincount(p[:, 0], np.repeat(x[some], size) * p[:, 1].view(np.float32), minlength=n)
                 scores[~np.repeat(now, sizes)] = 0
                 hit = np.flatnonzero(scores > max(1e-7, least - 1e-6))
@@ -162,39 +194,29 @@ def fit(rows: pd.DataFrame) -> Index:
     doc = np.repeat(np.arange(n), [len(x) for x in h])
     df, total = np.bincount(t, minlength=len(terms)).astype(float), int(y.sum())
     g = _relevance(df, np.bincount(t, weights=y[doc], minlength=len(terms)), n, total)
-    factor = np.log1p(n / np.maximum(df, 1)) * (1 + RAISED * np.maximum(0, g / BY_CHANCE - 1))
+    factor = np.log1p(n / np.maximum(df, 1)) * (1 + RAISED * np.sqrt(np.maximum(0, g / BY_CHANCE - 1)))
     w = (1 + np.log(counts)) * factor[t]
     w = w / np.sqrt(np.bincount(doc, w * w, minlength=n))[doc] if n else w
-    column = np.full(len(terms), -1)
+    # Examples that share common terms (of one language), and the strongest term, lie together: blocks get tight bounds.
     frequent = np.argsort(-df, kind="stable")[:COMMON]
+    column = np.full(len(terms), -1)
     column[frequent] = np.arange(len(frequent))
     dense = column[t] >= 0
-    common = np.zeros((len(frequent), n), np.float32)
-    common[column[t[dense]], doc[dense]] = w[dense]
-    # Examples that share common terms (of one language), and the strongest term, lie together: blocks get tight bounds.
+    common = np.zeros((n, len(frequent)), np.float32)
+    common[doc[dense], column[t[dense]]] = w[dense]
     order = np.lexsort((-np.where(df[t] >= n / 200, w, 0), doc))
     heads = np.searchsorted(doc[order], np.arange(n)) if len(doc) else np.zeros(n, np.int64)
     has = np.bincount(doc, minlength=n) > 0
     strongest = np.full(n, len(terms))
     strongest[has] = t[order[heads[has]]]
-    by_term = np.lexsort((np.arange(n), strongest, _clusters(common.T)))
+    places = np.lexsort((np.arange(n), strongest, _clusters(common)))
     place = np.empty(n, np.int64)
-    place[by_term] = np.arange(n)
-    doc, common = place[doc], np.ascontiguousarray(common[:, by_term])
-    each = -(-max(n, 1) // BLOCKS)
-    blocks = -(-n // each)
-    common_most = np.zeros((len(frequent), blocks), np.float32)
-    np.maximum.at(common_most, (column[t[dense]], doc[dense] // each), w[dense].astype(np.float32))
-    t, doc, w = t[~dense], doc[~dense], w[~dense].astype(np.float32)
+    place[places] = np.arange(n)
+    doc = place[doc]
     order = np.lexsort((doc, t))
-    t, doc, w = t[order], doc[order].astype(np.int32), w[order]
-    postings = np.stack([doc, w.view(np.int32)], axis=1).reshape(-1).view(np.int64)
-    new = np.flatnonzero(np.diff(t, prepend=-1).astype(bool) | np.diff(doc // each, prepend=-1).astype(bool))
-    most = np.maximum.reduceat(w, new) if len(new) else np.empty(0, np.float32)
-    return Index(
-        terms, factor, float(np.log1p(n)) or 1.0, rows["id"].to_numpy(np.int64)[by_term], y[by_term], (total + 0.5) / (n + 1), np.minimum(np.arange(blocks + 1) * each, n), column, common, common_most,
-        postings, np.searchsorted(t[new], np.arange(len(terms) + 1)), (doc[new] // each).astype(np.int16), np.append(new, len(t)).astype(np.int64), most,
-    )
+    begins = np.searchsorted(t[order], np.arange(len(terms) + 1)).astype(np.int32)
+    docs = doc[order].astype(np.uint16 if n <= 1 << 16 else np.int32)
+    return Index(terms, factor.astype(np.float32), float(np.log1p(n)) or 1.0, rows["id"].to_numpy(np.int64)[places], y[places], (total + 0.5) / (n + 1), begins, docs, w[order].astype(np.float32))
 
 
 def score(index: Index, found: np.ndarray, cosines: np.ndarray) -> tuple[float, list[dict[str, Any]]]:

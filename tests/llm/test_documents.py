@@ -82,7 +82,8 @@ def test_quality_held_out(spark, small):
 def test_toxicity_held_out(spark, small):
     rows = score_table(spark, "/root/testdata/sf0.01", queries.op3_nearest_toxic, "toxic")
     held = rows[rows["held_out"]]
-    assert (held["predicted"] == held["toxic"]).mean() > 0.9
+    assert (held["predicted"] == held["toxic"]).mean() > 0.95  # of 70, learned from 329
+    assert held["predicted"][held["toxic"] == 1].mean() > 0.6 and held["predicted"][held["toxic"] == 0].mean() == 0
     assert (rows["predicted"] == (rows["score"] >= 0.5)).all()
 
 
@@ -110,7 +111,7 @@ def brute_vectors(rows):
         d, p, g = df[w], pos[w], 0.0
         for seen, expected in ((p, d * total / n), (d - p, d * (n - total) / n), (total - p, (n - d) * total / n), (n - d - total + p, (n - d) * (n - total) / n)):
             g += 2 * seen * math.log(seen / expected) if seen else 0
-        return math.log1p(n / d) * (1 + 3 * max(0.0, g / 24 - 1)) if d else math.log1p(n)
+        return math.log1p(n / d) * (1 + 30 * math.sqrt(max(0.0, g / 24 - 1))) if d else math.log1p(n)
 
     def vector(bag):
         w = {x: (1 + math.log(c)) * factor(x) for x, c in bag.items()}
@@ -124,7 +125,7 @@ def test_index_is_exact():
     """Block-max search gives the k nearest by cosine over all examples and all words."""
     rows = examples(2000, words=900)
     index = toxicity.fit(bagged(rows))
-    assert len(index.blocks) - 1 == toxicity.BLOCKS and (index.column < 0).sum() > 0
+    assert len(index.blocks.begins) - 1 == toxicity.BLOCKS and (index.blocks.column < 0).sum() > 0
     split, vector = brute_vectors(rows)
     vectors = [vector(b) for b in split]
     for t in [*rows["text"][:40], "Vile, vile things", "abc unheard unheard2 fed", "nothing of it", ""]:
@@ -143,8 +144,8 @@ def test_blocks_are_passed_over():
     text = [" ".join(rng.choice([f"{'xy'[i % 2]}{k}" for k in range(400)], 30)) for i in range(3000)]
     index = toxicity.fit(bagged(pd.DataFrame({"id": range(3000), "text": text, "y": [i % 3 == 0 for i in range(3000)]}).astype({"y": int})))
     query = index.vector(next(toxicity.bags([text[0]])))
-    c = index.column[query[0]]
-    own = query[1][c >= 0] @ index.common_most[c[c >= 0]]
+    c = index.blocks.column[query[0]]
+    own = query[1][c >= 0] @ index.blocks.common_most[c[c >= 0]]
     assert (own == 0).sum() >= toxicity.BLOCKS // 3
 
 
