@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEYS = ["position", "tile", "tp", "label"]
+KEY_TYPES = "position long, tile int, tp int, label int"
 PLANE = ["position", "tp", "c", "y", "x"]
 
 REDUCERS: dict[str, Callable[[str], Column]] = {
@@ -116,8 +117,10 @@ def ratio(pairs: DataFrame) -> DataFrame:
 def background(masks: DataFrame, planes: DataFrame) -> DataFrame:
     """Pixels in no mask, of each position, tp and channel: their median and the mean of the five largest."""
     outside = planes.join(masks.select("position", "tp", "y", "x").distinct(), ["position", "tp", "y", "x"], "left_anti")
-    ranked = outside.withColumn("_k", F.row_number().over(Window.partitionBy("position", "tp", "c").orderBy(F.desc("v"))))
-    return ranked.groupBy("position", "tp", "c").agg(F.median("v").alias("background"), F.avg(F.when(F.col("_k") <= 5, F.col("v"))).alias("background_max5"))
+    plane = ["position", "tp", "c"]
+    five = outside.withColumn("_k", F.row_number().over(Window.partitionBy(*plane).orderBy(F.desc("v")))).where("_k <= 5")  # kept to five before the shuffle
+    tops = five.groupBy(*plane).agg(F.avg("v").alias("background_max5"))
+    return outside.groupBy(*plane).agg(F.median("v").alias("background")).join(tops, plane)
 
 
 def pearson(pairs: DataFrame) -> DataFrame:
@@ -192,26 +195,23 @@ def intensity(objects: DataFrame, masks: DataFrame | None = None) -> DataFrame:
     return out.join(sums, [*KEYS, "c"], "left")
 
 
-def feret_max(masks: DataFrame) -> DataFrame:
-    """Largest distance between pixels of an object, over the pixels of its rim."""
-    rim = _neighbours(masks, FOUR).where("inside < 4").select(*KEYS, "y", "x")
-    other = rim.withColumnsRenamed({"y": "y2", "x": "x2"})
-    d = F.pow(F.col("y") - F.col("y2"), 2) + F.pow(F.col("x") - F.col("x2"), 2)
-    return rim.join(other, KEYS).groupBy(*KEYS).agg(F.sqrt(F.max(d)).alias("feret_max"))
+#: Offsets of grey-level pairs: along a row, along a column, and along both diagonals.
+DIRECTIONS = ((0, 1), (1, 0), (1, 1), (1, -1))
 
 
-def texture(objects: DataFrame, levels: int = 8, step: tuple[int, int] = (0, 1)) -> DataFrame:
-    """Haralick's contrast, energy, homogeneity and entropy of the grey-level pairs at one offset within an object."""
+def texture(objects: DataFrame, levels: int = 8, steps: Iterable[tuple[int, int]] = DIRECTIONS) -> DataFrame:
+    """Haralick's contrast, energy, homogeneity and entropy of the grey-level pairs within an object, in each direction:
+    columns contrast_0 and so on, by the place of the direction among `steps`. Null where no pair lies in a direction."""
     w = Window.partitionBy(*KEYS, "c")
     low, high = F.min("v").over(w), F.max("v").over(w)
     grey = objects.withColumn("g", F.least(F.lit(levels - 1), F.floor(F.coalesce(F.try_divide(F.col("v") - low, high - low), F.lit(0.0)) * levels)).cast("int"))
-    other = grey.select(*KEYS, "c", (F.col("y") - step[0]).alias("y"), (F.col("x") - step[1]).alias("x"), F.col("g").alias("g2"))
-    pairs = grey.join(other, [*KEYS, "c", "y", "x"]).groupBy(*KEYS, "c", "g", "g2").agg(F.count("*").alias("n"))
-    p = F.col("n") / F.sum("n").over(w)
-    d = F.col("g") - F.col("g2")
-    return pairs.withColumn("p", p).groupBy(*KEYS, "c").agg(
-        F.sum(d * d * F.col("p")).alias("contrast"), F.sum(F.col("p") * F.col("p")).alias("energy"), F.sum(F.col("p") / (1 + d * d)).alias("homogeneity"), (-F.sum(F.col("p") * F.log2("p"))).alias("entropy")
-    )
+    moves = F.array(*[F.struct(F.lit(k).alias("way"), F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for k, (dy, dx) in enumerate(steps)])
+    other = grey.withColumn("m", F.explode(moves)).select(*KEYS, "c", "m.way", (F.col("y") - F.col("m.dy")).alias("y"), (F.col("x") - F.col("m.dx")).alias("x"), F.col("g").alias("g2"))
+    pairs = grey.join(other, [*KEYS, "c", "y", "x"]).groupBy(*KEYS, "c", "way", "g", "g2").agg(F.count("*").alias("n"))
+    p, d = F.col("n") / F.sum("n").over(Window.partitionBy(*KEYS, "c", "way")), F.col("g") - F.col("g2")
+    sums = {"contrast": d * d * F.col("p"), "energy": F.col("p") * F.col("p"), "homogeneity": F.col("p") / (1 + d * d), "entropy": -F.col("p") * F.log2("p")}
+    ways = range(len(tuple(steps)))
+    return pairs.withColumn("p", p).groupBy(*KEYS, "c").agg(*[F.sum(F.when(F.col("way") == k, v)).alias(f"{n}_{k}") for k in ways for n, v in sums.items()])
 
 
 def radial_distribution(objects: DataFrame, bins: int = 4) -> DataFrame:
@@ -227,6 +227,12 @@ def radial_distribution(objects: DataFrame, bins: int = 4) -> DataFrame:
     return rings.select(*KEYS, "c", "ring", share.alias("frac_at_d"), F.try_divide(share, F.col("n") / F.sum("n").over(w)).alias("mean_frac"), "radial_cv")
 
 
+def radial_profile(objects: DataFrame, bins: int = 4) -> DataFrame:
+    """radial_distribution with a column for each ring: frac_at_d_0 and so on."""
+    columns = [F.max(F.when(F.col("ring") == k, F.col(n))).alias(f"{n}_{k}") for k in range(bins) for n in ("frac_at_d", "mean_frac", "radial_cv")]
+    return radial_distribution(objects, bins).groupBy(*KEYS, "c").agg(*columns)
+
+
 def zernike(objects: DataFrame, degree: int = 9, value: Column | None = None) -> DataFrame:
     """Magnitudes of the Zernike moments up to a degree, on the circle about the centroid that encloses the object. With
     value, weighted by it (radial moments of a channel); without, of the mask."""
@@ -243,20 +249,6 @@ def zernike(objects: DataFrame, degree: int = 9, value: Column | None = None) ->
     return unit.groupBy(*KEYS, "c").agg(*columns)
 
 
-def distance_map(masks: DataFrame) -> DataFrame:
-    """Distance d of each pixel of an object to the nearest pixel outside it, by a join with the rim outside. For objects
-    of up to some thousand pixels; beyond that use shape_metrics, which works per object."""
-    moves = F.array(*[F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a, b in FOUR])
-    beside = masks.withColumn("m", F.explode(moves)).select(*KEYS, (F.col("y") + F.col("m.dy")).alias("y"), (F.col("x") + F.col("m.dx")).alias("x")).distinct()
-    rim = beside.join(masks, [*KEYS, "y", "x"], "left_anti").withColumnsRenamed({"y": "oy", "x": "ox"})
-    d = F.pow(F.col("y") - F.col("oy"), 2) + F.pow(F.col("x") - F.col("ox"), 2)
-    return masks.join(rim, KEYS).groupBy(*KEYS, "y", "x").agg(F.sqrt(F.min(d)).alias("d"))
-
-
-def conical_volume(masks: DataFrame) -> DataFrame:
-    return distance_map(masks).groupBy(*KEYS).agg((4 * F.sum("d")).alias("conical_volume"))
-
-
 # Per object, in numpy --------------------------------------------------------------------------------------------------
 
 
@@ -267,18 +259,45 @@ def filled(y: np.ndarray, x: np.ndarray, pad: int = 1) -> np.ndarray:
     return out
 
 
-def distances(mask: np.ndarray, most: int = 4_000_000) -> np.ndarray:
-    """Euclidean distance of each true pixel to the nearest false one; 0 at false ones. Blocks bound the memory."""
-    out = np.zeros(mask.shape)
-    inside, outside = np.argwhere(mask), np.argwhere(~mask)
-    if not len(inside) or not len(outside):
-        return out
-    step = max(1, most // len(outside))
-    for i in range(0, len(inside), step):
-        part = inside[i : i + step]
-        d = ((part[:, None, :] - outside[None, :, :]) ** 2).sum(axis=2).min(axis=1)
-        out[tuple(part.T)] = np.sqrt(d)
-    return out
+def distances(mask: np.ndarray) -> np.ndarray:
+    """Euclidean distance of each true pixel to the nearest false one; 0 at false ones, and where there is none.
+
+    Down the columns distances come from running maxima; along the rows, offsets grow until none can be nearer.
+    """
+    if mask.all() or not mask.any():
+        return np.zeros(mask.shape)
+    far = sum(mask.shape)
+    at = np.arange(len(mask), dtype=np.int64)[:, None]
+    above = at - np.maximum.accumulate(np.where(mask, -far, at), axis=0)
+    below = np.minimum.accumulate(np.where(mask, 2 * far, at)[::-1], axis=0)[::-1] - at
+    column = np.minimum(np.minimum(above, below), far) ** 2
+    out, k = column.copy(), 1
+    while k < mask.shape[1] and k * k < out.max():
+        np.minimum(out[:, k:], column[:, :-k] + k * k, out=out[:, k:])
+        np.minimum(out[:, :-k], column[:, k:] + k * k, out=out[:, :-k])
+        k += 1
+    return np.sqrt(out)
+
+
+def distance_map(masks: DataFrame) -> DataFrame:
+    """Distance d of each pixel of an object to the nearest pixel outside it. A repeated pixel counts once."""
+
+    def measure(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        y, x = part["y"].to_numpy(), part["x"].to_numpy()
+        d = distances(filled(y, x))
+        inside = np.argwhere(d > 0)
+        return pd.DataFrame(dict(zip(KEYS, key, strict=True)) | {"y": inside[:, 0] - 1 + y.min(), "x": inside[:, 1] - 1 + x.min(), "d": d[d > 0]})[[*KEYS, "y", "x", "d"]]
+
+    return masks.groupBy(*KEYS).applyInPandas(measure, f"{KEY_TYPES}, y int, x int, d double")
+
+
+def conical_volume(masks: DataFrame) -> DataFrame:
+    """Four times the sum of the distances of an object's pixels to its outside."""
+
+    def measure(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(*key, float(4 * distances(filled(part["y"].to_numpy(), part["x"].to_numpy())).sum()))], columns=[*KEYS, "conical_volume"])
+
+    return masks.groupBy(*KEYS).applyInPandas(measure, f"{KEY_TYPES}, conical_volume double")
 
 
 def axes_of(mask: np.ndarray) -> tuple[float, float]:
@@ -297,7 +316,7 @@ def shape_metrics(masks: DataFrame) -> DataFrame:
         ecc = math.sqrt(max(0.0, long**2 - short**2)) / long if long else None
         return pd.DataFrame([(*key, short, long, ecc, 4 / 3 * math.pi * short**2 * long)], columns=[*KEYS, "minor", "major", "eccentricity", "volume"])
 
-    return masks.groupBy(*KEYS).applyInPandas(measure, "position long, tile int, tp int, label int, minor double, major double, eccentricity double, volume double")
+    return masks.groupBy(*KEYS).applyInPandas(measure, f"{KEY_TYPES}, minor double, major double, eccentricity double, volume double")
 
 
 def convolved(image: np.ndarray, kernel: np.ndarray) -> np.ndarray:
@@ -308,59 +327,81 @@ def convolved(image: np.ndarray, kernel: np.ndarray) -> np.ndarray:
     return out[tuple(slice((k - 1) // 2, (k - 1) // 2 + n) for k, n in zip(kernel.shape, image.shape, strict=True))]
 
 
-def bell(side: int, sigma: float, dims: int = 2, sigma_z: float | None = None) -> np.ndarray:
-    """A Gaussian kernel of largest value 1; in three dimensions the first one has its own width."""
+def bell(side: int, *spread: float) -> np.ndarray:
+    """A Gaussian kernel that sums to one, exp(-x^2 / (2 s)) along each axis with its spread s; tiny values are cut to 0."""
     at = np.arange(side) - (side - 1) / 2
-    grids = np.meshgrid(*[at] * dims, indexing="ij")
-    widths = [sigma_z or sigma, sigma, sigma][-dims:]
-    return np.exp(-sum((g / s) ** 2 for g, s in zip(grids, widths, strict=True)) / 2)
+    grids = np.meshgrid(*[at] * len(spread), indexing="ij")
+    k = np.exp(-sum(g**2 / (2 * s) for g, s in zip(grids, spread, strict=True)))
+    k[k < np.finfo(float).eps * k.max()] = 0
+    return k / k.sum()
 
 
-def small_peaks(v: np.ndarray, mask: np.ndarray) -> float:
-    """Largest value inside the mask of the image summed over a disk of radius 3 (0.025 n) / 5, n pixels not zero."""
-    r = 3 * (0.025 * np.count_nonzero(mask)) / 5
+def small_peaks(image: np.ndarray, mask: np.ndarray) -> float:
+    """Largest value inside the mask of the whole image summed over a disk of radius 3 (0.025 n) / 5, n values of the
+    object not zero; zeros lie around the image."""
+    r = 3 * (0.025 * np.count_nonzero(image[mask])) / 5
     k = int(np.ceil(r))
     g = np.mgrid[-k : k + 1, -k : k + 1]
-    return float(convolved(v * mask, ((g**2).sum(axis=0) <= r * r).astype(float))[mask].max())
+    return float(convolved(image, ((g**2).sum(axis=0) <= r * r).astype(float))[mask].max())
+
 
+def nucleus_estimate(image: np.ndarray, mask: np.ndarray, alpha: float = 0.95, share: float = 0.085, z_ratio: float = 1.0) -> float:
+    """Best match of a Gaussian of the size a nucleus would have, in a plane or a stack of planes: of the object less its
+    median, zero around it, convolved and divided by what a flat nucleus would give.
 
-def nucleus_estimate(v: np.ndarray, mask: np.ndarray, alpha: float = 0.95, share: float = 0.085, z_ratio: float = 1.0) -> float:
-    """Best match of a Gaussian of the size a nucleus would have; v has three dimensions for a stack of planes."""
-    n = np.count_nonzero(mask if mask.ndim == 2 else mask[0])
+    A plane's kernel has the variance sigma^2; a stack's has sigma, and sigma * z_ratio across planes, as its variance.
+    """
+    values = image[mask]
     quantile = -2 * math.log(1 - alpha)
-    r = math.sqrt(share * n / math.pi)
+    r = math.sqrt(share * np.count_nonzero(values) / math.pi)
     sigma = r / math.sqrt(quantile)
-    k = bell(2 * int(np.ceil(2 * r)) + 1, sigma, v.ndim, sigma / z_ratio if v.ndim == 3 else None)
-    image = np.where(mask, v - np.median(v[mask]), 0)
-    return float(convolved(image, k).max() / ((k**2).sum() * alpha * math.pi * quantile * sigma**2))
-
-
-def localisation(objects: DataFrame) -> DataFrame:
-    """small_peaks_conv and nuc_est_conv of each object and channel."""
-
-    def measure(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        y, x = part["y"].to_numpy(), part["x"].to_numpy()
-        mask = filled(y, x, 0)
-        v = np.zeros(mask.shape)
-        v[y - y.min(), x - x.min()] = part["v"]
-        return pd.DataFrame([(*key, small_peaks(v, mask), nucleus_estimate(v, mask))], columns=[*KEYS, "c", "small_peaks_conv", "nuc_est_conv"])
-
-    return objects.groupBy(*KEYS, "c").applyInPandas(measure, "position long, tile int, tp int, label int, c int, small_peaks_conv double, nuc_est_conv double")
+    if not sigma:
+        return float("nan")
+    k = bell(2 * int(np.ceil(2 * r)) + 1, *((sigma**2,) * 2 if image.ndim == 2 else (sigma * z_ratio, sigma, sigma)))
+    found = convolved(np.where(mask, image - np.median(values), 0), k)
+    return float(found.max() / ((k**2).sum() * alpha * math.pi * quantile * sigma**2))
+
+
+def _per_image(masks: DataFrame, pixels: DataFrame, fn: Callable[[np.ndarray, np.ndarray], tuple], names: list[str], value: str) -> DataFrame:
+    """fn(image, mask) of each object in each channel of its image, the pixels of one position and tp; missing ones are 0.
+    An image, or a stack of planes (pixels with z), is one group."""
+    frame = ["position", "tp", "c"]
+    deep = "z" in pixels.columns
+
+    def measure(key: tuple, own: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        own = own.rename(columns=lambda n: n[2:])
+        if len(own) and len(around):
+            both = pd.concat([own[["y", "x"]], around[["y", "x"]]])
+            top, left = both["y"].min(), both["x"].min()
+            shape = (both["y"].max() - top + 1, both["x"].max() - left + 1)
+            if deep:
+                shape = (around["z"].max() - around["z"].min() + 1, *shape)
+            image = np.zeros(shape)
+            at = (around["y"] - top, around["x"] - left)
+            image[(around["z"] - around["z"].min(), *at) if deep else at] = around[value].fillna(0)
+            for (tile, label), part in own.groupby(["tile", "label"]):
+                mask = np.zeros(shape[-2:], bool)
+                mask[part["y"] - top, part["x"] - left] = True
+                out.append((key[0], tile, key[1], label, key[2], *fn(image, np.broadcast_to(mask, shape))))
+        found = pd.DataFrame(out, columns=[*KEYS, "c", *names])
+        return found.astype({n: float for n in names})
+
+    channels = pixels.groupBy("position", "tp").agg(F.collect_set("c").alias("c"))
+    each = masks.join(channels, ["position", "tp"]).withColumn("c", F.explode("c"))
+    each = each.select(*[F.col(n).alias(f"m_{n}") for n in (*KEYS, "c", "y", "x")])  # masks may come from the same pixels
+    found = each.groupBy("m_position", "m_tp", "m_c").cogroup(pixels.groupBy(*frame)).applyInPandas(measure, f"{KEY_TYPES}, c int, {', '.join(f'{n} double' for n in names)}")
+    return found.select(*KEYS, "c", *[F.nanvl(n, F.lit(None)).alias(n) for n in names])
+
+
+def localisation(masks: DataFrame, planes: DataFrame) -> DataFrame:
+    """small_peaks_conv and nuc_est_conv of each object and channel. Null for an object of zeros only."""
+    return _per_image(masks, planes, lambda v, m: (small_peaks(v, m), nucleus_estimate(v, m)), ["small_peaks_conv", "nuc_est_conv"], "v")
 
 
 def localisation_3d(masks: DataFrame, pixels: DataFrame, pixel_size: float = 0.23, z_spacing: float = 0.6) -> DataFrame:
-    """nuc_conv_3d of each object and channel over all planes of its stack."""
-
-    def measure(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        y, x, z = (part[c].to_numpy() for c in "yxz")
-        mask2 = filled(y, x, 0)
-        v = np.zeros((z.max() - z.min() + 1, *mask2.shape))
-        v[z - z.min(), y - y.min(), x - x.min()] = part["value"]
-        mask = np.broadcast_to(mask2, v.shape)
-        return pd.DataFrame([(*key, nucleus_estimate(v, mask, z_ratio=z_spacing / pixel_size))], columns=[*KEYS, "c", "nuc_conv_3d"])
-
-    joined = masks.join(pixels, ["position", "tp", "y", "x"])
-    return joined.groupBy(*KEYS, "c").applyInPandas(measure, "position long, tile int, tp int, label int, c int, nuc_conv_3d double")
+    """nuc_conv_3d of each object and channel over all planes of its stack. Null for an object of zeros only."""
+    return _per_image(masks, pixels, lambda v, m: (nucleus_estimate(v, m, z_ratio=z_spacing / pixel_size),), ["nuc_conv_3d"], "value")
 
 
 def costes(pairs: DataFrame, steps: int = 64) -> DataFrame:
@@ -384,7 +425,7 @@ def costes(pairs: DataFrame, steps: int = 64) -> DataFrame:
         share = lambda v: float(v[both].sum() / v.sum()) if v.sum() else None
         return pd.DataFrame([(*key, float(threshold), share(a), share(b))], columns=[*KEYS, "threshold", "costes_1", "costes_2"])
 
-    return pairs.groupBy(*KEYS).applyInPandas(measure, "position long, tile int, tp int, label int, threshold double, costes_1 double, costes_2 double")
+    return pairs.groupBy(*KEYS).applyInPandas(measure, f"{KEY_TYPES}, threshold double, costes_1 double, costes_2 double")
 
 
 def hull(points: np.ndarray) -> np.ndarray:
@@ -402,21 +443,23 @@ def hull(points: np.ndarray) -> np.ndarray:
     return np.array(half(pts) + half(reversed(pts)) or pts[:1], float)
 
 
-def feret_min(masks: DataFrame) -> DataFrame:
-    """Smallest width of an object between parallel lines: over the edges of its convex hull."""
+def feret(masks: DataFrame) -> DataFrame:
+    """feret_max, the largest distance between pixels of an object, and feret_min, its smallest width between parallel
+    lines: over the corners and edges of its convex hull."""
 
     def measure(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         h = hull(part[["y", "x"]].to_numpy())
         edges = np.roll(h, -1, axis=0) - h
         length = np.linalg.norm(edges, axis=1)
         keep = length > 0
+        longest = math.sqrt(max(((h - p) ** 2).sum(axis=1).max() for p in h))
         if not keep.any():
-            return pd.DataFrame([(*key, 0.0)], columns=[*KEYS, "feret_min"])
+            return pd.DataFrame([(*key, longest, 0.0)], columns=[*KEYS, "feret_max", "feret_min"])
         normal = np.stack([-edges[keep, 1], edges[keep, 0]], axis=1) / length[keep, None]
         reach = h @ normal.T
-        return pd.DataFrame([(*key, float((reach.max(axis=0) - reach.min(axis=0)).min()))], columns=[*KEYS, "feret_min"])
+        return pd.DataFrame([(*key, longest, float((reach.max(axis=0) - reach.min(axis=0)).min()))], columns=[*KEYS, "feret_max", "feret_min"])
 
-    return masks.groupBy(*KEYS).applyInPandas(measure, "position long, tile int, tp int, label int, feret_min double")
+    return masks.groupBy(*KEYS).applyInPandas(measure, f"{KEY_TYPES}, feret_max double, feret_min double")
 
 
 def fill_outline(outlines: DataFrame) -> DataFrame:
@@ -439,36 +482,87 @@ def fill_outline(outlines: DataFrame) -> DataFrame:
         y, x = np.nonzero(~outside)
         return pd.DataFrame(dict(zip(KEYS, key, strict=True)) | {"y": y - 1 + part["y"].min(), "x": x - 1 + part["x"].min()})[[*KEYS, "y", "x"]]
 
-    return outlines.groupBy(*KEYS).applyInPandas(fill, "position long, tile int, tp int, label int, y int, x int")
+    return outlines.groupBy(*KEYS).applyInPandas(fill, f"{KEY_TYPES}, y int, x int")
 
 
 # Registry and the fused measurement ------------------------------------------------------------------------------------
 
+#: Features that give several columns: of a mask, of an object in a channel (and its mask), and of a pair of channels.
+MASK_FAMILIES: dict[str, Callable[..., DataFrame]] = {
+    "sizeshape": sizeshape,
+    "feret": feret,
+    "zernike": lambda masks, **options: zernike(masks.withColumn("c", F.lit(0)), **options).drop("c"),
+    "shape": shape_metrics,
+    "conical_volume": conical_volume,
+}
+CHANNEL_FAMILIES: dict[str, Callable[..., DataFrame]] = {
+    "intensity": lambda objects, masks, planes, edge_measurements=True: intensity(objects, masks if edge_measurements else None),
+    "texture": lambda objects, masks, planes, **options: texture(objects, **options),
+    "radial_distribution": lambda objects, masks, planes, **options: radial_profile(objects, **options),
+    "radial_zernikes": lambda objects, masks, planes, **options: zernike(objects, value=F.col("v"), **options),
+    "max2p5pc": lambda objects, masks, planes, **options: top_share(objects, **options),
+    "max5px_median": lambda objects, masks, planes: top5_median(objects),
+    "localisation": lambda objects, masks, planes: localisation(masks, planes),
+}
+PAIR_FAMILIES: dict[str, Callable[..., DataFrame]] = {"pearson": pearson, "costes": costes, "manders_fold": manders_fold, "rwc": rwc, "ratio": ratio}
+#: Pair features that look at sizes of values, not their signs.
+UNSIGNED = ("costes", "manders_fold", "rwc")
+#: The standard job: features of each channel, and of each pair of channels.
+FEATURES = ("radial_zernikes", "intensity", "feret", "texture", "radial_distribution", "zernike")
+PAIR_FEATURES = ("pearson", "costes", "manders_fold", "rwc")
+
+
+def _columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c not in (*KEYS, "c")]
+
 
-def measure(masks: DataFrame, pixels: DataFrame, instructions: list[tuple]) -> DataFrame:
+def measure(masks: DataFrame, pixels: DataFrame, instructions: list[tuple], options: dict[str, dict] | None = None) -> DataFrame:
     """Long measurements (position, tile, tp, label, metric, value) of instructions (ch0, ch1, red_ch, red_z, metric).
 
-    ch0 None: a mask-only metric, without a join to pixels. ch1 None: a metric of one channel. Otherwise of the two
-    combined by red_ch. All metrics of one z-reduction share one join and one aggregation.
+    ch0 None: a mask-only metric, without a join to pixels. ch1 None: a metric of one channel. Otherwise of two: those of
+    PAIR_FAMILIES side by side (red_ch "None"), others of the two combined by red_ch. A metric is a name of MASK_METRICS or
+    PIXEL_METRICS, or a family; a family's columns are named family/column. options: keyword arguments of families.
+    All single metrics of one z-reduction share one join and one aggregation.
     """
+    options = options or {}
+    own = lambda name: options.get(name, {})
     long = []
     mask_only = sorted({i[4] for i in instructions if i[0] is None})
-    if mask_only:
-        long.append((mask_metrics(masks, mask_only), [(f"{m}", m) for m in mask_only], None))
+    if names := [m for m in mask_only if m not in MASK_FAMILIES]:
+        long.append((mask_metrics(masks, names), [(m, m) for m in names], F.lit("None/None/")))
+    for family in [m for m in mask_only if m in MASK_FAMILIES]:
+        wide = MASK_FAMILIES[family](masks, **own(family))
+        long.append((wide, [(f"{family}/{c}", c) for c in _columns(wide)], F.lit("None/None/")))
     for red_z in sorted({i[3] for i in instructions if i[0] is not None}):
         planes = reduce_z(pixels, red_z)
-        single = sorted({(i[0], i[4]) for i in instructions if i[0] is not None and i[1] is None and i[3] == red_z})
-        if single:
-            names = sorted({m for _, m in single})
-            wide = pixel_metrics(object_pixels(masks, planes.where(F.col("c").isin(sorted({c for c, _ in single})))), names)
-            long.append((wide, [(f"{red_z}/{m}", m) for m in names], "c"))
+        single = [i for i in instructions if i[0] is not None and i[1] is None and i[3] == red_z]
+        of_channel = F.concat(F.col("c").cast("string"), F.lit(f"/{red_z}/"))
+        for name in sorted({i[4] for i in single if i[4] in CHANNEL_FAMILIES or i[4] in MASK_FAMILIES}):
+            channels = sorted({i[0] for i in single if i[4] == name})
+            if name in CHANNEL_FAMILIES:
+                some = planes.where(F.col("c").isin(channels))
+                wide = CHANNEL_FAMILIES[name](object_pixels(masks, some), masks, some, **own(name))
+            else:
+                wide = MASK_FAMILIES[name](masks, **own(name)).withColumn("c", F.explode(F.lit(channels)))
+            long.append((wide, [(f"{name}/{c}", c) for c in _columns(wide)], of_channel))
+        plain = [i for i in single if i[4] not in CHANNEL_FAMILIES and i[4] not in MASK_FAMILIES]
+        if plain:
+            names = sorted({i[4] for i in plain})
+            wide = pixel_metrics(object_pixels(masks, planes.where(F.col("c").isin(sorted({i[0] for i in plain})))), names)
+            long.append((wide, [(m, m) for m in names], of_channel))
         for a, b, how in sorted({(i[0], i[1], i[2]) for i in instructions if i[1] is not None and i[3] == red_z}):
             names = sorted({i[4] for i in instructions if i[:4] == (a, b, how, red_z)})
-            wide = pixel_metrics(object_pixels(masks, combine_channels(planes, a, b, how)), names)
-            long.append((wide.withColumn("c", F.lit(f"({a}, {b})")), [(f"{how}/{red_z}/{m}", m) for m in names], "c"))
+            prefix = F.lit(f"({a}, {b})/{how}/{red_z}/")
+            if how == "None":
+                objects = object_pixels(masks, planes.where(F.col("c").isin(a, b)))
+                for name in names:
+                    wide = PAIR_FAMILIES[name](two_channels(objects.withColumn("v", F.abs("v")) if name in UNSIGNED else objects, a, b), **own(name))
+                    long.append((wide, [(f"{name}/{c}", c) for c in _columns(wide)], prefix))
+            else:
+                wide = pixel_metrics(object_pixels(masks, combine_channels(planes, a, b, how)), names)
+                long.append((wide, [(m, m) for m in names], prefix))
     out = None
-    for wide, names, channel in long:
-        prefix = F.concat(F.col(channel).cast("string"), F.lit("/")) if channel else F.lit("None/None/")
+    for wide, names, prefix in long:
         entries = F.array(*[F.struct(F.concat(prefix, F.lit(path)).alias("metric"), F.col(m).cast("double").alias("value")) for path, m in names])
         part = wide.select(*KEYS, F.explode(entries).alias("e")).select(*KEYS, "e.metric", "e.value")
         out = part if out is None else out.unionByName(part)
@@ -477,8 +571,9 @@ def measure(masks: DataFrame, pixels: DataFrame, instructions: list[tuple]) -> D
     return out
 
 
-def default_instructions(channels: list[int], features: Iterable[str] = ("mean", "median", "std")) -> list[tuple]:
-    """The standard job: area of each object, features of each channel over max z, and of each pair of channels."""
-    out: list[tuple] = [(None, None, "None", "None", "area")]
+def default_instructions(channels: list[int], features: Iterable[str] = FEATURES) -> list[tuple]:
+    """The standard job: size and shape of each object, features of each channel over max z, and the colocalisation of each
+    pair of channels."""
+    out: list[tuple] = [(None, None, "None", "None", "sizeshape")]
     out += [(c, None, "None", "max", f) for c in channels for f in features]
-    return out + [(a, b, "div", "max", "median") for i, a in enumerate(channels) for b in channels[i + 1 :]]
+    return out + [(a, b, "None", "max", f) for i, a in enumerate(channels) for b in channels[i + 1 :] for f in PAIR_FEATURES]

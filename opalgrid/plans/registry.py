@@ -15,6 +15,7 @@ from opalgrid.operators import features as M
 from opalgrid.operators import graphs as G
 from opalgrid.operators import profiles as P
 from opalgrid.operators import tracks as T
+from opalgrid.plans import feature_sql as Q
 from opalgrid.sources import catalog as C
 from opalgrid.sources import logs as L
 from opalgrid.sources.relations import Relations, with_relations
@@ -80,42 +81,31 @@ DISTANCE = f"""SELECT {', '.join('m.' + k for k in K)}, m.y, m.x, sqrt(min((m.y
   EXCEPT SELECT {KEYS}, y, x FROM masks) o USING ({KEYS}) GROUP BY ALL"""
 query("a13_distance_map", f"SELECT {KEYS}, y, x, {r6('d', 'd')} FROM ({DISTANCE})")(lambda r: rounded(M.distance_map(r.masks)))
 query("a14_conical_volume", f"SELECT {KEYS}, {r6('4 * sum(d)', 'conical_volume')} FROM ({DISTANCE}) GROUP BY ALL")(lambda r: rounded(M.conical_volume(r.masks)))
-query("a15_min_maj_eccentricity_volume")(lambda r: rounded(M.shape_metrics(r.masks)))
+query("a15_min_maj_eccentricity_volume", Q.rounded("shape"))(lambda r: rounded(M.shape_metrics(r.masks)))
 OUTSIDE = "SELECT f.* FROM flat f WHERE NOT EXISTS (SELECT 1 FROM masks m WHERE m.position = f.position AND m.tp = f.tp AND m.y = f.y AND m.x = f.x)"
-query("a16_eccentricity")(lambda r: rounded(M.shape_metrics(r.masks).select(*K, "eccentricity")))
-query("a17_volume")(lambda r: rounded(M.shape_metrics(r.masks).select(*K, "volume")))
+query("a16_eccentricity", f"SELECT {KEYS}, eccentricity FROM ({Q.rounded('shape')})")(lambda r: rounded(M.shape_metrics(r.masks).select(*K, "eccentricity")))
+query("a17_volume", f"SELECT {KEYS}, volume FROM ({Q.rounded('shape')})")(lambda r: rounded(M.shape_metrics(r.masks).select(*K, "volume")))
 query("a18_background", f"SELECT position, tp, c, {r6('median(v)', 'background')} FROM ({OUTSIDE}) GROUP BY ALL")(lambda r: rounded(M.background(r.masks, M.reduce_z(r.pixels, "max")).drop("background_max5")))
 query("a19_background_max5", f"SELECT position, tp, c, {r6('avg(v)', 'background_max5')} FROM (SELECT *, row_number() OVER (PARTITION BY position, tp, c ORDER BY v DESC) AS k FROM ({OUTSIDE})) WHERE k <= 5 GROUP BY ALL")(
     lambda r: rounded(M.background(r.masks, M.reduce_z(r.pixels, "max")).drop("background"))
 )
-query("a20_localisation")(lambda r: rounded(M.localisation(r.objects)))
-query("a21_nuc_est_conv")(lambda r: rounded(M.localisation(r.objects).select(*K, "c", "nuc_est_conv")))
+query("a20_localisation")(lambda r: rounded(M.localisation(r.masks, M.reduce_z(r.pixels, "max"))))
+query("a21_nuc_est_conv")(lambda r: rounded(M.localisation(r.masks, M.reduce_z(r.pixels, "max")).select(*K, "c", "nuc_est_conv")))
 query("a22_nuc_conv_3d")(lambda r: rounded(M.localisation_3d(r.masks, r.pixels)))
 for _fun, _sql in (("max", "max(value)"), ("add", "sum(value)"), ("mean", "avg(value)"), ("median", "median(value)"), ("div", "max(value) FILTER (z = 0) / nullif(max(value) FILTER (z = 1), 0)")):
     query(f"a23_reduce_z_{_fun}", f"SELECT position, tp, c, y, x, {r6(_sql, 'v')} FROM pixels GROUP BY ALL")(lambda r, f=_fun: rounded(M.reduce_z(r.pixels, f)))
 for _fun, _sql in (("add", "a.v + b.v"), ("max", "greatest(a.v, b.v)"), ("div", "a.v / nullif(b.v, 0)")):
     query(f"a24_channels_{_fun}", f"SELECT position, tp, -1 AS c, y, x, {r6(_sql, 'v')} FROM flat a JOIN flat b USING (position, tp, y, x) WHERE a.c = 0 AND b.c = 1")(lambda r, f=_fun: rounded(M.combine_channels(M.reduce_z(r.pixels, "max"), 0, 1, f)))
-query("a30_sizeshape", f"""SELECT {KEYS}, area, min_y, max_y, min_x, max_x, perimeter, {r6('area / ((max_y - min_y + 1) * (max_x - min_x + 1))', 'extent')}, {r6('sqrt(4 * area / pi())', 'equivalent_diameter')},
- {r6('4 * sqrt(m + q)', 'major_axis')}, {r6('4 * sqrt(greatest(m - q, 0))', 'minor_axis')}, {r6('sqrt(1 - greatest(m - q, 0) / (m + q))', 'eccentricity')} FROM
- (SELECT *, (yy + xx) / 2 AS m, sqrt(pow(yy - xx, 2) / 4 + xy * xy) AS q FROM (SELECT {KEYS}, CAST(count(*) AS BIGINT) AS area, min(y) AS min_y, max(y) AS max_y, min(x) AS min_x, max(x) AS max_x,
-  var_pop(y) + 1 / 12 AS yy, var_pop(x) + 1 / 12 AS xx, covar_pop(y, x) AS xy, CAST(sum(edges) AS BIGINT) AS perimeter FROM
-  (SELECT m.*, 4 - (SELECT count(*) FROM masks n WHERE n.position = m.position AND n.tile = m.tile AND n.tp = m.tp AND n.label = m.label AND abs(n.y - m.y) + abs(n.x - m.x) = 1) AS edges FROM masks m) GROUP BY {KEYS}))""")(
-    lambda r: rounded(M.sizeshape(r.masks))
-)
+query("a30_sizeshape", Q.rounded("sizeshape"))(lambda r: rounded(M.sizeshape(r.masks)))
 query("a31_intensity", f"""SELECT {KEYS}, c, {r6('sum(v)', 'integrated')}, {r6('avg(v)', 'mean')}, {r6('stddev_pop(v)', 'std')}, {r6('min(v)', 'min')}, {r6('max(v)', 'max')}, {r6('quantile_cont(v, 0.25)', 'lower_quartile')},
  {r6('median(v)', 'median')}, {r6('quantile_cont(v, 0.75)', 'upper_quartile')}, {r6('mad(v)', 'mad')} FROM objects GROUP BY {KEYS}, c""")(lambda r: rounded(M.intensity(r.objects).drop("mass_displacement")))
-query("a31b_intensity_edge")(lambda r: rounded(M.intensity(r.objects, r.masks)))
-query("a32_feret_max", f"""SELECT {KEYS}, {r6('sqrt(max((a.y - b.y) * (a.y - b.y) + (a.x - b.x) * (a.x - b.x)))', 'feret_max')} FROM masks a JOIN masks b USING ({KEYS}) GROUP BY ALL""")(lambda r: rounded(M.feret_max(r.masks)))
-query("a32b_feret_min")(lambda r: rounded(M.feret_min(r.masks)))
-query("a33_texture", f"""WITH grey AS (SELECT {KEYS}, c, y, x, CAST(least(7, floor(coalesce((v - min(v) OVER w) / nullif(max(v) OVER w - min(v) OVER w, 0), 0) * 8)) AS INT) AS g FROM objects WINDOW w AS (PARTITION BY {KEYS}, c)),
- pairs AS (SELECT {KEYS}, c, a.g, b.g AS g2, count(*) AS n FROM grey a JOIN grey b USING ({KEYS}, c) WHERE b.y = a.y AND b.x = a.x + 1 GROUP BY ALL),
- p AS (SELECT *, n / sum(n) OVER (PARTITION BY {KEYS}, c) AS p FROM pairs)
- SELECT {KEYS}, c, {r6('sum((g - g2) * (g - g2) * p)', 'contrast')}, {r6('sum(p * p)', 'energy')}, {r6('sum(p / (1 + (g - g2) * (g - g2)))', 'homogeneity')}, {r6('-sum(p * log2(p))', 'entropy')} FROM p GROUP BY {KEYS}, c""")(
-    lambda r: rounded(M.texture(r.objects))
-)
-query("a34_radial_distribution")(lambda r: rounded(M.radial_distribution(r.objects)))
-query("a35_zernike")(lambda r: rounded(M.zernike(r.objects.where("c = 0"))))
-query("a35b_radial_zernikes")(lambda r: rounded(M.zernike(r.objects, value=F.col("v"))))
+query("a31b_intensity_edge", Q.rounded("intensity", f"{KEYS}, c"))(lambda r: rounded(M.intensity(r.objects, r.masks)))
+query("a32_feret_max", f"SELECT {KEYS}, feret_max FROM ({Q.rounded('feret')})")(lambda r: rounded(M.feret(r.masks).drop("feret_min")))
+query("a32b_feret_min", f"SELECT {KEYS}, feret_min FROM ({Q.rounded('feret')})")(lambda r: rounded(M.feret(r.masks).drop("feret_max")))
+query("a33_texture", Q.rounded("texture", f"{KEYS}, c"))(lambda r: rounded(M.texture(r.objects)))
+query("a34_radial_distribution", f"SELECT {KEYS}, c, ring, {r6('frac_at_d', 'frac_at_d')}, {r6('mean_frac', 'mean_frac')}, {r6('radial_cv', 'radial_cv')} FROM ({Q.RADIAL})")(lambda r: rounded(M.radial_distribution(r.objects)))
+query("a35_zernike", Q.rounded("zernike"))(lambda r: rounded(M.MASK_FAMILIES["zernike"](r.masks)))
+query("a35b_radial_zernikes", Q.rounded("radial_zernikes", f"{KEYS}, c"))(lambda r: rounded(M.zernike(r.objects, value=F.col("v"))))
 query("a36_pearson", f"SELECT {KEYS}, round(CASE WHEN isnan(corr(v0, v1)) THEN NULL ELSE corr(v0, v1) END, 6) + 0.0 AS pearson, {r6('regr_slope(v1, v0)', 'slope')} FROM ({PAIRS}) GROUP BY ALL HAVING count(*) > 1")(
     lambda r: rounded(M.pearson(M.two_channels(r.objects, 0, 1).withColumn("n", F.count("*").over(Window.partitionBy(*K))).where("n > 1")))
 )
@@ -123,8 +113,8 @@ query("a37_manders_fold", f"""SELECT {KEYS}, {r6('sum(CASE WHEN v1 >= t1 THEN v0
  (SELECT *, 0.15 * max(v0) OVER (PARTITION BY {KEYS}) AS t0, 0.15 * max(v1) OVER (PARTITION BY {KEYS}) AS t1 FROM (SELECT {KEYS}, y, x, abs(v0) AS v0, abs(v1) AS v1 FROM ({PAIRS}))) WHERE v0 >= t0 OR v1 >= t1 GROUP BY {KEYS}""")(
     lambda r: rounded(M.manders_fold(M.two_channels(r.objects.withColumn("v", F.abs("v")), 0, 1)))
 )
-query("a38_rwc")(lambda r: rounded(M.rwc(M.two_channels(r.objects.withColumn("v", F.abs("v")), 0, 1))))
-query("a39_costes")(lambda r: rounded(M.costes(M.two_channels(r.objects.withColumn("v", F.abs("v")), 0, 1))))
+query("a38_rwc", Q.rounded("rwc"))(lambda r: rounded(M.rwc(M.two_channels(r.objects.withColumn("v", F.abs("v")), 0, 1))))
+query("a39_costes", Q.rounded("costes"))(lambda r: rounded(M.costes(M.two_channels(r.objects.withColumn("v", F.abs("v")), 0, 1))))
 
 _TREE = [(None, None, "None", "None", "area"), (0, None, "None", "max", "mean"), (1, None, "None", "max", "median"), (0, 1, "add", "max", "mean")]
 MEASURED = f"""SELECT {KEYS}, 'None/None/area' AS metric, CAST(count(*) AS DOUBLE) AS value FROM masks GROUP BY {KEYS}
@@ -142,7 +132,14 @@ def wide(r: Relations) -> DataFrame:
 
 
 query("a50_profile", PROFILE)(wide)
-query("u06_default_profile", PROFILE)(lambda r: rounded(P.profile(M.measure(r.masks, r.pixels, M.default_instructions([0, 1])), NAMES)))
+STANDARD, STANDARD_NAMES = Q.standard()
+
+
+def standard_profile(r: Relations) -> DataFrame:
+    return rounded(P.profile(M.measure(r.masks, r.pixels, M.default_instructions([0, 1])), STANDARD_NAMES))
+
+
+query("u06_default_profile", STANDARD)(standard_profile)
 query("o06_metric_order", f"SELECT metric, CAST(row_number() OVER (ORDER BY metric) AS INT) AS place FROM (SELECT DISTINCT metric FROM ({MEASURED}))")(
     lambda r: M.measure(r.masks, r.pixels, _TREE).select("metric").distinct().withColumn("place", F.row_number().over(Window.orderBy("metric")))  # one row for each metric
 )
@@ -488,4 +485,4 @@ def _(r: Relations) -> DataFrame:
     return P.read_table(r.spark, P.write_table(df, P.new_folder(r.spark, "snapshots"), ["tp_back"]), df)
 
 
-FLAGSHIP = QUERIES["a50_profile"]
+FLAGSHIP = QUERIES["u06_default_profile"]

@@ -1,6 +1,7 @@
 """Measurements of drawn shapes, whose values are known, and of odd inputs."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -40,9 +41,8 @@ def test_sizeshape_of_disk_and_ellipse(spark):
     assert found[1].major_axis == pytest.approx(30, rel=0.02) and found[1].eccentricity < 0.1
     assert found[2].major_axis == pytest.approx(48, rel=0.02) and found[2].minor_axis == pytest.approx(24, rel=0.02)
     assert found[2].eccentricity == pytest.approx(math.sqrt(0.75), rel=0.02)
-    feret = {r.label: r.feret_min for r in features.feret_min(df).collect()}
-    assert feret[2] == pytest.approx(24, abs=1)
-    assert {r.label: r.feret_max for r in features.feret_max(df).collect()}[2] == pytest.approx(48, abs=1)
+    feret = {r.label: r for r in features.feret(df).collect()}
+    assert feret[2].feret_min == pytest.approx(24, abs=1) and feret[2].feret_max == pytest.approx(48, abs=1)
 
 
 def test_distance_map_forms_agree(spark):
@@ -73,12 +73,86 @@ def test_metrics_of_constant_and_zero_objects(spark):
     assert features.mask_metrics(masks.limit(0), ["area"]).count() == 0
 
 
-def test_nucleus_estimate_is_largest_at_the_spot():
-    mask = disk(20)
-    y, x = np.mgrid[: mask.shape[0], : mask.shape[1]]
-    r = math.sqrt(0.085 * mask.sum() / math.pi) / math.sqrt(-2 * math.log(0.05))
-    spot = np.exp(-((y - 21) ** 2 + (x - 21) ** 2) / (2 * r * r))
-    assert features.nucleus_estimate(spot, mask) > 3 * features.nucleus_estimate(np.ones(mask.shape) + 0.05 * spot, mask)
+def test_distances_are_exact_and_fast():
+    rng = np.random.default_rng(0)
+    for shape in ((1, 1), (1, 9), (9, 1), (13, 17), (20, 8)):
+        for share in (0.0, 0.3, 0.9, 1.0):
+            mask = rng.random(shape) < share
+            out = np.argwhere(~mask)
+            want = np.array([[np.sqrt(((out - (y, x)) ** 2).sum(axis=1).min()) if mask[y, x] and len(out) else 0 for x in range(shape[1])] for y in range(shape[0])])
+            assert np.allclose(features.distances(mask), want)
+    began = time.time()
+    assert features.distances(np.pad(disk(500), 1)).max() == pytest.approx(500, abs=2)
+    assert time.time() - began < 20  # some seconds on a busy machine
+
+
+def brute_convolution(image, kernel):
+    out = np.zeros(image.shape)
+    half = [k // 2 for k in kernel.shape]
+    for at in np.ndindex(*image.shape):
+        for k in np.ndindex(*kernel.shape):
+            src = tuple(a + h - b for a, h, b in zip(at, half, k, strict=True))
+            if all(0 <= i < n for i, n in zip(src, image.shape, strict=True)):
+                out[at] += image[src] * kernel[k]
+    return out
+
+
+def brute_estimate(image, mask, widths):
+    """The formula as it stands: n values not zero, r, sigma, a kernel that sums to one."""
+    n = np.count_nonzero(image[mask])
+    chi = -2 * math.log(1 - 0.95)
+    r = math.sqrt(0.085 * n / math.pi)
+    sigma = r / math.sqrt(chi)
+    half = math.ceil(2 * r)
+    at = np.mgrid[(slice(-half, half + 1),) * image.ndim]
+    kernel = np.exp(-sum(g**2 / (2 * w) for g, w in zip(at, widths(sigma), strict=True)))
+    kernel[kernel < np.finfo(float).eps * kernel.max()] = 0
+    kernel /= kernel.sum()
+    own = np.where(mask, image - np.median(image[mask]), 0)
+    return brute_convolution(own, kernel).max() / ((kernel**2).sum() * 0.95 * math.pi * chi * sigma**2)
+
+
+def test_localisation_by_the_formulas(spark):
+    rng = np.random.default_rng(1)
+    stack = np.round(rng.random((3, 14, 15)), 3) * (rng.random((3, 14, 15)) < 0.9)  # some values are 0
+    masks = np.zeros((14, 15), int)
+    masks[1:9, 2:9], masks[10:13, 9:15] = 1, 2
+    rows = [(1, 0, 0, int(y), int(x), int(masks[y, x])) for y, x in np.argwhere(masks)]
+    pixels = [(1, 0, 0, z, y, x, float(stack[z, y, x])) for z in range(3) for y in range(14) for x in range(15)]
+    m = spark.createDataFrame(rows, MASK)
+    p = spark.createDataFrame(pixels, "position long, tp int, c int, z int, y int, x int, value double")
+    flat = {r.label: r for r in features.localisation(m, features.reduce_z(p, "max")).collect()}
+    deep = {r.label: r for r in features.localisation_3d(m, p).collect()}
+    image = stack.max(axis=0)
+    for label in (1, 2):
+        mask = masks == label
+        r = 3 * 0.025 * np.count_nonzero(image[mask]) / 5
+        k = math.ceil(r)
+        g = np.mgrid[-k : k + 1, -k : k + 1]
+        peaks = brute_convolution(image, ((g**2).sum(axis=0) <= r * r).astype(float))[mask].max()
+        assert flat[label].small_peaks_conv == pytest.approx(peaks, abs=1e-9)
+        assert flat[label].nuc_est_conv == pytest.approx(brute_estimate(image, mask, lambda s: (s * s, s * s)), abs=1e-9)
+        whole = np.broadcast_to(mask, stack.shape)
+        assert deep[label].nuc_conv_3d == pytest.approx(brute_estimate(stack, whole, lambda s: (s * 0.6 / 0.23, s, s)), abs=1e-9)
+
+
+def test_every_family_can_be_asked_for(spark):
+    rng = np.random.default_rng(2)
+    masks = spark.createDataFrame(rows_of(disk(4), 1) + [(1, 0, 0, 20, 20, 2)], MASK)
+    pixels = spark.createDataFrame([(1, 0, c, 0, y, x, float(rng.random())) for c in (0, 1) for y in range(24) for x in range(24)], "position long, tp int, c int, z int, y int, x int, value double")
+    asked = [(None, None, "None", "None", m) for m in [*features.MASK_METRICS, *features.MASK_FAMILIES]]
+    asked += [(c, None, "None", "max", m) for c in (0, 1) for m in [*features.PIXEL_METRICS, *features.CHANNEL_FAMILIES, "feret", "zernike"]]
+    asked += [(0, 1, "None", "max", m) for m in features.PAIR_FAMILIES] + [(0, 1, "add", "max", "mean")]
+    found = features.measure(masks, pixels, asked, {"intensity": {"edge_measurements": False}, "zernike": {"degree": 2}, "texture": {"levels": 4}}).collect()
+    metrics = {r.metric for r in found}
+    assert {r.metric for r in found if r.label == 1} == metrics  # a lone pixel has no texture, and no metric of it
+    families = {m.split("/")[-2] for m in metrics}
+    assert set(features.MASK_FAMILIES) | set(features.CHANNEL_FAMILIES) | set(features.PAIR_FAMILIES) <= families
+    assert "0/max/intensity/mean" in metrics and not any("edge" in m for m in metrics)
+    assert "1/max/zernike/zernike_2_2" in metrics and "1/max/zernike/zernike_3_1" not in metrics
+    value = {(r.label, r.metric): r.value for r in found}
+    assert value[2, "None/None/area"] == 1 and value[2, "(0, 1)/None/max/pearson/pearson"] is None
+    assert value[1, "0/max/intensity/mean"] == pytest.approx(value[1, "0/max/mean"])
 
 
 def test_phase_shift():
