@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -102,19 +103,26 @@ def phase_shift(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 
 
 def drift(pixels: DataFrame, c: int = 0, z: int = 0) -> DataFrame:
-    """position, tp, dy, dx against the frame before; a first frame has none. Pairs of frames are independent."""
-    planes = pixels.where((F.col("c") == c) & (F.col("z") == z)).groupBy("position", "tp").agg(F.transform(F.sort_array(F.collect_list(F.struct("y", "x", "value"))), lambda s: s["value"]).alias("v"), F.max("x").alias("w"))
+    """position, tp, dy, dx against the frame before; a first frame has none. Missing pixels are 0; two frames of different
+    size are compared on the larger. Pairs of frames are independent."""
+    planes = pixels.where((F.col("c") == c) & (F.col("z") == z)).groupBy("position", "tp").agg(F.collect_list(F.struct("y", "x", F.coalesce("value", F.lit(0.0)).alias("value"))).alias("v"))
     before = F.lag("v").over(Window.partitionBy("position").orderBy("tp"))
 
-    @F.pandas_udf("struct<dy: double, dx: double>")
-    def shift(v: pd.Series, u: pd.Series, w: pd.Series) -> pd.DataFrame:
+    def placed(*frames: Any) -> list[np.ndarray]:
+        points = [np.array([tuple(p.values()) if isinstance(p, dict) else tuple(p) for p in f], float) for f in frames]
+        shape = np.max([p[:, :2].max(axis=0) for p in points], axis=0).astype(int) + 1
         out = []
-        for a, b, n in zip(v, u, w, strict=True):
-            now = np.asarray(a, float).reshape(-1, int(n) + 1)
-            out.append((0.0, 0.0) if b is None else phase_shift(np.asarray(b, float).reshape(now.shape), now))
+        for p in points:
+            out.append(np.zeros(shape))
+            out[-1][p[:, 0].astype(int), p[:, 1].astype(int)] = p[:, 2]
+        return out
+
+    @F.pandas_udf("struct<dy: double, dx: double>")
+    def shift(v: pd.Series, u: pd.Series) -> pd.DataFrame:
+        out = [(0.0, 0.0) if b is None else phase_shift(*placed(b, a)) for a, b in zip(v, u, strict=True)]
         return pd.DataFrame(out, columns=["dy", "dx"]).astype(float)
 
-    rows = planes.withColumn("u", before).withColumn("s", shift("v", "u", "w"))
+    rows = planes.withColumn("u", before).withColumn("s", shift("v", "u"))
     return rows.select("position", "tp", "s.dy", "s.dx")
 
 

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only where none is configured."""
+    """The checkpoint folder of the session; a temporary one serves only where all run on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     kept = spark.sparkContext._jsc.sc().getCheckpointDir()
     if kept.isEmpty():
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         kept = spark.sparkContext._jsc.sc().getCheckpointDir()
     return kept.get().rstrip("/")
@@ -25,6 +28,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def running_total(df: DataFrame, order: list[Column | str], value: Column, name: str) -> DataFrame:
+    """df with the sum of value over all rows before, in the order of columns that no two rows share: ranges of rows are
+    summed apart, and one row for each range is ordered."""
+    ranged = df.withColumn("_value", value).repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    kept = checkpointed(ranged)  # ranges are drawn by a sample, so they are kept
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = kept.groupBy("_part").agg(F.sum("_value").alias("_sum")).select("_part", F.coalesce(F.sum("_sum").over(upto), F.lit(0)).alias("_first"))
+    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = kept.withColumn("_own", F.coalesce(F.sum("_value").over(within), F.lit(0))).join(sums, "_part")
+    return placed.withColumn(name, F.col("_first") + F.col("_own")).drop("_part", "_value", "_own", "_first")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its least node) of the edges (a, b).
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opalgrid.operators.graphs import components
+from opalgrid.operators.graphs import components, running_total
 
 CELL = ["trap", "cell_label"]
 
@@ -67,16 +67,16 @@ def max_labels(info: DataFrame, until: int | None = None) -> DataFrame:
 
 
 def label_offsets(info: DataFrame) -> DataFrame:
-    """Cells of each trap and how many the traps before it have. One row for each trap is ordered, never the cells."""
+    """Cells of each trap and how many the traps before it have. Ranges of traps are summed apart."""
     n = info.groupBy("trap").agg(F.count_distinct("cell_label").alias("cells"))
-    before = Window.orderBy("trap").rowsBetween(Window.unboundedPreceding, -1)
-    return n.withColumn("offset", F.coalesce(F.sum("cells").over(before), F.lit(0)))
+    return running_total(n, ["trap"], F.col("cells"), "offset")
 
 
 def located(index: DataFrame, offsets: DataFrame) -> DataFrame:
-    """index (idx from 0) with trap and label: the last trap whose offset is below idx + 1."""
-    found = index.join(F.broadcast(offsets), F.col("offset") < F.col("idx") + 1).groupBy("idx").agg(F.max_by(F.struct("trap", "offset"), F.struct("offset", "trap")).alias("t"))
-    return found.select("idx", F.col("t.trap").alias("trap"), (F.col("idx") - F.col("t.offset") + 1).cast("int").alias("cell_label"))
+    """index (idx from 0) with trap and label. Each trap's numbers are listed, so that they are looked up by equality."""
+    last = F.col("offset") + F.col("cells") - 1
+    listed = offsets.where("cells > 0").select("trap", "offset", F.explode(F.sequence("offset", last)).alias("idx"))
+    return index.join(listed, "idx").select("idx", "trap", (F.col("idx") - F.col("offset") + 1).cast("int").alias("cell_label"))
 
 
 def last_mothers(info: DataFrame) -> DataFrame:
@@ -91,7 +91,7 @@ def mothers_daughters(info: DataFrame) -> DataFrame:
 
 def mother_bud_pairs(info: DataFrame) -> DataFrame:
     """Row and column of the true cells of the bud-by-mother matrix, in numbers over all traps."""
-    pairs = mothers_daughters(info).join(F.broadcast(label_offsets(info)), "trap")
+    pairs = mothers_daughters(info).join(label_offsets(info), "trap")
     return pairs.select((F.col("offset") + F.col("daughter") - 1).alias("bud"), (F.col("offset") + F.col("mother") - 1).alias("mother_index"))
 
 
@@ -135,9 +135,9 @@ def pairs_over_time(info: DataFrame, back: int) -> DataFrame:
 
 
 def round_robin(rows: DataFrame, key: str, n: int) -> DataFrame:
-    """Distinct keys in order, each with a worker: its place modulo n. Keys are few (positions)."""
-    place = F.row_number().over(Window.orderBy(key)) - 1
-    return rows.select(key).distinct().withColumn("worker", F.pmod(place, F.lit(n)))
+    """Distinct keys in order, each with a worker: its place modulo n."""
+    placed = running_total(rows.select(key).distinct(), [key], F.lit(1), "_place")
+    return placed.select(key, F.pmod("_place", F.lit(n)).cast("int").alias("worker"))
 
 
 # Lineage and membership ------------------------------------------------------------------------------------------------

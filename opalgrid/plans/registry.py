@@ -182,7 +182,11 @@ def _(r: Relations) -> DataFrame:
     return r.masks.select(*K).distinct().join(F.broadcast(metrics)).select("position", "tp", "label", "metric")  # three rows
 
 
-query("p03_filled_outlines")(lambda r: M.fill_outline(M._neighbours(r.masks, M.FOUR).where("inside < 4").select(*K, "y", "x")))
+query("p03_filled_outlines", f"""WITH RECURSIVE o AS (SELECT {KEYS}, min(y) - 1 AS ya, max(y) + 1 AS yb, min(x) - 1 AS xa, max(x) + 1 AS xb FROM masks GROUP BY {KEYS}),
+ grid AS (SELECT {KEYS}, CAST(i AS INT) AS y, CAST(j AS INT) AS x, i = ya OR i = yb OR j = xa OR j = xb AS rim FROM o, range(-1, 10) a(i), range(-1, 10) b(j) WHERE i BETWEEN ya AND yb AND j BETWEEN xa AND xb),
+ wall AS (SELECT {KEYS}, y, x FROM ({Q.RIM}) WHERE edges > 0), free AS (SELECT * FROM grid ANTI JOIN wall USING ({KEYS}, y, x)),
+ outside AS (SELECT {KEYS}, y, x FROM free WHERE rim UNION SELECT f.position, f.tile, f.tp, f.label, f.y, f.x FROM outside s JOIN free f ON f.position = s.position AND f.tile = s.tile AND f.tp = s.tp AND f.label = s.label AND abs(f.y - s.y) + abs(f.x - s.x) = 1)
+ SELECT {KEYS}, y, x FROM grid ANTI JOIN outside USING ({KEYS}, y, x)""")(lambda r: M.fill_outline(M._neighbours(r.masks, M.FOUR).where("inside < 4").select(*K, "y", "x")))
 query("w06_relabelled", f"SELECT {KEYS}, y, x, CAST(dense_rank() OVER (PARTITION BY position, tile, tp ORDER BY label) AS INT) AS new_label FROM masks WHERE label <> 2")(lambda r: B.relabelled(r.masks.where("label <> 2"), ["position", "tile", "tp"]).select(*K, "y", "x", "new_label"))
 query("w07_existing_labels", f"SELECT DISTINCT {KEYS} FROM masks")(lambda r: r.masks.select(*K).distinct())
 query("o03_top_pixels", f"SELECT {KEYS}, c, CAST(k AS INT) AS k, {r6('v', 'v')} FROM (SELECT *, row_number() OVER (PARTITION BY {KEYS}, c ORDER BY v DESC) AS k FROM objects) WHERE k <= 5")(
@@ -210,24 +214,60 @@ query("w09_tile_ranges", "SELECT position, tile, y0 - h // 2 AS top, y0 - h // 2
 WINDOWS = f"""SELECT position, tile, tp, k.c, k.z, CAST(dy AS INT) AS dy, CAST(dx AS INT) AS dx, p.value FROM ({MOVED}) m, range(0, 4) a(dy), range(0, 4) b(dx), (SELECT DISTINCT c, z FROM pixels) k
  LEFT JOIN pixels p ON p.position = m.position AND p.tp = m.tp AND p.c = k.c AND p.z = k.z AND p.y = m.y0 + dy AND p.x = m.x0 + dx"""
 query("j15_tile_pixels", f"SELECT * FROM ({WINDOWS.replace('SELECT position, tile, tp', 'SELECT m.position, m.tile, m.tp')})")(lambda r: B.window_pixels(B.centres(r.tiles, r.drifts), r.pixels))
-query("t07_padded_tiles")(lambda r: rounded(B.padded(B.window_pixels(r.tiles.join(r.drifts.select("position", "tp"), "position"), r.pixels))))
-query("t08_drift_corrected_tiles")(lambda r: rounded(B.padded(B.window_pixels(B.centres(r.tiles, r.drifts), r.pixels))))
+STILL = "SELECT t.position, t.tile, d.tp, t.y0, t.x0, t.h, t.w FROM tiles t JOIN (SELECT position, tp FROM drifts) d USING (position)"
+
+
+def padded_sql(windows: str) -> str:
+    """Windows with columns' medians, then rows', where the image ends; null where a side lacks more than a quarter."""
+    rows = WINDOWS.replace(MOVED, windows).replace("SELECT position, tile, tp", "SELECT m.position, m.tile, m.tp")
+    side = lambda a: f"min({a}) FILTER (value IS NOT NULL) OVER w AS low_{a}, 3 - max({a}) FILTER (value IS NOT NULL) OVER w AS high_{a}"
+    lacks = " OR ".join(f"coalesce({e}_{a} > 1, true)" for a in ("dy", "dx") for e in ("low", "high"))
+    return f"""WITH p AS ({rows}), s AS (SELECT *, {side('dy')}, {side('dx')}, coalesce(value, median(value) OVER (PARTITION BY position, tile, tp, c, z, dx)) AS v FROM p WINDOW w AS (PARTITION BY position, tile, tp, c, z)),
+ f AS (SELECT *, coalesce(v, median(v) OVER (PARTITION BY position, tile, tp, c, z, dy)) AS filled FROM s)
+ SELECT position, tile, tp, c, z, dy, dx, round(CASE WHEN NOT ({lacks}) THEN filled END, 6) + 0.0 AS value FROM f"""
+
+
+query("t07_padded_tiles", padded_sql(STILL))(lambda r: rounded(B.padded(B.window_pixels(r.tiles.join(r.drifts.select("position", "tp"), "position"), r.pixels))))
+query("t08_drift_corrected_tiles", padded_sql(MOVED))(lambda r: rounded(B.padded(B.window_pixels(B.centres(r.tiles, r.drifts), r.pixels))))
 query("t09_single_tile", "SELECT DISTINCT position, 4 AS cy, 4 AS cx, 4 AS size FROM pixels")(lambda r: r.pixels.select("position").distinct().select("position", *[F.lit(v).alias(n) for n, v in zip(("cy", "cx", "size"), B.single_tile(8, 8, 4), strict=True)]))
 query("p11_inner_centres", "SELECT position, tp, y, x FROM pixels WHERE c = 0 AND z = 0 AND value > 0.2 AND y > 2 AND y < 6 AND x > 2 AND x < 6")(lambda r: B.inner_centres(r.pixels.where("c = 0 AND z = 0 AND value > 0.2").select("position", "tp", "y", "x"), 2, 8))
-query("t10_otsu")(lambda r: rounded(B.otsu(r.pixels)))
+query("t10_otsu", f"""WITH s AS (SELECT position, tp, c, z, value, min(value) OVER w AS low, max(value) OVER w AS high FROM pixels WINDOW w AS (PARTITION BY position, tp, c, z)),
+ n AS (SELECT position, tp, c, z, low, high, CAST(least(15, floor(coalesce((value - low) / nullif(high - low, 0), 0) * 16)) AS INT) AS bin, count(*) AS n FROM s GROUP BY ALL),
+ u AS (SELECT *, sum(n) OVER up AS n0, sum(n * bin) OVER up AS s0, sum(n) OVER w AS na, sum(n * bin) OVER w AS sa FROM n WINDOW w AS (PARTITION BY position, tp, c, z), up AS (PARTITION BY position, tp, c, z ORDER BY bin)),
+ g AS (SELECT *, coalesce(n0 * (na - n0) * pow(s0 / n0 - (sa - s0) / nullif(na - n0, 0), 2), 0) AS between_parts FROM u)
+ SELECT position, tp, c, z, round(low + (high - low) * (arg_min(bin, (-round(between_parts, 6), bin)) + 1) / 16, 6) + 0.0 AS threshold FROM g GROUP BY position, tp, c, z, low, high""")(lambda r: rounded(B.otsu(r.pixels)))
 
 
 def bright(r: Relations) -> DataFrame:
     return r.pixels.where("c = 0 AND z = 0 AND value > 0.1").select("position", "tp", "y", "x")
 
 
-query("t11_regions")(lambda r: B.regions(bright(r), 8, 8))
-query("t12_region_filter")(lambda r: rounded(M.sizeshape(B.regions(bright(r), 8, 8).withColumn("tile", F.lit(0))).where("major_axis > 2 AND major_axis < 8")))
+REGIONS = """b AS (SELECT position, tp, y, x FROM pixels WHERE c = 0 AND z = 0 AND value > 0.1),
+ e AS (SELECT p.position, p.tp, p.y, p.x, q.y AS y2, q.x AS x2 FROM b p JOIN b q ON q.position = p.position AND q.tp = p.tp AND abs(q.y - p.y) <= 1 AND abs(q.x - p.x) <= 1),
+ reach AS (SELECT * FROM e UNION SELECT r.position, r.tp, r.y, r.x, e.y2, e.x2 FROM reach r JOIN e ON e.position = r.position AND e.tp = r.tp AND e.y = r.y2 AND e.x = r.x2),
+ named AS (SELECT position, tp, y, x, min(y2 * 8 + x2) AS k, bool_or(y2 IN (0, 7) OR x2 IN (0, 7)) AS edge FROM reach GROUP BY ALL),
+ found AS (SELECT position, tp, y, x, CAST(dense_rank() OVER (PARTITION BY position, tp ORDER BY k) AS INT) AS label FROM named WHERE NOT edge)"""
+query("t11_regions", f"WITH RECURSIVE {REGIONS} SELECT * FROM found")(lambda r: B.regions(bright(r), 8, 8))
+
+
+def kept_regions(r: Relations, tile: int = 4) -> DataFrame:
+    """Regions whose major axis lies between 2 and 8, with the centre at least half a tile from the edges."""
+    found = B.regions(bright(r), 8, 8).withColumn("tile", F.lit(0))
+    centre = found.groupBy(*K).agg(F.avg("y").alias("centre_y"), F.avg("x").alias("centre_x"))
+    inside = F.lit(True)
+    for c in ("centre_y", "centre_x"):
+        inside = inside & (F.col(c) >= tile / 2) & (F.col(c) <= 8 - tile / 2)
+    return rounded(M.sizeshape(found).where("major_axis > 2 AND major_axis < 8").join(centre.where(inside), K))
+
+
+query("t12_region_filter", f"""WITH RECURSIVE {REGIONS}, shapes AS (SELECT *, 0 AS tile FROM found)
+ SELECT * FROM ({Q.rounded('sizeshape').replace('masks', 'shapes')}) JOIN (SELECT {KEYS}, {r6('avg(y)', 'centre_y')}, {r6('avg(x)', 'centre_x')} FROM shapes GROUP BY {KEYS}) USING ({KEYS})
+ WHERE major_axis > 2 AND major_axis < 8 AND centre_y BETWEEN 2 AND 6 AND centre_x BETWEEN 2 AND 6""")(kept_regions)
 query("t13_mean_template", """WITH centres AS (SELECT position, tp, y, x FROM pixels WHERE c = 0 AND z = 0 AND value > 0.2 AND y BETWEEN 1 AND 6 AND x BETWEEN 1 AND 6)
  SELECT CAST(p.y - s.y + 1 AS INT) AS dy, CAST(p.x - s.x + 1 AS INT) AS dx, round(avg(p.value), 6) + 0.0 AS value FROM centres s JOIN pixels p ON p.position = s.position AND p.tp = s.tp AND abs(p.y - s.y) <= 1 AND abs(p.x - s.x) <= 1 GROUP BY 1, 2""")(
     lambda r: rounded(B.mean_template(r.pixels.where("c = 0 AND z = 0 AND value > 0.2").select("position", "tp", "y", "x"), r.pixels, 1))
 )
-query("t14_local_maxima")(lambda r: rounded(B.local_maxima(M.reduce_z(r.pixels, "max"))))
+query("t14_local_maxima", f"SELECT a.position, a.tp, a.c, a.y, a.x, {r6('a.v', 'v')} FROM flat a WHERE NOT EXISTS (SELECT 1 FROM flat b WHERE b.position = a.position AND b.tp = a.tp AND b.c = a.c AND abs(b.y - a.y) <= 1 AND abs(b.x - a.x) <= 1 AND (b.v > a.v OR (b.v = a.v AND (b.y, b.x) < (a.y, a.x))))")(lambda r: rounded(B.local_maxima(M.reduce_z(r.pixels, "max"))))
 query("t15_flattened_labels", f"""SELECT position, tile, tp, y, x, label, CAST(dense_rank() OVER (PARTITION BY position, tile, tp ORDER BY label) AS INT) AS new_label FROM
  (SELECT position, tile, tp, y, x, max(label) AS label FROM (SELECT * FROM masks UNION ALL SELECT * REPLACE (label + 1 AS label) FROM masks WHERE x = 3) GROUP BY ALL)""")(lambda r: B.flattened_labels(r.masks.unionByName(r.masks.where("x = 3").withColumn("label", F.col("label") + 1))))
 query("t16_projection", f"SELECT position, tp, c, y, x, {r6('v', 'v')} FROM flat")(lambda r: rounded(M.reduce_z(r.pixels, "max")))
@@ -241,7 +281,10 @@ query("s24_tile_sheet", "SELECT position, tp, c, z, CAST((y // 4) * 2 + x // 4 A
 query("s07_aligned_dimensions", "SELECT position, 0 AS tp, c, 0 AS z, y, x, value FROM pixels WHERE tp = 0 AND z = 0")(lambda r: C.aligned(r.pixels.where("tp = 0 AND z = 0"), "CYX"))
 query("p07_selected_tiles", "SELECT position, tp, c, z, y, x, value FROM pixels WHERE tp = 2 AND c IN (0, 1) AND z = 1")(lambda r: r.pixels.where((F.col("tp") == 2) & F.col("c").isin(0, 1) & (F.col("z") == 1)))
 query("p08_channel_order", f"SELECT position, tp, c, y, x, {r6('v', 'v')}, CAST(1 - c AS INT) AS ord FROM flat")(lambda r: rounded(P.chosen_channels(M.reduce_z(r.pixels, "max"), [1, 0])))
-query("u04_segmented")(lambda r: B.segmented(M.reduce_z(r.pixels, "max"), B.threshold_labels, 0))
+query("u04_segmented", """WITH RECURSIVE b AS (SELECT position, tp, y, x FROM (SELECT *, avg(v) OVER (PARTITION BY position, tp) AS m FROM flat WHERE c = 0) WHERE v > m),
+ e AS (SELECT p.position, p.tp, p.y, p.x, q.y AS y2, q.x AS x2 FROM b p JOIN b q ON q.position = p.position AND q.tp = p.tp AND abs(q.y - p.y) <= 1 AND abs(q.x - p.x) <= 1),
+ reach AS (SELECT * FROM e UNION SELECT r.position, r.tp, r.y, r.x, e.y2, e.x2 FROM reach r JOIN e ON e.position = r.position AND e.tp = r.tp AND e.y = r.y2 AND e.x = r.x2)
+ SELECT position, 0 AS tile, tp, y, x, CAST(dense_rank() OVER (PARTITION BY position, tp ORDER BY k) AS INT) AS label FROM (SELECT position, tp, y, x, min(y2 * 8 + x2) AS k FROM reach GROUP BY ALL)""")(lambda r: B.segmented(M.reduce_z(r.pixels, "max"), B.threshold_labels, 0))
 
 # Files and logs --------------------------------------------------------------------------------------------------------
 
@@ -250,7 +293,8 @@ def captured(r: Relations) -> DataFrame:
     return C.captures(r.files, NAME, "WFC")
 
 
-query("s01_scan")(lambda r: C.scan(r.spark, r.folder, "*.parquet").select(F.element_at(F.split("path", "/"), -1).alias("name"), "length"))
+query("s01_scan", "SELECT path, split_part(path, '/', -1) AS name FROM files WHERE regexp_matches(split_part(path, '/', -1), '^img__A[^/]*view\\.tif$')")(lambda r: C.matching(r.files, "img__A*view.tif").select("path", "name"))
+query("s01b_listing")(lambda r: C.scan(r.spark, r.folder, "*.parquet").select(F.element_at(F.split("path", "/"), -1).alias("name"), "length"))
 query("s02_captures", "SELECT path, well, field, channel FROM captures")(lambda r: captured(r).select("path", F.col("W").alias("well"), F.col("F").alias("field"), F.col("C").alias("channel")))
 query("s03_positions", "SELECT concat_ws('__', well, field) AS position, list(path ORDER BY channel, path) AS paths FROM captures GROUP BY 1")(lambda r: C.positions(captured(r), "WFC"))
 query("s04_dimensions", "SELECT concat_ws('__', well, field) AS position, CAST(count(*) AS BIGINT) AS n_files, CAST(count(DISTINCT channel) AS BIGINT) AS \"n_C\", count(*) = count(DISTINCT channel) AS complete FROM captures GROUP BY 1")(lambda r: C.dimensions(captured(r), "WFC"))
@@ -271,7 +315,7 @@ query("p09_first_channel", "SELECT arg_min(name, ord) AS name, min(ord) AS ord F
 )
 query("x03_position_key", "SELECT path, concat_ws('__', well, field) AS position FROM captures")(lambda r: captured(r).select("path", C.position_key("WFC").alias("position")))
 query("x17_stems", r"SELECT path, regexp_replace(split_part(path, '/', -1), '\.[^.]*$', '') AS stem FROM files")(lambda r: r.files.select("path", C.stem().alias("stem")))
-query("o01_multisort", "SELECT path, CAST(row_number() OVER (ORDER BY field, well, channel, path) AS INT) AS place FROM captures")(lambda r: captured(r).select("path", F.row_number().over(Window.orderBy("F", "W", "C", "path")).alias("place")))
+query("o01_multisort", "SELECT path, CAST(row_number() OVER (ORDER BY field, well, channel, path) AS BIGINT) AS place FROM captures")(lambda r: G.running_total(captured(r), ["F", "W", "C", "path"], F.lit(1), "before").select("path", (F.col("before") + 1).alias("place")))
 query("w14_round_robin", "SELECT position, CAST((row_number() OVER (ORDER BY position) - 1) % 3 AS INT) AS worker FROM (SELECT DISTINCT position FROM pixels)")(lambda r: T.round_robin(r.pixels, "position", 3))
 query("s16_sections", f"""SELECT file, line, text, CASE WHEN count(*) FILTER (text LIKE '-----Acq%') OVER (PARTITION BY file ORDER BY line) > 0 THEN 'acquisition' ELSE '' END AS section, text LIKE '-----Acq%' AS is_marker FROM log_lines""")(lambda r: L.sections(r.log_lines, [("acquisition", f"^{L.ACQUISITION}")]))
 HEADS = "SELECT *, count(*) FILTER (text LIKE '-----Acq%') OVER (PARTITION BY file ORDER BY line) AS k FROM log_lines"
@@ -286,12 +330,28 @@ query("x10_numbers", r"SELECT file, 'interval' AS word, CAST(arg_min(regexp_extr
 query("p16_minimal_metadata", r"""SELECT file, list_distinct(list(split_part(text, ',', 1)) FILTER (text LIKE 'GFP,GFP,%')) AS channels, CAST(NULL AS BIGINT) AS ntimepoints, CAST(arg_min(regexp_extract(text, 'interval:\s*(\d+)', 1), line) FILTER (text LIKE 'interval:%') AS BIGINT) AS timeinterval
  FROM log_lines GROUP BY 1""")(lambda r: L.minimal(r.log_lines, ["GFP"]))
 GRAMMAR = [
-    {"name": "acquisition", "start": f"^{L.ACQUISITION}", "kind": "table", "columns": ["a", "b", "c", "exposure", "rest"]},
-    {"name": "run", "start": "^Run Name: 1", "kind": "regex", "fields": {"interval": r"interval: (\d+)"}},
+    {"name": "acquisition", "startswith": "-----Acq", "kind": "table", "header": False, "columns": [("channel", "str"), ("pair", "str"), ("skip", "int"), ("exposure", "int"), ("rest", "str")]},
+    {"name": "run", "startswith": "Run Name: 1", "kind": "regex", "regex": r"interval: (\d+)", "map": "int", "next_section": "after"},
+    {"name": "after", "kind": "list", "map": "str"},
+    {"name": "other", "contains": "Name: 2", "kind": "text"},
+    {"name": "low", "endswith": "LOW", "kind": "regexs", "regex": r"(\d)", "map": "int"},
 ]
-query("s17_grammar")(lambda r: L.by_grammar(r.log_lines, GRAMMAR))
-query("s28_legacy_metadata")(lambda r: L.flattened(L.by_grammar(r.log_lines, GRAMMAR)))
-query("x04_flattened")(lambda r: L.flattened(L.by_grammar(r.log_lines, GRAMMAR[:1])))
+PARSED = r"""m AS (SELECT file, line, trim(text) AS text, CASE WHEN starts_with(trim(text), '-----Acq') THEN 'acquisition' WHEN starts_with(trim(text), 'Run Name: 1') THEN 'run' WHEN contains(text, 'Name: 2') THEN 'other' WHEN ends_with(trim(text), 'LOW') THEN 'low' END AS mark FROM log_lines WHERE trim(text) <> ''),
+ b AS (SELECT *, count(mark) OVER (PARTITION BY file ORDER BY line) AS block FROM m),
+ s AS (SELECT *, first_value(mark) OVER (PARTITION BY file, block ORDER BY line) AS section FROM b WHERE block > 0),
+ hit AS (SELECT file, block, min(line) AS first FROM s WHERE section = 'run' AND regexp_matches(text, 'interval: (\d+)') GROUP BY ALL),
+ cells AS (SELECT file, line, string_split(text, ',') AS f FROM s WHERE section = 'acquisition' AND mark IS NULL AND len(string_split(text, ',')) >= 5),
+ after AS (SELECT s.file, s.line, string_split(s.text, ',') AS f FROM s JOIN hit USING (file, block) WHERE s.line > hit.first),
+ low AS (SELECT file, line, regexp_extract_all(CASE WHEN mark IS NULL THEN text ELSE left(text, length(text) - 3) END, '(\d)', 1) AS f FROM s WHERE section = 'low'),
+ parsed AS (SELECT file, 'acquisition' AS section, line, CAST(i AS INT) AS pos, k AS key, trim(CASE WHEN i < 4 THEN f[i + 1] ELSE array_to_string(list_transform(f[5:], lambda v: trim(v)), ',') END) AS value, t AS type FROM cells, (VALUES (0, 'channel', 'str'), (1, 'pair', 'str'), (2, 'skip', 'int'), (3, 'exposure', 'int'), (4, 'rest', 'str')) k(i, k, t)
+  UNION ALL SELECT file, 'run', max(line), 0, 'match', arg_max(v, line), 'int' FROM (SELECT s.file, s.line, regexp_extract(s.text, 'interval: (\d+)', 1) AS v FROM s JOIN hit ON hit.file = s.file AND hit.block = s.block AND hit.first = s.line) GROUP BY file
+  UNION ALL SELECT file, 'after', line, CAST(i AS INT), 'list', trim(f[i + 1]), 'str' FROM after, range(0, 40) r(i) WHERE i < len(f)
+  UNION ALL SELECT file, 'other', line, 0, 'text', text, 'str' FROM s WHERE section = 'other' AND mark IS NULL
+  UNION ALL SELECT file, 'low', line, CAST(i AS INT), 'match', f[i + 1], 'int' FROM low, range(0, 40) r(i) WHERE i < len(f))"""
+META = "SELECT file, map_from_entries(list(ROW(k, v) ORDER BY k)) AS meta FROM (SELECT file, concat_ws('/', section, key) AS k, coalesce(arg_max(value, line * 100 + pos), '0') AS v FROM parsed WHERE section IN ({sections}) GROUP BY 1, 2) GROUP BY 1"
+query("s17_grammar", f"WITH {PARSED} SELECT * FROM parsed")(lambda r: L.by_grammar(r.log_lines, GRAMMAR))
+query("s28_legacy_metadata", f"WITH {PARSED} {META.format(sections="'acquisition', 'run', 'after', 'other', 'low'")}")(lambda r: L.flattened(L.by_grammar(r.log_lines, GRAMMAR)))
+query("x04_flattened", f"WITH {PARSED} {META.format(sections="'acquisition'")}")(lambda r: L.flattened(L.by_grammar(r.log_lines, GRAMMAR).where("section = 'acquisition'")))
 query("x05_epoch", "SELECT o_orderkey, CAST(epoch(o_orderdate::TIMESTAMP) AS BIGINT) - CASE WHEN timezone('Europe/London', o_orderdate::TIMESTAMP) = timezone('UTC', o_orderdate::TIMESTAMP) THEN 0 ELSE 3600 END AS seconds FROM orders")(
     lambda r: r.table("orders").select("o_orderkey", L.epoch(F.date_format("o_orderdate", "yyyy-MM-dd"), "yyyy-MM-dd").alias("seconds"))
 )
@@ -336,12 +396,23 @@ query("j09_apply_merges", f"""WITH m AS ({SINGLES}), ok AS (SELECT DISTINCT a.pa
  cut AS (SELECT ok.*, (SELECT max(tp) FROM signals s WHERE s.path = ok.path AND s.trap = ok.trap AND s.cell_label = ok.left_label AND s.value > 0) AS at FROM ok)
  SELECT s.path, s.trap, s.cell_label, s.tp, s.value FROM signals s WHERE NOT EXISTS (SELECT 1 FROM cut c WHERE c.path = s.path AND c.trap = s.trap AND (c.right_label = s.cell_label OR (c.left_label = s.cell_label AND s.tp > c.at)))
  UNION ALL SELECT s.path, s.trap, c.left_label, s.tp, s.value FROM signals s JOIN cut c ON c.path = s.path AND c.trap = s.trap AND c.right_label = s.cell_label WHERE s.tp > c.at""")(lambda r: T.apply_merges(r.signals, r.merges.where("left_label % 4 = 1 AND left_label % 8 <> 1")))
-query("j09b_apply_chains")(lambda r: T.apply_merges(r.signals, r.merges))
+query("j09b_apply_chains", """WITH RECURSIVE tr AS (SELECT DISTINCT path, trap, cell_label FROM signals), one AS (SELECT trap, left_label, min(right_label) AS right_label FROM merges GROUP BY ALL),
+ ok AS (SELECT a.path, o.* FROM one o JOIN tr a ON a.trap = o.trap AND a.cell_label = o.left_label JOIN tr b ON b.path = a.path AND b.trap = o.trap AND b.cell_label = o.right_label),
+ up AS (SELECT path, trap, right_label AS label, left_label AS start FROM ok UNION ALL SELECT up.path, up.trap, up.label, ok.left_label FROM up JOIN ok ON ok.path = up.path AND ok.trap = up.trap AND ok.right_label = up.start),
+ starts AS (SELECT path, trap, label, min(start) AS start FROM up GROUP BY ALL),
+ p AS (SELECT s.*, coalesce(start, s.cell_label) AS start FROM signals s LEFT JOIN starts t ON t.path = s.path AND t.trap = s.trap AND t.label = s.cell_label),
+ cut AS (SELECT path, trap, start, cell_label, max(tp) FILTER (value > 0) AS cut FROM p GROUP BY ALL),
+ k AS (SELECT *, max(cut) OVER (PARTITION BY path, trap, start ORDER BY cell_label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS begin, cell_label = max(cell_label) OVER (PARTITION BY path, trap, start) AS last FROM cut)
+ SELECT path, trap, CAST(start AS INT) AS cell_label, tp, arg_max(value, cell_label) AS value FROM p JOIN k USING (path, trap, start, cell_label)
+ WHERE (begin IS NULL OR tp > begin) AND (last OR cut IS NULL OR tp <= cut) GROUP BY path, trap, start, tp""")(lambda r: T.apply_merges(r.signals, r.merges))
 LINKS = """SELECT position, tile, tp, label, previous, iou FROM (SELECT *, row_number() OVER (PARTITION BY position, tile, tp, label ORDER BY iou DESC, previous) AS k FROM (SELECT s.position, s.tile, s.tp, s.label, s.previous, s.i / (a.n + b.n - s.i) AS iou FROM
  (SELECT m.position, m.tile, m.tp, m.label, p.label AS previous, count(*) AS i FROM masks m JOIN masks p ON p.position = m.position AND p.tile = m.tile AND p.tp = m.tp - 1 AND p.y = m.y AND p.x = m.x GROUP BY ALL) s
  JOIN sizes a ON a.position = s.position AND a.tile = s.tile AND a.tp = s.tp AND a.label = s.label JOIN sizes b ON b.position = s.position AND b.tile = s.tile AND b.tp = s.tp - 1 AND b.label = s.previous)) WHERE k = 1 AND iou >= 0.25"""
 query("j10_overlap_links", f"SELECT position, tile, tp, label, previous, {r6('iou', 'iou')} FROM ({LINKS})")(lambda r: rounded(T.overlap_links(r.masks)))
-query("j10b_track_ids")(lambda r: T.track_ids(r.masks))
+query("j10b_track_ids", f"""WITH RECURSIVE l AS (SELECT position, tile, tp, label, previous FROM (SELECT *, row_number() OVER (PARTITION BY position, tile, tp, previous ORDER BY iou DESC, label) AS k FROM ({LINKS})) WHERE k = 1),
+ t AS (SELECT position, tile, tp, label, tp AS tp0, label AS label0 FROM (SELECT DISTINCT {KEYS} FROM masks) ANTI JOIN l USING ({KEYS})
+  UNION ALL SELECT l.position, l.tile, l.tp, l.label, t.tp0, t.label0 FROM t JOIN l ON l.position = t.position AND l.tile = t.tile AND l.tp = t.tp + 1 AND l.previous = t.label)
+ SELECT position, tile, tp, label, format('{{}}/{{}}/{{:06d}}/{{:06d}}', position, tile, tp0, label0) AS track FROM t""")(lambda r: T.track_ids(r.masks))
 TRACKING = "SELECT tile, tp, unnest(cell_label) AS cell_label, mother_assign FROM frames"
 query("j11_tracking_table", f"SELECT tile, tp, cell_label, coalesce(mother_assign[cell_label], 0) AS mother_label FROM ({TRACKING})")(lambda r: T.tracking_table(r.frames))
 query("j12_consecutives", "SELECT a.trap, a.cell_label, a.timepoint, b.timepoint AS later FROM cell_info a JOIN cell_info b ON b.trap = a.trap AND b.cell_label = a.cell_label AND b.timepoint = a.timepoint + 2")(lambda r: T.consecutives(r.cell_info, 1))
@@ -356,7 +427,7 @@ query("s27_modifiers", "SELECT trap, mother_label, daughter_label, CASE WHEN tra
 query("a51_overlap_profile", f"SELECT {KEYS}, {r6('avg(v)', 'mean')} FROM objects WHERE c = 0 GROUP BY {KEYS}")(
     lambda r: rounded(P.overlap_profile(M.pixel_metrics(r.objects.where("c = 0").withColumn("label", F.col("label") + 100), ["mean"]).selectExpr(*K, "'mean' AS metric", "mean AS value"), r.masks.select("position", "tile", "tp", (F.col("label") + 100).alias("label"), F.col("label").alias("old_label")).distinct(), ["mean"]))
 )
-query("a52_expanded_vectors", "SELECT tile, tp, label, " + ", ".join(f'round(CAST(vec[{i + 1}] AS DOUBLE), 6) + 0.0 AS "X_{i}"' for i in range(8)) + " FROM vectors")(lambda r: rounded(P.expanded(r.vectors, 8)))
+query("a52_expanded_vectors", "SELECT tile, tp, label, " + ", ".join(f'round(CAST(vec[{i + 1}] AS DOUBLE), 6) + 0.0 AS "X_{i}"' for i in range(64)) + " FROM vectors")(lambda r: rounded(P.expanded(r.vectors, 64)))
 query("a53_max_labels", "SELECT trap, max(cell_label) AS max_label FROM cell_info GROUP BY 1")(lambda r: T.max_labels(r.cell_info))
 query("a54_max_labels_until", "SELECT trap, coalesce(max(cell_label) FILTER (timepoint <= 3), 0) AS max_label FROM cell_info GROUP BY 1")(lambda r: T.max_labels(r.cell_info, 3))
 query("a55_counts", "SELECT CAST(count(DISTINCT trap) AS BIGINT) AS ntraps, max(timepoint) + 1 AS ntimepoints FROM cell_info")(lambda r: r.cell_info.agg(F.count_distinct("trap").alias("ntraps"), (F.max("timepoint") + 1).alias("ntimepoints")))
@@ -378,16 +449,22 @@ query("w05_mothers_daughters", MD)(lambda r: T.mothers_daughters(r.cell_info))
 query("w10_latest", "SELECT position, tile, tp, y, x, label FROM masks WHERE tp >= 3")(lambda r: P.latest(r.masks, 2, ["position"]))
 query("w12_first_where", "SELECT trap, cell_label, coalesce(min(tp) FILTER (value > 50), -1) AS first FROM views GROUP BY ALL")(lambda r: T.first_where(r.signals.where("path = 'extraction/view'"), ["trap", "cell_label"], "tp", F.col("value") > 50))
 query("o02_sorted_signal", "SELECT path, trap, cell_label, tp, CAST(row_number() OVER (PARTITION BY path, tp ORDER BY trap, cell_label) AS INT) AS place FROM signals")(lambda r: r.signals.select("path", "trap", "cell_label", "tp", F.row_number().over(Window.partitionBy("path", "tp").orderBy("trap", "cell_label")).alias("place")))
-query("o04_chain_order")(lambda r: T.chain_order(r.merges))
+CHAINS = "f AS (SELECT trap, left_label, min(right_label) AS right_label FROM merges GROUP BY ALL), ends AS (SELECT trap, left_label AS label, right_label AS e FROM f UNION ALL SELECT ends.trap, ends.label, f.right_label FROM ends JOIN f ON f.trap = ends.trap AND f.left_label = ends.e), last AS (SELECT trap, label, max(e) AS e FROM ends GROUP BY ALL)"
+query("o04_chain_order", f"WITH RECURSIVE {CHAINS} SELECT m.trap, m.left_label, m.right_label, CAST(e AS INT) AS chain, CAST(row_number() OVER (PARTITION BY m.trap, e ORDER BY m.left_label) AS INT) AS depth FROM merges m JOIN last ON last.trap = m.trap AND last.label = m.left_label")(lambda r: T.chain_order(r.merges))
 query("o05_preview", "SELECT trap, cell_label FROM tracks ORDER BY trap, cell_label LIMIT 10")(lambda r: r.cell_info.select("trap", "cell_label").distinct().orderBy("trap", "cell_label").limit(10))
 query("g01_union_all", f"SELECT {KEYS}, y, x FROM masks UNION ALL SELECT {KEYS}, y, x FROM masks WHERE tp = 0")(lambda r: P.stacked(r.masks, r.masks.where("tp = 0")).select(*K, "y", "x"))
-query("g02_components", """WITH RECURSIVE e AS (SELECT trap * 1000 + left_label AS a, trap * 1000 + right_label AS b FROM merges UNION SELECT trap * 1000 + right_label, trap * 1000 + left_label FROM merges),
+query("g02_components", """WITH RECURSIVE e AS (SELECT concat(trap, '/', left_label) AS a, concat(trap, '/', right_label) AS b FROM merges UNION SELECT concat(trap, '/', right_label), concat(trap, '/', left_label) FROM merges),
  reach AS (SELECT a AS node, a AS other FROM e UNION SELECT r.node, e.b FROM reach r JOIN e ON e.a = r.other) SELECT node, min(other) AS component FROM reach GROUP BY 1""")(
-    lambda r: G.components(r.merges.select((F.col("trap") * 1000 + F.col("left_label")).alias("a"), (F.col("trap") * 1000 + F.col("right_label")).alias("b")))
+    lambda r: G.components(r.merges.select(F.format_string("%d/%d", "trap", "left_label").alias("a"), F.format_string("%d/%d", "trap", "right_label").alias("b")))
 )
-query("g02b_merged_sets")(lambda r: G.merged_sets(r.merges.select(F.col("left_label").alias("item"), F.col("trap").alias("group")), "item", "group"))
+query("g02b_merged_sets", """WITH RECURSIVE e AS (SELECT DISTINCT concat('g', trap) AS a, concat('i', left_label) AS b FROM merges), two AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+ reach AS (SELECT a AS node, a AS other FROM two UNION SELECT r.node, e.b FROM reach r JOIN two e ON e.a = r.other) SELECT CAST(substring(node, 2) AS INT) AS item, min(other) AS component FROM reach WHERE node LIKE 'i%' GROUP BY 1""")(lambda r: G.merged_sets(r.merges.select(F.col("left_label").alias("item"), F.col("trap").alias("group")), "item", "group"))
 query("g03_group_merges", "SELECT m.*, EXISTS (SELECT 1 FROM merges o WHERE o.trap = m.trap AND (o.right_label = m.left_label OR o.left_label = m.right_label)) AS chained FROM merges m")(lambda r: T.group_merges(r.merges))
-query("g04_merge_lineage")(lambda r: T.merge_lineage(r.lineage, r.merges))
+query("g04_merge_lineage", """WITH RECURSIVE mo AS (SELECT trap, daughter_label AS k, min(mother_label) AS m FROM lineage GROUP BY ALL),
+ v AS (SELECT x.trap, x.left_label, x.right_label FROM merges x LEFT JOIN mo a ON a.trap = x.trap AND a.k = x.left_label LEFT JOIN mo b ON b.trap = x.trap AND b.k = x.right_label WHERE a.m IS NULL OR b.m IS NULL OR a.m = b.m),
+ f AS (SELECT trap, left_label, min(right_label) AS right_label FROM v GROUP BY ALL), ends AS (SELECT trap, left_label AS label, right_label AS e FROM f UNION ALL SELECT ends.trap, ends.label, f.right_label FROM ends JOIN f ON f.trap = ends.trap AND f.left_label = ends.e),
+ last AS (SELECT trap, label, max(e) AS e FROM ends GROUP BY ALL)
+ SELECT DISTINCT l.trap, coalesce(a.e, l.mother_label) AS mother_label, coalesce(b.e, l.daughter_label) AS daughter_label FROM lineage l LEFT JOIN last a ON a.trap = l.trap AND a.label = l.mother_label LEFT JOIN last b ON b.trap = l.trap AND b.label = l.daughter_label""")(lambda r: T.merge_lineage(r.lineage, r.merges))
 query("g05_set_operations", "SELECT trap, cell_label, 'both' AS kind FROM tracks SEMI JOIN picks USING (trap, cell_label) UNION ALL SELECT trap, cell_label, 'rest' FROM tracks ANTI JOIN picks USING (trap, cell_label)")(
     lambda r: r.cell_info.select("trap", "cell_label").intersect(r.picks).withColumn("kind", F.lit("both")).unionByName(r.cell_info.select("trap", "cell_label").subtract(r.picks).withColumn("kind", F.lit("rest")))
 )
@@ -448,7 +525,11 @@ def _paths(part: pd.DataFrame) -> pd.DataFrame:
 
 
 query("r06_global_step", "SELECT position, label, min(tp) AS first, CAST(count(DISTINCT tp) AS BIGINT) AS frames FROM masks GROUP BY ALL")(lambda r: P.global_step(r.masks, _paths, "position long, label int, first int, frames long"))
-query("r02_tracked_batch")(lambda r: S.tracked(r.masks))
+TRACKED = f"""WITH RECURSIVE l AS (SELECT position, tile, tp, label, previous FROM (SELECT *, row_number() OVER (PARTITION BY position, tile, tp, previous ORDER BY iou DESC, label) AS k FROM ({LINKS})) WHERE k = 1),
+ t AS (SELECT position, tile, tp, label, tp AS tp0, label AS label0 FROM (SELECT DISTINCT {KEYS} FROM masks) ANTI JOIN l USING ({KEYS})
+  UNION ALL SELECT l.position, l.tile, l.tp, l.label, t.tp0, t.label0 FROM t JOIN l ON l.position = t.position AND l.tile = t.tile AND l.tp = t.tp + 1 AND l.previous = t.label)
+ SELECT position, tile, tp, label, CAST(dense_rank() OVER (PARTITION BY position, tile ORDER BY tp0, label0) AS INT) AS track FROM t"""
+query("r02_tracked_batch", TRACKED)(lambda r: S.tracked(r.masks))
 
 
 @query("r01_incremental_frames", f"SELECT {KEYS}, n FROM sizes")
@@ -457,7 +538,7 @@ def _(r: Relations) -> DataFrame:
     source, out = P.new_folder(r.spark, "in"), P.new_folder(r.spark, "frames")
     r.masks.repartition("tp").write.parquet(source)
     S.append_new_frames(S.read_masks(r.spark, source, r.masks.schema, 2), out, P.new_folder(r.spark, "state"))
-    return r.spark.read.schema(r.masks.schema).parquet(out).groupBy(*K).agg(F.count("*").alias("n"))
+    return S.read_frames(r.spark, out, r.masks.schema).groupBy(*K).agg(F.count("*").alias("n"))
 
 
 @query("r04_first_write_wins", MASKS)
@@ -467,10 +548,10 @@ def _(r: Relations) -> DataFrame:
     r.masks.repartition("tp").write.parquet(source)
     for _ in range(2):
         S.append_new_frames(S.read_masks(r.spark, source, r.masks.schema, 100), out, P.new_folder(r.spark, "state"))
-    return r.spark.read.schema(r.masks.schema).parquet(out)
+    return S.read_frames(r.spark, out, r.masks.schema)
 
 
-@query("r02_tracked_stream")
+@query("r02_tracked_stream", TRACKED)
 def _(r: Relations) -> DataFrame:
     source, out = P.new_folder(r.spark, "in"), P.new_folder(r.spark, "tracks")
     marked = S.with_markers(r.masks, r.pixels, r.masks)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -63,7 +64,8 @@ def sizes_from_stems(files: DataFrame) -> DataFrame:
     """dim and size from names like img_T003_C1: pieces after the first underscore, a letter and a number; max - min + 1.
     A piece that is no letter and number makes all of them missing."""
     stem = F.element_at(F.split(F.regexp_replace("path", r"\.[^./]*$", ""), "/"), -1)
-    parts = files.select(F.explode(F.slice(F.split(stem, "_"), 2, 1000)).alias("p"))
+    pieces = F.split(stem, "_")
+    parts = files.select(F.explode(F.slice(pieces, F.lit(2), F.size(pieces))).alias("p"))
     rows = parts.select(F.substring("p", 1, 1).alias("dim"), F.expr("try_cast(substring(p, 2) AS INT)").alias("at"))
     bad = rows.agg(F.bool_or(F.col("at").isNull()).alias("bad"))
     return rows.groupBy("dim").agg((F.max("at") - F.min("at") + 1).alias("size")).join(bad).where(~F.col("bad")).drop("bad")
@@ -144,3 +146,10 @@ def first_channel(channels: DataFrame, regex: str) -> DataFrame:
 def stem(path: str = "path") -> Column:
     """A file's name without folders and its last ending."""
     return F.regexp_replace(F.substring_index(F.col(path), "/", -1), r"\.[^.]*$", "")
+
+
+def matching(files: DataFrame, pattern: str) -> DataFrame:
+    """Rows whose file name fits a pattern with * and ?, and name, the path's last part."""
+    regex = "".join({"*": "[^/]*", "?": "[^/]"}.get(c, re.escape(c)) for c in pattern)
+    named = files.withColumn("name", F.element_at(F.split("path", "/"), -1))
+    return named.where(F.col("name").rlike(f"^{regex}$"))

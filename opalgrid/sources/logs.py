@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -70,34 +72,120 @@ def minimal(lines: DataFrame, channels: list[str]) -> DataFrame:
     return n.join(found, "file", "full_outer").select("file", "channels", F.col("frames").alias("ntimepoints"), F.col("interval").alias("timeinterval"))
 
 
-def by_grammar(lines: DataFrame, grammar: list[dict]) -> DataFrame:
-    """file, section, key, value of legacy text by a grammar: a list of sections, each with name, start (regex) and kind.
+#: Kinds of sections whose marker line is left out, and kinds that read what the marker line has beside its marker.
+SKIPPED, BESIDE = ("table", "text", "stop"), ("list", "lists", "regex", "regexs")
+
+
+def _marked(lines: DataFrame, grammar: list[dict]) -> DataFrame:
+    """lines (trimmed, not blank) with mark, the section that a line opens, and text without the marker."""
+    text = F.trim("text")
+    mark, rest = F.lit(None).cast("string"), F.col("text")
+    for g in reversed(grammar):
+        if "startswith" in g:
+            t = g["startswith"]
+            hit, left = F.startswith("text", F.lit(t)), F.expr(f"substring(text, {len(t) + 1})")
+        elif "endswith" in g:
+            t = g["endswith"]
+            hit, left = F.endswith("text", F.lit(t)), F.expr(f"substring(text, 1, length(text) - {len(t)})")
+        elif "contains" in g:
+            hit, left = F.contains("text", F.lit(g["contains"])), F.replace("text", F.lit(g["contains"]), F.lit(""))
+        elif "matches" in g:
+            hit, left = F.col("text").rlike(g["matches"]), F.regexp_replace("text", g["matches"], "")
+        else:
+            continue  # reached by next_section only
+        mark, rest = F.when(hit, F.lit(g["name"])).otherwise(mark), F.when(hit, left).otherwise(rest)
+    rows = lines.select("file", "line", text.alias("text")).where("text <> ''")
+    return rows.select("file", "line", mark.alias("mark"), rest.alias("text"))
+
+
+def _in_sections(rows: DataFrame, grammar: list[dict]) -> DataFrame:
+    """rows with section and block: a block begins at a marker; after the first match of a `regex` section its
+    next_section goes on, or none."""
+    before = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.withColumns({"block": F.count("mark").over(before), "section": F.last("mark", True).over(before)}).where("section IS NOT NULL")
+    for _ in range(1 + sum("next_section" in g for g in grammar)):  # a next section may have a next one
+        hit = F.lit(False)
+        follows = F.lit(None).cast("string")
+        for g in grammar:
+            if g["kind"] == "regex":
+                own = F.col("section") == g["name"]
+                hit = hit | (own & F.col("text").rlike(g.get("regex", "^(.*)$")))
+                follows = F.when(own, F.lit(g.get("next_section"))).otherwise(follows)
+        first = F.min(F.when(hit, F.col("line"))).over(Window.partitionBy("file", "block", "section"))
+        out = out.withColumn("_first", first).withColumn("section", F.when(F.col("line") > F.col("_first"), follows).otherwise(F.col("section"))).drop("_first").where("section IS NOT NULL")
+    return out
+
+
+def _cells(rows: DataFrame, g: dict) -> DataFrame:
+    """A table's fields: columns by a list of (name, type), or by the header's names through a map name -> (name, type)."""
+    separator, default, columns = g.get("separator", ","), g.get("default", "str"), g.get("columns", [])
+    fields = F.transform(F.split("text", re.escape(separator)), lambda x: F.trim(x))
+    rows = rows.select("file", "line", fields.alias("f"))
+    if g.get("header", True):
+        head = rows.groupBy("file").agg(F.min("line").alias("_head"), F.min_by("f", "line").alias("names"))
+        rows = rows.join(head, "file").where("line > _head").drop("_head")
+        if isinstance(columns, dict):
+            known = F.create_map(*[F.lit(x) for old, (new, kind) in columns.items() for x in (old, F.struct(F.lit(new).alias("name"), F.lit(kind).alias("kind")))]) if columns else None
+            one = lambda n, i: F.coalesce(F.try_element_at(known, n), F.struct(n.alias("name"), F.lit(default).alias("kind"))) if known is not None else F.struct(n.alias("name"), F.lit(default).alias("kind"))
+        else:
+            given = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(k).alias("kind")) for n, k in columns])
+            one = lambda n, i: F.struct(F.coalesce(F.get(given, i)["name"], n).alias("name"), F.coalesce(F.get(given, i)["kind"], F.lit(default)).alias("kind"))
+        rows = rows.withColumn("names", F.transform("names", one))
+    else:
+        names = [F.struct(F.lit(n or f"column{i + 1:02d}").alias("name"), F.lit(k or default).alias("kind")) for i, (n, k) in enumerate(columns)]
+        rows = rows.withColumn("names", F.array(*names))
+    n = F.size("names")
+    merged = F.concat(F.slice("f", F.lit(1), n - 1), F.array(F.array_join(F.slice("f", n, F.size("f")), separator)))
+    long = rows.where(F.size("f") >= n).select("file", "line", F.posexplode(F.arrays_zip("names", merged.alias("v"))).alias("pos", "x"))
+    return long.select("file", F.lit(g["name"]).alias("section"), "line", "pos", F.col("x.names.name").alias("key"), F.col("x.v").alias("value"), F.col("x.names.kind").alias("type"))
+
 
-    kind: text (each line a value), table (columns given; short rows are left out, extra fields are joined into the last),
-    regex (fields: name -> regex with one group; the first match of each counts), stop (ends the file).
+def by_grammar(lines: DataFrame, grammar: list[dict]) -> DataFrame:
+    """file, section, line, pos, key, value, type of legacy text by a grammar: a list of sections.
+
+    A section has a name, a marker (startswith, endswith, contains, or the regex `matches`; the first in the list counts)
+    and a kind. text: each line is a value. table: rows of fields, with a header line (unless header is False), columns and
+    a separator; short rows are left out, extra fields are joined into the last. list, lists: separated values, one list
+    in all or one for each line (key: the line's number among the section's). regex: the first match of a block, of
+    several blocks the last; then the section ends, or next_section goes on. regexs: every match. stop: ends the file.
+    map: the type of list and regex values. Blank lines are left out; a line of no section is too.
     """
-    rows = sections(lines, [(g["name"], g["start"]) for g in grammar]).where("section <> ''")
+    rows = _marked(lines, grammar)
     stops = [g["name"] for g in grammar if g["kind"] == "stop"]
-    first_stop = F.min(F.when(F.col("section").isin(stops), F.col("line"))).over(Window.partitionBy("file"))
-    rows = rows.withColumn("_stop", first_stop).where("_stop IS NULL OR line < _stop").where("NOT is_marker")
-    out = []
-    for g in grammar:
+    if stops:
+        end = F.min(F.when(F.col("mark").isin(stops), F.col("line"))).over(Window.partitionBy("file"))
+        rows = rows.withColumn("_end", end).where("_end IS NULL OR line < _end").drop("_end")
+    rows = _in_sections(rows, grammar)
+    out = None
+    for g in (g for g in grammar if g["kind"] != "stop"):
         own = rows.where(F.col("section") == g["name"])
-        if g["kind"] == "text":
-            out.append(own.select("file", "section", "line", F.lit("text").alias("key"), "text"))
-        elif g["kind"] == "table":
-            columns, f = g["columns"], F.split("text", g.get("separator", ","))
-            last = F.array_join(F.slice(f, len(columns), 1000), g.get("separator", ","))
-            cells = F.array(*[F.struct(F.lit(c).alias("key"), (last if i == len(columns) - 1 else F.get(f, F.lit(i))).alias("text")) for i, c in enumerate(columns)])
-            out.append(own.where(F.size(f) >= len(columns)).select("file", "section", "line", F.inline(cells)))
-        elif g["kind"] == "regex":
-            for name, regex in g["fields"].items():
-                hit = own.where(F.col("text").rlike(regex)).groupBy("file", "section").agg(F.min_by(F.regexp_extract("text", regex, 1), "line").alias("text"), F.min("line").alias("line"))
-                out.append(hit.select("file", "section", "line", F.lit(name).alias("key"), "text"))
-    whole = out[0]
-    for part in out[1:]:
-        whole = whole.unionByName(part)
-    return whole.withColumnRenamed("text", "value")
+        if g.get("skip", g["kind"] in SKIPPED):
+            own = own.where(~F.coalesce(F.col("mark") == g["name"], F.lit(False)))
+        own = own.withColumn("text", F.trim("text")).where("text <> ''")
+        kind, type_of = g["kind"], F.lit(g.get("map") or "str")
+        same = [F.lit(g["name"]).alias("section")]
+        if kind == "table":
+            part = _cells(own, g)
+        elif kind in ("list", "lists"):
+            number = F.row_number().over(Window.partitionBy("file").orderBy("line")) - 1
+            key = number.cast("string") if kind == "lists" else F.lit("list")
+            values = F.transform(F.split("text", re.escape(g.get("separator", ","))), lambda x: F.trim(x))
+            part = own.withColumn("key", key).select("file", *same, "line", F.posexplode(values).alias("pos", "value"), "key", type_of.alias("type"))
+        elif kind == "regex":
+            regex = g.get("regex", "^(.*)$")
+            first = own.where(F.col("text").rlike(regex)).groupBy("file", "block").agg(F.min("line").alias("line"), F.min_by("text", "line").alias("text"))
+            last = first.groupBy("file").agg(F.max("line").alias("line"), F.max_by("text", "line").alias("text"))
+            part = last.select("file", *same, "line", F.lit(0).alias("pos"), F.lit("match").alias("key"), F.regexp_extract("text", regex, 1).alias("value"), type_of.alias("type"))
+        elif kind == "regexs":
+            found = F.regexp_extract_all("text", F.lit(g.get("regex", "^(.*)$")), F.lit(1))
+            part = own.select("file", *same, "line", F.posexplode(found).alias("pos", "value"), F.lit("match").alias("key"), type_of.alias("type"))
+        else:
+            part = own.select("file", *same, "line", F.lit(0).alias("pos"), F.lit("text").alias("key"), F.col("text").alias("value"), F.lit("str").alias("type"))
+        part = part.select("file", "section", "line", "pos", "key", "value", "type")
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("a grammar without sections")
+    return out
 
 
 def typed(value: Column, kind: str) -> Column:
@@ -113,8 +201,8 @@ def epoch(value: Column, pattern: str, zone: str = "Europe/London") -> Column:
 
 
 def flattened(parsed: DataFrame) -> DataFrame:
-    """file and a map from section/key to value; missing values are '0'. The last line of a key counts."""
-    rows = parsed.groupBy("file", F.concat_ws("/", "section", "key").alias("key")).agg(F.max_by("value", "line").alias("value"))
+    """file and a map from section/key to value; missing values are '0'. The last value of a key counts."""
+    rows = parsed.groupBy("file", F.concat_ws("/", "section", "key").alias("key")).agg(F.max_by("value", F.struct("line", "pos")).alias("value"))
     return rows.groupBy("file").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", F.coalesce("value", F.lit("0")))))).alias("meta"))
 
 

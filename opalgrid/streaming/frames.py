@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from typing import Any
 
@@ -17,29 +18,51 @@ NOTHING = -1
 TRACKS = "position long, tile int, tp int, label int, track int"
 
 
+#: Column that tells the file which a row came in, by the time of its writing; a frame comes in one file.
+SOURCE = "_source"
+
+
 def read_masks(spark: SparkSession, path: str, schema: Any, files: int = 1) -> DataFrame:
-    """A stream of stored masks, some files at a time."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+    """A stream of stored masks, some files at a time, with their source."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+    return stream.withColumn(SOURCE, F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("path")))
 
 
 def append_new_frames(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Appends frames (position, tp) that are not in the table at path yet, until the stream has no more."""
+    """Appends frames (position, tp) that are not in the table at path yet, until the stream has no more.
+
+    The first write wins, also among files of one batch: of a frame that several bring, the earliest one's rows count.
+    Each batch has a folder of its own, which a batch that is run again replaces; beside the table lies a list of its
+    frames, so that no batch reads the table.
+    """
+    run = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex[:12]
+    listed = path.rstrip("/") + "-frames"
 
-    def write(batch: DataFrame, _: int) -> None:
+    def write(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
+        new = batch
+        if SOURCE in batch.columns:
+            first = batch.groupBy("position", "tp").agg(F.min(SOURCE).alias("_first"))
+            new = batch.join(first, ["position", "tp"]).where(F.col(SOURCE) == F.col("_first")).drop(SOURCE, "_first")
         try:
-            have = spark.read.parquet(path).select("position", "tp").distinct()
+            have = spark.read.schema("position long, tp int, batch string").parquet(listed)
+            new = new.join(have.where(F.col("batch") != f"{run}-{n}").select("position", "tp").distinct(), ["position", "tp"], "left_anti")
         except Exception as e:  # the first batch finds no table
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-            have = None
-        new = batch if have is None else batch.join(have, ["position", "tp"], "left_anti")
-        new.write.mode("append").parquet(path)
+        new.write.mode("overwrite").parquet(f"{path}/batch={run}-{n}")
+        done = spark.read.schema(new.schema).parquet(f"{path}/batch={run}-{n}")
+        done.select("position", "tp").distinct().write.mode("overwrite").parquet(f"{listed}/batch={run}-{n}")
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
+def read_frames(spark: SparkSession, path: str, schema: Any) -> DataFrame:
+    """The table that append_new_frames fills."""
+    return spark.read.schema(schema).parquet(path).drop("batch")
+
+
 def _link(frame: pd.DataFrame, last: dict, least: float) -> dict[int, int]:
     """label -> track of a frame, given the last frame's pixels and tracks: best overlap, each track continued once."""
     if not len(frame) or not last["pixels"]:

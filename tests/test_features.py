@@ -252,3 +252,69 @@ def test_local_maxima(spark):
     planes = spark.createDataFrame(rows, "position long, tp int, c int, y int, x int, v double").where("v > 0")
     assert {(r.y, r.x) for r in blocks.local_maxima(planes).collect()} == {(1, 1), (2, 4), (4, 0)}
     assert {(r.y, r.x) for r in blocks.local_maxima(planes, 1, 1).collect()} == {(1, 1), (3, 3)}
+
+
+def test_drift_with_missing_pixels(spark):
+    image = np.random.default_rng(3).random((16, 16))
+    rows = [(1, tp, 0, 0, y, x, float(v)) for tp, plane in enumerate((image, np.roll(image, (2, -3), (0, 1)))) for (y, x), v in np.ndenumerate(plane) if (tp, y, x) not in {(0, 15, 15), (1, 4, 4)}]
+    found = blocks.drift(spark.createDataFrame(rows, "position long, tp int, c int, z int, y int, x int, value double")).orderBy("tp").collect()
+    assert [(r.dy, r.dx) for r in found] == [(0.0, 0.0), (-2.0, 3.0)]
+    short = spark.createDataFrame([(1, 0, 0, 0, 0, 0, 1.0), (1, 1, 0, 0, 3, 2, None)], "position long, tp int, c int, z int, y int, x int, value double")
+    assert blocks.drift(short).count() == 2
+
+
+def test_running_totals_over_ranges(spark):
+    df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("k"))
+    found = {r.k: r.before for r in graphs.running_total(df, ["k"], F.col("k"), "before").collect()}
+    assert found == {k: k * (k - 1) // 2 for k in range(1000)}
+
+
+def test_names_with_many_pieces(spark):
+    files = spark.createDataFrame([("/a/img_" + "_".join(["T001"] * 1500) + "_T003_C1.tif",), ("/a/img_T001_C1.tif",)], "path string")
+    assert {r.dim: r["size"] for r in catalog.sizes_from_stems(files).collect()} == {"T": 3, "C": 1}
+    assert [r.name for r in catalog.matching(files, "img_T00?_C*.tif").collect()] == ["img_T001_C1.tif"]
+
+
+LOG = """Channels:
+Channel name, Exposure time, Camera mode
+ GFP , 30, 2
+mCherry, 100, 1, extra
+short
+Syringe pump details: 2 pumps.
+late line
+Times: 1, 2,3
+4,5
+Flow post switch: 0.5,1
+1.5
+a note ends here:END
+first words
+this line has MARK inside
+17 and 18
+Notes
+plain text
+stop now
+never read"""
+
+
+def test_grammar_of_legacy_logs(spark):
+    lines = spark.createDataFrame([("f", i, t) for i, t in enumerate(LOG.split("\n"))], "file string, line long, text string")
+    grammar = [
+        {"name": "channels", "startswith": "Channels:", "kind": "table", "columns": {"Channel name": ("channel", "str"), "Exposure time": ("exposure", "int")}, "default": "int"},
+        {"name": "npumps", "startswith": "Syringe pump details:", "kind": "regex", "regex": r"(\d+)\s*pumps", "map": "int", "next_section": "rest"},
+        {"name": "rest", "kind": "text"},
+        {"name": "times", "startswith": "Times:", "kind": "list", "map": "int"},
+        {"name": "flow", "startswith": "Flow post switch:", "kind": "lists", "map": "float"},
+        {"name": "end", "endswith": ":END", "kind": "text"},
+        {"name": "all", "contains": "MARK", "kind": "regexs", "regex": r"(\d+)", "map": "int"},
+        {"name": "notes", "matches": "^Notes?$", "kind": "text"},
+        {"name": "over", "startswith": "stop", "kind": "stop"},
+    ]
+    rows = logs.by_grammar(lines, grammar).orderBy("line", "pos").collect()
+    of = lambda name: [(r.key, r.value, r.type) for r in rows if r.section == name]
+    assert of("channels") == [("channel", "GFP", "str"), ("exposure", "30", "int"), ("Camera mode", "2", "int"), ("channel", "mCherry", "str"), ("exposure", "100", "int"), ("Camera mode", "1,extra", "int")]
+    assert of("npumps") == [("match", "2", "int")] and of("rest") == [("text", "late line", "str")]
+    assert [v for _, v, _ in of("times")] == ["1", "2", "3", "4", "5"]
+    assert [(k, v) for k, v, _ in of("flow")] == [("0", "0.5"), ("0", "1"), ("1", "1.5")]
+    assert of("end") == [("text", "first words", "str")] and [v for _, v, _ in of("all")] == ["17", "18"]
+    assert of("notes") == [("text", "plain text", "str")] and not of("over")
+    assert logs.by_grammar(lines.limit(0), grammar).count() == 0

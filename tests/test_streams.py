@@ -1,5 +1,7 @@
 """Tracking as a stream against its batch twin."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from opalgrid.streaming import frames
@@ -16,3 +18,19 @@ def test_empty_frames_hold_nothing_up(spark, tmp_path):
     key = ("position", "tile", "tp", "label", "track")
     found = sorted(spark.read.schema(frames.TRACKS).parquet(f"{tmp_path}/out").select(*key).collect())
     assert found == sorted(frames.tracked(masks).select(*key).collect()) and len(found) == 7
+
+
+def test_first_write_wins_within_a_batch(spark, tmp_path):
+    """Two files bring the same frame in one micro-batch: the earlier one's rows count, all of them, and no other."""
+    schema = "position long, tile int, tp int, y int, x int, label int"
+    frame = lambda tp, label, n: spark.createDataFrame([(1, 0, tp, y, 0, label) for y in range(n)], schema).coalesce(1)
+    for k, (tp, label, n) in enumerate([(0, 1, 3), (0, 2, 5), (1, 1, 2)]):
+        frame(tp, label, n).write.parquet(f"{tmp_path}/made{k}")
+        (part,) = (tmp_path / f"made{k}").glob("part-*")
+        (tmp_path / "in").mkdir(exist_ok=True)
+        part.rename(tmp_path / "in" / f"{k}.parquet")
+        os.utime(tmp_path / "in" / f"{k}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))
+    for run in range(2):  # the second stream brings nothing new
+        frames.append_new_frames(frames.read_masks(spark, f"{tmp_path}/in", schema, 100), f"{tmp_path}/out", f"{tmp_path}/state{run}")
+    found = frames.read_frames(spark, f"{tmp_path}/out", schema).groupBy("tp", "label").count().collect()
+    assert sorted(map(tuple, found)) == [(0, 1, 3), (1, 1, 2)]
