@@ -37,7 +37,7 @@ def _byte_chars() -> dict[int, str]:
 
 _BYTE_CHARS = _byte_chars()
 #: Words that a worker keeps the ids of; half as many chunks.
-WORDS = 500_000
+WORDS = 800_000
 
 
 class IdCache(dict):
@@ -130,6 +130,8 @@ class Encoder:
         """The byte characters of a word of letters only (and a blank before it, where blanks matter), else None."""
         if self.blanks_matter:
             body, first = (word[1:], "\u0120") if word[:1] == " " else (word, "")
+            if body.isascii():
+                return first + body if body.isalpha() else None
         else:
             body, first = word if word.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", word))), ""
         if not body.isalpha():
@@ -157,17 +159,20 @@ class Encoder:
 
     def _put_together(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Chunks as words and the marks behind them: a pre-token never holds a letter or number and marks behind it."""
-        parts = []
-        for c in chunks:
-            if self.blanks_matter:
+        parts: list[str] = []
+        counts = np.ones(len(chunks), np.int64)
+        matter = self.blanks_matter
+        for k, c in enumerate(chunks):
+            if matter:
                 c = c[1:] if c[:1] == _FIRST else " " + c
             word = c.rstrip(_MARKS)
-            if word and word[-1].lower()[-1:].isalnum():
-                parts += (word if self.blanks_matter or not word.isascii() else word.lower(), c[len(word) :])
+            if len(word) < len(c) and word and word[-1].lower()[-1:].isalnum():
+                parts += (word if matter or not word.isascii() else word.lower(), c[len(word) :])
+                counts[k] = 2
             else:
-                parts += (c, "")
+                parts.append(c if matter or not c.isascii() else c.lower())
         flat, sizes = self.words.ids(parts, len(parts))
-        return flat, sizes.reshape(-1, 2).sum(axis=1)
+        return flat, summed(sizes, counts)
 
     def _chunks(self, text: str) -> list[str]:
         if not self.blanks_matter:
