@@ -74,7 +74,7 @@ class Lists:
         rows, lists, todo = [], [], np.arange(len(x))
         while len(todo):
             ids, apart = self.near(x[todo], width)
-            near = apart <= np.maximum(apart[:, :1] * ratio, 1e-9)
+            near = apart <= np.maximum(apart[:, :1], 1e-9) * ratio
             more = near[:, -1] & (ids.shape[1] < len(self.centroids))
             r, c = np.nonzero(near & ~more[:, None])
             rows.append(todo[r])
@@ -132,7 +132,8 @@ def nearest(rows: DataFrame, is_query: str, k: int = 5, *, vector: str = "embedd
     """query_id, rank, vec_id, score: the k nearest rows found of each row that meets the SQL condition is_query.
 
     Nearness is the cosine of the original vectors; ties go to the smaller id. A row is no neighbour of itself. Rows that
-    take no part (see usable) neither ask nor answer.
+    take no part (see usable) neither ask nor answer. A query whose lists hold fewer than k others reads all lists, so it
+    gets k, or all there are. Repeated rows count once; other columns are not read.
     """
     spark = rows.sparkSession
     good = usable(rows, vector=vector, key=key)
@@ -152,16 +153,10 @@ def nearest(rows: DataFrame, is_query: str, k: int = 5, *, vector: str = "embedd
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from _listed(batches, index.value, COPIES, BOUNDARY)
 
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _listed(batches, index.value, None, ratio)
-
     posted = entries.select("entry", "vector").mapInPandas(put, "list int, entry long, vector array<double>")
     wanted = cut(asking.join(entries.select("entry", F.col("vector").alias("v")), F.col("vector") == F.col("v")).select("query_id", "entry"))
-    asked = entries.join(wanted.select("entry").distinct(), "entry", "left_semi").select("entry", "vector")
     sizes = cut(posted.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))  # one row for each list
     blocked = posted.join(F.broadcast(sizes), "list").withColumn("block", F.pmod(F.xxhash64("entry"), F.col("blocks")).cast("int")).drop("blocks")
-    readers = asked.mapInPandas(ask, "list int, entry long, vector array<double>").join(F.broadcast(sizes), "list")
-    readers = readers.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
 
     def compare(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -176,13 +171,29 @@ def nearest(rows: DataFrame, is_query: str, k: int = 5, *, vector: str = "embedd
                 out.append(pd.DataFrame({"query": q["entry"].to_numpy(np.int64)[i : i + 512][r], "found": ids[c], "score": s[r, c]}))
         return pd.concat(out) if out else pd.DataFrame({"query": [], "found": [], "score": []})
 
-    pairs = readers.groupBy("list", "block").cogroup(blocked.groupBy("list", "block")).applyInPandas(compare, "query long, found long, score double")
-    once = pairs.groupBy("query", "found").agg(F.max("score").alias("score"))
-    best = once.withColumn("_k", F.rank().over(Window.partitionBy("query").orderBy(F.desc("score")))).where(F.col("_k") <= k + 1)
-    named = best.join(entries.select(F.col("entry").alias("found"), "ids"), "found").select("query", "score", F.explode("ids").alias("vec_id"))
-    first = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    few = named.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= k + 1).drop("_k")
-    results = wanted.join(few, wanted["entry"] == few["query"]).where("query_id <> vec_id").select("query_id", "vec_id", "score")
+    def found_by(wanted: DataFrame, ratio: float) -> DataFrame:
+        """query_id, vec_id, score of the rows wanted (query_id, entry), from lists up to ratio times as far."""
+
+        def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            yield from _listed(batches, index.value, None, ratio)
+
+        asked = entries.join(wanted.select("entry").distinct(), "entry", "left_semi").select("entry", "vector")
+        readers = asked.mapInPandas(ask, "list int, entry long, vector array<double>").join(F.broadcast(sizes), "list")
+        readers = readers.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+        pairs = readers.groupBy("list", "block").cogroup(blocked.groupBy("list", "block")).applyInPandas(compare, "query long, found long, score double")
+        once = pairs.groupBy("query", "found").agg(F.max("score").alias("score"))
+        best = once.withColumn("_k", F.rank().over(Window.partitionBy("query").orderBy(F.desc("score")))).where(F.col("_k") <= k + 1)
+        named = best.join(entries.select(F.col("entry").alias("found"), "ids"), "found").select("query", "score", F.explode("ids").alias("vec_id"))
+        first = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+        few = named.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= k + 1).drop("_k")
+        return cut(wanted.join(few, wanted["entry"] == few["query"]).where("query_id <> vec_id").select("query_id", "vec_id", "score"))
+
+    results = found_by(wanted, ratio)
+    enough = min(k, entries.agg(F.sum(F.size("ids"))).first()[0] - 1)
+    short = wanted.join(results.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= enough), "query_id", "left_anti")
+    short = cut(short)
+    if short.limit(1).count():
+        results = results.join(short, "query_id", "left_anti").unionByName(found_by(short, float("inf")))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return results.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", F.least("score", F.lit(1.0)).alias("score"))
 

@@ -132,6 +132,18 @@ def test_few_and_odd_vectors(spark):
     assert neighbours.nearest(df.limit(0), "vec_id % 50 = 0").count() == 0
 
 
+def test_queries_on_a_centroid_get_k_neighbours(spark):
+    """Two far groups; a few vectors apart from both: their own list holds fewer than k others."""
+    rng = np.random.default_rng(8)
+    lone = [[0.0, 0.0, 1.0], [0.0, 0.001, 1.0]]
+    rows = list(enumerate([*lone, *([1.0, *(0.01 * rng.normal(size=2)).tolist()] for _ in range(300)), *([0.01, 1.0, 0.01 * rng.normal()] for _ in range(300))]))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(df, "vec_id < 2", lists=40).collect()
+    expected = brute(rows, [0, 1])
+    for q in (0, 1):
+        assert [r.vec_id for r in sorted(found, key=lambda r: r.rank) if r.query_id == q] == [i for i, _ in expected[q]]
+
+
 def test_hot_vector(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [1.0] * 8 if i % 3 == 0 else rng.normal(size=8).tolist()) for i in range(900)]
