@@ -197,7 +197,9 @@ def typed(value: Column, kind: str) -> Column:
 
 
 def epoch(value: Column, pattern: str, zone: str = "Europe/London") -> Column:
-    return F.unix_timestamp(F.to_utc_timestamp(F.try_to_timestamp(value, F.lit(pattern)), zone))
+    """Seconds since 1970 of a wall clock's time in a zone, whatever the session's zone is."""
+    wall = F.try_to_timestamp(value, F.lit(pattern)).cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.convert_timezone(F.lit(zone), F.lit("UTC"), wall))
 
 
 def flattened(parsed: DataFrame) -> DataFrame:
