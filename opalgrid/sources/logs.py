@@ -7,6 +7,10 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from opalgrid.functions.values import epoch, typed
+
+__all__ = ["acquisition", "by_grammar", "epoch", "flagged_channels", "flattened", "general", "groups", "minimal", "numbers", "preferred", "read_lines", "sections", "typed"]
+
 #: The line that opens the acquisition part of a sectioned log.
 ACQUISITION = "-----Acquisition settings-----"
 
@@ -188,20 +192,6 @@ def by_grammar(lines: DataFrame, grammar: list[dict]) -> DataFrame:
     return out
 
 
-def typed(value: Column, kind: str) -> Column:
-    """Text as str, int, float or bool (any text that is not empty is true), or datetime:<format> as seconds since 1970
-    in London time; null where it does not parse."""
-    if kind.startswith("datetime:"):
-        return epoch(value, kind.split(":", 1)[1])
-    return {"str": value, "int": value.try_cast("int"), "float": value.try_cast("double"), "bool": F.length(value) > 0}[kind]
-
-
-def epoch(value: Column, pattern: str, zone: str = "Europe/London") -> Column:
-    """Seconds since 1970 of a wall clock's time in a zone, whatever the session's zone is."""
-    wall = F.try_to_timestamp(value, F.lit(pattern)).cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.convert_timezone(F.lit(zone), F.lit("UTC"), wall))
-
-
 def flattened(parsed: DataFrame) -> DataFrame:
     """file and a map from section/key to value; missing values are '0'. The last value of a key counts."""
     rows = parsed.groupBy("file", F.concat_ws("/", "section", "key").alias("key")).agg(F.max_by("value", F.struct("line", "pos")).alias("value"))
