@@ -323,7 +323,7 @@ def encoded(docs: DataFrame, path: str, *, text: str = "text", key: str = "doc_i
 
 
 def decoded(rows: DataFrame, path: str, *, ids: str = "ids") -> DataFrame:
-    """rows with a column decoded: the bytes of the array of ids (null for null)."""
+    """rows with a column decoded, which replaces one of that name: the bytes of the array of ids (null for null)."""
 
     @F.pandas_udf("binary")
     def run(column: pd.Series) -> pd.Series:
@@ -334,7 +334,11 @@ def decoded(rows: DataFrame, path: str, *, ids: str = "ids") -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of each text's ids and of what they decode to."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of each text's ids and of what they decode to.
+
+    Null texts count as empty, texts of any length are taken whole, repeated rows each give a row. Other columns are not
+    read, so their names cannot clash.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = vocabulary(path)

@@ -80,7 +80,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, *, text: str = "text") -> DataFrame:
-    """docs with a column fingerprint. Null texts count as empty; texts of under three bytes differ by length only."""
+    """docs with a column fingerprint, which replaces one of that name. Null texts count as empty; texts of under three bytes
+    differ by length only; texts of any length are taken whole; repeated rows all stay."""
 
     @F.pandas_udf("string")
     def of(texts: pd.Series) -> pd.Series:
@@ -149,7 +150,8 @@ def audit(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFr
     """Fingerprints of each text, of an edited copy, and how near both and the next document's are.
 
     The edited text is the text with its last floor(n / 2) of n code points replaced by the first as many (or all) of the
-    next document's. Null texts count as empty; repeated rows each give a row.
+    next document's. Null texts count as empty, texts of any length are taken whole, repeated rows each give a row. Ties of
+    ids are ordered by text. Other columns are not read, so their names cannot clash.
     """
 
     def compare(ids: list, texts: list[str], following: list[str]) -> pd.DataFrame:

@@ -180,7 +180,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, label: str = "quality", most: i
 
 
 def with_score(docs: DataFrame, model: Model, *, text: str = "text", name: str = "score") -> DataFrame:
-    """docs with the score of each whole text (null: empty); all other columns stay."""
+    """docs with the score of each whole text, however long (null: empty, and an empty text has features of zero); all other
+    columns stay, but one called as `name`, which is replaced. Equal texts score the same; repeated rows all stay."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -193,7 +194,8 @@ def with_score(docs: DataFrame, model: Model, *, text: str = "text", name: str =
 
 
 def scored(docs: DataFrame, model: Model, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, held_out, score, predicted; repeated rows each give a row."""
+    """doc_id, held_out, score, predicted of each row; null and empty texts have a score too, texts of any length are scored
+    whole, repeated rows each give a row. Other columns are not read, so their names cannot clash."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), held_out(key).alias("held_out"), text_of(text).alias("text"))
     out = with_score(rows, model)
     return out.select("doc_id", "held_out", "score", (F.col("score") >= KEPT_FROM).cast("int").alias("predicted"))

@@ -8,6 +8,7 @@ at. A record that is changed, cut, moved, missing or extra shows up as a leaf of
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -63,18 +64,19 @@ def node(level: int) -> Column:
     return F.shiftright("offset", RANGE_BITS + FAN_BITS * (level - 1))
 
 
-def tree(leaf: DataFrame) -> list[DataFrame]:
+def tree(leaf: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda level: level) -> list[DataFrame]:
     """Tables file, node, digest for the levels 1, 2, ... and, last, file and digest of the roots.
 
-    A digest covers the nodes below it in order, with their numbers, so that an empty range differs from a full one.
+    A digest covers the nodes below it in order, with their numbers, so that an empty range differs from a full one. Each
+    level is made from the one below, as `keep` returns it.
     """
     line = F.concat_ws(":", "offset", "length", "digest")
     joined = lambda x: F.sha2(F.concat_ws("|", F.transform(F.sort_array(F.collect_list(x)), lambda s: s["line"])), 256)
-    levels = [leaf.groupBy("file", node(1).alias("node")).agg(joined(F.struct("offset", line.alias("line"))).alias("digest"))]
+    levels = [keep(leaf.groupBy("file", node(1).alias("node")).agg(joined(F.struct("offset", line.alias("line"))).alias("digest")))]
     below = F.struct("node", F.concat_ws(":", "node", "digest").alias("line"))
     for _ in range(1, LEVELS):
-        levels.append(levels[-1].withColumn("above", F.shiftright("node", FAN_BITS)).groupBy("file", F.col("above").alias("node")).agg(joined(below).alias("digest")))
-    levels.append(levels[-1].groupBy("file").agg(joined(below).alias("digest")))
+        levels.append(keep(levels[-1].withColumn("above", F.shiftright("node", FAN_BITS)).groupBy("file", F.col("above").alias("node")).agg(joined(below).alias("digest"))))
+    levels.append(keep(levels[-1].groupBy("file").agg(joined(below).alias("digest"))))
     return levels
 
 
@@ -90,7 +92,7 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     give no rows. Each level is compared only below the nodes that differ on the level above it.
     """
     a, b = cut(first), cut(second)
-    trees = list(zip(tree(a), tree(b), strict=True))
+    trees = list(zip(tree(a, cut), tree(b, cut), strict=True))  # each level once, from the level below
     suspect = _differing(*trees[-1], ["file"])
     for level in range(LEVELS, 0, -1):
         up = ["file"] if level == LEVELS else ["file", "above"]
