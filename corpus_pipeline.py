@@ -1,7 +1,10 @@
 """The corpus pipeline: quality, language, near duplicates, packing.
 
 Each stage takes the documents that the one before it kept, and all but the last return the columns of documents. Null
-texts count as empty; an empty table stays empty; repeated rows stay until the third stage.
+texts count as empty; an empty table stays empty; repeated rows stay until the third stage, which keeps one of equal texts.
+Texts of any length are taken whole. Ties of scores do not matter (a threshold decides), ties of languages go to the first by
+name, of near duplicates to the least doc_id and then the least digest of the text. Extra columns of any name stay: rows
+travel in one column while a stage works on them.
 """
 
 from __future__ import annotations
