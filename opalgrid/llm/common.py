@@ -115,17 +115,19 @@ def text_of(column: str = "text") -> Column:
 
 
 _caches: dict[str, Callable[[], None]] = {}
+_owner = [""]
 
 
 def claim(owner: str, clear: Callable[[], None] | None = None) -> None:
-    """Called by an operator as it begins in a worker process: the caches of other operators there are emptied, so that
-    workers that serve one operator after the other hold one cache at a time. clear empties the owner's own, later."""
-    others = [n for n in _caches if n != owner]
-    for name in others:
-        _caches.pop(name)()
-    if others:
+    """Called by an operator as it begins in a worker process. When another operator has worked there before, its caches are
+    emptied and its memory is given back, so that workers that serve one operator after the other hold one at a time.
+    clear empties the owner's own cache, later."""
+    if owner != _owner[0]:
+        for name in [n for n in _caches if n != owner]:
+            _caches.pop(name)()
         _powers.clear()
         give_back()
+        _owner[0] = owner
     if clear:
         _caches[owner] = clear
 

@@ -90,7 +90,7 @@ def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang", key: str =
 def likelihoods(model: Model, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Tempered log likelihoods (texts, languages) and numbers of letters."""
     out, letters = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts), np.int64)
-    for s in pieces_of([len(t) for t in texts], 500_000):
+    for s in pieces_of([len(t) for t in texts], 200_000):
         part = texts[s]
         bucket, owner, counts = _trigrams(part, model.letters)
         n = np.bincount(owner, minlength=len(part))
