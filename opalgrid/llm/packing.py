@@ -23,7 +23,7 @@ from opalgrid.llm.wordcache import WORDS, encoder
 CAPACITY = 4096
 END_ID = 1
 #: Characters that are encoded together.
-CHARACTERS = 500_000
+CHARACTERS = 250_000
 
 
 class RoomTree:

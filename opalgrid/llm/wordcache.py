@@ -15,7 +15,7 @@ from itertools import chain
 
 import numpy as np
 
-from opalgrid.llm.common import claim
+from opalgrid.llm.common import claim, give_back
 
 #: A blank whose left neighbour is white space and whose right one is too, or the end: runs of white space are one token then.
 _RUN = re.compile(r"\s (?!\S)")
@@ -212,4 +212,5 @@ def encoder(path: str, *, blanks_matter: bool, words: int = WORDS) -> Callable[[
     claim(f"encoder {key}", _encoders.clear)
     if key not in _encoders:
         _encoders[key] = Encoder(path, blanks_matter=blanks_matter, words=words)
+        give_back()  # what reading the vocabulary took
     return _encoders[key]
