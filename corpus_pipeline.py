@@ -19,7 +19,7 @@ from opalgrid.llm.common import small_batches, stored, table
 from opalgrid.llm.queries import vocabulary
 
 #: Words that a worker keeps the ids of: fewer than alone, for the workers have served other stages before.
-WORDS = 150_000
+WORDS = 50_000
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
