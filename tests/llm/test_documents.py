@@ -154,7 +154,9 @@ def test_scores_follow_labels():
     index = toxicity.fit(bagged(rows))
     bad, good, none, long = (x[0] for x in toxicity.scores(index, ["abcd vile rotten", rows["text"][int(np.flatnonzero(rows["y"] == 0)[0])], "", "vile " + " ".join(f"z{i}" for i in range(5000))]))
     assert bad > 0.7 and good < 0.5 and none == pytest.approx(index.share)
-    assert long < 0.5  # one word of a long text does not make it like a text of that word alone
+    assert long < bad  # one word of a long text does not make it like a text of that word alone
+    short, lengthy = (e[0]["cosine"] for _, e in toxicity.scores(index, ["vile", "vile " + " ".join(f"z{i}" for i in range(5000))]))
+    assert lengthy < short / 2
     empty = toxicity.fit(bagged(rows.iloc[:0]))
     assert [x for x, _ in toxicity.scores(empty, ["anything", ""])] == [0.5, 0.5]
 
