@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opalgrid.operators.graphs import components
+from opalgrid.operators.graphs import checkpointed, components
 
 IMAGE = ["position", "tp", "c", "z"]
 
@@ -105,25 +105,33 @@ def phase_shift(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 def drift(pixels: DataFrame, c: int = 0, z: int = 0) -> DataFrame:
     """position, tp, dy, dx against the frame before; a first frame has none. Missing pixels are 0; two frames of different
     size are compared on the larger. Pairs of frames are independent."""
-    planes = pixels.where((F.col("c") == c) & (F.col("z") == z)).groupBy("position", "tp").agg(F.collect_list(F.struct("y", "x", F.coalesce("value", F.lit(0.0)).alias("value"))).alias("v"))
-    before = F.lag("v").over(Window.partitionBy("position").orderBy("tp"))
+    flat = pixels.where((F.col("c") == c) & (F.col("z") == z)).select("position", "tp", "y", "x", F.coalesce("value", F.lit(0.0)).cast("double").alias("v"))
 
-    def placed(*frames: Any) -> list[np.ndarray]:
-        points = [np.array([tuple(p.values()) if isinstance(p, dict) else tuple(p) for p in f], float) for f in frames]
-        shape = np.max([p[:, :2].max(axis=0) for p in points], axis=0).astype(int) + 1
-        out = []
-        for p in points:
-            out.append(np.zeros(shape))
-            out[-1][p[:, 0].astype(int), p[:, 1].astype(int)] = p[:, 2]
-        return out
+    def packed(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        image = np.zeros((part["y"].max() + 1, part["x"].max() + 1))
+        image[part["y"], part["x"]] = part["v"]
+        return pd.DataFrame({"position": [key[0]], "tp": [key[1]], "height": [image.shape[0]], "width": [image.shape[1]], "plane": [image.tobytes()]})
+
+    planes = flat.groupBy("position", "tp").applyInPandas(packed, "position long, tp int, height int, width int, plane binary")
+    w = Window.partitionBy("position").orderBy("tp")
+    rows = planes.select("position", "tp", F.struct("height", "width", "plane").alias("own"), F.lag(F.struct("height", "width", "plane")).over(w).alias("before"))
+
+    def image_of(one: Any, shape: tuple[int, int]) -> np.ndarray:
+        found = np.frombuffer(one["plane"], float).reshape(int(one["height"]), int(one["width"]))
+        return np.pad(found, [(0, n - m) for n, m in zip(shape, found.shape, strict=True)])
 
     @F.pandas_udf("struct<dy: double, dx: double>")
-    def shift(v: pd.Series, u: pd.Series) -> pd.DataFrame:
-        out = [(0.0, 0.0) if b is None else phase_shift(*placed(b, a)) for a, b in zip(v, u, strict=True)]
+    def shift(own: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for a, b in zip(own.to_dict("records"), before.to_dict("records"), strict=True):
+            if b["plane"] is None:
+                out.append((0.0, 0.0))
+                continue
+            shape = tuple(int(max(a[n], b[n])) for n in ("height", "width"))
+            out.append(phase_shift(image_of(b, shape), image_of(a, shape)))
         return pd.DataFrame(out, columns=["dy", "dx"]).astype(float)
 
-    rows = planes.withColumn("u", before).withColumn("s", shift("v", "u"))
-    return rows.select("position", "tp", "s.dy", "s.dx")
+    return rows.select("position", "tp", shift("own", "before").alias("s")).select("position", "tp", "s.dy", "s.dx")
 
 
 def otsu(pixels: DataFrame, bins: int = 16) -> DataFrame:
@@ -140,19 +148,62 @@ def otsu(pixels: DataFrame, bins: int = 16) -> DataFrame:
     return best.select(*IMAGE, (F.col("low") + (F.col("high") - F.col("low")) * (F.col("bin") + 1) / bins).alias("threshold"))
 
 
-def regions(binary: DataFrame, height: int, width: int) -> DataFrame:
+#: Sides of the blocks of an image that are labelled apart.
+REGION_BLOCK = 256
+
+
+def joined_runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of true pixels of each row, in reading order: row, first and last column, and the first run of its region (eight
+    neighbours). Runs of neighbouring rows that touch are joined, and each takes the least number around until none changes."""
+    edge = np.diff(np.pad(mask, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    (row, begin), end = np.nonzero(edge == 1), np.nonzero(edge == -1)[1] - 1
+    width = mask.shape[1] + 3
+    first = np.searchsorted(row * width + end, (row + 1) * width + begin - 1)  # runs of the next row that end not before it
+    after = np.searchsorted(row * width + begin, (row + 1) * width + end + 1, side="right")
+    n = np.maximum(after - first, 0)
+    a = np.repeat(np.arange(len(row)), n)
+    b = np.repeat(first - np.cumsum(n) + n, n) + np.arange(len(a))
+    label = np.arange(len(row))
+    while (label[a] != label[b]).any():
+        least = np.minimum(label[a], label[b])
+        for side in (label[a], label[b]):
+            np.minimum.at(label, side, least)
+        while (label[label] != label).any():
+            label = label[label]
+    return row, begin, end, label
+
+
+def regions(binary: DataFrame, height: int, width: int, block: int = REGION_BLOCK) -> DataFrame:
     """Connected regions (eight neighbours) of pixels (position, tp, y, x), labelled 1.. in order of their first pixel;
-    regions that touch the border are dropped."""
-    name = F.format_string("%d/%d/%06d/%06d", "position", "tp", "y", "x")
-    named = binary.select("position", "tp", "y", "x", name.alias("node"))
+    regions that touch the border are dropped.
+
+    Blocks of an image are labelled apart, by runs; only pixels along their borders meet, and only regions that cross them
+    are joined further.
+    """
+    square = lambda c: F.floor(F.col(c) / block).cast("int")
+    frame = ["position", "tp"]
+
+    def label(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        top, left = key[2] * block, key[3] * block
+        mask = np.zeros((block, block), bool)
+        mask[part["y"] - top, part["x"] - left] = True
+        row, begin, end, root = joined_runs(mask)
+        n = end - begin + 1
+        x = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+        named = lambda i: pd.Series([f"{key[0]}/{key[1]}/{y:06d}/{x:06d}" for y, x in zip((row[i] + top).tolist(), (begin[i] + left).tolist(), strict=True)])
+        roots, which = np.unique(root, return_inverse=True)
+        return pd.DataFrame({"position": key[0], "tp": key[1], "y": np.repeat(row, n) + top, "x": x + left, "node": named(roots).to_numpy()[np.repeat(which, n)]})
+
+    local = checkpointed(binary.groupBy(*frame, square("y"), square("x")).applyInPandas(label, "position long, tp int, y int, x int, node string"))
+    rims = local.where(f"y % {block} IN (0, {block - 1}) OR x % {block} IN (0, {block - 1})")
     moves = F.array(*[F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a, b in ((0, 1), (1, -1), (1, 0), (1, 1))])
-    moved = named.withColumn("m", F.explode(moves)).select("position", "tp", (F.col("y") + F.col("m.dy")).alias("y"), (F.col("x") + F.col("m.dx")).alias("x"), F.col("node").alias("a"))
-    edges = moved.join(named, ["position", "tp", "y", "x"]).select("a", F.col("node").alias("b"))
-    labelled = named.join(components(edges), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    moved = rims.withColumn("m", F.explode(moves)).select(*frame, (F.col("y") + F.col("m.dy")).alias("y"), (F.col("x") + F.col("m.dx")).alias("x"), F.col("node").alias("a"))
+    edges = moved.join(rims, [*frame, "y", "x"]).where("a <> node").select("a", F.col("node").alias("b")).distinct()
     border = (F.col("y") == 0) | (F.col("x") == 0) | (F.col("y") == height - 1) | (F.col("x") == width - 1)
-    w = Window.partitionBy("position", "tp")
-    kept = labelled.withColumn("_b", F.max(border.cast("int")).over(Window.partitionBy("component"))).where("_b = 0")
-    return kept.select("position", "tp", "y", "x", F.dense_rank().over(w.orderBy("component")).alias("label"))
+    parts = local.groupBy(*frame, "node").agg(F.bool_or(border).alias("_b")).join(components(edges), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    whole = parts.groupBy(*frame, "component").agg(F.bool_or("_b").alias("_b")).where("NOT _b")
+    labelled = whole.select("component", F.dense_rank().over(Window.partitionBy(*frame).orderBy("component")).alias("label"))
+    return local.join(parts.select("node", "component").join(labelled, "component"), "node").select(*frame, "y", "x", "label")
 
 
 def relabelled(masks: DataFrame, by: list[str]) -> DataFrame:

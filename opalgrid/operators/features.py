@@ -7,13 +7,16 @@ in one aggregation; those that need an object's shape run per object in numpy, o
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from typing import Any
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opalgrid.operators.graphs import checkpointed
+
 KEYS = ["position", "tile", "tp", "label"]
 KEY_TYPES = "position long, tile int, tp int, label int"
 PLANE = ["position", "tp", "c", "y", "x"]
@@ -35,12 +38,13 @@ def reduce_z(pixels: DataFrame, fun: str, value: str = "value") -> DataFrame:
     return pixels.groupBy(*PLANE).agg(REDUCERS[fun](value).alias("v"))
 
 
+COMBINED: dict[str, Callable[[Column, Column], Column]] = {"add": lambda a, b: a + b, "max": F.greatest, "div": F.try_divide}
+
+
 def combine_channels(planes: DataFrame, first: int, second: int, fun: str, name: int = -1) -> DataFrame:
     """A new channel from two: add, max or div of their values at each pixel. Channels become columns first: no self-join."""
     both = planes.groupBy("position", "tp", "y", "x").pivot("c", [first, second]).agg(F.first("v")).dropna()
-    a, b = F.col(str(first)), F.col(str(second))
-    how = {"add": a + b, "max": F.greatest(a, b), "div": F.try_divide(a, b)}[fun]
-    return both.select("position", "tp", F.lit(name).alias("c"), "y", "x", how.alias("v"))
+    return both.select("position", "tp", F.lit(name).alias("c"), "y", "x", COMBINED[fun](F.col(str(first)), F.col(str(second))).alias("v"))
 
 
 def object_pixels(masks: DataFrame, planes: DataFrame) -> DataFrame:
@@ -149,22 +153,23 @@ def rwc(pairs: DataFrame, share: float = 0.15) -> DataFrame:
     return ranked.groupBy(*KEYS).agg(part("v0").alias("rwc_1"), part("v1").alias("rwc_2"))
 
 
-def _neighbours(masks: DataFrame, steps: Iterable[tuple[int, int]]) -> DataFrame:
-    """Pixels of masks with the number of `steps` that stay inside their object: inside."""
-    moves = F.array(*[F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a, b in steps])
-    moved = masks.withColumn("m", F.explode(moves)).select(*KEYS, (F.col("y") + F.col("m.dy")).alias("y"), (F.col("x") + F.col("m.dx")).alias("x"))
-    return masks.join(moved.groupBy(*KEYS, "y", "x").agg(F.count("*").alias("inside")), [*KEYS, "y", "x"], "left").fillna(0, ["inside"])
-
-
-FOUR = ((-1, 0), (1, 0), (0, -1), (0, 1))
+def rim(masks: DataFrame) -> DataFrame:
+    """masks with the number of a pixel's four neighbours that are of its object: inside."""
+    keep = [c for c in masks.columns if c != "inside"]
+    near = F.lit(0)
+    for line, along in (("y", "x"), ("x", "y")):
+        w = Window.partitionBy(*KEYS, line).orderBy(along)
+        for step in (-1, 1):
+            near = near + (F.count("*").over(w.rangeBetween(step, step)) > 0).cast("int")
+    return masks.select(*keep, near.alias("inside"))
 
 
 def sizeshape(masks: DataFrame) -> DataFrame:
     """Bounding box, extent, axes of the ellipse with the same second moments, eccentricity, orientation, perimeter (outer
     edges) and equivalent diameter of each object."""
-    rim = _neighbours(masks, FOUR)
+    pixels = masks if "inside" in masks.columns else rim(masks)
     yy, xx, xy = F.var_pop("y") + 1 / 12, F.var_pop("x") + 1 / 12, F.covar_pop("y", "x")
-    stats = rim.groupBy(*KEYS).agg(
+    stats = pixels.groupBy(*KEYS).agg(
         F.count("*").alias("area"), F.min("y").alias("min_y"), F.max("y").alias("max_y"), F.min("x").alias("min_x"), F.max("x").alias("max_x"),
         yy.alias("yy"), xx.alias("xx"), xy.alias("xy"), F.sum(4 - F.col("inside")).cast("long").alias("perimeter"),
     )
@@ -179,20 +184,19 @@ def sizeshape(masks: DataFrame) -> DataFrame:
 
 
 def intensity(objects: DataFrame, masks: DataFrame | None = None) -> DataFrame:
-    """Integrated, mean, deviation, extremes, quartiles, median absolute deviation and mass displacement; with masks, the
-    same sums over edge pixels."""
-    base = objects.groupBy(*KEYS, "c").agg(
+    """Integrated, mean, deviation, extremes, quartiles, median absolute deviation and mass displacement; with masks, or
+    where objects say how many neighbours of a pixel are inside (see rim), the same sums over edge pixels."""
+    if masks is not None and "inside" not in objects.columns:
+        objects = objects.join(rim(masks).select(*KEYS, "y", "x", "inside"), [*KEYS, "y", "x"])
+    centred = objects.withColumn("_off", F.abs(F.col("v") - F.median("v").over(Window.partitionBy(*KEYS, "c"))))
+    shift = lambda a: F.pow(F.try_divide(F.sum(F.col(a) * F.col("v")), F.sum("v")) - F.avg(a), 2)
+    edge = F.when(F.col("inside") < 4, F.col("v")) if masks is not None else None
+    edges = [F.sum(edge).alias("integrated_edge"), F.avg(edge).alias("mean_edge"), F.stddev_pop(edge).alias("std_edge")] if masks is not None else []
+    return centred.groupBy(*KEYS, "c").agg(
         F.sum("v").alias("integrated"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"),
         F.percentile("v", F.lit(0.25)).alias("lower_quartile"), F.median("v").alias("median"), F.percentile("v", F.lit(0.75)).alias("upper_quartile"),
-        F.sqrt(F.pow(F.try_divide(F.sum(F.col("x") * F.col("v")), F.sum("v")) - F.avg("x"), 2) + F.pow(F.try_divide(F.sum(F.col("y") * F.col("v")), F.sum("v")) - F.avg("y"), 2)).alias("mass_displacement"),
+        F.sqrt(shift("x") + shift("y")).alias("mass_displacement"), F.median("_off").alias("mad"), *edges,
     )
-    mad = objects.join(base.select(*KEYS, "c", "median"), [*KEYS, "c"]).groupBy(*KEYS, "c").agg(F.median(F.abs(F.col("v") - F.col("median"))).alias("mad"))
-    out = base.join(mad, [*KEYS, "c"])
-    if masks is None:
-        return out
-    edge = _neighbours(masks, FOUR).where("inside < 4").select(*KEYS, "y", "x")
-    sums = objects.join(edge, [*KEYS, "y", "x"]).groupBy(*KEYS, "c").agg(F.sum("v").alias("integrated_edge"), F.avg("v").alias("mean_edge"), F.stddev_pop("v").alias("std_edge"))
-    return out.join(sums, [*KEYS, "c"], "left")
 
 
 #: Offsets of grey-level pairs: along a row, along a column, and along both diagonals.
@@ -205,9 +209,13 @@ def texture(objects: DataFrame, levels: int = 8, steps: Iterable[tuple[int, int]
     w = Window.partitionBy(*KEYS, "c")
     low, high = F.min("v").over(w), F.max("v").over(w)
     grey = objects.withColumn("g", F.least(F.lit(levels - 1), F.floor(F.coalesce(F.try_divide(F.col("v") - low, high - low), F.lit(0.0)) * levels)).cast("int"))
-    moves = F.array(*[F.struct(F.lit(k).alias("way"), F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for k, (dy, dx) in enumerate(steps)])
-    other = grey.withColumn("m", F.explode(moves)).select(*KEYS, "c", "m.way", (F.col("y") - F.col("m.dy")).alias("y"), (F.col("x") - F.col("m.dx")).alias("x"), F.col("g").alias("g2"))
-    pairs = grey.join(other, [*KEYS, "c", "y", "x"]).groupBy(*KEYS, "c", "way", "g", "g2").agg(F.count("*").alias("n"))
+    ways = []
+    for k, (dy, dx) in enumerate(steps):  # the partner lies on the pixel's line in this direction, one step on
+        line = Window.partitionBy(*KEYS, "c", dy * F.col("x") - dx * F.col("y")).orderBy(dy * F.col("y") + dx * F.col("x"))
+        length = dy * dy + dx * dx
+        ways.append(F.struct(F.lit(k).alias("way"), F.max("g").over(line.rangeBetween(length, length)).alias("g2")))
+    found = grey.select(*KEYS, "c", "g", F.array(*ways).alias("_w")).select(*KEYS, "c", "g", F.explode("_w").alias("_w")).select(*KEYS, "c", "g", "_w.*")
+    pairs = found.where("g2 IS NOT NULL").groupBy(*KEYS, "c", "way", "g", "g2").agg(F.count("*").alias("n"))
     p, d = F.col("n") / F.sum("n").over(Window.partitionBy(*KEYS, "c", "way")), F.col("g") - F.col("g2")
     sums = {"contrast": d * d * F.col("p"), "energy": F.col("p") * F.col("p"), "homogeneity": F.col("p") / (1 + d * d), "entropy": -F.col("p") * F.log2("p")}
     ways = range(len(tuple(steps)))
@@ -260,63 +268,101 @@ def filled(y: np.ndarray, x: np.ndarray, pad: int = 1) -> np.ndarray:
 
 
 def distances(mask: np.ndarray) -> np.ndarray:
-    """Euclidean distance of each true pixel to the nearest false one; 0 at false ones, and where there is none.
+    """Euclidean distance of each true pixel to the nearest false one; 0 at false ones, and where there is none. The last
+    two axes are the image; before them may stand an axis of images of one size.
 
     Down the columns distances come from running maxima; along the rows, offsets grow until none can be nearer.
     """
-    if mask.all() or not mask.any():
-        return np.zeros(mask.shape)
-    far = sum(mask.shape)
-    at = np.arange(len(mask), dtype=np.int64)[:, None]
-    above = at - np.maximum.accumulate(np.where(mask, -far, at), axis=0)
-    below = np.minimum.accumulate(np.where(mask, 2 * far, at)[::-1], axis=0)[::-1] - at
+    far = sum(mask.shape[-2:])
+    at = np.arange(mask.shape[-2], dtype=np.int64)[:, None]
+    above = at - np.maximum.accumulate(np.where(mask, -far, at), axis=-2)
+    below = np.flip(np.minimum.accumulate(np.flip(np.where(mask, 2 * far, at), -2), axis=-2), -2) - at
     column = np.minimum(np.minimum(above, below), far) ** 2
+    column *= ~mask.all(axis=(-2, -1), keepdims=True)
     out, k = column.copy(), 1
-    while k < mask.shape[1] and k * k < out.max():
-        np.minimum(out[:, k:], column[:, :-k] + k * k, out=out[:, k:])
-        np.minimum(out[:, :-k], column[:, k:] + k * k, out=out[:, :-k])
+    while k < mask.shape[-1] and k * k < out.max():
+        np.minimum(out[..., k:], column[..., :-k] + k * k, out=out[..., k:])
+        np.minimum(out[..., :-k], column[..., k:] + k * k, out=out[..., :-k])
         k += 1
     return np.sqrt(out)
 
 
-def distance_map(masks: DataFrame) -> DataFrame:
-    """Distance d of each pixel of an object to the nearest pixel outside it. A repeated pixel counts once."""
+#: Pixels of boxes that are measured at once.
+STACK = 2_000_000
+
+
+def stacks(ys: Sequence[np.ndarray], xs: Sequence[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Objects, given by their pixels, as stacks of boxes of like size with empty pixels around: which objects, the stack,
+    and each of their pixels' row and column, one object after the other."""
+    tops, lefts = (np.array([a.min() for a in v]) for v in (ys, xs))
+    sizes = np.array([(y.max() - top + 3, x.max() - left + 3) for y, x, top, left in zip(ys, xs, tops, lefts, strict=True)])
+    classes = 1 << np.ceil(np.log2(sizes)).astype(int)  # powers of two, so that few sizes occur
+    order = np.lexsort((classes[:, 1], classes[:, 0]))
+    begin = 0
+    while begin < len(order):
+        h, w = classes[order[begin]]
+        end = begin + int(np.argmin(np.append((classes[order[begin:]] == (h, w)).all(axis=1), False)))
+        for some in np.split(order[begin:end], range(max(1, STACK // (h * w)), end - begin, max(1, STACK // (h * w)))):
+            y, x = (np.concatenate([v[i] - first[i] + 1 for i in some]) for v, first in ((ys, tops), (xs, lefts)))
+            n = np.repeat(np.arange(len(some)), [len(ys[i]) for i in some])
+            out = np.zeros((len(some), h, w), bool)
+            out[n, y, x] = True
+            yield some, out, y, x
+        begin = end
+
+
+def _of_shapes(masks: DataFrame, kind: str, measure: Callable[[list[np.ndarray], list[np.ndarray]], Any]) -> DataFrame:
+    """KEYS, y, x (arrays of an object's pixels) and d: measure() of many objects' pixels at once."""
+    one_each = masks.groupBy(*KEYS).agg(F.collect_set(F.struct("y", "x")).alias("_p")).select(*KEYS, F.col("_p.y").alias("y"), F.col("_p.x").alias("x"))
+
+    @F.pandas_udf(kind)
+    def run(y: pd.Series, x: pd.Series) -> pd.Series:
+        return pd.Series(measure(list(y), list(x)) if len(y) else [])
+
+    return one_each.withColumn("d", run("y", "x"))
+
+
+def depths(ys: list[np.ndarray], xs: list[np.ndarray]) -> list[np.ndarray]:
+    """The distance of each pixel of each object to the nearest pixel outside it."""
+    out: list = [None] * len(ys)
+    for some, stack, y, x in stacks(ys, xs):
+        n = [len(ys[i]) for i in some]
+        d = distances(stack)[np.repeat(np.arange(len(some)), n), y, x]
+        for i, one in zip(some, np.split(d, np.cumsum(n)[:-1]), strict=True):
+            out[i] = one
+    return out
 
-    def measure(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        y, x = part["y"].to_numpy(), part["x"].to_numpy()
-        d = distances(filled(y, x))
-        inside = np.argwhere(d > 0)
-        return pd.DataFrame(dict(zip(KEYS, key, strict=True)) | {"y": inside[:, 0] - 1 + y.min(), "x": inside[:, 1] - 1 + x.min(), "d": d[d > 0]})[[*KEYS, "y", "x", "d"]]
 
-    return masks.groupBy(*KEYS).applyInPandas(measure, f"{KEY_TYPES}, y int, x int, d double")
+def distance_map(masks: DataFrame) -> DataFrame:
+    """Distance d of each pixel of an object to the nearest pixel outside it. A repeated pixel counts once."""
+    return _of_shapes(masks, "array<double>", depths).select(*KEYS, F.inline(F.arrays_zip("y", "x", "d")))
 
 
 def conical_volume(masks: DataFrame) -> DataFrame:
     """Four times the sum of the distances of an object's pixels to its outside."""
+    return _of_shapes(masks, "double", lambda y, x: [4 * d.sum() for d in depths(y, x)]).select(*KEYS, F.col("d").alias("conical_volume"))
 
-    def measure(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(*key, float(4 * distances(filled(part["y"].to_numpy(), part["x"].to_numpy())).sum()))], columns=[*KEYS, "conical_volume"])
 
-    return masks.groupBy(*KEYS).applyInPandas(measure, f"{KEY_TYPES}, conical_volume double")
+def axes_of(masks: np.ndarray) -> np.ndarray:
+    """Half axes, shorter and longer, of each of a stack of objects, from three distance maps; halves round to even."""
+    near = distances(masks)
+    dn = distances(near != near.max(axis=(-2, -1), keepdims=True)) * masks
+    cone = distances(dn == 0) * masks
+    return np.stack([np.round(near.max(axis=(-2, -1))), np.round(dn.max(axis=(-2, -1)) + cone.sum(axis=(-2, -1)) / 2)], axis=-1)
 
 
-def axes_of(mask: np.ndarray) -> tuple[float, float]:
-    """Half axes, shorter and longer, from three distance maps; halves round to even."""
-    near = distances(mask)
-    dn = distances(near != near.max()) * mask
-    cone = distances(dn == 0) * mask
-    return float(np.round(near.max())), float(np.round(dn.max() + cone.sum() / 2))
+def half_axes(ys: list[np.ndarray], xs: list[np.ndarray]) -> list[np.ndarray]:
+    out = np.zeros((len(ys), 2))
+    for some, stack, _, _ in stacks(ys, xs):
+        out[some] = axes_of(stack)
+    return list(out)
 
 
 def shape_metrics(masks: DataFrame) -> DataFrame:
     """minor, major, eccentricity and volume of each object, from its distance maps."""
-
-    def measure(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        short, long = axes_of(filled(part["y"].to_numpy(), part["x"].to_numpy()))
-        ecc = math.sqrt(max(0.0, long**2 - short**2)) / long if long else None
-        return pd.DataFrame([(*key, short, long, ecc, 4 / 3 * math.pi * short**2 * long)], columns=[*KEYS, "minor", "major", "eccentricity", "volume"])
-
-    return masks.groupBy(*KEYS).applyInPandas(measure, f"{KEY_TYPES}, minor double, major double, eccentricity double, volume double")
+    found = _of_shapes(masks, "array<double>", half_axes).select(*KEYS, F.col("d")[0].alias("minor"), F.col("d")[1].alias("major"))
+    a, b = F.col("minor"), F.col("major")
+    return found.select(*KEYS, "minor", "major", F.try_divide(F.sqrt(F.greatest(F.lit(0.0), b * b - a * a)), b).alias("eccentricity"), (4 / 3 * math.pi * a * a * b).alias("volume"))
 
 
 def convolved(image: np.ndarray, kernel: np.ndarray) -> np.ndarray:
@@ -345,11 +391,12 @@ def small_peaks(image: np.ndarray, mask: np.ndarray) -> float:
     return float(convolved(image, ((g**2).sum(axis=0) <= r * r).astype(float))[mask].max())
 
 
-def nucleus_estimate(image: np.ndarray, mask: np.ndarray, alpha: float = 0.95, share: float = 0.085, z_ratio: float = 1.0) -> float:
+def nucleus_estimate(image: np.ndarray, mask: np.ndarray, room: Sequence[tuple[int, int]], alpha: float = 0.95, share: float = 0.085, z_ratio: float = 1.0) -> float:
     """Best match of a Gaussian of the size a nucleus would have, in a plane or a stack of planes: of the object less its
     median, zero around it, convolved and divided by what a flat nucleus would give.
 
-    A plane's kernel has the variance sigma^2; a stack's has sigma, and sigma * z_ratio across planes, as its variance.
+    image and mask are a window of the image; room says how far the image goes on before and after it, down and along. A
+    plane's kernel has the variance sigma^2; a stack's has sigma, and sigma * z_ratio across planes, as its variance.
     """
     values = image[mask]
     quantile = -2 * math.log(1 - alpha)
@@ -357,75 +404,110 @@ def nucleus_estimate(image: np.ndarray, mask: np.ndarray, alpha: float = 0.95, s
     sigma = r / math.sqrt(quantile)
     if not sigma:
         return float("nan")
-    k = bell(2 * int(np.ceil(2 * r)) + 1, *((sigma**2,) * 2 if image.ndim == 2 else (sigma * z_ratio, sigma, sigma)))
-    found = convolved(np.where(mask, image - np.median(values), 0), k)
-    return float(found.max() / ((k**2).sum() * alpha * math.pi * quantile * sigma**2))
+    side = int(np.ceil(2 * r))
+    k = bell(2 * side + 1, *((sigma**2,) * 2 if image.ndim == 2 else (sigma * z_ratio, sigma, sigma)))
+    # Beyond the kernel's reach of the object, all is zero: one such pixel stands for the rest of the image.
+    cuts, pads = [slice(None)] * (image.ndim - 2), [(0, 0)] * (image.ndim - 2)
+    for axis, (before, after) in zip((-2, -1), room, strict=True):
+        held = np.flatnonzero(mask.any(axis=tuple(a for a in range(-image.ndim, 0) if a != axis)))
+        cuts.append(slice(held[0], held[-1] + 1))
+        pads.append((min(side + 1, held[0] + before), min(side + 1, image.shape[axis] - 1 - held[-1] + after)))
+    own = np.pad(np.where(mask, image - np.median(values), 0)[tuple(cuts)], pads)
+    return float(convolved(own, k).max() / ((k**2).sum() * alpha * math.pi * quantile * sigma**2))
 
 
-def _per_image(masks: DataFrame, pixels: DataFrame, fn: Callable[[np.ndarray, np.ndarray], tuple], names: list[str], value: str) -> DataFrame:
-    """fn(image, mask) of each object in each channel of its image, the pixels of one position and tp; missing ones are 0.
-    An image, or a stack of planes (pixels with z), is one group."""
-    frame = ["position", "tp", "c"]
-    deep = "z" in pixels.columns
+#: Sides of the squares that pixels are dealt by where windows meet them.
+SQUARE = 64
 
-    def measure(key: tuple, own: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
+
+def _windows(masks: DataFrame, pixels: DataFrame, value: str, reach: float, fn: Callable[..., tuple], names: list[str], tiles: DataFrame | None) -> DataFrame:
+    """fn(image, mask, room) of each object in each channel, over its window of the image: its bounding box and, around it, the
+    number of its pixels times `reach`. Missing pixels are 0. The image is what a position has at one tp or, with tiles
+    (position, tile, y0, x0, h, w), the object's tile.
+
+    A window meets the pixels of the squares that it touches: no task holds an image, and no window is transformed but its own.
+    """
+    deep = "z" in pixels.columns
+    frame = ["position", "tp"]
+    if tiles is not None:
+        inside = (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y0") + F.col("h")) & (F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x0") + F.col("w"))
+        masks = masks.join(tiles.select("position", "tile", "y0", "x0", "h", "w"), ["position", "tile"]).where(inside).select(*KEYS, "y", "x")
+    boxes = masks.groupBy(*KEYS).agg(F.collect_set(F.struct("y", "x")).alias("_m")).select(*KEYS, F.col("_m.y").alias("my"), F.col("_m.x").alias("mx"))
+    planes = pixels.groupBy(*frame, "c").agg(*[f(a).alias(f"{n}{a}") for a in ("y", "x", *["z"] * deep) for n, f in (("least_", F.min), ("most_", F.max))])
+    if tiles is None:
+        of_masks = masks.groupBy(*frame).agg(*[f(a).alias(f"{n}{a}_") for a in ("y", "x") for n, f in (("least_", F.min), ("most_", F.max))])
+        planes = planes.join(of_masks, frame)
+        planes = planes.withColumns({f"{n}{a}": f(f"{n}{a}", f"{n}{a}_") for a in ("y", "x") for n, f in (("least_", F.least), ("most_", F.greatest))}).drop(*[f"{n}{a}_" for a in "yx" for n in ("least_", "most_")])
+        each = boxes.join(planes, frame)
+    else:
+        own = tiles.select("position", "tile", F.col("y0").alias("least_y"), (F.col("y0") + F.col("h") - 1).alias("most_y"), F.col("x0").alias("least_x"), (F.col("x0") + F.col("w") - 1).alias("most_x"))
+        each = boxes.join(planes.drop("least_y", "most_y", "least_x", "most_x"), frame).join(own, ["position", "tile"])
+    around = F.ceil(F.size("my") * reach).cast("int")
+    each = each.withColumns({f"{side}_{a}": f(g(f"m{a}") + sign * around, f"{n}_{a}") for a in ("y", "x") for side, n, g, f, sign in (("from", "least", F.array_min, F.greatest, -1), ("to", "most", F.array_max, F.least, 1))})
+    square = lambda c: F.floor(F.col(c) / SQUARE).cast("int")
+    touched = each.select(*KEYS, "c", "from_y", "to_y", "from_x", "to_x", F.explode(F.sequence(square("from_y"), square("to_y"))).alias("_sy"))
+    touched = touched.withColumn("_sx", F.explode(F.sequence(square("from_x"), square("to_x"))))
+    placed = pixels.withColumns({"_sy": square("y"), "_sx": square("x")})
+    met = touched.join(placed, [*frame, "c", "_sy", "_sx"]).where("y BETWEEN from_y AND to_y AND x BETWEEN from_x AND to_x")
+    near = met.groupBy(*KEYS, "c").agg(F.collect_list(F.struct("y", "x", *["z"] * deep, F.col(value).cast("double").alias("v"))).alias("_n"))
+    rows = each.join(near, [*KEYS, "c"], "left")
+    empty = lambda c: F.coalesce(F.col(f"_n.{c}"), F.array())
+    first = F.col("least_z") if deep else F.lit(0)
+    count = F.col("most_z") - F.col("least_z") + 1 if deep else F.lit(1)
+
+    @F.pandas_udf("array<double>")
+    def run(box: pd.DataFrame, my: pd.Series, mx: pd.Series, y: pd.Series, x: pd.Series, z: pd.Series, v: pd.Series) -> pd.Series:
         out = []
-        own = own.rename(columns=lambda n: n[2:])
-        if len(own) and len(around):
-            both = pd.concat([own[["y", "x"]], around[["y", "x"]]])
-            top, left = both["y"].min(), both["x"].min()
-            shape = (both["y"].max() - top + 1, both["x"].max() - left + 1)
-            if deep:
-                shape = (around["z"].max() - around["z"].min() + 1, *shape)
+        for b, own_y, own_x, py, px, pz, pv in zip(box.itertuples(index=False), my, mx, y, x, z, v, strict=True):
+            shape = (b.n, b.to_y - b.from_y + 1, b.to_x - b.from_x + 1)
             image = np.zeros(shape)
-            at = (around["y"] - top, around["x"] - left)
-            image[(around["z"] - around["z"].min(), *at) if deep else at] = around[value].fillna(0)
-            for (tile, label), part in own.groupby(["tile", "label"]):
-                mask = np.zeros(shape[-2:], bool)
-                mask[part["y"] - top, part["x"] - left] = True
-                out.append((key[0], tile, key[1], label, key[2], *fn(image, np.broadcast_to(mask, shape))))
-        found = pd.DataFrame(out, columns=[*KEYS, "c", *names])
-        return found.astype({n: float for n in names})
-
-    channels = pixels.groupBy("position", "tp").agg(F.collect_set("c").alias("c"))
-    each = masks.join(channels, ["position", "tp"]).withColumn("c", F.explode("c"))
-    each = each.select(*[F.col(n).alias(f"m_{n}") for n in (*KEYS, "c", "y", "x")])  # masks may come from the same pixels
-    found = each.groupBy("m_position", "m_tp", "m_c").cogroup(pixels.groupBy(*frame)).applyInPandas(measure, f"{KEY_TYPES}, c int, {', '.join(f'{n} double' for n in names)}")
-    return found.select(*KEYS, "c", *[F.nanvl(n, F.lit(None)).alias(n) for n in names])
-
-
-def localisation(masks: DataFrame, planes: DataFrame) -> DataFrame:
+            if len(py):
+                image[np.asarray(pz, int) - b.z, np.asarray(py, int) - b.from_y, np.asarray(px, int) - b.from_x] = np.nan_to_num(np.asarray(pv, float))
+            mask = np.zeros(shape, bool)
+            mask[:, np.asarray(own_y) - b.from_y, np.asarray(own_x) - b.from_x] = True
+            room = ((b.from_y - b.least_y, b.most_y - b.to_y), (b.from_x - b.least_x, b.most_x - b.to_x))
+            out.append([*fn(image, mask, room)] if deep else [*fn(image[0], mask[0], room)])
+        return pd.Series(out)
+
+    sides = F.struct(*[f"{n}_{a}" for n in ("from", "to", "least", "most") for a in ("y", "x")], first.cast("int").alias("z"), count.cast("int").alias("n"))
+    found = rows.select(*KEYS, "c", run(sides, "my", "mx", empty("y"), empty("x"), empty("z") if deep else F.transform(empty("y"), lambda _: F.lit(0)), empty("v")).alias("_f"))
+    return found.select(*KEYS, "c", *[F.nanvl(F.col("_f")[i], F.lit(None)).alias(n) for i, n in enumerate(names)])
+
+
+def localisation(masks: DataFrame, planes: DataFrame, tiles: DataFrame | None = None) -> DataFrame:
     """small_peaks_conv and nuc_est_conv of each object and channel. Null for an object of zeros only."""
-    return _per_image(masks, planes, lambda v, m: (small_peaks(v, m), nucleus_estimate(v, m)), ["small_peaks_conv", "nuc_est_conv"], "v")
+    return _windows(masks, planes, "v", 3 * 0.025 / 5, lambda v, m, room: (small_peaks(v, m), nucleus_estimate(v, m, room)), ["small_peaks_conv", "nuc_est_conv"], tiles)
 
 
-def localisation_3d(masks: DataFrame, pixels: DataFrame, pixel_size: float = 0.23, z_spacing: float = 0.6) -> DataFrame:
+def localisation_3d(masks: DataFrame, pixels: DataFrame, pixel_size: float = 0.23, z_spacing: float = 0.6, tiles: DataFrame | None = None) -> DataFrame:
     """nuc_conv_3d of each object and channel over all planes of its stack. Null for an object of zeros only."""
-    return _per_image(masks, pixels, lambda v, m: (nucleus_estimate(v, m, z_ratio=z_spacing / pixel_size),), ["nuc_conv_3d"], "value")
-
-
-def costes(pairs: DataFrame, steps: int = 64) -> DataFrame:
-    """Manders' fractions over Costes' threshold: the largest at which what lies below it is not correlated."""
-
-    def measure(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        a, b = part["v0"].to_numpy(float), part["v1"].to_numpy(float)
-        var = np.array([a.var(), b.var()])
-        cov = ((a - a.mean()) * (b - b.mean())).mean()
-        if not len(a) or not var.any() or cov == 0:
-            return pd.DataFrame([(*key, None, None, None)], columns=[*KEYS, "threshold", "costes_1", "costes_2"])
-        slope = (var[1] - var[0] + math.sqrt((var[1] - var[0]) ** 2 + 4 * cov**2)) / (2 * cov)
-        offset = b.mean() - slope * a.mean()
-        threshold = a.min()
-        for t in np.linspace(a.max(), a.min(), steps):
-            low = (a < t) | (b < slope * t + offset)
-            if low.sum() < 3 or a[low].std() == 0 or b[low].std() == 0 or np.corrcoef(a[low], b[low])[0, 1] <= 0:
-                threshold = t
-                break
-        both = (a > threshold) & (b > slope * threshold + offset)
-        share = lambda v: float(v[both].sum() / v.sum()) if v.sum() else None
-        return pd.DataFrame([(*key, float(threshold), share(a), share(b))], columns=[*KEYS, "threshold", "costes_1", "costes_2"])
+    return _windows(masks, pixels, "value", 0.0, lambda v, m, room: (nucleus_estimate(v, m, room, z_ratio=z_spacing / pixel_size),), ["nuc_conv_3d"], tiles)
+
 
-    return pairs.groupBy(*KEYS).applyInPandas(measure, f"{KEY_TYPES}, threshold double, costes_1 double, costes_2 double")
+def costes(pairs: DataFrame) -> DataFrame:
+    """Manders' fractions over Costes' threshold: the largest value of the first channel under which, or under what the
+    regression line makes of it in the second, pixels are not correlated.
+
+    A pixel lies under every threshold above its level: the lesser of its first value and of where the line meets its second.
+    So pixels in the order of levels are the sets that thresholds cut off, and running sums tell their correlation. Where the
+    channels go against each other nothing is over the threshold. Null without spread or covariance.
+    """
+    w = Window.partitionBy(*KEYS)
+    of = {"_a": F.avg("v0"), "_b": F.avg("v1"), "_va": F.var_pop("v0"), "_vb": F.var_pop("v1"), "_cov": F.covar_pop("v0", "v1"), "_n": F.count("*"), "_high": F.max("v0")}
+    stats = pairs.withColumns({k: f.over(w) for k, f in of.items()})
+    apart = F.col("_vb") - F.col("_va")
+    slope = F.when((F.col("_n") > 1) & (F.col("_cov") != 0), (apart + F.sqrt(apart * apart + 4 * F.col("_cov") * F.col("_cov"))) / (2 * F.col("_cov")))
+    lined = stats.withColumn("_slope", slope).withColumns({"_x": F.col("v0") - F.col("_a"), "_y": F.col("v1") - F.col("_b")})
+    lined = lined.withColumn("_u", F.when(F.col("_slope") > 0, F.least(F.col("v0"), F.col("_a") + F.col("_y") / F.col("_slope"))))
+    upto = w.orderBy("_u").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = {"_k": F.count("*"), "_sx": F.sum("_x"), "_sy": F.sum("_y"), "_sxy": F.sum(F.col("_x") * F.col("_y"))}
+    run = lined.withColumns({k: f.over(upto) for k, f in runs.items()})
+    loose = (F.col("_k") < 3) | (F.col("_k") * F.col("_sxy") <= F.col("_sx") * F.col("_sy"))
+    last = run.withColumn("_last", F.max(F.when(loose, F.col("_u"))).over(w))
+    level = F.when(F.col("_slope") > 0, F.coalesce(F.min(F.when((F.col("_u") > F.col("_last")) | F.col("_last").isNull(), F.col("_u"))).over(w), F.col("_high"))).when(F.col("_slope").isNotNull(), F.col("_high"))
+    cut = last.withColumn("_t", level)
+    share = lambda v: F.when(F.max("_t").isNotNull(), F.try_divide(F.coalesce(F.sum(F.when(F.col("_u") > F.col("_t"), F.col(v))), F.lit(0.0)), F.sum(v)))
+    return cut.groupBy(*KEYS).agg(F.max("_t").alias("threshold"), share("v0").alias("costes_1"), share("v1").alias("costes_2"))
 
 
 def hull(points: np.ndarray) -> np.ndarray:
@@ -447,19 +529,19 @@ def feret(masks: DataFrame) -> DataFrame:
     """feret_max, the largest distance between pixels of an object, and feret_min, its smallest width between parallel
     lines: over the corners and edges of its convex hull."""
 
-    def measure(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        h = hull(part[["y", "x"]].to_numpy())
-        edges = np.roll(h, -1, axis=0) - h
-        length = np.linalg.norm(edges, axis=1)
-        keep = length > 0
-        longest = math.sqrt(max(((h - p) ** 2).sum(axis=1).max() for p in h))
-        if not keep.any():
-            return pd.DataFrame([(*key, longest, 0.0)], columns=[*KEYS, "feret_max", "feret_min"])
-        normal = np.stack([-edges[keep, 1], edges[keep, 0]], axis=1) / length[keep, None]
-        reach = h @ normal.T
-        return pd.DataFrame([(*key, longest, float((reach.max(axis=0) - reach.min(axis=0)).min()))], columns=[*KEYS, "feret_max", "feret_min"])
+    def measure(ys: list[np.ndarray], xs: list[np.ndarray]) -> list[list[float]]:
+        out = []
+        for y, x in zip(ys, xs, strict=True):
+            h = hull(np.stack([y, x], axis=1).tolist())
+            edges = np.roll(h, -1, axis=0) - h
+            length = np.linalg.norm(edges, axis=1)
+            keep = length > 0
+            longest = math.sqrt(max(((h - p) ** 2).sum(axis=1).max() for p in h))
+            reach = h @ (np.stack([-edges[keep, 1], edges[keep, 0]], axis=1) / length[keep, None]).T
+            out.append([longest, float((reach.max(axis=0) - reach.min(axis=0)).min()) if keep.any() else 0.0])
+        return out
 
-    return masks.groupBy(*KEYS).applyInPandas(measure, f"{KEY_TYPES}, feret_max double, feret_min double")
+    return _of_shapes(masks, "array<double>", measure).select(*KEYS, F.col("d")[0].alias("feret_max"), F.col("d")[1].alias("feret_min"))
 
 
 def fill_outline(outlines: DataFrame) -> DataFrame:
@@ -522,44 +604,52 @@ def measure(masks: DataFrame, pixels: DataFrame, instructions: list[tuple], opti
     ch0 None: a mask-only metric, without a join to pixels. ch1 None: a metric of one channel. Otherwise of two: those of
     PAIR_FAMILIES side by side (red_ch "None"), others of the two combined by red_ch. A metric is a name of MASK_METRICS or
     PIXEL_METRICS, or a family; a family's columns are named family/column. options: keyword arguments of families.
-    All single metrics of one z-reduction share one join and one aggregation.
+    Masks are read once, and pixels once for each z-reduction. Objects' pixels are made and partitioned by object once; all
+    families work on that without another exchange.
     """
     options = options or {}
     own = lambda name: options.get(name, {})
+    parts = int(masks.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    # Partitioned by object once: what is grouped by object, or by object and more, stays where it is from here on.
+    placed = checkpointed(rim(masks.select(*KEYS, "y", "x").repartition(parts, *KEYS)))
     long = []
     mask_only = sorted({i[4] for i in instructions if i[0] is None})
     if names := [m for m in mask_only if m not in MASK_FAMILIES]:
-        long.append((mask_metrics(masks, names), [(m, m) for m in names], F.lit("None/None/")))
+        long.append((mask_metrics(placed, names), [(m, m) for m in names], F.lit("None/None/")))
     for family in [m for m in mask_only if m in MASK_FAMILIES]:
-        wide = MASK_FAMILIES[family](masks, **own(family))
+        wide = MASK_FAMILIES[family](placed, **own(family))
         long.append((wide, [(f"{family}/{c}", c) for c in _columns(wide)], F.lit("None/None/")))
     for red_z in sorted({i[3] for i in instructions if i[0] is not None}):
-        planes = reduce_z(pixels, red_z)
-        single = [i for i in instructions if i[0] is not None and i[1] is None and i[3] == red_z]
+        here = [i for i in instructions if i[0] is not None and i[3] == red_z]
+        needed = sorted({c for i in here for c in i[:2] if c is not None})
+        planes = reduce_z(pixels.where(F.col("c").isin(needed)).repartition(parts, "position", "tp", "y", "x"), red_z)
+        joined = placed.join(planes, ["position", "tp", "y", "x"]).select(*KEYS, "c", "y", "x", "v", "inside")
+        objects = checkpointed(joined.repartition(parts, *KEYS).sortWithinPartitions(*KEYS, "c"))
+        single = [i for i in here if i[1] is None]
         of_channel = F.concat(F.col("c").cast("string"), F.lit(f"/{red_z}/"))
         for name in sorted({i[4] for i in single if i[4] in CHANNEL_FAMILIES or i[4] in MASK_FAMILIES}):
             channels = sorted({i[0] for i in single if i[4] == name})
             if name in CHANNEL_FAMILIES:
-                some = planes.where(F.col("c").isin(channels))
-                wide = CHANNEL_FAMILIES[name](object_pixels(masks, some), masks, some, **own(name))
+                wide = CHANNEL_FAMILIES[name](objects.where(F.col("c").isin(channels)), placed, planes.where(F.col("c").isin(channels)), **own(name))
             else:
-                wide = MASK_FAMILIES[name](masks, **own(name)).withColumn("c", F.explode(F.lit(channels)))
+                wide = MASK_FAMILIES[name](placed, **own(name)).withColumn("c", F.explode(F.lit(channels)))
             long.append((wide, [(f"{name}/{c}", c) for c in _columns(wide)], of_channel))
         plain = [i for i in single if i[4] not in CHANNEL_FAMILIES and i[4] not in MASK_FAMILIES]
         if plain:
             names = sorted({i[4] for i in plain})
-            wide = pixel_metrics(object_pixels(masks, planes.where(F.col("c").isin(sorted({i[0] for i in plain})))), names)
+            wide = pixel_metrics(objects.where(F.col("c").isin(sorted({i[0] for i in plain}))), names)
             long.append((wide, [(m, m) for m in names], of_channel))
-        for a, b, how in sorted({(i[0], i[1], i[2]) for i in instructions if i[1] is not None and i[3] == red_z}):
-            names = sorted({i[4] for i in instructions if i[:4] == (a, b, how, red_z)})
+        for a, b, how in sorted({(i[0], i[1], i[2]) for i in here if i[1] is not None}):
+            names = sorted({i[4] for i in here if i[:3] == (a, b, how)})
             prefix = F.lit(f"({a}, {b})/{how}/{red_z}/")
+            both = two_channels(objects.where(F.col("c").isin(a, b)), a, b)
             if how == "None":
-                objects = object_pixels(masks, planes.where(F.col("c").isin(a, b)))
+                sizes = both.withColumns({v: F.abs(v) for v in ("v0", "v1")})
                 for name in names:
-                    wide = PAIR_FAMILIES[name](two_channels(objects.withColumn("v", F.abs("v")) if name in UNSIGNED else objects, a, b), **own(name))
+                    wide = PAIR_FAMILIES[name](sizes if name in UNSIGNED else both, **own(name))
                     long.append((wide, [(f"{name}/{c}", c) for c in _columns(wide)], prefix))
             else:
-                wide = pixel_metrics(object_pixels(masks, combine_channels(planes, a, b, how)), names)
+                wide = pixel_metrics(both.select(*KEYS, F.lit(-1).alias("c"), "y", "x", COMBINED[how](F.col("v0"), F.col("v1")).alias("v")), names)
                 long.append((wide, [(m, m) for m in names], prefix))
     out = None
     for wide, names, prefix in long:

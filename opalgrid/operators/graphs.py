@@ -1,10 +1,10 @@
-"""Closures over edges: connected components by label propagation on tables."""
+"""Closures over edges: connected components by alternating stars, running totals over ranges."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -40,24 +40,44 @@ def running_total(df: DataFrame, order: list[Column | str], value: Column, name:
     return placed.withColumn(name, F.col("_first") + F.col("_own")).drop("_part", "_value", "_own", "_first")
 
 
-def components(edges: DataFrame) -> DataFrame:
+#: Nodes with more edges than this, and than the SHARE-th part of all, are hubs; so there are at most 2 * SHARE hubs.
+HUB, SHARE = 50_000, 10_000
+
+
+def _starred(both: DataFrame, edges: int, small: bool, hub: int) -> DataFrame:
+    """One half-round over edges (a, b), each in both directions. Of a node's neighbours and itself take the least: its greater
+    neighbours (large star), or its lesser ones and itself (small star), are linked to that."""
+    some = both.where("b < a") if small else both
+    least = some.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("n"))
+    many = F.col("n") > max(hub, edges // SHARE)
+    hubs, rest = F.broadcast(least.where(many).select("a", "m")), least.where(~many).select("a", "m")
+    # A hub's edges learn the least from a broadcast, where they are; only those of other nodes meet by node.
+    rows = some.join(hubs, "a", "left").withColumnRenamed("m", "_hub")
+    met = rows.where("_hub IS NOT NULL").select("a", "b", F.col("_hub").alias("m")).unionByName(rows.where("_hub IS NULL").join(rest, "a").select("a", "b", "m"))
+    if not small:
+        return met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return met.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b")
+
+
+def components(edges: DataFrame, hub: int = HUB) -> DataFrame:
     """node, component (its least node) of the edges (a, b).
 
-    Each round takes the least label around a node, then that label's own label; rounds grow with the logarithm of the
-    longest path in practice. Lineage is cut after each.
+    Rounds of a large and a small star each, until edges stay the same: every node is linked to its component's least then.
+    A round's sign (number and digest of its edges) is gathered while they are kept, so it takes no job of its own.
     """
-    both = checkpointed(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct())
-    labels = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component"))
-    labels = checkpointed(labels)
-    while True:
-        around = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("m"))
-        near = labels.join(around, labels["node"] == around["a"]).select("node", F.col("component").alias("old"), F.least("component", "m").alias("new"))
-        jump = labels.select(F.col("node").alias("via"), F.col("component").alias("on"))
-        new = checkpointed(near.join(jump, near["new"] == jump["via"], "left").select("node", "old", F.least("new", F.coalesce("on", "new")).alias("component")))
-        changed = new.where("component <> old").limit(1).count()
-        labels = new.select("node", "component")
-        if not changed:
-            return labels
+    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
+    now = checkpointed(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    count, sign = now.count(), None
+    turned = lambda e: e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    while count:
+        large = checkpointed(_starred(turned(now), 2 * count, False, hub).distinct())
+        watch = Observation()
+        small = _starred(turned(large), 2 * count, True, hub).distinct()
+        now = checkpointed(small.observe(watch, F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")))
+        count, before, sign = watch.get["n"], sign, (watch.get["n"], watch.get["h"])
+        if sign == before:
+            break
+    return nodes.join(now.select(F.col("a").alias("node"), F.col("b").alias("component")), "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def merged_sets(rows: DataFrame, item: str, group: str) -> DataFrame:

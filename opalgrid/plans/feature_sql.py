@@ -73,15 +73,31 @@ RWC = f"""WITH r AS (SELECT *, dense_rank() OVER (PARTITION BY {KEYS} ORDER BY v
  k AS (SELECT *, (n - abs(r0 - r1)) / n AS k, v0 >= t0 AND v1 >= t1 AS joint FROM n)
  SELECT {KEYS}, {', '.join(f'sum(CASE WHEN joint THEN v{i} * k ELSE 0 END) / nullif(sum(CASE WHEN v{i} >= t{i} THEN v{i} ELSE 0 END), 0) AS rwc_{i + 1}' for i in (0, 1))} FROM k GROUP BY {KEYS}"""
 COSTES = f"""WITH p AS ({UNSIGNED}),
- o AS (SELECT {KEYS}, min(v0) AS low, max(v0) AS high, avg(v0) AS a, avg(v1) AS b, var_pop(v0) AS va, var_pop(v1) AS vb, covar_pop(v0, v1) AS cov, count(*) AS n FROM p GROUP BY {KEYS}),
- line AS (SELECT *, CASE WHEN n > 1 AND cov <> 0 AND (va <> 0 OR vb <> 0) THEN (vb - va + sqrt((vb - va) * (vb - va) + 4 * cov * cov)) / (2 * cov) END AS slope FROM o),
- s AS (SELECT *, b - slope * a AS cut FROM line),
- t AS (SELECT *, CASE i WHEN 63 THEN low ELSE high + i * ((low - high) / 63.0) END AS t FROM s, range(0, 64) r(i) WHERE slope IS NOT NULL),
- found AS (SELECT {KEYS}, i, t, count(*) FILTER (below) AS n, corr(v0, v1) FILTER (below) AS r FROM (SELECT *, v0 < t OR v1 < slope * t + cut AS below FROM t JOIN p USING ({KEYS})) GROUP BY ALL),
- first AS (SELECT {KEYS}, min_by(t, i) AS t FROM found WHERE n < 3 OR r IS NULL OR isnan(r) OR r <= 0 GROUP BY {KEYS}),
- chosen AS (SELECT s.*, CASE WHEN slope IS NOT NULL THEN coalesce(first.t, low) END AS threshold FROM s LEFT JOIN first USING ({KEYS}))
- SELECT {KEYS}, threshold, CASE WHEN threshold IS NOT NULL THEN coalesce(sum(v0) FILTER (v0 > threshold AND v1 > slope * threshold + cut), 0) / nullif(sum(v0), 0) END AS costes_1,
-  CASE WHEN threshold IS NOT NULL THEN coalesce(sum(v1) FILTER (v0 > threshold AND v1 > slope * threshold + cut), 0) / nullif(sum(v1), 0) END AS costes_2 FROM chosen JOIN p USING ({KEYS}) GROUP BY {KEYS}, threshold"""
+ o AS (SELECT {KEYS}, max(v0) AS high, avg(v0) AS a, avg(v1) AS b, var_pop(v0) AS va, var_pop(v1) AS vb, covar_pop(v0, v1) AS cov, count(*) AS n FROM p GROUP BY {KEYS}),
+ line AS (SELECT *, CASE WHEN n > 1 AND cov <> 0 THEN (vb - va + sqrt((vb - va) * (vb - va) + 4 * cov * cov)) / (2 * cov) END AS slope FROM o),
+ levels AS (SELECT *, v0 - a AS dx, v1 - b AS dy, CASE WHEN slope > 0 THEN least(v0, a + (v1 - b) / slope) END AS u FROM p JOIN line USING ({KEYS})),
+ sums AS (SELECT *, count(*) OVER w AS k, sum(dx) OVER w AS sx, sum(dy) OVER w AS sy, sum(dx * dy) OVER w AS sxy FROM levels WINDOW w AS (PARTITION BY {KEYS} ORDER BY u RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+ loose AS (SELECT *, max(u) FILTER (k < 3 OR k * sxy <= sx * sy) OVER (PARTITION BY {KEYS}) AS last FROM sums),
+ cut AS (SELECT *, CASE WHEN slope > 0 THEN coalesce(min(u) FILTER (u > last OR last IS NULL) OVER (PARTITION BY {KEYS}), high) WHEN slope IS NOT NULL THEN high END AS t FROM loose)
+ SELECT {KEYS}, max(t) AS threshold, CASE WHEN max(t) IS NOT NULL THEN coalesce(sum(v0) FILTER (u > t), 0) / nullif(sum(v0), 0) END AS costes_1,
+  CASE WHEN max(t) IS NOT NULL THEN coalesce(sum(v1) FILTER (u > t), 0) / nullif(sum(v1), 0) END AS costes_2 FROM cut GROUP BY {KEYS}"""
+
+#: Peaks: the largest sum over a disk about a pixel of the object. Nucleus: a Gaussian over the object less its median.
+PEAKS = f"""WITH disk AS (SELECT {KEYS}, c, 0.015 * count(*) FILTER (v <> 0) AS r FROM objects GROUP BY ALL),
+ at AS (SELECT {KEYS}, c, m.y, m.x, r FROM masks m JOIN disk USING ({KEYS}))
+ SELECT {KEYS}, c, max(s) AS small_peaks_conv FROM (SELECT at.position, at.tile, at.tp, at.label, at.c, at.y, at.x, sum(f.v) AS s FROM at JOIN flat f ON f.position = at.position AND f.tp = at.tp AND f.c = at.c
+  AND (f.y - at.y) * (f.y - at.y) + (f.x - at.x) * (f.x - at.x) <= at.r * at.r GROUP BY ALL) GROUP BY {KEYS}, c"""
+NUCLEUS = f"""WITH q AS (SELECT -2 * ln(0.05) AS q),
+ o AS (SELECT {KEYS}, c, median(v) AS med, sqrt(0.085 * count(*) FILTER (v <> 0) / pi()) AS r FROM objects GROUP BY {KEYS}, c),
+ s AS (SELECT *, r * r / q AS variance, CAST(ceil(2 * r) AS INT) AS h FROM o, q WHERE r > 0),
+ weights AS (SELECT *, CASE WHEN w < 2.220446049250313e-16 THEN 0 ELSE w END AS k FROM (SELECT s.*, dy, dx, exp(-(dy * dy + dx * dx) / (2 * variance)) AS w FROM s, range(-20, 21) a(dy), range(-20, 21) b(dx) WHERE abs(dy) <= h AND abs(dx) <= h)),
+ kernel AS (SELECT {KEYS}, c, med, variance, q, dy, dx, k / sum(k) OVER (PARTITION BY {KEYS}, c) AS k FROM weights),
+ norm AS (SELECT {KEYS}, c, sum(k * k) * 0.95 * pi() * max(q) * max(variance) AS norm FROM kernel GROUP BY {KEYS}, c),
+ spread AS (SELECT {KEYS}, c, y + dy AS y, x + dx AS x, sum((v - med) * k) AS s FROM objects JOIN kernel USING ({KEYS}, c) GROUP BY ALL),
+ placed AS (SELECT o.position, o.tile, o.tp, o.label, o.c, max(coalesce(s.s, 0)) AS best FROM s o JOIN flat f USING (position, tp, c)
+  LEFT JOIN spread s ON s.position = o.position AND s.tile = o.tile AND s.tp = o.tp AND s.label = o.label AND s.c = o.c AND s.y = f.y AND s.x = f.x GROUP BY ALL)
+ SELECT {KEYS}, c, best / norm AS nuc_est_conv FROM placed JOIN norm USING ({KEYS}, c)"""
+LOCALISATION = f"SELECT {KEYS}, c, small_peaks_conv, nuc_est_conv FROM ({PEAKS}) LEFT JOIN ({NUCLEUS}) USING ({KEYS}, c)"
 
 #: Squared distances to the outside; from the pixels farthest inside; and from those to the others.
 SHAPE = f"""WITH rim AS (SELECT DISTINCT {KEYS}, y + dy AS oy, x + dx AS ox FROM masks, {STEPS} EXCEPT SELECT {KEYS}, y, x FROM masks),
@@ -107,10 +123,11 @@ COLUMNS: dict[str, list[str]] = {
     "manders_fold": ["manders_1", "manders_2"],
     "rwc": ["rwc_1", "rwc_2"],
     "shape": ["minor", "major", "eccentricity", "volume"],
+    "localisation": ["small_peaks_conv", "nuc_est_conv"],
 }
 FAMILIES = {
     "sizeshape": SIZESHAPE, "radial_zernikes": RADIAL_ZERNIKES, "intensity": INTENSITY, "feret": FERET, "texture": TEXTURE, "radial_distribution": RADIAL_WIDE, "zernike": ZERNIKE,
-    "pearson": PEARSON, "costes": COSTES, "manders_fold": MANDERS, "rwc": RWC, "shape": SHAPE,
+    "pearson": PEARSON, "costes": COSTES, "manders_fold": MANDERS, "rwc": RWC, "shape": SHAPE, "localisation": LOCALISATION,
 }
 
 

@@ -89,8 +89,8 @@ query("a18_background", f"SELECT position, tp, c, {r6('median(v)', 'background')
 query("a19_background_max5", f"SELECT position, tp, c, {r6('avg(v)', 'background_max5')} FROM (SELECT *, row_number() OVER (PARTITION BY position, tp, c ORDER BY v DESC) AS k FROM ({OUTSIDE})) WHERE k <= 5 GROUP BY ALL")(
     lambda r: rounded(M.background(r.masks, M.reduce_z(r.pixels, "max")).drop("background"))
 )
-query("a20_localisation")(lambda r: rounded(M.localisation(r.masks, M.reduce_z(r.pixels, "max"))))
-query("a21_nuc_est_conv")(lambda r: rounded(M.localisation(r.masks, M.reduce_z(r.pixels, "max")).select(*K, "c", "nuc_est_conv")))
+query("a20_localisation", Q.rounded("localisation", f"{KEYS}, c"))(lambda r: rounded(M.localisation(r.masks, M.reduce_z(r.pixels, "max"))))
+query("a21_nuc_est_conv", f"SELECT {KEYS}, c, nuc_est_conv FROM ({Q.rounded('localisation', f'{KEYS}, c')})")(lambda r: rounded(M.localisation(r.masks, M.reduce_z(r.pixels, "max")).select(*K, "c", "nuc_est_conv")))
 query("a22_nuc_conv_3d")(lambda r: rounded(M.localisation_3d(r.masks, r.pixels)))
 for _fun, _sql in (("max", "max(value)"), ("add", "sum(value)"), ("mean", "avg(value)"), ("median", "median(value)"), ("div", "max(value) FILTER (z = 0) / nullif(max(value) FILTER (z = 1), 0)")):
     query(f"a23_reduce_z_{_fun}", f"SELECT position, tp, c, y, x, {r6(_sql, 'v')} FROM pixels GROUP BY ALL")(lambda r, f=_fun: rounded(M.reduce_z(r.pixels, f)))
@@ -186,7 +186,7 @@ query("p03_filled_outlines", f"""WITH RECURSIVE o AS (SELECT {KEYS}, min(y) - 1
  grid AS (SELECT {KEYS}, CAST(i AS INT) AS y, CAST(j AS INT) AS x, i = ya OR i = yb OR j = xa OR j = xb AS rim FROM o, range(-1, 10) a(i), range(-1, 10) b(j) WHERE i BETWEEN ya AND yb AND j BETWEEN xa AND xb),
  wall AS (SELECT {KEYS}, y, x FROM ({Q.RIM}) WHERE edges > 0), free AS (SELECT * FROM grid ANTI JOIN wall USING ({KEYS}, y, x)),
  outside AS (SELECT {KEYS}, y, x FROM free WHERE rim UNION SELECT f.position, f.tile, f.tp, f.label, f.y, f.x FROM outside s JOIN free f ON f.position = s.position AND f.tile = s.tile AND f.tp = s.tp AND f.label = s.label AND abs(f.y - s.y) + abs(f.x - s.x) = 1)
- SELECT {KEYS}, y, x FROM grid ANTI JOIN outside USING ({KEYS}, y, x)""")(lambda r: M.fill_outline(M._neighbours(r.masks, M.FOUR).where("inside < 4").select(*K, "y", "x")))
+ SELECT {KEYS}, y, x FROM grid ANTI JOIN outside USING ({KEYS}, y, x)""")(lambda r: M.fill_outline(M.rim(r.masks).where("inside < 4").select(*K, "y", "x")))
 query("w06_relabelled", f"SELECT {KEYS}, y, x, CAST(dense_rank() OVER (PARTITION BY position, tile, tp ORDER BY label) AS INT) AS new_label FROM masks WHERE label <> 2")(lambda r: B.relabelled(r.masks.where("label <> 2"), ["position", "tile", "tp"]).select(*K, "y", "x", "new_label"))
 query("w07_existing_labels", f"SELECT DISTINCT {KEYS} FROM masks")(lambda r: r.masks.select(*K).distinct())
 query("o03_top_pixels", f"SELECT {KEYS}, c, CAST(k AS INT) AS k, {r6('v', 'v')} FROM (SELECT *, row_number() OVER (PARTITION BY {KEYS}, c ORDER BY v DESC) AS k FROM objects) WHERE k <= 5")(
@@ -534,29 +534,33 @@ query("r02_tracked_batch", TRACKED)(lambda r: S.tracked(r.masks))
 
 @query("r01_incremental_frames", f"SELECT {KEYS}, n FROM sizes")
 def _(r: Relations) -> DataFrame:
-    """Frames come as files, one timepoint after the other; sizes are taken of the table that the stream fills."""
-    source, out = P.new_folder(r.spark, "in"), P.new_folder(r.spark, "frames")
-    r.masks.repartition("tp").write.parquet(source)
-    S.append_new_frames(S.read_masks(r.spark, source, r.masks.schema, 2), out, P.new_folder(r.spark, "state"))
+    """Frames come in pieces, over several files and batches; sizes are taken of the table that the stream fills."""
+    source, out, rows = P.new_folder(r.spark, "in"), P.new_folder(r.spark, "frames"), S.announced(r.masks)
+    rows.repartition(6).write.parquet(source)
+    S.append_new_frames(S.read_masks(r.spark, source, rows.schema, 2), out, P.new_folder(r.spark, "state"))
     return S.read_frames(r.spark, out, r.masks.schema).groupBy(*K).agg(F.count("*").alias("n"))
 
 
 @query("r04_first_write_wins", MASKS)
 def _(r: Relations) -> DataFrame:
-    """The frames come twice, in two streams; the second time none is written."""
-    source, out = P.new_folder(r.spark, "in"), P.new_folder(r.spark, "frames")
-    r.masks.repartition("tp").write.parquet(source)
+    """A second writer brings other labels, and all of it comes twice, in two streams: the first writer's rows are there."""
+    source, out, rows = P.new_folder(r.spark, "in"), P.new_folder(r.spark, "frames"), S.announced(r.masks)
+    rows.repartition(4).write.parquet(source)
+    rows.withColumn("label", F.col("label") + 100).repartition(3).write.mode("append").parquet(source)
     for _ in range(2):
-        S.append_new_frames(S.read_masks(r.spark, source, r.masks.schema, 100), out, P.new_folder(r.spark, "state"))
+        S.append_new_frames(S.read_masks(r.spark, source, rows.schema, 5), out, P.new_folder(r.spark, "state"))
     return S.read_frames(r.spark, out, r.masks.schema)
 
 
 @query("r02_tracked_stream", TRACKED)
 def _(r: Relations) -> DataFrame:
+    """Markers and rows come in files of their own, the markers of half of the frames before their rows, others after."""
     source, out = P.new_folder(r.spark, "in"), P.new_folder(r.spark, "tracks")
     marked = S.with_markers(r.masks, r.pixels, r.masks)
-    marked.repartition(4, "tp").write.parquet(source)
-    S.run_to_table(S.tracked_stream(S.read_masks(r.spark, source, marked.schema, 100)), out, P.new_folder(r.spark, "state"))
+    early = F.col("label").isNull() == (F.col("tp") % 2 == 0)
+    for part in (marked.where(early), marked.where(~early)):
+        part.repartition(2).write.mode("append").parquet(source)
+    S.run_to_table(S.tracked_stream(S.read_masks(r.spark, source, marked.schema, 2).drop(S.WRITER)), out, P.new_folder(r.spark, "state"))
     return r.spark.read.schema(S.TRACKS).parquet(out)
 
 
