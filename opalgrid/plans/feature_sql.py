@@ -84,9 +84,9 @@ COSTES = f"""WITH p AS ({UNSIGNED}),
 
 #: Peaks: the largest sum over a disk about a pixel of the object. Nucleus: a Gaussian over the object less its median.
 PEAKS = f"""WITH disk AS (SELECT {KEYS}, c, 0.015 * count(*) FILTER (v <> 0) AS r FROM objects GROUP BY ALL),
- at AS (SELECT {KEYS}, c, m.y, m.x, r FROM masks m JOIN disk USING ({KEYS}))
- SELECT {KEYS}, c, max(s) AS small_peaks_conv FROM (SELECT at.position, at.tile, at.tp, at.label, at.c, at.y, at.x, sum(f.v) AS s FROM at JOIN flat f ON f.position = at.position AND f.tp = at.tp AND f.c = at.c
-  AND (f.y - at.y) * (f.y - at.y) + (f.x - at.x) * (f.x - at.x) <= at.r * at.r GROUP BY ALL) GROUP BY {KEYS}, c"""
+ spot AS (SELECT {KEYS}, c, m.y, m.x, r FROM masks m JOIN disk USING ({KEYS}))
+ SELECT {KEYS}, c, max(s) AS small_peaks_conv FROM (SELECT spot.position, spot.tile, spot.tp, spot.label, spot.c, spot.y, spot.x, sum(f.v) AS s FROM spot JOIN flat f ON f.position = spot.position AND f.tp = spot.tp AND f.c = spot.c
+  AND (f.y - spot.y) * (f.y - spot.y) + (f.x - spot.x) * (f.x - spot.x) <= spot.r * spot.r GROUP BY ALL) GROUP BY {KEYS}, c"""
 NUCLEUS = f"""WITH q AS (SELECT -2 * ln(0.05) AS q),
  o AS (SELECT {KEYS}, c, median(v) AS med, sqrt(0.085 * count(*) FILTER (v <> 0) / pi()) AS r FROM objects GROUP BY {KEYS}, c),
  s AS (SELECT *, r * r / q AS variance, CAST(ceil(2 * r) AS INT) AS h FROM o, q WHERE r > 0),
