@@ -99,7 +99,8 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
+    found = neardup.classes(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", F.lower(F.hex("_label")).alias("class_key"), "class_size", "links")
 
 
 def op10_posting_lists(spark: SparkSession, folder: str) -> DataFrame:

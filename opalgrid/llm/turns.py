@@ -50,29 +50,38 @@ def gathered(rows: DataFrame, *, chars: int = CHARS, most: int = ROWS) -> tuple[
         size = seq = 0
         inner = False  # whether the conversation begins within this range
 
-        def close(whole: bool) -> pd.DataFrame:
+        made: list[tuple] = []  # rows of PARTS, handed on together
+
+        def close(whole: bool) -> None:
             nonlocal held, size, seq
-            out = {"conv": [last[0] if last[1] else None], "whole": [whole], "part": [part], "seq": [seq], "size": [size], "n": [len(held["turn"])], **{c: [v] for c, v in held.items()}}
+            made.append((last[0] if last[1] else None, whole, part, seq, size, len(held["turn"]), *held.values()))
             held, size, seq = {c: [] for c in LISTS}, 0, seq + 1
-            return pd.DataFrame(out).astype({"conv": "Int64"})
+
+        def frame_of(rows: list[tuple]) -> pd.DataFrame:
+            columns = dict(zip([c.split()[0] for c in PARTS.split(", ")], zip(*rows, strict=True), strict=True))
+            return pd.DataFrame({**columns, "conv": pd.array(columns["conv"], "Int64")})
 
         for frame in frames:
             turns = [t if timed else None for t, timed in zip(frame["turn"].tolist(), frame["timed"].tolist(), strict=True)]
             for c, named, turn, role, text, live_ in zip(frame["conv"].tolist(), frame["named"].tolist(), turns, frame["role"], frame["text"], frame["live"].tolist(), strict=True):
                 if last != (c, named):
                     if last is not None:
-                        yield close(inner and not seq)
+                        close(inner and not seq)
                         inner = True
                     last, seq = (c, named), 0
                 elif held["turn"] and (size + len(text) > chars or len(held["turn"]) >= most):
-                    yield close(False)
+                    close(False)
                 held["turn"].append(turn)
                 held["role"].append(role)
                 held["text"].append(text)
                 held["live"].append(live_)
                 size += len(text) + len(role)
+            if sum(r[4] for r in made) > chars or len(made) >= 1000:
+                yield frame_of(made)
+                made.clear()
         if last is not None:
-            yield close(False)
+            close(False)
+            yield frame_of(made)
 
     made = stored(known.mapInPandas(gather, PARTS), "turns")
     cut_ = made.where(~F.col("whole"))

@@ -389,30 +389,6 @@ def test_links_that_no_centre_shows(spark):
     assert len({c for k, c in found if k < 24}) == 1 < len({c for _, c in found})
 
 
-def test_differences_bound_similarity():
-    """Whatever is alike to b though the centre is not, shares one of the keys of compared()."""
-    rng = np.random.default_rng(1)
-    df, met = rng.integers(2, 50, 30_000).astype(float), 0
-    for _ in range(300):
-        base = np.sort(rng.choice(10_000, 100, replace=False).astype(np.uint64))
-
-        def edited(s, n, rng=rng):
-            kept = s[np.sort(rng.permutation(len(s))[n:])]
-            return np.union1d(kept, rng.choice(10_000, n, replace=False).astype(np.uint64) + np.uint64(10_000))
-
-        b = edited(base, int(rng.integers(5, 40)))
-        y = edited(b, int(rng.integers(0, 8))) if rng.random() < 0.7 else edited(base, int(rng.integers(0, 12)))
-        c, b, y = ((s, np.ones(len(s)), df[s.astype(int)]) for s in (base, b, y))
-        of_b, of_y, both = neardup.compared(c, b, 60, 0.8), neardup.compared(c, y, 60, 0.8), neardup.compared(b, y, 60, 0.8)
-        if both.alike >= 0.8 and min(of_b.alike, of_y.alike) < 0.8:
-            met += 1
-            one, other = sorted((of_b, of_y), key=lambda x: x.alike)
-            some = [(i, j) for i, k in enumerate(one.keys) for j in np.flatnonzero(other.keys[: other.near] == k) if other.alike >= 0.8 or i < one.near]
-            need = [one.apart[m] + other.apart[m] - (one.size[m] + other.size[m]) / 9 for m in (0, 1)]
-            assert any(2 * min(one.rest[m][i], other.rest[m][j]) >= need[m] - 1e-6 for i, j in some for m in (0, 1))
-    assert met > 30
-
-
 def test_document_frequencies_are_exact(spark):
     """Copies count once; a shingle that many texts hold, in several batches, is counted over all of them."""
     texts = [f"a b c d e {i} x{i} y{i} z{i}" for i in range(300)] + [f"p q r s t {i}" for i in range(4)] + ["p q r s t 1"] * 9 + ["", None]
@@ -478,3 +454,42 @@ def test_pipeline_odd(spark, odd, none, small):
             assert kept.columns == docs.columns
         assert corpus_pipeline.STAGES[-1][1](spark, kept, small).count() >= kept.count()
     assert packing.CAPACITY == 4096
+
+
+def templates(n, seed=4, words=120, pool=30, edits=5):
+    """Texts of one template, each with a few edits of a common pool."""
+    rng = np.random.default_rng(seed)
+    base, at = [f"w{i}" for i in range(words)], [4 * k + 1 for k in range(pool)]
+    out = []
+    for _ in range(n):
+        own = list(base)
+        for k in rng.choice(pool, edits, replace=False):
+            own[at[k]] = f"edit{k}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_templates_with_pooled_edits_are_not_compared_in_pairs(spark, monkeypatch):
+    """What is compared grows with the texts, not with their pairs, and the classes are those of all pairs."""
+    asked, compared = [], neardup._compared
+
+    def counting(pairs, *args):
+        out = compared(pairs, *args)
+        asked.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "_compared", counting)
+    sums = {}
+    for n in (100, 400):
+        asked.clear()
+        texts = templates(n)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found = neardup.classes(docs).select("doc_id", "class_id", "class_size", "links").collect()
+        sums[n] = sum(asked)
+        of_class = {}
+        for r in found:
+            of_class.setdefault(r.class_id, set()).add(texts[r.doc_id])
+        assert all((r.links > 0) == (len(of_class[r.class_id]) > 1) for r in found)
+        if n == 100:
+            assert Counter((r.doc_id, r.class_id) for r in found) == brute_classes(docs)
+    assert sums[400] < 8 * sums[100] and sums[400] < 400 * 399 / 2 / 4
