@@ -78,6 +78,40 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows of a frame that one chunk of the mask store holds.
+CHUNK = 256
+FRAME = ["position", "tp", "tile"]
+
+
+def write_masks(masks: DataFrame, path: str) -> str:
+    """Masks (position, tile, tp, y, x, label) as run-length chunks: a row for each tile, frame and CHUNK rows of pixels, with its
+    extent, number of pixels and runs (y, x, n, label). A repeated pixel counts once.
+
+    Files hold ranges of position, tp and tile, in order, so that Parquet's statistics tell which chunks a read needs.
+    """
+    line = Window.partitionBy(*FRAME, "label", "y").orderBy("x")
+    runs = masks.select(*FRAME, "label", "y", "x").distinct().withColumn("_start", F.col("x") - F.row_number().over(line))
+    runs = runs.groupBy(*FRAME, "label", "y", "_start").agg(F.min("x").alias("x"), F.count("*").cast("int").alias("n"))
+    chunks = runs.groupBy(*FRAME, F.floor(F.col("y") / CHUNK).cast("int").alias("chunk")).agg(
+        F.min("y").alias("least_y"), F.max("y").alias("most_y"), F.min("x").alias("least_x"), F.max(F.col("x") + F.col("n") - 1).alias("most_x"), F.sum("n").alias("pixels"),
+        F.sort_array(F.collect_list(F.struct("y", "x", "n", "label"))).alias("runs"),
+    )
+    chunks.repartitionByRange(*FRAME, "chunk").sortWithinPartitions(*FRAME, "chunk").write.mode("overwrite").parquet(path)
+    return path
+
+
+def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """The chunks of write_masks. Conditions on position, tile, tp and extents reach the files."""
+    run = "runs array<struct<y: int, x: int, n: int, label: int>>"
+    return spark.read.schema(f"position long, tp int, tile int, chunk int, least_y int, most_y int, least_x int, most_x int, pixels long, {run}").parquet(path)
+
+
+def pixels_of(chunks: DataFrame) -> DataFrame:
+    """position, tile, tp, y, x, label of chunks."""
+    runs = chunks.select("position", "tile", "tp", F.inline("runs"))
+    return runs.select("position", "tile", "tp", "y", F.explode(F.sequence("x", F.col("x") + F.col("n") - 1)).alias("x"), "label")
+
+
 def write_table(df: DataFrame, path: str, by: list[str], mode: str = "overwrite") -> str:
     """A Parquet table partitioned by columns; with overwrite, only the partitions that df has are replaced."""
     df.write.partitionBy(*by).option("compression", "zstd").option("partitionOverwriteMode", "dynamic").mode(mode).parquet(path)

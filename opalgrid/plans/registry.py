@@ -72,8 +72,11 @@ query("a05_max2p5pc", f"""SELECT {KEYS}, c, {r6('avg(v)', 'max2p5pc')} FROM (SEL
  WHERE k <= ceil(n * 0.025) GROUP BY {KEYS}, c""")(lambda r: rounded(M.top_share(r.objects)))
 query("a06_max5px_median", f"""SELECT {KEYS}, c, {r6('CASE WHEN count(*) > 5 THEN avg(v) FILTER (k <= 5) / nullif(median(v), 0) END', 'max5px_median')}
  FROM (SELECT *, row_number() OVER (PARTITION BY {KEYS}, c ORDER BY v DESC) AS k FROM objects) GROUP BY {KEYS}, c""")(lambda r: rounded(M.top5_median(r.objects)))
-query("a10_moment_of_inertia", f"""SELECT {KEYS}, c, round((sum((x+1.0)*(x+1.0)*v) - sum((x+1.0)*v)*sum((x+1.0)*v)/nullif(sum(v), 0) + sum((y+1.0)*(y+1.0)*v) - sum((y+1.0)*v)*sum((y+1.0)*v)/nullif(sum(v), 0))
- / nullif(sum(v)*sum(v), 0), 3) + 0.0 AS moment_of_inertia FROM objects WHERE v > 0.02 GROUP BY {KEYS}, c""")(lambda r: rounded(M.pixel_metrics(r.objects.where("v > 0.02"), ["moment_of_inertia"]), 3))
+#: Where the sum of values is within rounding of zero, the quotient says nothing: null.
+query("a10_moment_of_inertia", f"""SELECT {KEYS}, c, CASE WHEN abs(sum(v)) >= 0.001 THEN round((sum((x+1.0)*(x+1.0)*v) - sum((x+1.0)*v)*sum((x+1.0)*v)/sum(v) + sum((y+1.0)*(y+1.0)*v) - sum((y+1.0)*v)*sum((y+1.0)*v)/sum(v))
+ / (sum(v)*sum(v)), 3) + 0.0 END AS moment_of_inertia FROM objects GROUP BY {KEYS}, c""")(
+    lambda r: rounded(M.pixel_metrics(r.objects, ["moment_of_inertia", "total"]).withColumn("moment_of_inertia", F.when(F.abs("total") >= 0.001, F.col("moment_of_inertia"))).drop("total"), 3)
+)
 PAIRS = f"SELECT {KEYS}, y, x, max(v) FILTER (c = 0) AS v0, max(v) FILTER (c = 1) AS v1 FROM objects GROUP BY {KEYS}, y, x"
 query("a11_ratio", f"SELECT {KEYS}, {r6('CASE WHEN bool_or(v1 = 0) THEN NULL ELSE median(v0 / nullif(v1, 0)) END', 'ratio')} FROM ({PAIRS}) GROUP BY ALL")(lambda r: rounded(M.ratio(M.two_channels(r.objects, 0, 1))))
 DISTANCE = f"""SELECT {', '.join('m.' + k for k in K)}, m.y, m.x, sqrt(min((m.y - o.oy) * (m.y - o.oy) + (m.x - o.ox) * (m.x - o.ox))) AS d FROM masks m JOIN
@@ -106,9 +109,7 @@ query("a33_texture", Q.rounded("texture", f"{KEYS}, c"))(lambda r: rounded(M.tex
 query("a34_radial_distribution", f"SELECT {KEYS}, c, ring, {r6('frac_at_d', 'frac_at_d')}, {r6('mean_frac', 'mean_frac')}, {r6('radial_cv', 'radial_cv')} FROM ({Q.RADIAL})")(lambda r: rounded(M.radial_distribution(r.objects)))
 query("a35_zernike", Q.rounded("zernike"))(lambda r: rounded(M.MASK_FAMILIES["zernike"](r.masks)))
 query("a35b_radial_zernikes", Q.rounded("radial_zernikes", f"{KEYS}, c"))(lambda r: rounded(M.zernike(r.objects, value=F.col("v"))))
-query("a36_pearson", f"SELECT {KEYS}, round(CASE WHEN isnan(corr(v0, v1)) THEN NULL ELSE corr(v0, v1) END, 6) + 0.0 AS pearson, {r6('regr_slope(v1, v0)', 'slope')} FROM ({PAIRS}) GROUP BY ALL HAVING count(*) > 1")(
-    lambda r: rounded(M.pearson(M.two_channels(r.objects, 0, 1).withColumn("n", F.count("*").over(Window.partitionBy(*K))).where("n > 1")))
-)
+query("a36_pearson", Q.rounded("pearson"))(lambda r: rounded(M.pearson(M.two_channels(r.objects, 0, 1))))
 query("a37_manders_fold", f"""SELECT {KEYS}, {r6('sum(CASE WHEN v1 >= t1 THEN v0 ELSE 0 END) / nullif(sum(v0), 0)', 'manders_1')}, {r6('sum(CASE WHEN v0 >= t0 THEN v1 ELSE 0 END) / nullif(sum(v1), 0)', 'manders_2')} FROM
  (SELECT *, 0.15 * max(v0) OVER (PARTITION BY {KEYS}) AS t0, 0.15 * max(v1) OVER (PARTITION BY {KEYS}) AS t1 FROM (SELECT {KEYS}, y, x, abs(v0) AS v0, abs(v1) AS v1 FROM ({PAIRS}))) WHERE v0 >= t0 OR v1 >= t1 GROUP BY {KEYS}""")(
     lambda r: rounded(M.manders_fold(M.two_channels(r.objects.withColumn("v", F.abs("v")), 0, 1)))
@@ -482,14 +483,12 @@ MASKS = "SELECT position, tile, tp, y, x, label FROM masks"
 
 @query("s13_mask_store", MASKS)
 def _(r: Relations) -> DataFrame:
-    path = P.write_table(r.masks, P.new_folder(r.spark, "masks"), ["position", "tp"])
-    return P.read_table(r.spark, path, r.masks)
+    return P.pixels_of(P.read_chunks(r.spark, P.write_masks(r.masks, P.new_folder(r.spark, "masks"))))
 
 
 @query("s14_step_output", "SELECT position, tile, tp, y, x, label FROM masks WHERE tile = 0 AND tp < 3")
 def _(r: Relations) -> DataFrame:
-    path = P.write_table(r.masks, P.new_folder(r.spark, "steps"), ["tp"])
-    return P.read_table(r.spark, path, r.masks).where("tile = 0 AND tp < 3")
+    return P.pixels_of(P.read_chunks(r.spark, P.write_masks(r.masks, P.new_folder(r.spark, "steps"))).where("tile = 0 AND tp < 3"))
 
 
 @query("s15_typed_store", "SELECT trap, cell_label, tp, value FROM views")

@@ -318,3 +318,105 @@ def test_grammar_of_legacy_logs(spark):
     assert of("end") == [("text", "first words", "str")] and [v for _, v, _ in of("all")] == ["17", "18"]
     assert of("notes") == [("text", "plain text", "str")] and not of("over")
     assert logs.by_grammar(lines.limit(0), grammar).count() == 0
+
+
+def test_windows_equal_whole_images(spark):
+    """Objects of a large image, some at its edges: windows give what the whole image gives; a tile counts as the image."""
+    rng = np.random.default_rng(7)
+    image = np.round(rng.random((150, 200)), 3)
+    masks = np.zeros(image.shape, int)
+    for k, (cy, cx, r) in enumerate([(3, 4, 6), (70, 80, 30), (149, 199, 12), (60, 128, 5), (64, 190, 9)], 1):
+        y, x = np.mgrid[: image.shape[0], : image.shape[1]]
+        masks[(y - cy) ** 2 + (x - cx) ** 2 <= r * r] = k
+    m = spark.createDataFrame([(1, 0, 0, int(y), int(x), int(masks[y, x])) for y, x in np.argwhere(masks)], MASK)
+    p = spark.createDataFrame([(1, 0, 0, int(y), int(x), float(image[y, x])) for y, x in np.ndindex(image.shape)], "position long, tp int, c int, y int, x int, v double")
+    whole = {r.label: r for r in features.localisation(m, p).collect()}
+    assert len(whole) == 5
+    for label, r in whole.items():
+        mask = masks == label
+        assert r.small_peaks_conv == pytest.approx(features.small_peaks(image, mask), abs=1e-9)
+        assert r.nuc_est_conv == pytest.approx(features.nucleus_estimate(image, mask, ((0, 0), (0, 0))), abs=1e-9)
+    tiles = spark.createDataFrame([(1, 0, 30, 40, 80, 90)], "position long, tile int, y0 int, x0 int, h int, w int")
+    (cut,) = (r for r in features.localisation(m, p, tiles).collect() if r.label == 2)
+    own = (slice(30, 110), slice(40, 130))
+    assert cut.small_peaks_conv == pytest.approx(features.small_peaks(image[own], masks[own] == 2), abs=1e-9)
+    assert cut.nuc_est_conv == pytest.approx(features.nucleus_estimate(image[own], masks[own] == 2, ((0, 0), (0, 0))), abs=1e-9)
+
+
+def flood(mask):
+    """Labels by stepping to all eight sides, pixel by pixel."""
+    out, n = np.zeros(mask.shape, int), 0
+    for start in map(tuple, np.argwhere(mask)):
+        if not out[start]:
+            n, todo = n + 1, [start]
+            while todo:
+                y, x = todo.pop()
+                if 0 <= y < mask.shape[0] and 0 <= x < mask.shape[1] and mask[y, x] and not out[y, x]:
+                    out[y, x] = n
+                    todo += [(y + a, x + b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
+    return out
+
+
+@pytest.mark.parametrize("share", [0.3, 0.42])
+def test_regions_over_blocks(spark, share):
+    rng = np.random.default_rng(int(share * 100))
+    mask = rng.random((30, 37)) < share
+    mask[15, 3:34] = True  # a region that crosses many blocks
+    labels = flood(mask)
+    border = np.unique(np.concatenate([labels[0], labels[-1], labels[:, 0], labels[:, -1]]))
+    kept = [k for k in range(1, labels.max() + 1) if k not in border]
+    want = sorted((1, 0, int(y), int(x), kept.index(labels[y, x]) + 1) for y, x in np.argwhere(mask) if labels[y, x] in kept)
+    rows = spark.createDataFrame([(1, 0, int(y), int(x)) for y, x in np.argwhere(mask)], "position long, tp int, y int, x int")
+    for block in (8, 256):
+        assert sorted(map(tuple, blocks.regions(rows, 30, 37, block).collect())) == want
+
+
+def test_components_of_stars_and_chains(spark):
+    """A hub over the limit, a long chain, a cycle, and a loop."""
+    edges = [(1000, k) for k in range(1001, 1400)] + [(k, k + 1) for k in range(40)] + [(500, 501), (501, 502), (502, 500)] + [(7000, 7000)] + [(1200, 9000)]
+    edges = edges[::2] + [(b, a) for a, b in edges[1::2]]
+    found = {r.node: r.component for r in graphs.components(spark.createDataFrame(edges, "a long, b long"), hub=50).collect()}
+    want = {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(1000, 1400), 1000), 9000: 1000, **dict.fromkeys((500, 501, 502), 500), 7000: 7000}
+    assert found == want
+
+
+def test_costes_by_its_definition(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for label in range(1, 9):
+        a = rng.random(40)
+        b = np.where(a > 0.5, a, rng.random(40) * 0.6) if label % 4 else 1 - a + 0.1 * rng.random(40)
+        rows += [(1, 0, 0, label, i, 0, float(x), float(y)) for i, (x, y) in enumerate(zip(a, b, strict=True))]
+    rows += [(1, 0, 0, 20, 0, 0, 0.5, 0.5), (1, 0, 0, 21, 0, 0, 0.5, 0.1), (1, 0, 0, 21, 1, 0, 0.5, 0.9)]
+    pairs = spark.createDataFrame(rows, "position long, tile int, tp int, label int, y int, x int, v0 double, v1 double")
+    found = {r.label: r for r in features.costes(pairs).collect()}
+    for label in range(1, 9):
+        a, b = (np.array([r[k] for r in rows if r[3] == label]) for k in (6, 7))
+        cov, gap = np.cov(a, b, bias=True)[0, 1], b.var() - a.var()
+        slope = (gap + math.sqrt(gap**2 + 4 * cov**2)) / (2 * cov)
+        if cov < 0:
+            assert (found[label].threshold, found[label].costes_1) == (a.max(), 0.0)
+            continue
+        level = np.minimum(a, a.mean() + (b - b.mean()) / slope)
+        loose = lambda t, a=a, b=b, level=level: (level < t).sum() < 3 or np.corrcoef(a[level < t], b[level < t])[0, 1] <= 0
+        threshold = max([t for t in level if loose(t)] + ([a.max()] if loose(np.inf) else []))
+        assert found[label].threshold == pytest.approx(threshold, abs=1e-9)
+        assert found[label].costes_1 == pytest.approx(a[level > threshold + 1e-12].sum() / a.sum(), abs=1e-9)
+    assert found[20].threshold is None and found[21].threshold is None
+
+
+def test_mask_store(spark, tmp_path):
+    """Runs come back as pixels, and a read of one frame leaves most chunks alone; runs take less room than pixels."""
+    mask = disk(40)
+    rows = [(p, 0, t, int(y) + 300 * (t % 2), int(x), k) for p in range(3) for t in range(4) for k in (1, 2) for y, x in np.argwhere(mask)[:: 1 if k == 1 else 3]]
+    masks = spark.createDataFrame(rows + rows[:50], MASK)
+    path = profiles.write_masks(masks, f"{tmp_path}/masks")
+    chunks = profiles.read_chunks(spark, path)
+    key = lambda df: sorted(map(tuple, df.select("position", "tile", "tp", "y", "x", "label").collect()))
+    assert key(profiles.pixels_of(chunks)) == sorted(set(rows))
+    some = profiles.pixels_of(chunks.where("position = 1 AND tp = 2"))
+    assert key(some) == sorted({r for r in rows if r[0] == 1 and r[2] == 2})
+    assert "GreaterThan" in some._jdf.queryExecution().toString() or "EqualTo(position,1)" in some._jdf.queryExecution().toString()
+    masks.distinct().repartition(4).write.parquet(f"{tmp_path}/plain")
+    size = lambda d: sum(f.stat().st_size for f in (tmp_path / d).glob("*.parquet"))
+    assert size("masks") < size("plain")
