@@ -176,7 +176,8 @@ def priors(evidence: DataFrame, model: Model) -> Priors:
 
 
 def identified(rows: DataFrame, model: Model, *, text: str = "text", host: Column | None = None, domain: Column | None = None, declared: Column | None = None, suffix: Column | None = None) -> DataFrame:
-    """rows with lang_found, probability, text_lang (what the text alone says) and accepted; all other columns stay.
+    """rows with lang_found, probability, text_lang (what the text alone says) and accepted; all other columns stay,
+    and columns of these names are replaced.
 
     Rejected, with lang_found null: texts with fewer than two letters, and texts whose best language is less probable than
     one half. Missing evidence counts for nothing; a null text is empty. Ties between languages go to the one that comes
@@ -205,7 +206,8 @@ def identified(rows: DataFrame, model: Model, *, text: str = "text", host: Colum
     accepted = (F.col("_letters") >= LETTERS) & (best >= LEAST)
     pick = lambda a: F.element_at(names, F.array_position(a, F.array_max(a)).cast("int"))
     out = out.withColumns({"accepted": accepted, "lang_found": F.when(accepted, pick(F.col("_post"))), "probability": best, "text_lang": F.when(F.col("_letters") > 0, pick(F.col("_lik")))})
-    return out.select("_row.*", "lang_found", "probability", "text_lang", "accepted")
+    found = ["lang_found", "probability", "text_lang", "accepted"]
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in rows.columns if c not in found], *found)
 
 
 def page_parts(pages: DataFrame, *, html: str = "html", url: str = "url") -> DataFrame:

@@ -133,10 +133,16 @@ def nearest(rows: DataFrame, is_query: str, k: int = 5, *, vector: str = "embedd
 
     Nearness is the cosine of the original vectors; ties go to the smaller id. A row is no neighbour of itself. Rows that
     take no part (see usable) neither ask nor answer. A query whose lists hold fewer than k others reads all lists, so it
-    gets k, or all there are. Repeated rows count once; other columns are not read.
+    gets k, or all there are. Repeated rows count once, and of several vectors
+    with one id the least counts; other columns are not read.
     """
     spark = rows.sparkSession
     good = usable(rows, vector=vector, key=key)
+    digest = F.xxhash64("vector")
+    several = cut(good.groupBy(key).agg((F.min(digest) != F.max(digest)).alias("_s")).where("_s").select(key))
+    if several.limit(1).count():
+        least = good.join(several, key, "left_semi").groupBy(key).agg(F.min("vector").alias("vector"))
+        good = good.join(several, key, "left_anti").select(key, "vector").unionByName(least)
     entries = cut(distinct(good, k + 1, key=key).withColumn("entry", F.element_at("ids", 1)))
     n = entries.count()
     asking = good.where(is_query).select(F.col(key).alias("query_id"), "vector").distinct()

@@ -23,7 +23,8 @@ def odd(spark):
     from pyspark.sql import functions as F
 
     rows = spark.createDataFrame(ODD, SCHEMA)
-    clash = ["_key", "_node", "_range", "_row", "key", "score", "length", "ids", "_lik", "host", "h", "n", "label", "piece", "_text", "steps"]
+    clash = ["_key", "_node", "_range", "_row", "key", "score", "length", "ids", "_lik", "host", "h", "n", "label", "piece", "_text", "steps", "probability", "lang_found", "text_lang", "accepted", "fingerprint", "class_id", "class_size", "links",
+             "sequence_id", "offset", "start", "n_features", "n_words", "weight", "rank", "id", "known"]
     return rows.withColumns({c: F.lit(c) for c in clash})
 
 

@@ -47,13 +47,37 @@ def test_digest_properties():
     assert (fingerprint.codes(["ab", text, ""])[1] == a).all()  # no triplet crosses texts
 
 
+def brute_digest(text):
+    """The digest by its definition, byte by byte."""
+    b, m = text.encode(), 0xFFFFFFFF
+    counts = [0] * 128
+    for i, j, seed in fingerprint.TRIPLETS:
+        for k in range(len(b) - j):
+            h = (b[k] * 0x9E3779B1 & m) ^ (b[k + i] * 0x85EBCA77 + seed & m)
+            h = h * 0xC2B2AE3D & m
+            h ^= h >> 15
+            h = (h + b[k + j] * 0x27D4EB2F & m) * 0x165667B1 & m
+            counts[h >> 25] += 1
+    q = [sorted(counts)[k] for k in (31, 63, 95)]
+    code = [sum(c > x for x in q) for c in counts]
+    body = bytes(code[k] | code[k + 1] << 2 | code[k + 2] << 4 | code[k + 3] << 6 for k in range(0, 128, 4))
+    most = max(1, q[2])
+    return bytes([min(255, round(8 * math.log2(1 + len(b)))), (q[0] * 15 // most) << 4 | q[1] * 15 // most]).hex() + body.hex()
+
+
+def test_digest_by_its_definition(spark, docs):
+    rows = fingerprint.fingerprints(docs).select("text", "fingerprint").limit(60).collect()
+    assert all(r.fingerprint == brute_digest(r.text or "") for r in rows)
+    assert [fingerprint.digest(c) for c in fingerprint.codes(["", "a", "abcd", "héé" * 50])] == [brute_digest(t) for t in ("", "a", "abcd", "héé" * 50)]
+
+
 def test_digest_odd(odd, none):
     rows = [plain(r) for r in fingerprint.audit(odd).collect()]
     assert len(rows) == 11 and fingerprint.audit(none).count() == 0
     ids = Counter(r["doc_id"] for r in rows)
     assert ids[3] == 2 and ids[None] == 2
     marked = fingerprint.fingerprints(odd)
-    assert marked.select(F.count_distinct("fingerprint")).first()[0] <= 9 and marked.columns == [*odd.columns, "fingerprint"]
+    assert marked.select(F.count_distinct("fingerprint")).first()[0] <= 9 and marked.columns == odd.columns
     both = marked.withColumn("other", F.when(F.col("doc_id") == 3, F.col("fingerprint"))).withColumn("near", fingerprint.alike())
     assert {r.near for r in both.where("doc_id = 3").collect()} == {1.0}
 
@@ -211,7 +235,9 @@ def test_language_fusion(spark, docs):
 def test_language_odd(odd, none, docs):
     model = language.learn(docs)
     out = language.identified(odd, model, host=F.col("source"))
-    assert out.columns == [*odd.columns, "lang_found", "probability", "text_lang", "accepted"] and out.count() == 11
+    found = ["lang_found", "probability", "text_lang", "accepted"]
+    assert out.columns == [*[c for c in odd.columns if c not in found], *found] and out.count() == 11
+    assert dict(out.dtypes)["probability"] == "double" and out.where("lang_found = 'lang_found'").count() == 0
     assert {r.accepted for r in out.where("text IS NULL OR trim(text) = ''").collect()} == {False}
     assert out.where("host <> 'host'").count() == 0
     assert language.identified(none, model, host=F.col("source")).count() == 0

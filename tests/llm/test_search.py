@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from opalgrid.llm import common, neighbours, queries, warc
@@ -152,3 +153,16 @@ def test_hot_vector(spark):
     found = neighbours.nearest(df, "vec_id % 50 = 0").collect()
     for q in (0, 150, 300):  # queries that are copies: the smallest other ids, at cosine 1
         assert [r.vec_id for r in sorted(found, key=lambda r: r.rank) if r.query_id == q] == [i for i, _ in expected[q]]
+
+
+def test_an_id_with_several_vectors_counts_once(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(200)]
+    rows += [(i, rng.normal(size=6).tolist()) for i in range(0, 200, 3)] + rows[:20]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 50 = 0").collect()
+    least = {i: min(v for j, v in rows if j == i) for i, _ in rows}
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in least.items()}
+    for q in (0, 50, 100, 150):
+        mine = [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q]
+        assert len(mine) == len(set(mine)) == 5
+        assert all(r.score == pytest.approx(float(unit[q] @ unit[r.vec_id]), abs=1e-9) for r in got if r.query_id == q)
