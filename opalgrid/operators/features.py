@@ -604,14 +604,16 @@ def measure(masks: DataFrame, pixels: DataFrame, instructions: list[tuple], opti
     ch0 None: a mask-only metric, without a join to pixels. ch1 None: a metric of one channel. Otherwise of two: those of
     PAIR_FAMILIES side by side (red_ch "None"), others of the two combined by red_ch. A metric is a name of MASK_METRICS or
     PIXEL_METRICS, or a family; a family's columns are named family/column. options: keyword arguments of families.
-    Masks are read once, and pixels once for each z-reduction. Objects' pixels are made and partitioned by object once; all
-    families work on that without another exchange.
+    Where families are asked for, masks are read once, and pixels once for each z-reduction. Objects' pixels are made and
+    partitioned by object once; all families work on that without another exchange.
     """
     options = options or {}
     own = lambda name: options.get(name, {})
     parts = int(masks.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    # Partitioned by object once: what is grouped by object, or by object and more, stays where it is from here on.
-    placed = checkpointed(rim(masks.select(*KEYS, "y", "x").repartition(parts, *KEYS)))
+    families = any(i[4] in {**MASK_FAMILIES, **CHANNEL_FAMILIES, **PAIR_FAMILIES} for i in instructions)
+    placed = masks.select(*KEYS, "y", "x")
+    # For families, partitioned by object once: what is grouped by object, or by object and more, stays where it is from here on.
+    placed = checkpointed(rim(placed.repartition(parts, *KEYS))) if families else placed.withColumn("inside", F.lit(None).cast("int"))
     long = []
     mask_only = sorted({i[4] for i in instructions if i[0] is None})
     if names := [m for m in mask_only if m not in MASK_FAMILIES]:
@@ -622,9 +624,10 @@ def measure(masks: DataFrame, pixels: DataFrame, instructions: list[tuple], opti
     for red_z in sorted({i[3] for i in instructions if i[0] is not None}):
         here = [i for i in instructions if i[0] is not None and i[3] == red_z]
         needed = sorted({c for i in here for c in i[:2] if c is not None})
-        planes = reduce_z(pixels.where(F.col("c").isin(needed)).repartition(parts, "position", "tp", "y", "x"), red_z)
+        some = pixels.where(F.col("c").isin(needed))
+        planes = reduce_z(some.repartition(parts, "position", "tp", "y", "x") if families else some, red_z)
         joined = placed.join(planes, ["position", "tp", "y", "x"]).select(*KEYS, "c", "y", "x", "v", "inside")
-        objects = checkpointed(joined.repartition(parts, *KEYS).sortWithinPartitions(*KEYS, "c"))
+        objects = checkpointed(joined.repartition(parts, *KEYS).sortWithinPartitions(*KEYS, "c")) if families else joined
         single = [i for i in here if i[1] is None]
         of_channel = F.concat(F.col("c").cast("string"), F.lit(f"/{red_z}/"))
         for name in sorted({i[4] for i in single if i[4] in CHANNEL_FAMILIES or i[4] in MASK_FAMILIES}):

@@ -547,7 +547,7 @@ def _(r: Relations) -> DataFrame:
     rows.repartition(4).write.parquet(source)
     rows.withColumn("label", F.col("label") + 100).repartition(3).write.mode("append").parquet(source)
     for _ in range(2):
-        S.append_new_frames(S.read_masks(r.spark, source, rows.schema, 5), out, P.new_folder(r.spark, "state"))
+        S.append_new_frames(S.read_masks(r.spark, source, rows.schema, 100), out, P.new_folder(r.spark, "state"))
     return S.read_frames(r.spark, out, r.masks.schema)
 
 
