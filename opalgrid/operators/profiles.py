@@ -166,12 +166,13 @@ def preferred_source(rows: DataFrame, ranks: dict[str, int], keys: list[str]) ->
 
 
 def scored_tiles(rows: DataFrame, fn: Callable[[np.ndarray], np.ndarray], vec: str = "vec") -> DataFrame:
-    """rows with embedding: what a model makes of batches of vectors (rows by components)."""
+    """rows with embedding: what a model makes of batches of vectors (rows by components); null where there is no vector."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = np.asarray(fn(np.array(batch[vec].tolist(), float)), float) if len(batch) else np.empty((0, 0))
-            yield batch.drop(columns=vec).assign(embedding=list(out))
+            known = batch[vec].notna()
+            scores = iter(np.asarray(fn(np.array(batch[vec][known].tolist(), float)), float) if known.any() else ())
+            yield batch.drop(columns=vec).assign(embedding=pd.Series([next(scores) if k else None for k in known], batch.index, object))
 
     rest = [f for f in rows.schema if f.name != vec]
     return rows.mapInPandas(run, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in rest), "embedding array<double>"]))

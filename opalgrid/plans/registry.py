@@ -320,14 +320,19 @@ query("o01_multisort", "SELECT path, CAST(row_number() OVER (ORDER BY field, wel
 query("w14_round_robin", "SELECT position, CAST((row_number() OVER (ORDER BY position) - 1) % 3 AS INT) AS worker FROM (SELECT DISTINCT position FROM pixels)")(lambda r: T.round_robin(r.pixels, "position", 3))
 query("s16_sections", f"""SELECT file, line, text, CASE WHEN count(*) FILTER (text LIKE '-----Acq%') OVER (PARTITION BY file ORDER BY line) > 0 THEN 'acquisition' ELSE '' END AS section, text LIKE '-----Acq%' AS is_marker FROM log_lines""")(lambda r: L.sections(r.log_lines, [("acquisition", f"^{L.ACQUISITION}")]))
 HEADS = "SELECT *, count(*) FILTER (text LIKE '-----Acq%') OVER (PARTITION BY file ORDER BY line) AS k FROM log_lines"
-query("x07_general", f"SELECT file, replace(lower(split_part(text, ':', 1)), ' ', '_') AS key, arg_min(trim(substring(text, position(':' IN text) + 1)), line) AS value FROM ({HEADS}) WHERE k = 0 AND text LIKE '%:%' GROUP BY 1, 2")(lambda r: L.general(r.log_lines))
+GENERAL = f"SELECT file, replace(lower(split_part(text, ':', 1)), ' ', '_') AS key, arg_min(trim(substring(text, position(':' IN text) + 1)), line) AS value FROM ({HEADS}) WHERE k = 0 AND text LIKE '%:%' GROUP BY 1, 2"
+query("x07_general", GENERAL)(lambda r: L.general(r.log_lines))
 query("x08_acquisition", "SELECT file, line, split_part(text, ',', 1) AS channel, CAST(split_part(text, ',', 4) AS INT) AS exposure, CAST(split_part(text, ',', 5) AS INT) AS n_z, CAST(split_part(text, ',', 6) AS DOUBLE) AS z_spacing, split_part(text, ',', 7) AS method FROM log_lines WHERE text LIKE 'GFP,GFP,%'")(
     lambda r: L.acquisition(r.log_lines, ["GFP", "mCherry"])
 )
 query("x09_groups", "SELECT file, CAST(line AS VARCHAR) AS name, CAST(line % 7 AS DOUBLE) AS x, CAST(line % 11 AS DOUBLE) AS y FROM log_lines WHERE text LIKE 'Run Name%'")(
     lambda r: L.groups(r.log_lines.where("text LIKE 'Run Name%'").select("file", F.concat(F.lit("Group: "), F.col("line").cast("string"), F.lit(", "), (F.col("line") % 7).cast("string"), F.lit(", "), (F.col("line") % 11).cast("string")).alias("text")))
 )
-query("x10_numbers", r"SELECT file, 'interval' AS word, CAST(arg_min(regexp_extract(text, 'interval:\s*(\d+)', 1), line) AS BIGINT) AS value FROM log_lines WHERE text LIKE 'interval:%' GROUP BY 1")(lambda r: L.numbers(r.log_lines, ["interval", "frames"]))
+NUMBERS = r"SELECT file, 'interval' AS word, CAST(arg_min(regexp_extract(text, 'interval:\s*(\d+)', 1), line) AS BIGINT) AS value FROM log_lines WHERE text LIKE 'interval:%' GROUP BY 1"
+query("x10_numbers", NUMBERS)(lambda r: L.numbers(r.log_lines, ["interval", "frames"]))
+query("s28b_preferred", f"SELECT file, key, coalesce(CAST(n.value AS VARCHAR), g.value) AS value FROM ({GENERAL}) g FULL JOIN (SELECT file, word AS key, value FROM ({NUMBERS})) n USING (file, key)")(
+    lambda r: L.preferred(L.general(r.log_lines), L.numbers(r.log_lines, ["interval"]).select("file", F.col("word").alias("key"), F.col("value").cast("string").alias("value")), ["file", "key"])
+)
 query("p16_minimal_metadata", r"""SELECT file, list_distinct(list(split_part(text, ',', 1)) FILTER (text LIKE 'GFP,GFP,%')) AS channels, CAST(NULL AS BIGINT) AS ntimepoints, CAST(arg_min(regexp_extract(text, 'interval:\s*(\d+)', 1), line) FILTER (text LIKE 'interval:%') AS BIGINT) AS timeinterval
  FROM log_lines GROUP BY 1""")(lambda r: L.minimal(r.log_lines, ["GFP"]))
 GRAMMAR = [
@@ -514,7 +519,26 @@ def _(r: Relations) -> DataFrame:
     return P.read_table(r.spark, P.write_table(df, P.new_folder(r.spark, "tracking"), ["tile"]), df)
 
 
-query("u03_scored_tiles")(lambda r: rounded(P.expanded(P.scored_tiles(r.vectors, P.projection(4, 64)), 4, "embedding")))
+WEIGHTS = P.projection(4, 64)(np.eye(64)).T.tolist()  # what the projection makes of unit vectors
+query("u03_scored_tiles", "SELECT tile, tp, label, " + ", ".join(r6(f"list_dot_product(CAST(vec AS DOUBLE[]), {w})", f'"X_{i}"') for i, w in enumerate(WEIGHTS)) + " FROM vectors")(
+    lambda r: rounded(P.expanded(P.scored_tiles(r.vectors, P.projection(4, 64)), 4, "embedding"))
+)
+
+
+def _pixels_of(content: bytes) -> pd.DataFrame:
+    """A decoder of text: a line for each mask pixel, numbers between commas."""
+    return pd.DataFrame(np.array(content.replace(b"\n", b",").split(b",")[:-1]).astype(np.int64).reshape(-1, 6) if content else np.empty((0, 6), np.int64))
+
+
+@query("s04b_decoded", MASKS)
+def _(r: Relations) -> DataFrame:
+    """Files that a user's decoder reads, any number of them."""
+    source, names = P.new_folder(r.spark, "raw"), ["position", "tile", "tp", "y", "x", "label"]
+    r.masks.select(F.concat_ws(",", *names).alias("value")).write.text(source)
+    types = {f.name: f.dataType.simpleString() for f in r.masks.schema}
+    return C.decoded(C.contents(r.spark, source, "*.txt"), _pixels_of, ", ".join(f"{n} {types[n]}" for n in names)).select(*r.masks.columns)
+
+
 query("u05_hook", "SELECT trap, CAST(count(*) AS BIGINT) AS n FROM cell_info GROUP BY 1")(lambda r: r.cell_info.transform(lambda df: df.groupBy("trap").agg(F.count("*").alias("n"))))
 
 
@@ -551,6 +575,17 @@ def _(r: Relations) -> DataFrame:
     return S.read_frames(r.spark, out, r.masks.schema)
 
 
+@query("r04b_unique_frames", "SELECT DISTINCT position, tp FROM masks")
+def _(r: Relations) -> DataFrame:
+    """All frames come twice."""
+    source, out = P.new_folder(r.spark, "in"), P.new_folder(r.spark, "frames")
+    rows = r.masks.select("position", "tp", F.timestamp_seconds(F.col("tp") * 60 + 1_600_000_000).alias("ts")).distinct()
+    for _ in range(2):
+        rows.repartition(2).write.mode("append").parquet(source)
+    S.run_to_table(S.unique_frames(r.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source)), out, P.new_folder(r.spark, "state"))
+    return r.spark.read.schema(rows.schema).parquet(out).select("position", "tp")
+
+
 @query("r02_tracked_stream", TRACKED)
 def _(r: Relations) -> DataFrame:
     """Markers and rows come in files of their own, the markers of half of the frames before their rows, others after."""

@@ -21,6 +21,7 @@ def scan(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
 
 
 def contents(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """path and content of all files below a folder, each whole in one row: of up to 2 GB."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder).select("path", "content")
 
 
@@ -78,13 +79,21 @@ def image_planes(captured: DataFrame, order: str) -> DataFrame:
     return rows.select("position", "path", *[(where(x) if x in order else F.lit(0)).alias(n) for x, n in (("T", "tp"), ("C", "c"), ("Z", "z"))])
 
 
-def decoded(files: DataFrame, decode: Callable[[bytes], list[tuple]], schema: str) -> DataFrame:
-    """Rows that a decoder makes of each file's content, with its path; the decoder is the caller's."""
+def decoded(files: DataFrame, decode: Callable[[bytes], list[tuple] | pd.DataFrame], schema: str) -> DataFrame:
+    """Rows that a decoder makes of each file's content, with its path; the decoder is the caller's.
+
+    It gives a list of rows, or a frame with the schema's columns by place. Null contents have no rows. One file at a time is
+    handed on, so a task holds the rows of one file.
+    """
+    names = [c.split()[0] for c in schema.split(",")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
-                yield pd.DataFrame([(path, *r) for r in decode(bytes(content))], columns=["path", *[c.split()[0] for c in schema.split(",")]])
+                found = decode(bytes(content)) if content is not None else []
+                if len(found):
+                    rows = found.set_axis(names, axis=1) if isinstance(found, pd.DataFrame) else pd.DataFrame(found, columns=names)
+                    yield rows.assign(path=path)
 
     return files.select("path", "content").mapInPandas(run, f"path string, {schema}")
 

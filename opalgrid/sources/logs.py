@@ -199,7 +199,7 @@ def flattened(parsed: DataFrame) -> DataFrame:
 
 
 def preferred(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of both by keys; where both have one, the second's."""
+    """One row for each key that either has: the second's where it has one, else the first's. Keys may be null."""
     both = first.withColumn("_rank", F.lit(0)).unionByName(second.withColumn("_rank", F.lit(1)))
     rest = [c for c in first.columns if c not in keys]
     return both.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_rank").alias("v")).select(*keys, "v.*")

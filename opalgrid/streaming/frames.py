@@ -214,5 +214,7 @@ def _until_done(df: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def unique_frames(stream: DataFrame, minutes: int = 10) -> DataFrame:
-    """Rows with a time column ts, each (position, tp, ts) once within the watermark."""
+    """Rows with a time column ts, the first of each (position, tp) within the watermark.
+
+    Rows that come later than it are left out, as are rows of 1970 or before: there the watermark starts."""
     return stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", f"{minutes} minutes").dropDuplicatesWithinWatermark(["position", "tp"])
