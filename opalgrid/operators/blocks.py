@@ -59,11 +59,12 @@ def centres(tiles: DataFrame, drifts: DataFrame) -> DataFrame:
 
 
 def window_pixels(windows: DataFrame, pixels: DataFrame) -> DataFrame:
-    """Every place of each window (dy, dx) with the value of the pixel there, null outside: an equi-join on coordinates."""
+    """Every place of each window (dy, dx) in every channel and z of the table, with the value of the pixel there, null
+    outside and where there is no such image: an equi-join on coordinates."""
     places = windows.withColumn("dy", F.explode(F.sequence(F.lit(0), F.col("h") - 1))).withColumn("dx", F.explode(F.sequence(F.lit(0), F.col("w") - 1)))
     at = places.withColumns({"y": F.col("y0") + F.col("dy"), "x": F.col("x0") + F.col("dx")})
-    kinds = pixels.select(*IMAGE).distinct()
-    return at.join(kinds, ["position", "tp"]).join(pixels, [*IMAGE, "y", "x"], "left").select("position", "tile", "tp", "c", "z", "dy", "dx", "value")
+    kinds = F.broadcast(pixels.select("c", "z").distinct())  # a row for each channel and z
+    return at.crossJoin(kinds).join(pixels, [*IMAGE, "y", "x"], "left").select("position", "tile", "tp", "c", "z", "dy", "dx", "value")
 
 
 def padded(tile_pixels: DataFrame, most: float = 0.25) -> DataFrame:
