@@ -136,15 +136,18 @@ def drift(pixels: DataFrame, c: int = 0, z: int = 0) -> DataFrame:
 
 
 def otsu(pixels: DataFrame, bins: int = 16) -> DataFrame:
-    """Threshold of each position, tp, c and z that parts its histogram with the largest variance between the parts."""
+    """Threshold of each position, tp, c and z that parts its histogram with the largest variance between the parts,
+    the lowest of several (equal to six places)."""
     w = Window.partitionBy(*IMAGE)
     low, high = F.min("value").over(w), F.max("value").over(w)
     at = F.least(F.lit(bins - 1), F.floor(F.coalesce(F.try_divide(F.col("value") - low, high - low), F.lit(0.0)) * bins)).cast("int")
     counts = pixels.select(*IMAGE, at.alias("bin"), low.alias("low"), high.alias("high")).groupBy(*IMAGE, "bin", "low", "high").agg(F.count("*").alias("n"))
     up = w.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     n0, s0, n, s = F.sum("n").over(up), F.sum(F.col("n") * F.col("bin")).over(up), F.sum("n").over(w), F.sum(F.col("n") * F.col("bin")).over(w)
-    gap = F.try_divide(s0, n0) - F.try_divide(s - s0, n - n0)
-    scored = counts.withColumn("between", F.coalesce(n0 * (n - n0) * gap * gap, F.lit(0.0)))
+    # The variance between, n0 (n - n0) (s0 / n0 - (s - s0) / (n - n0))^2, as one fraction of whole numbers: equal ones tie.
+    whole = lambda c: c.cast("decimal(19,0)")
+    apart = whole(s0 * n - s * n0)
+    scored = counts.withColumn("between", F.coalesce(F.try_divide(apart * apart, whole(n0 * (n - n0))), F.lit(0).cast("decimal(38,6)")))
     best = scored.groupBy(*IMAGE, "low", "high").agg(F.min_by("bin", F.struct(-F.col("between"), "bin")).alias("bin"))
     return best.select(*IMAGE, (F.col("low") + (F.col("high") - F.col("low")) * (F.col("bin") + 1) / bins).alias("threshold"))
 
