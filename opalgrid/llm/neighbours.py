@@ -26,8 +26,8 @@ COPIES, BOUNDARY = 4, 1.12
 #: How much farther than the nearest the lists that a query reads may be, whatever their number; centroids that a walk to
 #: them looks at first.
 RATIO, WIDTH = 1.35, 96
-#: Vectors of a list in one task; a longer list is split.
-BLOCK = 4096
+#: Vectors of one task: lists stand together on a shelf of so many, a longer list on several. Queries that it compares with them.
+SHELF, SLICE = 32_768, 20_000
 #: Neighbours of a centroid in the graph, and entry points of a walk.
 DEGREE, ENTRIES = 24, 8
 
@@ -161,32 +161,51 @@ def nearest(rows: DataFrame, is_query: str, k: int = 5, *, vector: str = "embedd
 
     posted = entries.select("entry", "vector").mapInPandas(put, "list int, entry long, vector array<double>")
     wanted = cut(asking.join(entries.select("entry", F.col("vector").alias("v")), F.col("vector") == F.col("v")).select("query_id", "entry"))
-    sizes = cut(posted.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))  # one row for each list
-    blocked = posted.join(F.broadcast(sizes), "list").withColumn("block", F.pmod(F.xxhash64("entry"), F.col("blocks")).cast("int")).drop("blocks")
+    sizes = {r["list"]: r["count"] for r in posted.groupBy("list").count().collect()}  # one row for each list, of which the sample bounds the number
+    shelf_of, many = shelves(sizes, len(index.value.centroids))
+    rows_of = spark.createDataFrame([(i, int(shelf_of[i]), int(many[i])) for i in sizes], "list int, first int, many int")
+    shelved = posted.join(F.broadcast(rows_of), "list").withColumn("shelf", F.col("first") + F.pmod(F.xxhash64("entry"), F.col("many")).cast("int")).drop("first", "many")
 
     def compare(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+        """The k + 1 best of a shelf, and what ties with them, for each query: of all lists that it reads there at once."""
         out = []
         if len(q) and len(x):
-            a, b = _unit(np.array(q["vector"].tolist(), float)), _unit(np.array(x["vector"].tolist(), float))
-            ids = x["entry"].to_numpy(np.int64)
-            for i in range(0, len(a), 512):
-                s = a[i : i + 512] @ b.T
-                m = min(k + 1, len(ids))
-                least = np.partition(s, len(ids) - m, axis=1)[:, len(ids) - m]
-                r, c = np.nonzero(s >= least[:, None] - 1e-12)  # ties stay
-                out.append(pd.DataFrame({"query": q["entry"].to_numpy(np.int64)[i : i + 512][r], "found": ids[c], "score": s[r, c]}))
+            x = x.sort_values("list", kind="stable")
+            b, ids = _unit(np.array(x["vector"].tolist(), float)), x["entry"].to_numpy(np.int64)
+            lists, starts = np.unique(x["list"].to_numpy(), return_index=True)
+            spans = dict(zip(lists.tolist(), zip(starts, [*starts[1:], len(x)], strict=True), strict=True))
+            for i in range(0, len(q), 2000):
+                part = q.iloc[i : i + 2000]
+                a, entry = _unit(np.array(part["vector"].tolist(), float)), part["entry"].to_numpy(np.int64)
+                reads = np.concatenate(part["lists"].tolist())
+                reader = np.repeat(np.arange(len(part)), part["lists"].map(len))
+                order = np.argsort(reads, kind="stable")
+                ends = np.flatnonzero(np.diff(reads[order])) + 1
+                found = []
+                for own in np.split(order, ends):
+                    begin, end = spans.get(int(reads[own[0]]), (0, 0))
+                    if begin == end:
+                        continue
+                    s = a[reader[own]] @ b[begin:end].T
+                    m = min(k + 1, end - begin)
+                    r, c = np.nonzero(s >= np.partition(s, end - begin - m, axis=1)[:, [end - begin - m]] - 1e-12)  # ties stay
+                    found.append((reader[own][r], ids[begin:end][c], s[r, c]))
+                if found:
+                    who, what, score = best(*map(np.concatenate, zip(*found, strict=True)), k + 1)
+                    out.append(pd.DataFrame({"query": entry[who], "found": what, "score": score}))
         return pd.concat(out) if out else pd.DataFrame({"query": [], "found": [], "score": []})
 
     def found_by(wanted: DataFrame, ratio: float) -> DataFrame:
         """query_id, vec_id, score of the rows wanted (query_id, entry), from lists up to ratio times as far."""
 
         def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            yield from _listed(batches, index.value, None, ratio)
+            yield from _read(batches, index.value, ratio, shelf_of, many)
 
         asked = entries.join(wanted.select("entry").distinct(), "entry", "left_semi").select("entry", "vector")
-        readers = asked.mapInPandas(ask, "list int, entry long, vector array<double>").join(F.broadcast(sizes), "list")
-        readers = readers.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-        pairs = readers.groupBy("list", "block").cogroup(blocked.groupBy("list", "block")).applyInPandas(compare, "query long, found long, score double")
+        slices = max(1, -(-asked.count() // SLICE))
+        readers = asked.mapInPandas(ask, "shelf int, entry long, vector array<double>, lists array<int>").withColumn("slice", F.pmod(F.xxhash64("entry", F.lit(7)), F.lit(slices)).cast("int"))
+        dealt = shelved.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+        pairs = readers.groupBy("shelf", "slice").cogroup(dealt.groupBy("shelf", "slice")).applyInPandas(compare, "query long, found long, score double")
         once = pairs.groupBy("query", "found").agg(F.max("score").alias("score"))
         best = once.withColumn("_k", F.rank().over(Window.partitionBy("query").orderBy(F.desc("score")))).where(F.col("_k") <= k + 1)
         named = best.join(entries.select(F.col("entry").alias("found"), "ids"), "found").select("query", "score", F.explode("ids").alias("vec_id"))
@@ -204,17 +223,58 @@ def nearest(rows: DataFrame, is_query: str, k: int = 5, *, vector: str = "embedd
     return results.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", F.least("score", F.lit(1.0)).alias("score"))
 
 
-def _listed(batches: Iterator[pd.DataFrame], index: Lists, most: int | None, ratio: float) -> Iterator[pd.DataFrame]:
-    """A row for each list of each vector: the nearest one, and others (`most` in all, None: any number) up to `ratio`
-    times as far."""
+def shelves(sizes: dict[int, int], lists: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first shelf of each list, and on how many it stands: short ones share a shelf, a long one has several for itself."""
+    first, many, at, held = np.zeros(lists, np.int32), np.ones(lists, np.int32), 0, 0
+    for i, n in sorted(sizes.items()):
+        if held and held + n > SHELF:
+            at, held = at + 1, 0
+        first[i], many[i] = at, max(1, -(-n // SHELF))
+        if n > SHELF:
+            at, held = at + int(many[i]), 0
+        else:
+            held += n
+    return first, many
+
+
+def best(query: np.ndarray, found: np.ndarray, score: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each query the `most` best different ones found, and those that tie with the last."""
+    order = np.lexsort((-score, found, query))
+    once = np.ones(len(order), bool)
+    once[1:] = (np.diff(query[order]) != 0) | (np.diff(found[order]) != 0)
+    order = order[once]
+    order = order[np.lexsort((-score[order], query[order]))]
+    query, found, score = query[order], found[order], score[order]
+    starts = np.flatnonzero(np.diff(query, prepend=-1))
+    sizes = np.diff([*starts, len(query)])
+    least = np.repeat(score[starts + np.minimum(sizes, most) - 1], sizes)
+    keep = score >= least - 1e-12
+    return query[keep], found[keep], score[keep]
+
+
+def _read(batches: Iterator[pd.DataFrame], index: Lists, ratio: float, first: np.ndarray, many: np.ndarray) -> Iterator[pd.DataFrame]:
+    """A row for each shelf that a vector reads, with the lists that it reads there: those up to ratio times as far as the
+    nearest."""
     for batch in batches:
-        for i in range(0, len(batch), 1000 if most else 100):
-            part = batch.iloc[i : i + (1000 if most else 100)]
-            x = _unit(np.array(part["vector"].tolist(), float))
-            if most:
-                ids, apart = index.near(x, most)
-                row, column = np.nonzero(apart <= np.maximum(apart[:, :1] * ratio, 1e-9))
-                found = ids[row, column]
-            else:
-                row, found = index.within(x, ratio)
+        for i in range(0, len(batch), 100):
+            part = batch.iloc[i : i + 100]
+            row, lists = index.within(_unit(np.array(part["vector"].tolist(), float)), ratio)
+            n = many[lists]
+            row, lists = np.repeat(row, n), np.repeat(lists, n)
+            shelf = first[lists] + np.arange(len(lists)) - np.repeat(np.cumsum(n) - n, n)
+            order = np.lexsort((lists, shelf, row))
+            row, lists, shelf = row[order], lists[order].astype(np.int32), shelf[order].astype(np.int32)
+            starts = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(shelf, prepend=-1) != 0))
+            at = row[starts]
+            yield pd.DataFrame({"shelf": shelf[starts], "entry": part["entry"].to_numpy(np.int64)[at], "vector": part["vector"].iloc[at].tolist(), "lists": np.split(lists, starts[1:]) if len(starts) else []})
+
+
+def _listed(batches: Iterator[pd.DataFrame], index: Lists, most: int, ratio: float) -> Iterator[pd.DataFrame]:
+    """A row for each list of each vector: the nearest one, and others (`most` in all) up to `ratio` times as far."""
+    for batch in batches:
+        for i in range(0, len(batch), 1000):
+            part = batch.iloc[i : i + 1000]
+            ids, apart = index.near(_unit(np.array(part["vector"].tolist(), float)), most)
+            row, column = np.nonzero(apart <= np.maximum(apart[:, :1] * ratio, 1e-9))
+            found = ids[row, column]
             yield pd.DataFrame({"list": found.astype(np.int32), "entry": part["entry"].to_numpy(np.int64)[row], "vector": part["vector"].iloc[row].tolist()})

@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +167,24 @@ def test_an_id_with_several_vectors_counts_once(spark):
         mine = [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q]
         assert len(mine) == len(set(mine)) == 5
         assert all(r.score == pytest.approx(float(unit[q] @ unit[r.vec_id]), abs=1e-9) for r in got if r.query_id == q)
+
+
+def test_a_query_makes_rows_by_shelves_not_by_lists(spark, monkeypatch):
+    """Lists that stand together answer a query with one set of rows; where it reads all, that is right to the last."""
+    monkeypatch.setattr(neighbours, "SHELF", 600)
+    rng = np.random.default_rng(11)
+    rows = list(enumerate(rng.normal(size=(2_000, 16)).tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(df, "vec_id % 50 = 0", lists=60, ratio=float("inf")).collect()
+    expected = brute(rows, range(0, 2_000, 50))
+    assert len(found) == 200 and all(r.vec_id in dict(expected[r.query_id]) for r in found)
+
+    sizes = {i: 100 for i in range(50)} | {50: 1_500}
+    first, many = neighbours.shelves(sizes, 51)
+    assert many[50] == 3 and (many[:50] == 1).all() and first[50] == first[:50].max() + 1
+    assert max(np.bincount(first[:50])) * 100 <= 600
+    index = neighbours.fit(pd.DataFrame({"unit": [*(rng.normal(size=(2_000, 16)))]}), 51)
+    batch = pd.DataFrame({"entry": range(20), "vector": [v for _, v in rows[:20]]})
+    read = pd.concat(neighbours._read(iter([batch]), index, float("inf"), first, many))
+    assert len(read) == 20 * (first[50] + 3)  # a row for each shelf
+    assert sum(map(len, read["lists"])) == 20 * (50 + 3)
