@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opalgrid.functions.values import epoch, typed
+from opalgrid.operators.graphs import checkpointed
 
 __all__ = ["acquisition", "by_grammar", "epoch", "flagged_channels", "flattened", "general", "groups", "minimal", "numbers", "preferred", "read_lines", "sections", "typed"]
 
@@ -15,6 +16,32 @@ __all__ = ["acquisition", "by_grammar", "epoch", "flagged_channels", "flattened"
 ACQUISITION = "-----Acquisition settings-----"
 
 
+#: Lines of a range, which one task orders.
+RANGE = 100_000
+
+
+def _ranged(rows: DataFrame) -> DataFrame:
+    """rows with _part, ranges in the order of file and line, each in one partition: kept, for a sample draws their bounds."""
+    n = -(-rows.count() // RANGE) or 1
+    kept = checkpointed(rows.repartitionByRange(n, "file", "line").withColumn("_part", F.spark_partition_id()))
+    return kept.repartition(n, "_part")
+
+
+def _opened(rows: DataFrame) -> DataFrame:
+    """Ranged rows with block and section: the number and the last of the file's marks at or before each line. What stands
+    before a range is told by one row for each range, so a file of any length is in no single task."""
+    within = Window.partitionBy("_part", "file").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    marked = F.col("mark").isNotNull()
+    ends = rows.groupBy("_part", "file").agg(F.count("mark").alias("n"), F.max_by("mark", F.when(marked, F.col("line"))).alias("mark"))
+    earlier = Window.partitionBy("file").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("_part", F.col("file").alias("_file"), F.sum("n").over(earlier).alias("_n"), F.last("mark", True).over(earlier).alias("_mark"))
+    ends = F.broadcast(ends.where("_n > 0"))  # only of the file that a range begins within
+    own = F.col("file").eqNullSafe(F.col("_file"))
+    out = rows.withColumns({"block": F.count("mark").over(within), "section": F.last("mark", True).over(within)}).join(ends, "_part", "left")
+    out = out.withColumns({"block": F.col("block") + F.when(own, F.col("_n")).otherwise(0), "section": F.coalesce("section", F.when(own, F.col("_mark")))})
+    return out.drop("_file", "_n", "_mark")
+
+
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """file, line (from 0), text of text files; a file is one row until its lines are numbered."""
     whole = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("file"), "value")
@@ -24,14 +51,13 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def sections(lines: DataFrame, markers: list[tuple[str, str]]) -> DataFrame:
     """lines with section: the name of the last marker line (name, regex) at or before each, '' before the first.
 
-    Blank lines are left out; marker lines have is_marker true. One file's lines are ordered together, files are not.
+    Blank lines are left out; marker lines have is_marker true.
     """
     name: Column = F.lit(None).cast("string")
     for section, regex in reversed(markers):
         name = F.when(F.col("text").rlike(regex), F.lit(section)).otherwise(name)
-    w = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    rows = lines.where(F.trim("text") != "").withColumn("_m", name)
-    return rows.withColumns({"section": F.coalesce(F.last("_m", True).over(w), F.lit("")), "is_marker": F.col("_m").isNotNull()}).drop("_m")
+    rows = _opened(_ranged(lines.where(F.trim("text") != "").withColumn("mark", name)))
+    return rows.withColumns({"section": F.coalesce("section", F.lit("")), "is_marker": F.col("mark").isNotNull()}).drop("mark", "block", "_part")
 
 
 def general(lines: DataFrame) -> DataFrame:
@@ -105,8 +131,7 @@ def _marked(lines: DataFrame, grammar: list[dict]) -> DataFrame:
 def _in_sections(rows: DataFrame, grammar: list[dict]) -> DataFrame:
     """rows with section and block: a block begins at a marker; after the first match of a `regex` section its
     next_section goes on, or none."""
-    before = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.withColumns({"block": F.count("mark").over(before), "section": F.last("mark", True).over(before)}).where("section IS NOT NULL")
+    out = _opened(_ranged(rows)).where("section IS NOT NULL")
     for _ in range(1 + sum("next_section" in g for g in grammar)):  # a next section may have a next one
         hit = F.lit(False)
         follows = F.lit(None).cast("string")
@@ -115,9 +140,16 @@ def _in_sections(rows: DataFrame, grammar: list[dict]) -> DataFrame:
                 own = F.col("section") == g["name"]
                 hit = hit | (own & F.col("text").rlike(g.get("regex", "^(.*)$")))
                 follows = F.when(own, F.lit(g.get("next_section"))).otherwise(follows)
-        first = F.min(F.when(hit, F.col("line"))).over(Window.partitionBy("file", "block", "section"))
-        out = out.withColumn("_first", first).withColumn("section", F.when(F.col("line") > F.col("_first"), follows).otherwise(F.col("section"))).drop("_first").where("section IS NOT NULL")
-    return out
+        # The first match in the range, or in an earlier one that the block reaches back to: there it is the last of its block.
+        at = F.when(hit, F.col("line"))
+        last = out.groupBy("_part").agg(F.max(F.struct("file", "block")).alias("_end"))
+        open_ = out.where(hit).join(F.broadcast(last), "_part").where(F.struct("file", "block").eqNullSafe(F.col("_end")))
+        open_ = open_.groupBy(F.col("file").alias("_file"), F.col("block").alias("_block"), F.col("section").alias("_section")).agg(F.min("line").alias("_line"))
+        same = F.col("file").eqNullSafe(F.col("_file")) & (F.col("block") == F.col("_block")) & (F.col("section") == F.col("_section"))
+        first = F.least(F.min(at).over(Window.partitionBy("_part", "file", "block", "section")), "_line")
+        out = out.join(F.broadcast(open_), same, "left").withColumn("_first", first)
+        out = out.withColumn("section", F.when(F.col("line") > F.col("_first"), follows).otherwise(F.col("section"))).drop("_first", "_file", "_block", "_section", "_line").where("section IS NOT NULL")
+    return out.drop("_part")
 
 
 def _cells(rows: DataFrame, g: dict) -> DataFrame:
@@ -157,9 +189,9 @@ def by_grammar(lines: DataFrame, grammar: list[dict]) -> DataFrame:
     rows = _marked(lines, grammar)
     stops = [g["name"] for g in grammar if g["kind"] == "stop"]
     if stops:
-        end = F.min(F.when(F.col("mark").isin(stops), F.col("line"))).over(Window.partitionBy("file"))
-        rows = rows.withColumn("_end", end).where("_end IS NULL OR line < _end").drop("_end")
-    rows = _in_sections(rows, grammar)
+        ends = rows.where(F.col("mark").isin(stops)).groupBy(F.col("file").alias("_file")).agg(F.min("line").alias("_end"))
+        rows = rows.join(ends, F.col("file").eqNullSafe(F.col("_file")), "left").where("_end IS NULL OR line < _end").drop("_end", "_file")
+    rows = checkpointed(_in_sections(rows, grammar))  # read once for each section
     out = None
     for g in (g for g in grammar if g["kind"] != "stop"):
         own = rows.where(F.col("section") == g["name"])
