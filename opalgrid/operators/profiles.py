@@ -118,6 +118,14 @@ def write_table(df: DataFrame, path: str, by: list[str], mode: str = "overwrite"
     return path
 
 
+def write_ranges(df: DataFrame, path: str, order: list[str], by: list[str] | None = None) -> str:
+    """A Parquet table in ranges of columns of many values, of which a folder each would be too many: Parquet's statistics tell
+    which files hold a value. by: columns of few values, with a folder each."""
+    writer = df.repartitionByRange(*(by or []), *order).sortWithinPartitions(*(by or []), *order).write
+    (writer.partitionBy(*by) if by else writer).option("compression", "zstd").mode("overwrite").parquet(path)
+    return path
+
+
 def read_table(spark: SparkSession, path: str, schema: DataFrame) -> DataFrame:
     return spark.read.schema(schema.schema).parquet(path).select(schema.columns)
 
