@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,33 +93,38 @@ def read_frames(spark: SparkSession, path: str, schema: Any) -> DataFrame:
     return spark.read.schema(schema).parquet(path).drop("batch")
 
 
-def _link(frame: pd.DataFrame, last: dict, least: float) -> dict[int, int]:
+def _link(y: np.ndarray, x: np.ndarray, label: np.ndarray, last: dict, least: float) -> dict[int, int]:
     """label -> track of a frame, given the last frame's pixels and tracks: best overlap, each track continued once."""
-    if not len(frame) or not last["pixels"]:
+    track = np.fromiter((last["pixels"].get(p, -1) for p in zip(y.tolist(), x.tolist(), strict=True)), np.int64, len(y))
+    both = track >= 0
+    if not both.any():
         return {}
-    seen = pd.Series(last["pixels"])
-    at = frame.set_index(["y", "x"])["label"]
-    both = pd.DataFrame({"label": at, "track": seen.reindex(at.index)}).dropna()
-    if both.empty:
-        return {}
-    shared = both.groupby(["label", "track"]).size().rename("i").reset_index()
-    a, b = at.value_counts(), seen.value_counts()
-    shared["iou"] = shared["i"] / (shared["label"].map(a) + shared["track"].map(b) - shared["i"])
-    best = shared.sort_values(["label", "iou", "track"], ascending=[True, False, True]).drop_duplicates("label")
-    best = best[best["iou"] >= least].sort_values(["iou", "label"], ascending=[False, True]).drop_duplicates("track")
-    return {int(r.label): int(r.track) for r in best.itertuples()}
-
-
-def follow(frames: dict[int, pd.DataFrame], last: dict, least: float) -> Iterator[pd.DataFrame]:
-    """Tracks of frames in order; last (tp, pixels, most) is brought up to date. New objects get fresh numbers."""
+    pairs, shared = np.unique(np.stack([label[both], track[both]], axis=1), axis=0, return_counts=True)
+    a, b = Counter(label.tolist()), Counter(last["pixels"].values())
+    found = [(n / (a[v] + b[t] - n), v, t) for (v, t), n in zip(pairs.tolist(), shared.tolist(), strict=True)]
+    best: dict[int, tuple[float, int]] = {}
+    for iou, v, t in sorted(found, key=lambda f: (f[1], -f[0], f[2])):
+        best.setdefault(v, (iou, t))
+    taken: dict[int, int] = {}
+    for v, (iou, t) in sorted(best.items(), key=lambda e: (-e[1][0], e[0])):
+        if iou >= least:
+            taken.setdefault(t, v)
+    return {v: t for t, v in taken.items()}
+
+
+def follow(frames: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], last: dict, least: float) -> Iterator[pd.DataFrame]:
+    """Tracks of frames (y, x, label) in order; last (tp, pixels, most) is brought up to date. New objects get fresh numbers.
+    Of a pixel that comes twice the first counts."""
     for tp in sorted(frames):
-        frame = frames[tp].drop_duplicates(["y", "x"])
-        known = _link(frame, last if tp == last["tp"] + 1 else last | {"pixels": {}}, least)
-        for label in sorted(set(frame["label"]) - set(known)):
+        y, x, label = frames[tp]
+        once = np.sort(np.unique(np.stack([y, x], axis=1), axis=0, return_index=True)[1])
+        y, x, label = y[once], x[once], label[once]
+        known = _link(y, x, label, last if tp == last["tp"] + 1 else last | {"pixels": {}}, least)
+        for v in sorted(set(label.tolist()) - set(known)):
             last["most"] += 1
-            known[int(label)] = last["most"]
+            known[v] = last["most"]
         last["tp"] = tp
-        last["pixels"] = {(int(y), int(x)): known[int(v)] for y, x, v in zip(frame["y"], frame["x"], frame["label"], strict=True)}
+        last["pixels"] = {(r, c): known[v] for r, c, v in zip(y.tolist(), x.tolist(), label.tolist(), strict=True)}
         yield pd.DataFrame({"tp": tp, "label": sorted(known), "track": [known[k] for k in sorted(known)]})
 
 
@@ -126,7 +133,7 @@ def tracked(masks: DataFrame, least: float = 0.25) -> DataFrame:
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         last = {"tp": -(10**9), "pixels": {}, "most": 0}
-        out = list(follow({int(t): f for t, f in part.groupby("tp")}, last, least))
+        out = list(follow({int(t): tuple(f[c].to_numpy(np.int64) for c in ("y", "x", "label")) for t, f in part.groupby("tp")}, last, least))
         rows = pd.concat(out) if out else pd.DataFrame({"tp": [], "label": [], "track": []})
         return rows.assign(position=key[0], tile=key[1])[["position", "tile", "tp", "label", "track"]]
 
@@ -175,7 +182,7 @@ class Tracker(StatefulProcessor):
                 last = {"tp": tp, "pixels": {(p[0], p[1]): p[2] for p in self.pixels.get()} if self.pixels.exists() else {}, "most": most}
             tp += 1
             self.early.removeKey((tp,))
-            for out in follow({tp: pd.DataFrame({"y": y, "x": x, "label": label})}, last, self.least):
+            for out in follow({tp: tuple(np.array(v, np.int64) for v in (y, x, label))}, last, self.least):
                 if len(out):
                     yield out.assign(position=key[0], tile=key[1])[["position", "tile", "tp", "label", "track"]]
         if last is not None:
