@@ -7,10 +7,11 @@
    of samples by counts alone. Nodes that agree on a whole band share a bucket.
 3. Each node of a bucket is compared with the bucket's centre, the node that has most company. A pair is a link if the
    weighted Jaccard similarity of its TF-IDF shingles reaches the threshold, or that of their plain counts does.
-4. Links that no centre shows are looked for where a bucket still holds nodes of different classes. Its nodes get finer
-   bands, of more samples each, so that what shares one is mostly alike. Each fine bucket that holds nodes of different
-   classes draws four centres by hashes, and each is compared with the bucket's nodes of other classes. So a node is compared
-   four times for each fine bucket at the most; pairs of a bucket are never listed.
+4. Links that no centre shows are looked for where a bucket still holds nodes of different classes. The search among its
+   nodes is exact: a pair can only reach the threshold if it shares one of the rarest shingles of both, and only if what it
+   shares of them, with all that is left of one, would be enough. Each pair of nodes of different classes that passes
+   is compared. Pairs are taken by slices of their hashes, and after each slice classes are merged, so that pairs whose ends
+   meet in one class meanwhile need no comparison; at the end each pair is either decided or within a class.
 5. Classes are the connected components of the links, found by label propagation over tables.
 """
 
@@ -31,9 +32,9 @@ from opalgrid.llm.common import NO_ID, Rows, all_shingles, claim, cut, forgotten
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
-#: Fine bands, their samples, and the centres drawn in a fine bucket. A pair at 0.8 shares five fine bands on the average, and
-#: none with probability 0.004; where it shares one with few others, a centre is one of the pair.
-FINE_BANDS, FINE_ROWS, CENTRES = 32, 8, 4
+#: Slices of pairs' hashes; pairs of holders of a shingle that the first slices have for each node; holders that a task has
+#: on one side; what sums of doubles may be off by.
+SLICES, EACH, HOLDERS, SLACK = 4096, 1000, 2000, 1e-9
 #: Nodes whose ids are broadcast (16 bytes each); more are joined.
 SMALL = 250_000
 #: Bytes of text of a batch, and hashes that one task counts.
@@ -170,18 +171,18 @@ def _frequencies(batches: DataFrame) -> DataFrame:
 
 
 @cache
-def _seeds(n: int, first: int = 0) -> np.ndarray:
-    return mixed(np.arange(first + 1, first + n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None] | np.uint64(1)
+def _seeds(n: int) -> np.ndarray:
+    return mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None] | np.uint64(1)
 
 
-def samples(h: np.ndarray, *weights: np.ndarray, n: int = BANDS * ROWS, first: int = 0) -> list[np.ndarray]:
+def samples(h: np.ndarray, *weights: np.ndarray, n: int = BANDS * ROWS) -> list[np.ndarray]:
     """For each of the weights, n consistent weighted samples of the set, as 64-bit numbers; two sets share each with
     probability equal to their weighted Jaccard similarity.
 
     From a hash of element and sample come r and c, both of a gamma distribution with shape 2, and b, uniform; with
     t = floor(ln w / r + b) the sample is the (element, t) of least ln c - r (t - b) - r.
     """
-    seeds, rows = _seeds(n, first), np.arange(n)
+    seeds, rows = _seeds(n), np.arange(n)
     best = [np.full(n, np.inf, np.float32) for _ in weights]
     out = [np.zeros(n, np.uint64) for _ in weights]
     step = 1024
@@ -215,10 +216,10 @@ def samples(h: np.ndarray, *weights: np.ndarray, n: int = BANDS * ROWS, first: i
     return out
 
 
-def _banded(s: np.ndarray, salt: np.ndarray, bands: int = BANDS) -> list[int]:
+def _banded(s: np.ndarray, salt: np.ndarray) -> list[int]:
     """A hash of the samples of each band."""
     keys = salt.copy()
-    for column in s.reshape(bands, -1).T:
+    for column in s.reshape(BANDS, -1).T:
         keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + column)
     return keys.view(np.int64).tolist()
 
@@ -316,24 +317,65 @@ def _compared(pairs: DataFrame, sets: DataFrame, total: int) -> DataFrame:
         return cut(joined.select("a", "b", of("h_a", "n_a", "df_a", "h_b", "n_b", "df_b").alias("similarity")))
 
 
-def _fine(nodes: DataFrame, sets: DataFrame, total: int) -> DataFrame:
-    """bucket, node: the fine buckets of nodes."""
-    salt = mixed(np.arange(1, 2 * FINE_BANDS + 1, dtype=np.uint64) << np.uint64(40)).reshape(2, FINE_BANDS)
-    rarest = math.log1p(total)
+def _beginnings(nodes: DataFrame, sets: DataFrame, total: int, threshold: float) -> DataFrame:
+    """A row for each shingle (h) of a node's beginning that other texts hold too: its count n and weight w.
 
-    @F.pandas_udf("array<long>")
-    def bands(hs: pd.Series, ns: pd.Series, dfs: pd.Series) -> pd.Series:
-        claim("shingles")
-        out = []
-        for h, n, df in zip(map(restored_set, hs), map(restored, ns), map(restored, dfs), strict=True):
-            plain, idf = n.astype(np.float32), np.log1p(total / df)
-            weights = [plain * idf.astype(np.float32), *([plain] if idf.min(initial=rarest) * LIGHT < rarest else [])]
-            found = samples(h, *weights, n=FINE_BANDS * FINE_ROWS, first=BANDS * ROWS) if len(h) else []
-            out.append([k for kind, s in enumerate(found) for k in _banded(s, salt[kind], FINE_BANDS)])
-        return pd.Series(out)
+    A text's shingles are ordered by document frequency, then hash. Its beginning is what lies before the place from where
+    less than the threshold's share is left, by counts and by weights: alike texts share a shingle of both beginnings. Each
+    row also has the last shingle of the beginning, what is left after it (rest_n, rest_w), and the sums of all (all_n, all_w).
+    """
 
-    with Rows(nodes.sparkSession, 128):
-        return cut(nodes.join(sets, "_node").select(F.explode(bands("h", "n", "df")).alias("bucket"), F.col("_node").alias("node")))
+    def begin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("shingles")
+        for frame in frames:
+            parts: list[pd.DataFrame] = []
+            for node, *packed in zip(frame["_node"], frame["h"], frame["n"], frame["df"], strict=True):
+                h, n, df = restored_set(packed[0]), restored(packed[1]).astype(float), restored(packed[2]).astype(np.int64)
+                if not len(h):
+                    continue
+                order = np.lexsort((h, df))
+                h, n, df = h[order].astype(np.int64), n[order], df[order]
+                both = np.stack([n, n * np.log1p(total / df)])
+                left = np.concatenate([both[:, ::-1].cumsum(axis=1)[:, ::-1], np.zeros((2, 1))], axis=1)
+                k = int((left[:, :-1] >= threshold * left[:, :1] * (1 - SLACK)).any(axis=0).sum())
+                own = np.flatnonzero(df[:k] > 1)
+                parts.append(pd.DataFrame({
+                    "h": h[own], "node": bytes(node), "n": both[0, own], "w": both[1, own], "last_df": df[k - 1], "last_h": h[k - 1],
+                    "rest_n": left[0, k], "rest_w": left[1, k], "all_n": left[0, 0], "all_w": left[1, 0],
+                }))
+            if parts:
+                yield pd.concat(parts)
+
+    with Rows(nodes.sparkSession, 32):
+        numbers = ", ".join(f"{c} double" for c in ("n", "w", "rest_n", "rest_w", "all_n", "all_w"))
+        return cut(nodes.join(sets, "_node").mapInPandas(begin, f"h long, node binary, last_df long, last_h long, {numbers}"))
+
+
+def _held_by_several(held: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
+    """held with each node's label, without shingles that one class holds alone; the label of most holders (main) and the
+    number of parts that the other holders are dealt to; and the number of pairs of holders to look at, at most."""
+    named = held.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    of_class = named.groupBy("h", "label").agg(F.count("*").alias("c"))
+    sizes = of_class.groupBy("h").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("c"), F.max("c").alias("most"))
+    sizes = cut(sizes.where("c > most").select("h", "main", F.expr("(c - most) * double(c)").alias("pairs"), F.ceil((F.col("c") - F.col("most")) / HOLDERS).cast("int").alias("parts")))
+    return named.join(sizes.drop("pairs"), "h"), int(sizes.agg(F.sum("pairs")).first()[0] or 0)
+
+
+def _may_be_alike(named: DataFrame, threshold: float, since: int, until: int) -> DataFrame:
+    """Pairs (a, b) of nodes of different classes, in slices since to until, that shingles of their beginnings do not rule
+    out: what they share there, and all that is left of the one whose beginning ends first, is as much as alike texts share."""
+    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "n", "w", "last_df", "last_h", "rest_n", "rest_w", "all_n", "all_w")]
+    one = named.where("label <> main").select("h", "main", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), *side("x"))
+    other = named.select("h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *side("y"))
+    pair = F.struct(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+    met = one.join(other, ["h", "part"]).where("label_x <> label_y AND (label_y = main OR node_x < node_y)")
+    met = met.withColumn("p", pair).where(F.pmod(F.xxhash64("p.a", "p.b"), F.lit(SLICES)).between(since, until - 1))
+    sooner = F.struct("last_df_x", "last_h_x") <= F.struct("last_df_y", "last_h_y")
+    sums = []
+    for c in ("n", "w"):
+        sums += [F.sum(F.least(f"{c}_x", f"{c}_y")).alias(c), F.max(F.when(sooner, F.col(f"rest_{c}_x")).otherwise(F.col(f"rest_{c}_y"))).alias(f"rest_{c}"), F.max(F.col(f"all_{c}_x") + F.col(f"all_{c}_y")).alias(f"all_{c}")]
+    enough = [F.col(c) + F.col(f"rest_{c}") >= F.col(f"all_{c}") * (threshold / (1 + threshold) * (1 - SLACK)) for c in ("n", "w")]
+    return met.groupBy("p").agg(*sums).where(enough[0] | enough[1]).select("p.a", "p.b")
 
 
 def _contested(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -357,20 +399,27 @@ def _linked(members: DataFrame, pairs: DataFrame, sets: DataFrame, total: int, t
     """(links, labels): the links (a, b) that show which nodes are of one class, and the label of each linked node. members
     are the buckets (bucket, node); pairs (a, b) are nodes b to compare with their bucket's centre a."""
     known = _compared(pairs, sets, total)
+    known = cut(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity").dropDuplicates(["a", "b"]))  # two centres may meet twice
     links = known.where(F.col("similarity") >= threshold).select("a", "b")
     labels = components(links)
     open_ = cut(_contested(members, labels).select(F.col("node").alias("_node")).distinct())
-    if open_.limit(1).count() == 0:
-        return links, labels
-    named = cut(_contested(_fine(open_, sets, total), labels))
-    chosen = [F.min(F.struct(F.xxhash64("node", "bucket", F.lit(k)).alias("h"), "node", "label")) for k in range(CENTRES)]
-    centres = named.groupBy("bucket").agg(F.array_distinct(F.transform(F.array(*chosen), lambda c: F.struct(c["node"].alias("a"), c["label"].alias("of")))).alias("_c"))
-    asked = named.join(centres, "bucket").select("node", "label", F.explode("_c").alias("_c")).where("label <> _c.of").select("_c.a", F.col("node").alias("b")).distinct()
-    fresh = _compared(asked.join(known.select("a", "b"), ["a", "b"], "left_anti"), sets, total)
-    more = fresh.where(F.col("similarity") >= threshold).select("a", "b")
-    if more.limit(1).count() == 0:
+    nodes = open_.count()
+    if not nodes:
         return links, labels
-    return links.unionByName(more), _merged(labels, more)
+    held = _beginnings(open_, sets, total, threshold)
+    done = width = 0
+    while done < SLICES:
+        named, most = _held_by_several(held, labels)
+        if not most:
+            break
+        width = max(4 * width, SLICES * EACH * nodes // most, 1)
+        until = min(SLICES, done + width)
+        asked = _may_be_alike(named, threshold, done, until).join(known, ["a", "b"], "left_anti")
+        more = _compared(asked, sets, total).where(F.col("similarity") >= threshold).select("a", "b")
+        if more.limit(1).count():
+            links, labels = links.unionByName(more), _merged(labels, more)
+        done = until
+    return links, labels
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import math
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -519,3 +520,23 @@ def test_templates_with_pooled_edits_are_not_compared_in_pairs(spark, monkeypatc
         if n == 100:
             assert Counter((r.doc_id, r.class_id) for r in found) == brute_classes(docs)
     assert sums[400] < 400 * 399 / 2 / 4
+
+
+def test_links_among_many_texts_of_one_template(spark):
+    """Texts that are alike to one other each, among many that are nearly alike and so share their buckets: no link is lost."""
+    places, rows = np.random.default_rng(1).permutation(list(combinations(range(35), 3))), []
+    for k in range(400):  # two texts are changed at the same three places each, so they are alike (0.84); others are not (0.8 or less)
+        own = [f"w{i}" for i in range(179)]
+        for i in places[k // 2]:
+            own[5 * i + 4] = f"own{k}x{i}"
+        rows.append((k, " ".join(own)))
+    found = neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.class_id, r.links) for r in found} == {(k, k - k % 2, 1) for k in range(400)}
+
+
+def test_slices_of_pairs_give_the_same_classes(spark, monkeypatch):
+    """However many slices the pairs are taken by, and however the holders of a shingle are dealt."""
+    docs = spark.createDataFrame(list(enumerate(templates(100))), "doc_id long, text string")
+    monkeypatch.setattr(neardup, "EACH", 20)
+    monkeypatch.setattr(neardup, "HOLDERS", 5)
+    assert Counter((r.doc_id, r.class_id) for r in neardup.classes(docs).collect()) == brute_classes(docs)
