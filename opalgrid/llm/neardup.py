@@ -8,8 +8,8 @@
 3. Each node of a bucket is compared with the bucket's centre, the node that has most company. A pair is a link if the
    weighted Jaccard similarity of its TF-IDF shingles reaches the threshold, or that of their plain counts does.
 4. Links that no centre shows are looked for where a bucket still holds nodes of different classes. The search among its
-   nodes is exact: a pair can only reach the threshold if it shares one of the rarest shingles of both, and only if what it
-   shares of them, with all that is left of one, would be enough. Each pair of nodes of different classes that passes
+   nodes is exact: a pair can only reach the threshold if it shares one of the rarest shingles of both, and only if what is
+   left of both from the first such shingle on would be enough, as would what it shares with what is left after it. Each pair of nodes of different classes that passes
    is compared. Pairs are taken by slices of their hashes, and after each slice classes are merged, so that pairs whose ends
    meet in one class meanwhile need no comparison; at the end each pair is either decided or within a class.
 5. Classes are the connected components of the links, found by label propagation over tables.
@@ -322,7 +322,7 @@ def _beginnings(nodes: DataFrame, sets: DataFrame, total: int, threshold: float)
 
     A text's shingles are ordered by document frequency, then hash. Its beginning is what lies before the place from where
     less than the threshold's share is left, by counts and by weights: alike texts share a shingle of both beginnings. Each
-    row also has the last shingle of the beginning, what is left after it (rest_n, rest_w), and the sums of all (all_n, all_w).
+    row also has what is left from its shingle on (left_n, left_w) and the sums of all (all_n, all_w).
     """
 
     def begin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -340,15 +340,15 @@ def _beginnings(nodes: DataFrame, sets: DataFrame, total: int, threshold: float)
                 k = int((left[:, :-1] >= threshold * left[:, :1] * (1 - SLACK)).any(axis=0).sum())
                 own = np.flatnonzero(df[:k] > 1)
                 parts.append(pd.DataFrame({
-                    "h": h[own], "node": bytes(node), "n": both[0, own], "w": both[1, own], "last_df": df[k - 1], "last_h": h[k - 1],
-                    "rest_n": left[0, k], "rest_w": left[1, k], "all_n": left[0, 0], "all_w": left[1, 0],
+                    "h": h[own], "node": bytes(node), "n": both[0, own], "w": both[1, own],
+                    "left_n": left[0, own], "left_w": left[1, own], "all_n": left[0, 0], "all_w": left[1, 0],
                 }))
             if parts:
                 yield pd.concat(parts)
 
     with Rows(nodes.sparkSession, 32):
-        numbers = ", ".join(f"{c} double" for c in ("n", "w", "rest_n", "rest_w", "all_n", "all_w"))
-        return cut(nodes.join(sets, "_node").mapInPandas(begin, f"h long, node binary, last_df long, last_h long, {numbers}"))
+        numbers = ", ".join(f"{c} double" for c in ("n", "w", "left_n", "left_w", "all_n", "all_w"))
+        return cut(nodes.join(sets, "_node").mapInPandas(begin, f"h long, node binary, {numbers}"))
 
 
 def _held_by_several(held: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
@@ -363,19 +363,21 @@ def _held_by_several(held: DataFrame, labels: DataFrame) -> tuple[DataFrame, int
 
 def _may_be_alike(named: DataFrame, threshold: float, since: int, until: int) -> DataFrame:
     """Pairs (a, b) of nodes of different classes, in slices since to until, that shingles of their beginnings do not rule
-    out: what they share there, and all that is left of the one whose beginning ends first, is as much as alike texts share."""
-    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "n", "w", "last_df", "last_h", "rest_n", "rest_w", "all_n", "all_w")]
+    out. The rows of a pair are those shingles from which on enough is left of both; as less is left from each to the next,
+    these are the first that it shares. They and what is left of either after the last of them are as much as alike texts share."""
+    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "n", "w", "left_n", "left_w", "all_n", "all_w")]
     one = named.where("label <> main").select("h", "main", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), *side("x"))
     other = named.select("h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *side("y"))
     pair = F.struct(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
     met = one.join(other, ["h", "part"]).where("label_x <> label_y AND (label_y = main OR node_x < node_y)")
-    met = met.withColumn("p", pair).where(F.pmod(F.xxhash64("p.a", "p.b"), F.lit(SLICES)).between(since, until - 1))
-    sooner = F.struct("last_df_x", "last_h_x") <= F.struct("last_df_y", "last_h_y")
+    needed = {c: (F.col(f"all_{c}_x") + F.col(f"all_{c}_y")) * (threshold / (1 + threshold) * (1 - SLACK)) for c in ("n", "w")}
+    left = [F.least(f"left_{c}_x", f"left_{c}_y") >= needed[c] for c in ("n", "w")]
+    met = met.withColumn("p", pair).where(left[0] | left[1]).where(F.pmod(F.xxhash64("p.a", "p.b"), F.lit(SLICES)).between(since, until - 1))
     sums = []
     for c in ("n", "w"):
-        sums += [F.sum(F.least(f"{c}_x", f"{c}_y")).alias(c), F.max(F.when(sooner, F.col(f"rest_{c}_x")).otherwise(F.col(f"rest_{c}_y"))).alias(f"rest_{c}"), F.max(F.col(f"all_{c}_x") + F.col(f"all_{c}_y")).alias(f"all_{c}")]
-    enough = [F.col(c) + F.col(f"rest_{c}") >= F.col(f"all_{c}") * (threshold / (1 + threshold) * (1 - SLACK)) for c in ("n", "w")]
-    return met.groupBy("p").agg(*sums).where(enough[0] | enough[1]).select("p.a", "p.b")
+        rest = F.least(F.col(f"left_{c}_x") - F.col(f"{c}_x"), F.col(f"left_{c}_y") - F.col(f"{c}_y"))
+        sums += [(F.sum(F.least(f"{c}_x", f"{c}_y")) + F.min(rest)).alias(c), F.max(needed[c]).alias(f"needed_{c}")]
+    return met.groupBy("p").agg(*sums).where("n >= needed_n * (1 - 1e-9) OR w >= needed_w * (1 - 1e-9)").select("p.a", "p.b")
 
 
 def _contested(members: DataFrame, labels: DataFrame) -> DataFrame:

@@ -540,3 +540,25 @@ def test_slices_of_pairs_give_the_same_classes(spark, monkeypatch):
     monkeypatch.setattr(neardup, "EACH", 20)
     monkeypatch.setattr(neardup, "HOLDERS", 5)
     assert Counter((r.doc_id, r.class_id) for r in neardup.classes(docs).collect()) == brute_classes(docs)
+
+
+def test_pairs_without_enough_left_are_not_compared(spark, monkeypatch):
+    """Texts of a template with edits of their own: all links are found, though few pairs are compared after the centres'."""
+    seen, asked = [], neardup._may_be_alike
+
+    def counting(*args):
+        out = neardup.cut(asked(*args))
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "_may_be_alike", counting)
+    rng, base, edits, rows = np.random.default_rng(5), [f"w{i}" for i in range(150)], [], []
+    for k in range(100):
+        own = {int(i): f"own{k}x{i}" for i in rng.choice(30, rng.integers(1, 7), replace=False) * 5 + 2}
+        if k % 10 == 9:  # like the text before, but for one place
+            own = {**edits[-1], int(rng.integers(150)): f"own{k}"}
+        edits.append(own)
+        rows.append((k, " ".join(own.get(i, w) for i, w in enumerate(base))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter((r.doc_id, r.class_id) for r in neardup.classes(docs).collect()) == brute_classes(docs)
+    assert sum(seen) < 400
