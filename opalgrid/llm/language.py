@@ -112,7 +112,9 @@ def with_text(rows: DataFrame, model: Model, *, text: str = "text") -> DataFrame
             lik, letters = likelihoods(shared.value, part.tolist())
             yield pd.DataFrame({"lik": list(lik), "letters": letters})
 
-    found = rows.withColumn("_text", of(text_of(text)))
+    # Not deterministic in name only: else conditions on its result are pushed below it, and each task has a second Python
+    # process that looks at all texts once more.
+    found = rows.withColumn("_text", of.asNondeterministic()(text_of(text)))
     return found.withColumns({"_lik": F.col("_text.lik"), "_letters": F.col("_text.letters")}).drop("_text")
 
 

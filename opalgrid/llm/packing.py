@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -136,7 +137,9 @@ def best_fit(pieces: DataFrame, *, key: str = "doc_id", capacity: int = CAPACITY
     spark = pieces.sparkSession
     sizes = {r["length"]: r["n"] for r in pieces.where("length > 0").groupBy("length").agg(F.count("*").alias("n")).collect()}
     rows = plan(sizes, capacity) or [(0, 0, 0, 0, 0)]
-    placed = spark.createDataFrame(rows, "length long, first_rank long, ranks long, first_sequence long, offset long")
+    # An Arrow table goes to the JVM as it is; a list of rows goes through Python processes of its own on the executors.
+    names = ["length", "first_rank", "ranks", "first_sequence", "offset"]
+    placed = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names))
     steps = placed.groupBy("length").agg(F.sort_array(F.collect_list(F.struct("first_rank", "first_sequence", "offset"))).alias("steps"))
     salts = max(16, sum(sizes.values()) // 20_000)
     sized = pieces.withColumn("_length", F.coalesce("length", F.lit(0)))  # a null is no key to join on

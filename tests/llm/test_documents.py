@@ -245,6 +245,16 @@ def test_language_odd(odd, none, docs):
     assert language.identified(odd, language.learn(none)).where("accepted").count() == 0
 
 
+def test_texts_are_looked_at_once_a_pass(spark, docs):
+    """Each task of a pass over the texts needs one Python process, not one for a condition and one for the result."""
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text", "source")
+    model = language.learn(docs)
+    seen = language.with_text(rows, model)
+    kept = language.identified(rows, model, host=F.col("source")).where("accepted").select("_row.*")
+    for df in (kept, seen.where("_letters >= 2").select("_lik")):
+        assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_symbols_are_no_letters(spark):
     model = language.Model(["de", "en"], np.zeros((language.BUCKETS, 2), np.float32), language._letters())
     rows = spark.createDataFrame([("\U0001f600\U0001f600\U0001f600",), ("\u65e5\u672c",), ("12 :-) 34",)], "text string")

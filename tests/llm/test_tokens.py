@@ -154,6 +154,12 @@ def test_one_length_for_all(spark):
     assert gapless(rows) == 1000
 
 
+def test_plan_of_places_needs_no_python_on_executors(spark):
+    """The planned intervals are a local relation; as a list of rows they went through Python processes beside the others."""
+    placed = packing.best_fit(spark.range(50).selectExpr("id AS doc_id", "0 AS piece", "id * 80 + 1 AS length"))
+    assert "ExistingRDD" not in placed._jdf.queryExecution().executedPlan().toString()
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2**20), max_size=30), max_size=8))
 def test_file_round_trip(lists):
